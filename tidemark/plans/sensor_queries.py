@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tidemark.functions.numeric import sql_mean, sql_percent, sql_round, sql_sd
-from tidemark.operators import profile
+from tidemark.functions import calendar
+from tidemark.operators import profile, reshape, series
 from tidemark.plans.catalog import register
 from tidemark.plans.sql_fixtures import READINGS, with_
 from tidemark.sources import fixtures
@@ -42,3 +43,104 @@ def location_profile(spark, sf_dir):
 def location_profile_approx_sensors(spark, sf_dir):
     """The same profile with the HLL sensor count; rows-only (sketch is engine-specific)."""
     return profile.group_profile(_readings(spark, sf_dir), distinct="approx")
+
+
+# --- E1-E6: series features ------------------------------------------------------
+
+SERIES_WINDOWS = """
+WINDOW w  AS (PARTITION BY sensor_id, parameter ORDER BY reading_date, seq),
+       wc AS (PARTITION BY sensor_id, parameter ORDER BY reading_date, seq
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       wr AS (PARTITION BY sensor_id, parameter ORDER BY reading_date
+              RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW),
+       wa AS (PARTITION BY sensor_id, parameter)"""
+
+SERIES_COLUMNS = f"""sensor_id, reading_date, location, parameter, value, status, seq,
+       CAST(row_number() OVER w AS INTEGER)                               AS reading_no,
+       lag(value) OVER w                                                  AS prev_value,
+       CAST(CAST(value AS DECIMAL(9,3)) - CAST(lag(value) OVER w AS DECIMAL(9,3)) AS DOUBLE) AS delta,
+       {sql_round("CAST(sum(CAST(value AS DECIMAL(9,3))) OVER wr AS DOUBLE) / count(value) OVER wr")} AS rolling_avg_7d,
+       CAST(sum(CASE WHEN status = 'Bad' THEN 1 ELSE 0 END) OVER wc AS INTEGER) AS bad_so_far,
+       {sql_round("(value - CAST(sum(CAST(value AS DECIMAL(9,3))) OVER wa AS DOUBLE) / count(value) OVER wa) / nullif(" + sql_sd('value', ' OVER wa') + ", 0)")} AS z_score"""
+
+SERIES_FEATURES = f"""features AS (
+    SELECT {SERIES_COLUMNS}
+    FROM readings
+    {SERIES_WINDOWS}
+)"""
+
+SERIES_FEATURES_SQL = with_(READINGS, SERIES_FEATURES) + "SELECT * FROM features"
+
+
+def features(spark, sf_dir):
+    return series.series_features(_readings(spark, sf_dir))
+
+
+@register("series_features", SERIES_FEATURES_SQL)
+def series_features_query(spark, sf_dir):
+    return features(spark, sf_dir)
+
+
+# --- G3 / G4: pivot and unpivot ------------------------------------------------
+
+# The parameters the readings fixture carries (events.event_type).
+PARAMETERS = ("click", "error", "purchase", "signup", "view")
+
+
+def _cell_mean_sql(p: str) -> str:
+    x = "CAST(value AS DECIMAL(9,3))"
+    return sql_round(
+        f"CAST(sum({x}) FILTER (WHERE parameter = '{p}') AS DOUBLE)"
+        f" / nullif(count({x}) FILTER (WHERE parameter = '{p}'), 0)"
+    )
+
+
+WIDE = "wide AS (\n    SELECT sensor_id, reading_date,\n" + ",\n".join(
+    f"           {_cell_mean_sql(p)} AS {p}" for p in PARAMETERS
+) + "\n    FROM readings GROUP BY sensor_id, reading_date\n)"
+
+PIVOT_SQL = with_(READINGS, WIDE) + "SELECT * FROM wide"
+
+UNPIVOT_SQL = with_(READINGS, WIDE) + "SELECT * FROM (\n" + "\n    UNION ALL\n".join(
+    f"    SELECT sensor_id, reading_date, '{p}' AS parameter, {p} AS value FROM wide" for p in PARAMETERS
+) + "\n) WHERE value IS NOT NULL"
+
+
+def wide(spark, sf_dir):
+    return reshape.pivot_mean(_readings(spark, sf_dir), values=PARAMETERS)
+
+
+@register("pivot_mean", PIVOT_SQL)
+def pivot_query(spark, sf_dir):
+    return wide(spark, sf_dir)
+
+
+@register("unpivot_values", UNPIVOT_SQL)
+def unpivot_query(spark, sf_dir):
+    return reshape.unpivot_values(wide(spark, sf_dir), values=PARAMETERS)
+
+
+# --- date_parts (§2.8) --------------------------------------------------------------
+
+DATE_PARTS_SQL = with_(READINGS) + """
+SELECT sensor_id,
+       reading_date                                                   AS date,
+       strftime(reading_date, '%Y.%m.%d')                             AS date_label,
+       CAST(year(reading_date) AS INTEGER)                            AS year,
+       CAST(quarter(reading_date) AS INTEGER)                         AS quarter,
+       CAST(month(reading_date) AS INTEGER)                           AS month,
+       CAST(weekofyear(reading_date) AS INTEGER)                      AS week,
+       CAST(dayofyear(reading_date) AS INTEGER)                       AS day_of_year,
+       strftime(reading_date, '%A')                                   AS weekday,
+       dayofweek(reading_date) IN (0, 6)                              AS is_weekend,
+       CAST(date_trunc('month', reading_date) AS DATE)                AS month_start,
+       last_day(reading_date)                                         AS month_end,
+       CAST(datediff('day', date_trunc('year', reading_date), reading_date) AS INTEGER) AS days_into_year,
+       parameter, value, status
+FROM readings
+"""
+
+
+@register("date_parts", DATE_PARTS_SQL)
+def date_parts_query(spark, sf_dir):
+    return calendar.date_parts(_readings(spark, sf_dir))
