@@ -142,3 +142,34 @@ def rolling_mean(
         *keys, date,
         round3(mean_from(F.sum("_n").over(frame), F.sum("_s1").over(frame))).alias("expected"),
     )
+
+
+def previous_value(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    value: str,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+    out: str = "prev",
+) -> DataFrame:
+    """``lag(value) over (partition by keys order by order)`` without a per-key task.
+
+    ``order`` must be a unique integer within a key. Rows are cut into blocks of
+    ``block_rows`` consecutive order values; the first row of a block takes the
+    last value of the previous non-empty block, found on the (small) block table.
+    """
+    keys = list(keys)
+    base = df.withColumn("_pblk", floor_div(order, block_rows))
+    last = base.groupBy(*keys, "_pblk").agg(F.max_by(value, order).alias("_last"))
+    last = last.select(
+        *keys, "_pblk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pblk")).alias("_prev_last")
+    )
+    local = Window.partitionBy(*keys, "_pblk").orderBy(order)
+    rows = base.select(
+        *df.columns, "_pblk",
+        F.row_number().over(local).alias("_rn"),
+        F.lag(value).over(local).alias("_lag"),
+    )
+    joined = rows.join(last, on=[*keys, "_pblk"], how="inner")
+    prev = F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag"))
+    return joined.select(*df.columns, prev.alias(out))
