@@ -57,20 +57,6 @@ ohlcv AS (
     FROM base_bars
 )"""
 
-UPSERT = BASE_BARS + """,
-target AS (
-    SELECT date, ticker, open, high, low, close,
-           CASE WHEN k % 11 = 0 THEN volume + 1 ELSE volume END AS volume,
-           CAST(0.0 AS DOUBLE) AS dividends, CAST(0.0 AS DOUBLE) AS stock_splits
-    FROM base_bars WHERE k % 7 <> 0
-),
-incoming AS (
-    SELECT date, ticker, open, high, low, close, volume,
-           CAST(0.0 AS DOUBLE) AS dividends, CAST(0.0 AS DOUBLE) AS stock_splits
-    FROM base_bars WHERE k % 13 <> 0
-)"""
-
-
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -121,3 +107,16 @@ metrics AS (
                ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS volatility_30d_pct
     FROM bar_returns
 )"""
+
+UPSERT = ANNOTATED_BARS + """,
+clean_keyed AS (SELECT c.*, b.k FROM clean c JOIN base_bars b USING (ticker, date)),
+target AS (
+    SELECT date, ticker, open, high, low, close,
+           CASE WHEN k % 11 = 0 THEN volume + 1 ELSE volume END AS volume,
+           dividends, stock_splits
+    FROM clean_keyed WHERE k % 7 <> 0
+),
+incoming AS (
+    SELECT date, ticker, open, high, low, close, volume, dividends, stock_splits
+    FROM clean_keyed WHERE k % 13 <> 0
+)"""

@@ -127,21 +127,26 @@ def ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _clean_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repaired bars (normalise + repair of ``raw_bars``) with their bar key ``k``."""
+    from tidemark.operators.bars import clean_bars
+
+    keys = base_bars(spark, sf_dir).select("ticker", "date", "k")
+    return clean_bars(raw_bars(spark, sf_dir)).join(keys, ["ticker", "date"])
+
+
 def upsert_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table before a load: some bars missing, some volumes differing."""
-    base = base_bars(spark, sf_dir)
+    """The table before a load: repaired bars with some missing and some volumes differing."""
     k = F.col("k")
-    return base.where(k % TARGET_MISSING_EVERY != 0).select(
+    return _clean_with_key(spark, sf_dir).where(k % TARGET_MISSING_EVERY != 0).select(
         "date", "ticker", "open", "high", "low", "close",
         F.when(k % TARGET_BUMPED_VOLUME_EVERY == 0, F.col("volume") + 1).otherwise(F.col("volume")).alias("volume"),
-        F.lit(0.0).alias("dividends"), F.lit(0.0).alias("stock_splits"),
+        "dividends", "stock_splits",
     )
 
 
 def upsert_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch being loaded: the clean bars minus some the target keeps."""
-    base = base_bars(spark, sf_dir)
-    return base.where(F.col("k") % INCOMING_MISSING_EVERY != 0).select(
-        "date", "ticker", "open", "high", "low", "close", "volume",
-        F.lit(0.0).alias("dividends"), F.lit(0.0).alias("stock_splits"),
+    """The batch being loaded: the repaired bars minus some the target keeps."""
+    return _clean_with_key(spark, sf_dir).where(F.col("k") % INCOMING_MISSING_EVERY != 0).select(
+        "date", "ticker", "open", "high", "low", "close", "volume", "dividends", "stock_splits",
     )
