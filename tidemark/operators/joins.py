@@ -23,12 +23,17 @@ def lookup_join(
     dim: DataFrame,
     on: Column | str | list,
     how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Join a dimension to a fact table, broadcasting it only after a size check.
+    """Join a dimension to a fact table; broadcast it only behind a size check.
 
-    Past the bound the hint is dropped and Spark's own planner (sort-merge or,
-    with AQE, a runtime broadcast from real shuffle sizes) takes over.
+    By default the check is the planner's: Spark broadcasts a side whose
+    estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+    re-decides from the real shuffle sizes; anything larger is sort-merge
+    joined. With ``max_rows`` the side is also hinted, but only after counting
+    at most ``max_rows + 1`` of its rows (one small job).
     """
-    side = F.broadcast(dim) if row_count_at_most(dim, max_rows) else dim
+    side = dim
+    if max_rows is not None and row_count_at_most(dim, max_rows):
+        side = F.broadcast(dim)
     return facts.join(side, on, how)

@@ -41,15 +41,13 @@ def group_profile(
     ``percentile_approx`` (a bounded sketch that merges partially).
     """
     flag = F.col("status") == "Bad" if flag is None else _flag(flag)
-    if distinct == "exact":
-        sensors = F.count_distinct(entity)
-    elif distinct == "approx":
-        sensors = F.approx_count_distinct(entity, rsd=APPROX_DISTINCT_RSD)
-    else:
+    if distinct not in ("exact", "approx"):
         raise ValueError(f"distinct must be 'exact' or 'approx', got {distinct!r}")
-    return df.groupBy(*keys).agg(
+    keys = list(keys)
+    sensors = [] if distinct == "exact" else [F.approx_count_distinct(entity, rsd=APPROX_DISTINCT_RSD).alias("sensors")]
+    measures = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("readings"),
-        sensors.alias("sensors"),
+        *sensors,
         round3(exact_mean(value)).alias("avg_value"),
         round3(exact_stddev(value)).alias("stddev_value"),
         round3(F.percentile_approx(value, 0.5, PERCENTILE_ACCURACY)).alias("median_value"),
@@ -60,6 +58,23 @@ def group_profile(
         F.min(date).alias("first_reading"),
         F.max(date).alias("last_reading"),
     )
+    if distinct == "approx":
+        return measures
+    # An exact distinct inside the same aggregate would make Spark group by
+    # (keys, entity) first and carry every other aggregate - quantile sketches
+    # included - per entity. Counting distinct entities on its own keeps that
+    # to one small pre-aggregation of (keys, entity) pairs.
+    entities = count_distinct_by(df, keys, entity, "sensors")
+    cols = measures.columns
+    joined = measures.join(entities, keys, "left")
+    return joined.select(*cols[:3], F.coalesce(F.col("sensors"), F.lit(0)).alias("sensors"), *cols[3:])
+
+
+def count_distinct_by(df: DataFrame, keys: Sequence[str], column: str, alias: str) -> DataFrame:
+    """Exact distinct count of ``column`` per key: distinct pairs first, then a count."""
+    keys = list(keys)
+    pairs = df.select(*keys, column).where(F.col(column).isNotNull()).distinct()
+    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
 
 
 def conditional_counts(df: DataFrame, keys: Sequence[str], conditions: dict[str, Column]) -> DataFrame:
