@@ -81,6 +81,11 @@ def flag_outliers(df: DataFrame, z: str = "z_score", threshold: float = OUTLIER_
     return df.withColumn("is_outlier", F.coalesce(F.abs(F.col(z)) > F.lit(threshold), F.lit(False)))
 
 
+def flag_warnings(summary: DataFrame, bad: str = "bad_readings") -> DataFrame:
+    """``warn`` = the entity has any bad reading (B12's second threshold)."""
+    return summary.withColumn("warn", F.coalesce(F.col(bad) > 0, F.lit(False)))
+
+
 def validate_rows(df: DataFrame, parameters: Sequence[str], id_col: str = "sensor_id") -> DataFrame:
     """Per-rule counts of rows an API contract would reject (B13), one row."""
     return df.agg(

@@ -246,3 +246,10 @@ FROM metrics GROUP BY ticker
 @register("scoreboard", SCOREBOARD_SQL)
 def scoreboard(spark, sf_dir):
     return bars.scoreboard(_rounded_metrics(spark, sf_dir))
+
+
+# --- F5 ---------------------------------------------------------------------------------
+
+@register("bars_chronological", with_(ANNOTATED_BARS) + "SELECT * FROM clean ORDER BY ticker, date")
+def bars_chronological(spark, sf_dir):
+    return clean(spark, sf_dir).orderBy("ticker", "date")

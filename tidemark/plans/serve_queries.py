@@ -244,3 +244,17 @@ def location_filter(spark, sf_dir):
 @register("reading_projection", with_(READINGS, SERIES_FEATURES) + f"SELECT {READING_COLS} FROM features")
 def reading_projection(spark, sf_dir):
     return serve.reading_rows(features(spark, sf_dir))
+
+
+@register("sensor_warnings", with_(READINGS) + f"""
+SELECT sensor_id, {SUMMARY_COLS}, count(*) FILTER (WHERE status = 'Bad') > 0 AS warn
+FROM readings GROUP BY sensor_id""")
+def sensor_warnings(spark, sf_dir):
+    return serve.flag_warnings(serve.entity_summary(_readings(spark, sf_dir)))
+
+
+@register("preview_readings")
+def preview_readings(spark, sf_dir):
+    """A look at the first rows (A14); rows-only, since which rows come first is unordered."""
+    from tidemark.sources import io
+    return io.preview(_readings(spark, sf_dir), 5)

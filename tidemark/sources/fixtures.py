@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import lookup_join
+from tidemark.operators.reshape import stack
 from tidemark.sources.tables import table
 
 # The fixture contract of FIXTURES.md.
@@ -100,7 +101,7 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("high") + F.col("low")) / 2).alias("close"), "volume", F.lit(1).alias("seq"),
     )
     k = F.col("k")
-    rows = base.unionByName(corrections)
+    rows = stack([base, corrections])
     zone = _zone()
     return rows.select(
         "ticker",
