@@ -146,3 +146,16 @@ def test_blocked_metrics_equal_per_ticker_windows(spark, block_days, position_bl
     ref = naive_metrics(ohlcv)
     assert ours.count() == ref.count()
     assert ours.exceptAll(ref).count() == 0
+
+
+@pytest.mark.parametrize("session_zone", ["America/Los_Angeles", "Asia/Kolkata", "UTC"])
+def test_local_dates_ignore_the_session_zone(spark, session_zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", session_zone)
+        got = bars.normalize(fixtures.raw_bars(spark, SF01)).select("ticker", "date", "seq")
+        want = fixtures.base_bars(spark, SF01).select("ticker", "date")
+        assert got.select("ticker", "date").distinct().exceptAll(want).count() == 0
+        assert got.count() == 8828
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
