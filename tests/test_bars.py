@@ -115,8 +115,9 @@ def test_fixture_rule_counts(spark):
     annotated.unpersist()
 
 
-def test_first_bar_metrics(spark):
-    m = bars.bar_metrics(frame(spark, close=[10.0, 11.0, 9.9]).drop("seq")).orderBy("date").collect()
+@pytest.mark.parametrize("hot_rows", [0, 1 << 22])
+def test_first_bar_metrics(spark, hot_rows):
+    m = bars.bar_metrics(frame(spark, close=[10.0, 11.0, 9.9]).drop("seq"), hot_rows=hot_rows).orderBy("date").collect()
     first = m[0]
     assert first.daily_return_pct is None and first.indexed_close == 100.0
     assert first.drawdown_pct == 0.0 and first.volatility_30d_pct is None
@@ -138,10 +139,14 @@ def naive_metrics(ohlcv):
     )
 
 
-@pytest.mark.parametrize("block_days,position_block", [(1 << 12, 1 << 16), (7, 30), (64, 45)])
-def test_blocked_metrics_equal_per_ticker_windows(spark, block_days, position_block):
+@pytest.mark.parametrize("block_days,position_block,routing", [
+    (1 << 12, 1 << 16, "blocked"), (7, 30, "blocked"), (64, 45, "blocked"), (7, 30, "mixed"), (7, 30, "plain"),
+])
+def test_metrics_equal_per_ticker_windows(spark, block_days, position_block, routing):
     ohlcv = fixtures.ohlcv(spark, SF01)
-    ours = bars.bar_metrics(ohlcv, block_days=block_days, position_block=position_block).select(
+    sizes = sorted(r["count"] for r in ohlcv.groupBy("ticker").count().collect())
+    hot_rows = {"blocked": 0, "mixed": sizes[2], "plain": 1 << 22}[routing]
+    ours = bars.bar_metrics(ohlcv, block_days=block_days, position_block=position_block, hot_rows=hot_rows).select(
         "date", "ticker", "indexed_close", "daily_return_pct", "drawdown_pct", "volatility_30d_pct")
     ref = naive_metrics(ohlcv)
     assert ours.count() == ref.count()

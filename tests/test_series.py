@@ -26,33 +26,38 @@ def by_seq(df):
     return {r["seq"]: r for r in df.collect()}
 
 
-def test_single_reading_has_no_history(spark):
-    out = by_seq(series_features(readings(spark, [("0000001", d(0), "X", "p", 5.0, "Good", 1)])))
+@pytest.fixture(params=[0, 1 << 22], ids=["blocked", "plain"])
+def hot(request):
+    return request.param
+
+
+def test_single_reading_has_no_history(spark, hot):
+    out = by_seq(series_features(readings(spark, [("0000001", d(0), "X", "p", 5.0, "Good", 1)]), hot_rows=hot))
     r = out[1]
     assert r.reading_no == 1 and r.prev_value is None and r.delta is None and r.z_score is None
     assert r.rolling_avg_7d == 5.0 and r.bad_so_far == 0
 
 
-def test_constant_series_has_null_z(spark):
+def test_constant_series_has_null_z(spark, hot):
     rows = [("0000001", d(i), "X", "p", 3.0, "Good", i) for i in range(3)]
-    out = by_seq(series_features(readings(spark, rows)))
+    out = by_seq(series_features(readings(spark, rows), hot_rows=hot))
     assert all(r.z_score is None for r in out.values())
     assert [out[i].delta for i in range(3)] == [None, 0.0, 0.0]
 
 
-def test_rolling_counts_calendar_days_not_rows(spark):
+def test_rolling_counts_calendar_days_not_rows(spark, hot):
     rows = [("0000001", d(0), "X", "p", 10.0, "Good", 1), ("0000001", d(7), "X", "p", 20.0, "Good", 2)]
-    out = by_seq(series_features(readings(spark, rows)))
+    out = by_seq(series_features(readings(spark, rows), hot_rows=hot))
     assert out[2].rolling_avg_7d == 20.0  # day 0 is 7 days back: outside a 7-day window
     rows[1] = ("0000001", d(6), "X", "p", 20.0, "Good", 2)
-    out = by_seq(series_features(readings(spark, rows)))
+    out = by_seq(series_features(readings(spark, rows), hot_rows=hot))
     assert out[2].rolling_avg_7d == 15.0
 
 
-def test_same_day_peers_share_the_rolling_mean_and_tie_break_by_seq(spark):
+def test_same_day_peers_share_the_rolling_mean_and_tie_break_by_seq(spark, hot):
     rows = [("0000001", d(0), "X", "p", v, s, q) for v, s, q in
             [(1.0, "Good", 30), (2.0, "Bad", 10), (4.0, "Good", 20)]]
-    out = by_seq(series_features(readings(spark, rows)))
+    out = by_seq(series_features(readings(spark, rows), hot_rows=hot))
     assert {r.rolling_avg_7d for r in out.values()} == {2.333}
     assert [out[q].reading_no for q in (10, 20, 30)] == [1, 2, 3]
     assert [out[q].prev_value for q in (10, 20, 30)] == [None, 2.0, 4.0]
@@ -70,26 +75,38 @@ def plain_windows(df):
     )
 
 
-@pytest.mark.parametrize("block_rows", [1, 3, 64])
-def test_blocks_do_not_change_results(spark, block_rows):
+@pytest.mark.parametrize("block_rows,hot_rows", [(1, 0), (3, 0), (64, 0), (1 << 20, 0), (2, 14), (1, 20)])
+def test_blocks_and_routing_do_not_change_results(spark, block_rows, hot_rows):
+    """hot_rows=0 blocks every series; 14 and 20 split the series between both paths."""
+    src = fixtures.readings(spark, SF01)
+    plain = series_features(src)
+    other = series_features(src, block_rows=block_rows, hot_rows=hot_rows)
+    assert plain.count() == other.count() == 10_000
+    assert plain.exceptAll(other).count() == 0 and other.exceptAll(plain).count() == 0
+
+
+def test_hot_series_are_found(spark):
+    from tidemark.operators.series import find_hot_keys
     src = fixtures.readings(spark, SF01)
-    big = series_features(src)
-    small = series_features(src, block_rows=block_rows)
-    assert big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
+    hot = find_hot_keys(src, ["sensor_id", "parameter"], 14)
+    sizes = src.groupBy("sensor_id", "parameter").count()
+    assert len(hot) == sizes.where("count > 14").count() > 0
+    assert find_hot_keys(src, ["sensor_id", "parameter"], 14, max_keys=1) is None
 
 
-def test_matches_plain_windows(spark):
+@pytest.mark.parametrize("hot_rows", [0, 1 << 22])
+def test_matches_plain_windows(spark, hot_rows):
     src = fixtures.readings(spark, SF01)
-    ours = series_features(src, block_rows=5).select("seq", "reading_no", "prev_value", "bad_so_far")
+    ours = series_features(src, block_rows=5, hot_rows=hot_rows).select("seq", "reading_no", "prev_value", "bad_so_far")
     ref = plain_windows(src)
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
 
 
-@pytest.mark.parametrize("parts", [1, 4, 16])
-def test_partitioning_does_not_change_results(spark, parts):
+@pytest.mark.parametrize("parts,hot_rows", [(1, 0), (4, 0), (16, 0), (1, 1 << 22), (16, 1 << 22)])
+def test_partitioning_does_not_change_results(spark, parts, hot_rows):
     src = fixtures.readings(spark, SF01)
     base = series_features(src)
-    shuffled = series_features(src.repartition(parts, F.rand(seed=parts)))
+    shuffled = series_features(src.repartition(parts, F.rand(seed=parts)), hot_rows=hot_rows)
     assert base.exceptAll(shuffled).count() == 0
 
 

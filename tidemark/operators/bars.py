@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import exchange_local_date
-from tidemark.operators.series import day_number, floor_div
+from tidemark.operators.series import DEFAULT_HOT_ROWS, day_number, find_hot_keys, floor_div
 
 # Column roles of a bar.
 PRICE_COLUMNS = ("open", "high", "low", "close")
@@ -192,6 +192,7 @@ def bar_metrics(
     close: str = "close",
     block_days: int = DEFAULT_BLOCK_DAYS,
     position_block: int = DEFAULT_POSITION_BLOCK,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """The ticker metrics view: indexed close, daily return %, drawdown %, 30-row volatility %.
 
@@ -203,13 +204,65 @@ def bar_metrics(
       30 rows ending here (NULLs skipped, no minimum)
 
     Output keeps the input columns except dividends and splits. (ticker, date)
-    must be unique. Two row shuffles: one on (ticker, date
-    block), one on (ticker, position block); every other exchange carries one
-    row per block.
+    must be unique. Tickers with at most ``hot_rows`` bars use per-ticker
+    windows; hotter ones (``hot_rows=0``: all) are cut into date blocks and
+    halo-extended position blocks, so no task holds more than a block.
     """
     halo = VOLATILITY_ROWS - 1
     if position_block <= halo:
         raise ValueError(f"position_block must exceed {halo}")
+    args = (ticker, date, close)
+    if hot_rows == 0:
+        return _blocked_metrics(ohlcv, *args, block_days, position_block)
+    hot = find_hot_keys(ohlcv, [ticker], hot_rows)
+    if hot is None:
+        return _blocked_metrics(ohlcv, *args, block_days, position_block)
+    if not hot:
+        return _plain_metrics(ohlcv, *args)
+    keys = ohlcv.sparkSession.createDataFrame(hot, ohlcv.select(ticker).schema)
+    cold = ohlcv.join(F.broadcast(keys), ticker, "left_anti").select(*ohlcv.columns)
+    warm = ohlcv.join(F.broadcast(keys), ticker, "left_semi").select(*ohlcv.columns)
+    return _plain_metrics(cold, *args).unionByName(_blocked_metrics(warm, *args, block_days, position_block))
+
+
+def _metric_columns(cols: list[str]) -> list[str]:
+    return [c for c in cols if c not in FILLABLE_COLUMNS[1:]]
+
+
+def _plain_metrics(ohlcv: DataFrame, ticker: str, date: str, close: str) -> DataFrame:
+    """Per-ticker windows; used only for tickers of at most ``hot_rows`` bars."""
+    cols = ohlcv.columns
+    c = F.col(close)
+    hist = Window.partitionBy(ticker).orderBy(date)
+    ret = c / F.nullif(F.lag(close).over(hist), F.lit(0.0)) - 1
+    step = ohlcv.select(
+        *cols,
+        ret.alias("_ret"),
+        F.first(close).over(hist).alias("_first_close"),
+        F.max(close).over(hist.rowsBetween(Window.unboundedPreceding, 0)).alias("_peak"),
+    )
+    frame = hist.rowsBetween(-(VOLATILITY_ROWS - 1), 0)
+    vol = F.lit(100.0) * F.sqrt(F.lit(float(TRADING_DAYS))) * F.stddev_samp("_ret").over(frame)
+    return step.select(
+        *_metric_columns(cols),
+        (F.lit(100.0) * c / F.col("_first_close")).alias("indexed_close"),
+        (F.lit(100.0) * F.col("_ret")).alias("daily_return_pct"),
+        (F.lit(100.0) * (c / F.col("_peak") - 1)).alias("drawdown_pct"),
+        vol.alias("volatility_30d_pct"),
+    )
+
+
+def _blocked_metrics(
+    ohlcv: DataFrame,
+    ticker: str = "ticker",
+    date: str = "date",
+    close: str = "close",
+    block_days: int = DEFAULT_BLOCK_DAYS,
+    position_block: int = DEFAULT_POSITION_BLOCK,
+) -> DataFrame:
+    """Date blocks for positions, running peak and previous close; position blocks
+    with a 29-row halo for the volatility frame."""
+    halo = VOLATILITY_ROWS - 1
     cols = ohlcv.columns
     base = ohlcv.select(*cols, day_number(date).alias("_d")).withColumn("_db", floor_div("_d", block_days))
     c = F.col(close)

@@ -1,14 +1,22 @@
 """Tie-safe series features over (entity, category) histories (inventory E1-E6).
 
 A plain ``Window.partitionBy(entity, category).orderBy(date)`` sends a whole
-series to one task; a series holding a third of the table would then be sorted
-and scanned by one core. Here a series is cut into *blocks*: rows of one day
-whose tie-break ``seq`` falls in the same ``block_rows``-wide range. Since
-``seq`` is unique, a block holds at most ``block_rows`` rows whatever the skew.
+series to one task. That is the fastest plan while every series is of modest
+size, and a disaster for a series holding a third of the table. So series are
+split by size first (one partial aggregation of row counts per series):
+
+* series with at most ``hot_rows`` rows run through plain windows - each
+  window partition is then bounded by ``hot_rows``;
+* the hot ones (at most ``total / hot_rows`` of them; the key set brought to
+  the driver and broadcast to route rows is capped at ``MAX_HOT_KEYS``, past
+  which every series takes the blocked path) are cut into *blocks*: rows of one
+  day whose tie-break ``seq`` falls in the same ``block_rows``-wide range.
+  Since ``seq`` is unique, a block holds at most ``block_rows`` rows.
+
+The blocked path:
 
 1. One partial aggregation per block (count, flags, exact decimal sums, last
-   value) - map-side combined, so a hot series ships one small row per block
-   per map task.
+   value) - map-side combined.
 2. Windows over the block table give everything that crosses blocks: rows and
    flags before the block, the previous block's last value, the calendar-range
    mean (a RANGE frame over days includes all same-day blocks), and the
@@ -17,7 +25,8 @@ whose tie-break ``seq`` falls in the same ``block_rows``-wide range. Since
    then the block facts are joined on the block key. The rows are shuffled
    once, on the block key, and the join reuses that partitioning.
 
-Order within a series is (date, seq); ``seq`` must be a unique integer.
+Both paths produce identical rows (tests force each one). Order within a
+series is (date, seq); ``seq`` must be a unique integer.
 """
 
 from __future__ import annotations
@@ -31,6 +40,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import dec, mean_from, round3, sd_from
 
 DEFAULT_BLOCK_ROWS = 1 << 20
+DEFAULT_HOT_ROWS = 1 << 22
+MAX_HOT_KEYS = 100_000
 EPOCH = _dt.date(1970, 1, 1)
 
 
@@ -53,6 +64,7 @@ def series_features(
     flag: Column | None = None,
     days: int = 7,
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Add reading_no, prev_value, delta, rolling_avg_{days}d, bad_so_far, z_score.
 
@@ -63,13 +75,77 @@ def series_features(
     * bad_so_far: running count of flagged readings, current row included
     * z_score: (value - series mean) / series sample sd at 3 dp; NULL when the
       sd is NULL or 0
+
+    Series with more than ``hot_rows`` rows take the blocked path;
+    ``hot_rows=0`` sends every series there.
     """
     if days < 1:
         raise ValueError("days must be at least 1")
-    if block_rows < 1:
-        raise ValueError("block_rows must be positive")
+    if block_rows < 1 or hot_rows < 0:
+        raise ValueError("block_rows must be positive and hot_rows not negative")
     keys = list(keys)
     flag = (F.col("status") == "Bad") if flag is None else flag
+    args = (keys, date, tie, value, flag, days)
+    if hot_rows == 0:
+        return _blocked_features(df, *args, block_rows)
+    hot_rows_found = find_hot_keys(df, keys, hot_rows)
+    if hot_rows_found is None:  # more hot series than the routing table may hold: block them all
+        return _blocked_features(df, *args, block_rows)
+    if not hot_rows_found:
+        return _plain_features(df, *args)
+    hot = df.sparkSession.createDataFrame(hot_rows_found, df.select(*keys).schema)
+    cold = df.join(F.broadcast(hot), keys, "left_anti").select(*df.columns)
+    warm = df.join(F.broadcast(hot), keys, "left_semi").select(*df.columns)
+    return _plain_features(cold, *args).unionByName(_blocked_features(warm, *args, block_rows))
+
+
+def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int,
+                  max_keys: int = MAX_HOT_KEYS) -> list | None:
+    """The keys with more than ``hot_rows`` rows.
+
+    One partial aggregation of row counts per key (a job run now, when the plan
+    is built). There are at most ``rows / hot_rows`` such keys; at most
+    ``max_keys`` are brought to the driver, and None says there were more.
+    """
+    keys = list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = counts.where(F.col("_rows") > hot_rows).select(*keys).limit(max_keys + 1).collect()
+    return None if len(rows) > max_keys else rows
+
+
+def _plain_features(
+    df: DataFrame, keys: list[str], date: str, tie: str, value: str, flag: Column, days: int
+) -> DataFrame:
+    """Per-series windows; used only for series of at most ``hot_rows`` rows."""
+    x = dec(value)
+    series = Window.partitionBy(*keys)
+    history = series.orderBy(date, tie)
+    calendar = series.orderBy(day_number(date)).rangeBetween(-(days - 1), 0)
+    prev = F.lag(value).over(history)
+    n, s1, s2 = F.count(x).over(series), F.sum(x).over(series), F.sum(x * x).over(series)
+    return df.select(
+        *df.columns,
+        F.row_number().over(history).alias("reading_no"),
+        prev.alias("prev_value"),
+        (x - dec(prev)).cast("double").alias("delta"),
+        round3(mean_from(F.count(x).over(calendar), F.sum(x).over(calendar))).alias(f"rolling_avg_{days}d"),
+        F.sum(flag.cast("int")).over(history.rowsBetween(Window.unboundedPreceding, 0)).cast("int").alias("bad_so_far"),
+        round3((F.col(value) - mean_from(n, s1)) / F.nullif(sd_from(n, s1, s2), F.lit(0.0))).alias("z_score"),
+    )
+
+
+def _blocked_features(
+    df: DataFrame,
+    keys: list[str],
+    date: str,
+    tie: str,
+    value: str,
+    flag: Column,
+    days: int,
+    block_rows: int,
+) -> DataFrame:
+    """The blocked path: no task ever holds more than ``block_rows`` rows of a series."""
+    keys = list(keys)
     cols = df.columns
     x = dec(value)
     blk_key = keys + ["_day", "_blk"]
