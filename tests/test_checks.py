@@ -117,3 +117,12 @@ def test_side_by_side_counts(base):
     r, f, s = base
     row = checks.side_by_side_counts(readings=r, summaries=s).first()
     assert row.readings == 1000 and row.summaries == 25
+
+
+def test_approximate_sensor_count_is_within_its_band(spark):
+    r = fixtures.readings(spark, SF001)
+    exact = {(x.location, x.parameter): x.sensors for x in profile.group_profile(r).collect()}
+    approx = {(x.location, x.parameter): x.sensors for x in profile.group_profile(r, distinct="approx").collect()}
+    assert exact.keys() == approx.keys()
+    for k, v in exact.items():
+        assert abs(approx[k] - v) <= max(1, 0.06 * v)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar
 from tidemark.plans.sensor_chain import Step, run_outputs, sensor_chain
+from tidemark.plans.sensor_chain import main as sensor_chain_main
 from tidemark.sources import fixtures, io, synth
 
 from conftest import SF001
@@ -60,3 +61,17 @@ def test_failed_step_is_isolated_and_dependents_skipped(spark, tmp_out):
              Step("c", lambda d: d["source"], ("source",))]
     rep = run_outputs(steps, tmp_out, {"source": src})
     assert set(rep.failed) == {"a"} and rep.skipped == ["b"] and set(rep.outputs) == {"c"}
+
+
+def test_chain_job_writes_and_verifies(tmp_out):
+    assert sensor_chain_main([f"{tmp_out}/job", "--rows", "30000"]) == 0
+
+
+def test_conform_orders_casts_and_names_missing(spark):
+    from tidemark.operators.bars import conform
+    df = spark.createDataFrame([(1, "a", 2.5)], "volume int, ticker string, close double")
+    out = conform(df, ["ticker", "close", "volume"], {"volume": "long"})
+    assert out.columns == ["ticker", "close", "volume"] and dict(out.dtypes)["volume"] == "bigint"
+    import pytest
+    with pytest.raises(ValueError, match="open, high"):
+        conform(df, ["open", "high", "close"])

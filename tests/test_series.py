@@ -126,3 +126,16 @@ def test_previous_value_matches_lag(spark, block_rows):
     ours = previous_value(df, ["k"], "o", "v", block_rows=block_rows)
     ref = df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("o")))
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+
+
+def test_a_series_holding_a_third_of_the_rows(spark):
+    """One hot series (a third of all rows, many per day) routed to the blocked path."""
+    src = fixtures.readings(spark, SF01)
+    hot = src.select(F.lit("hotspot").alias("sensor_id"), "reading_date", "location", F.lit("click").alias("parameter"),
+                     "value", "status", (F.col("seq") + 1_000_000).alias("seq"))
+    hot = hot.unionByName(hot.withColumn("seq", F.col("seq") + 100_000)).limit(5_000)
+    skewed = src.unionByName(hot)
+    routed = series_features(skewed, block_rows=64, hot_rows=1_000)
+    plain = series_features(skewed)
+    assert routed.count() == 15_000
+    assert routed.exceptAll(plain).count() == 0 and plain.exceptAll(routed).count() == 0
