@@ -113,18 +113,20 @@ def drop_inconsistent(df: DataFrame) -> DataFrame:
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], seq: str, count_as: str | None = None) -> DataFrame:
-    """The row with the largest ``seq`` per key (F1).
+    """The row with the largest ``seq`` per key (F1); ``seq`` must be unique per key.
 
-    ``max_by`` over a struct is a partial aggregation, so a key repeated many
-    times is reduced in the map tasks before anything is shuffled.
+    ``max_by`` is a partial aggregation, so a key repeated many times is reduced
+    in the map tasks before anything is shuffled. One ``max_by`` per column
+    (all pick the same row, since ``seq`` is unique) keeps primitive buffers and
+    so the hash aggregate; a single struct-valued ``max_by`` would force a sort
+    aggregate.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    aggs = [F.max_by(F.struct(*rest), F.col(seq)).alias("_last")]
+    aggs = [F.max_by(F.col(c), F.col(seq)).alias(c) if c != seq else F.max(seq).alias(c) for c in rest]
     if count_as:
         aggs.append(F.count(F.lit(1)).alias(count_as))
-    out = df.groupBy(*keys).agg(*aggs)
-    return out.select(*keys, "_last.*", *([count_as] if count_as else []))
+    return df.groupBy(*keys).agg(*aggs)
 
 
 # --- one-pass repair (B6) ---------------------------------------------------------
