@@ -158,6 +158,8 @@ def stale_inputs(wanted: DataFrame, manifest: DataFrame, today, period: str, int
                  force: bool = False, name: str = "input") -> DataFrame:
     """Per wanted input: stale unless present, fetched today, same period and interval (A10).
 
+    ``today`` is a date or a Column (e.g. a scalar subquery), never read from a clock.
+
     ``manifest`` has one row per input (input, fetched_on, period, interval, ...);
     it is joined after a size check (C4).
     """
@@ -166,10 +168,11 @@ def stale_inputs(wanted: DataFrame, manifest: DataFrame, today, period: str, int
         F.col("period").alias("_period"), F.col("interval").alias("_interval"),
     )
     j = lookup_join(wanted.select(name).distinct(), m, name, "left")
+    today = today if isinstance(today, Column) else F.lit(today)
     reason = (
         F.when(F.lit(bool(force)), F.lit("forced"))
         .when(F.col("_present").isNull(), F.lit("missing"))
-        .when(~F.col("_fetched_on").eqNullSafe(F.lit(today)), F.lit("old"))
+        .when(~F.col("_fetched_on").eqNullSafe(today), F.lit("old"))
         .when(~F.col("_period").eqNullSafe(F.lit(period)) | ~F.col("_interval").eqNullSafe(F.lit(interval)),
               F.lit("different_request"))
     )

@@ -156,7 +156,7 @@ FROM wanted w LEFT JOIN manifest m USING (input)
 
 @register("stale_inputs", STALE_SQL)
 def stale_inputs(spark, sf_dir):
-    today = fixtures.base_bars(spark, sf_dir).agg(F.max("date")).first()[0]
+    today = fixtures.base_bars(spark, sf_dir).select(F.max("date")).scalar()
     return merge.stale_inputs(_wanted(spark, sf_dir), _manifest(spark, sf_dir), today, PERIOD, INTERVAL)
 
 
