@@ -126,3 +126,23 @@ def test_approximate_sensor_count_is_within_its_band(spark):
     assert exact.keys() == approx.keys()
     for k, v in exact.items():
         assert abs(approx[k] - v) <= max(1, 0.06 * v)
+
+
+def test_a_median_off_by_many_ranks_fails_summary(base):
+    r, f, s = base
+    first = s.agg(F.min("parameter")).first()[0]
+    broken = s.withColumn("median_value", F.when(F.col("parameter") == first, F.col("p95_value"))
+                          .otherwise(F.col("median_value")))
+    assert failing(r, f, broken) == {"summary_agrees"}
+
+
+def test_a_wrong_sensor_count_fails_summary(base):
+    r, f, s = base
+    broken = s.withColumn("sensors", F.col("sensors") + 5)
+    assert failing(r, f, broken) == {"summary_agrees"}
+
+
+def test_the_approximate_summary_passes(spark, base):
+    r, f, s = base
+    approx = profile.group_profile(r, distinct="approx")
+    assert checks.check_summary(approx, r).first().verdict == "PASS"

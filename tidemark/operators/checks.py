@@ -105,20 +105,74 @@ def recompute_profile(df: DataFrame, keys: Sequence[str] = ("location", "paramet
     )
 
 
-def check_summary(summary: DataFrame, readings: DataFrame, keys: Sequence[str] = ("location", "parameter")) -> DataFrame:
-    """The location summary agrees with the readings it summarises (K2)."""
+# The quantiles the summary reports, the sketch accuracy behind
+# them, and the band an HLL count must fall in (3 x its 2% relative error).
+SUMMARY_QUANTILES = (("median_value", 0.5), ("p95_value", 0.95))
+QUANTILE_ACCURACY = 10_000
+DISTINCT_BAND = 0.06
+
+
+def quantile_rank_errors(
+    summary: DataFrame,
+    readings: DataFrame,
+    keys: Sequence[str],
+    quantiles: Sequence[tuple[str, float]] = SUMMARY_QUANTILES,
+    value: str = "value",
+    accuracy: int = QUANTILE_ACCURACY,
+) -> DataFrame:
+    """Per group, whether each reported quantile has a rank within the sketch's bound.
+
+    A value q reported for probability p over n values is right when fewer than
+    p*n + n/accuracy + 1 values are below q and at least p*n - n/accuracy - 1
+    are at or below it (ties at q count on either side). The summary (one row
+    per group) is joined back to the readings, and the counts are one
+    aggregation.
+    """
+    keys = list(keys)
+    qs = summary.select(*keys, *[F.col(c).alias(f"_q_{c}") for c, _ in quantiles])
+    j = readings.select(*keys, value).join(qs, keys)
+    counts = j.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(value) < F.col(f"_q_{c}")).alias(f"_lt_{c}") for c, _ in quantiles],
+        *[F.count_if(F.col(value) <= F.col(f"_q_{c}")).alias(f"_le_{c}") for c, _ in quantiles],
+    )
+    bad = F.lit(False)
+    for c, p in quantiles:
+        slack = F.col("_n") / F.lit(float(accuracy)) + F.lit(1.0)
+        target = F.col("_n") * F.lit(p)
+        bad = bad | (F.col(f"_lt_{c}") > target + slack) | (F.col(f"_le_{c}") < target - slack)
+    return counts.select(*keys, bad.alias("quantile_off"))
+
+
+def check_summary(summary: DataFrame, readings: DataFrame, keys: Sequence[str] = ("location", "parameter"),
+                  entity: str = "sensor_id") -> DataFrame:
+    """The location summary agrees with the readings it summarises (K2).
+
+    Count, mean, sd, min, max and bad % within the tolerance (FULL OUTER on the
+    keys), first/last dates equal, median and p95 within the sketch's rank
+    bound, and the sensor count within the band of the exact distinct count.
+    """
+    from tidemark.operators.profile import count_distinct_by
+
+    keys = list(keys)
     measures = ["avg_value", "stddev_value", "min_value", "max_value", "bad_pct"]
-    rec = recompute_profile(readings, keys)
+    rec = recompute_profile(readings, keys).join(count_distinct_by(readings, keys, entity, "_exact_sensors"), keys, "left")
     dis = reconcile(summary, rec, keys, "readings", measures)
-    # first/last dates must be equal exactly
-    dates = summary.select(*keys, "first_reading", "last_reading").join(
-        rec.select(*keys, F.col("first_reading").alias("_f"), F.col("last_reading").alias("_l")), list(keys), "full"
-    ).select(*keys, (~F.col("first_reading").eqNullSafe(F.col("_f")) | ~F.col("last_reading").eqNullSafe(F.col("_l"))).alias("_dd"))
-    both = dis.join(dates, list(keys), "full")
+    extra = summary.select(*keys, "first_reading", "last_reading", "sensors").join(
+        rec.select(*keys, F.col("first_reading").alias("_f"), F.col("last_reading").alias("_l"), "_exact_sensors"),
+        keys, "full",
+    ).select(*keys, (
+        ~F.col("first_reading").eqNullSafe(F.col("_f")) | ~F.col("last_reading").eqNullSafe(F.col("_l"))
+        | F.coalesce(F.abs(F.col("sensors") - F.col("_exact_sensors"))
+                     > F.greatest(F.lit(1.0), F.col("_exact_sensors") * F.lit(DISTINCT_BAND)), F.lit(True))
+    ).alias("_dd"))
+    ranks = quantile_rank_errors(summary, readings, keys)
+    both = dis.join(extra, keys, "full").join(ranks, keys, "left")
     return both.agg(*verdict_row(
         "summary_agrees",
         F.count_if(F.col("in_summary")),
-        F.count_if(F.coalesce(F.col("disagrees"), F.lit(True)) | F.coalesce(F.col("_dd"), F.lit(True))),
+        F.count_if(F.coalesce(F.col("disagrees"), F.lit(True)) | F.coalesce(F.col("_dd"), F.lit(True))
+                   | F.coalesce(F.col("quantile_off"), F.lit(False))),
     ))
 
 
