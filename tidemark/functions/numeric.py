@@ -10,10 +10,11 @@ the end, so the result is a pure function of the multiset of inputs:
 * percent   = double(100 * k) / n
 
 Inputs are measures with at most three decimals (the sensor values and bar
-prices are rounded to that at the source), so ``decimal(9,3)`` holds them
-exactly for |x| < 1e6. The moment numerator grows like n^2 * x^2; decimal(38,6)
-holds it up to n ~ 1e11 rows per group for values near 1e3. ANSI mode turns an
-overflow into an error, never into a wrong answer.
+prices are rounded to that at the source), so ``decimal(18,3)`` holds them
+exactly for |x| < 1e15; squares and products keep scale 6, so nothing is
+rounded. The moment numerator grows like n^2 * x^2; decimal(38,6) holds it up
+to n ~ 1e11 rows per group for values near 1e3. ANSI mode turns an overflow
+into an error, never into a wrong answer.
 
 Each Spark helper has a SQL twin (``sql_*``) producing the same bits in DuckDB,
 used by the oracle queries.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 # Decimal types that hold a 3-decimal measure exactly.
 MEAN_DECIMAL = "decimal(18,3)"
-MOMENT_DECIMAL = "decimal(9,3)"
+MOMENT_DECIMAL = "decimal(18,3)"
 
 
 def _c(col: Column | str) -> Column:
@@ -98,7 +99,7 @@ def sql_mean(col: str) -> str:
 
 def sql_sd(col: str, window: str = "") -> str:
     """Sample sd from decimal moments; pass ``window`` as ' OVER (...)' for a window."""
-    x = f"CAST({col} AS DECIMAL(9,3))"
+    x = f"CAST({col} AS DECIMAL(18,3))"
     n = f"count({x}){window}"
     s1 = f"sum({x}){window}"
     s2 = f"sum({x} * {x}){window}"

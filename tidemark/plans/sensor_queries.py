@@ -58,10 +58,10 @@ WINDOW w  AS (PARTITION BY sensor_id, parameter ORDER BY reading_date, seq),
 SERIES_COLUMNS = f"""sensor_id, reading_date, location, parameter, value, status, seq,
        CAST(row_number() OVER w AS INTEGER)                               AS reading_no,
        lag(value) OVER w                                                  AS prev_value,
-       CAST(CAST(value AS DECIMAL(9,3)) - CAST(lag(value) OVER w AS DECIMAL(9,3)) AS DOUBLE) AS delta,
-       {sql_round("CAST(sum(CAST(value AS DECIMAL(9,3))) OVER wr AS DOUBLE) / count(value) OVER wr")} AS rolling_avg_7d,
+       CAST(CAST(value AS DECIMAL(18,3)) - CAST(lag(value) OVER w AS DECIMAL(18,3)) AS DOUBLE) AS delta,
+       {sql_round("CAST(sum(CAST(value AS DECIMAL(18,3))) OVER wr AS DOUBLE) / count(value) OVER wr")} AS rolling_avg_7d,
        CAST(sum(CASE WHEN status = 'Bad' THEN 1 ELSE 0 END) OVER wc AS INTEGER) AS bad_so_far,
-       {sql_round("(value - CAST(sum(CAST(value AS DECIMAL(9,3))) OVER wa AS DOUBLE) / count(value) OVER wa) / nullif(" + sql_sd('value', ' OVER wa') + ", 0)")} AS z_score"""
+       {sql_round("(value - CAST(sum(CAST(value AS DECIMAL(18,3))) OVER wa AS DOUBLE) / count(value) OVER wa) / nullif(" + sql_sd('value', ' OVER wa') + ", 0)")} AS z_score"""
 
 SERIES_FEATURES = f"""features AS (
     SELECT {SERIES_COLUMNS}
@@ -88,7 +88,7 @@ PARAMETERS = ("click", "error", "purchase", "signup", "view")
 
 
 def _cell_mean_sql(p: str) -> str:
-    x = "CAST(value AS DECIMAL(9,3))"
+    x = "CAST(value AS DECIMAL(18,3))"
     return sql_round(
         f"CAST(sum({x}) FILTER (WHERE parameter = '{p}') AS DOUBLE)"
         f" / nullif(count({x}) FILTER (WHERE parameter = '{p}'), 0)"

@@ -1,0 +1,8 @@
+"""Structured Streaming operators: none.
+
+The surveyed application reads and writes only in batch (no readStream,
+watermark or state anywhere), so there is nothing to rebuild here. The
+operators are plain DataFrame transformations; the stateless ones
+(normalise, fill, filters, date parts, flags) apply unchanged to a streaming
+DataFrame, while the windowed and keyed ones need whole histories.
+"""
