@@ -72,3 +72,21 @@ def test_missing_inputs_raise_with_names(spark):
     have = spark.createDataFrame([("A",)], "input string")
     with pytest.raises(FileNotFoundError, match="B"):
         merge.require_inputs(wanted, have)
+
+
+def test_both_strategies_classify_alike(spark):
+    t, i = fixtures.upsert_target(spark, SF01), fixtures.upsert_incoming(spark, SF01)
+    shuffled = merge.classify_upsert(t, i, KEY, VALUES).select(*KEY, "action", *[f"_i_{v}" for v in VALUES])
+    broadcast = merge.classify_upsert(t, i, KEY, VALUES, broadcast_rows=100_000)
+    broadcast = broadcast.select(*KEY, "action", *[f"_i_{v}" for v in VALUES])
+    assert shuffled.count() == broadcast.count()
+    assert shuffled.exceptAll(broadcast).count() == 0 and broadcast.exceptAll(shuffled).count() == 0
+    plan = merge.classify_upsert(t, i, KEY, VALUES, broadcast_rows=100_000)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_a_large_batch_falls_back_to_the_shuffle(spark):
+    t = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
+    i = spark.createDataFrame([(2, 3.0), (3, 4.0)], "k int, v double")
+    acts = {r.k: r.action for r in merge.classify_upsert(t, i, ["k"], ["v"], broadcast_rows=1).collect()}
+    assert acts == {1: "retained", 2: "updated", 3: "inserted"}

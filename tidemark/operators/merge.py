@@ -13,10 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import lookup_join, row_count_at_most
 
 # The four outcomes of a keyed load.
 INSERTED, UPDATED, UNCHANGED, RETAINED = "inserted", "updated", "unchanged", "retained"
+# A batch of at most this many rows is broadcast instead of shuffling the target.
+DEFAULT_BATCH_ROWS = 1_000_000
 
 
 class DuplicateKeyError(ValueError):
@@ -43,24 +45,55 @@ def _changed(values: Sequence[str]) -> Column:
     return cond
 
 
-def classify_upsert(target: DataFrame, incoming: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
+def classify_upsert(target: DataFrame, incoming: DataFrame, key: Sequence[str], values: Sequence[str],
+                    broadcast_rows: int | None = None) -> DataFrame:
     """One row per key of either side: key columns, ``action``, and both versions.
 
     inserted: only incoming has the key; updated: both, some value IS DISTINCT
     FROM; unchanged: both, all values equal (NULL equals NULL); retained: only
-    the target has it. One shuffle of each side on the key.
+    the target has it.
+
+    With ``broadcast_rows`` set and ``incoming`` provably at most that many
+    rows (a bounded count), the target is never shuffled: matches come from a
+    broadcast hash join against the batch, retained rows from a broadcast anti
+    join, inserts from the batch minus the matched keys. Otherwise (the default,
+    right for inputs that are themselves derived plans) both sides are shuffled
+    on the key for one FULL OUTER join.
     """
     key, values = list(key), list(values)
     t = target.select(*key, F.lit(True).alias("_in_t"), *[F.col(v).alias(f"_t_{v}") for v in values])
     i = incoming.select(*key, F.lit(True).alias("_in_i"), *[F.col(v).alias(f"_i_{v}") for v in values])
+    if broadcast_rows is not None and row_count_at_most(incoming, broadcast_rows):
+        return _classify_small_batch(t, i, key, values)
     j = t.join(i, on=key, how="full")
-    action = (
+    return j.withColumn("action", _action(values))
+
+
+def _action(values: Sequence[str]) -> Column:
+    return (
         F.when(F.col("_in_t").isNull(), F.lit(INSERTED))
         .when(F.col("_in_i").isNull(), F.lit(RETAINED))
         .when(_changed(values), F.lit(UPDATED))
         .otherwise(F.lit(UNCHANGED))
     )
-    return j.withColumn("action", action)
+
+
+def _classify_small_batch(t: DataFrame, i: DataFrame, key: list[str], values: list[str]) -> DataFrame:
+    """The classification for a batch small enough to broadcast (checked by the caller)."""
+    batch = F.broadcast(i)
+    matched = t.join(batch, key, "inner")
+    retained = t.join(F.broadcast(i.select(*key)), key, "left_anti")
+    inserted = i.join(matched.select(*key), key, "left_anti")
+    cols = [*key, "_in_t", *[f"_t_{v}" for v in values], "_in_i", *[f"_i_{v}" for v in values]]
+    none_t = [F.lit(None).cast("boolean").alias("_in_t"), *[F.lit(None).alias(f"_t_{v}") for v in values]]
+    none_i = [F.lit(None).cast("boolean").alias("_in_i"), *[F.lit(None).alias(f"_i_{v}") for v in values]]
+    parts = [
+        matched.select(*cols),
+        retained.select(*key, "_in_t", *[f"_t_{v}" for v in values], *none_i),
+        inserted.select(*key, *none_t, "_in_i", *[f"_i_{v}" for v in values]),
+    ]
+    out = parts[0].unionByName(parts[1], allowMissingColumns=False).unionByName(parts[2])
+    return out.withColumn("action", _action(values))
 
 
 def snapshot_from(classified: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -90,11 +123,17 @@ def load_report(classified: DataFrame, date: str = "date") -> DataFrame:
 
 
 def upsert(target: DataFrame, incoming: DataFrame, key: Sequence[str], values: Sequence[str],
-           check_keys: bool = True, date: str = "date") -> tuple[DataFrame, DataFrame]:
-    """(next snapshot, load report). Raises on a repeated key in ``incoming``."""
+           check_keys: bool = True, date: str = "date",
+           broadcast_rows: int | None = DEFAULT_BATCH_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(next snapshot, load report) for a stored snapshot and a batch.
+
+    Raises on a repeated key in ``incoming``. A batch of at most
+    ``broadcast_rows`` rows is broadcast, so the (large) target is scanned but
+    never shuffled.
+    """
     if check_keys:
         require_unique(incoming, key)
-    classified = classify_upsert(target, incoming, key, values)
+    classified = classify_upsert(target, incoming, key, values, broadcast_rows)
     return snapshot_from(classified, key, values), load_report(classified, date)
 
 

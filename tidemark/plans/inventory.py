@@ -14,7 +14,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "A1a": ("synthetic_readings",), "A1b": ("synthetic_readings",), "A1c": ("synthetic_readings",),
     "A1d": ("synthetic_readings",), "A1e": ("synthetic_readings",), "A1f": ("synthetic_readings",),
     "A2": ("events_scan",),
-    "A7": ("upsert_actions", "upsert_snapshot", "upsert_report", "upsert_rerun_report"),
+    "A7": ("upsert_actions", "upsert_snapshot", "upsert_report", "upsert_rerun_report", "upsert_report_small_batch"),
     "A8": ("renamed_for_table",),
     "A10": ("stale_inputs",),
     "A11": ("fingerprint", "changed_inputs"),

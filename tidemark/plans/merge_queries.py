@@ -58,6 +58,14 @@ def upsert_report(spark, sf_dir):
     return merge.load_report(_classified(spark, sf_dir))
 
 
+@register("upsert_report_small_batch", with_(UPSERT, CLASSIFIED) + REPORT_BODY)
+def upsert_report_small_batch(spark, sf_dir):
+    """The same load through the broadcast path: the target is never shuffled."""
+    c = merge.classify_upsert(fixtures.upsert_target(spark, sf_dir), fixtures.upsert_incoming(spark, sf_dir),
+                              KEY, VALUES, broadcast_rows=merge.DEFAULT_BATCH_ROWS)
+    return merge.load_report(c)
+
+
 RERUN_SQL = with_(UPSERT, CLASSIFIED) + """,
 snap AS (SELECT date, ticker, open, high, low, close, volume, dividends, stock_splits FROM classified),
 classified2 AS (
