@@ -37,7 +37,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import dec, mean_from, round3, sd_from
+from tidemark.functions.numeric import MOMENT_DECIMAL, dec, mean_from, round3, sd_from
 
 DEFAULT_BLOCK_ROWS = 1 << 20
 DEFAULT_HOT_ROWS = 1 << 22
@@ -120,15 +120,22 @@ def _plain_features(
     x = dec(value)
     series = Window.partitionBy(*keys)
     history = series.orderBy(date, tie)
-    calendar = series.orderBy(day_number(date)).rangeBetween(-(days - 1), 0)
     prev = F.lag(value).over(history)
     n, s1, s2 = F.count(x).over(series), F.sum(x).over(series), F.sum(x * x).over(series)
+    # A RANGE frame ordered by the date itself (an interval offset), so the sort
+    # on (keys, date, seq) that the row frames need also serves this frame.
+    calendar = (
+        f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY `{date}` "
+        f"RANGE BETWEEN INTERVAL {days - 1} DAYS PRECEDING AND CURRENT ROW)"
+    )
+    xs = f"CAST(`{value}` AS {MOMENT_DECIMAL})"
+    rolling = mean_from(F.expr(f"count({xs}) {calendar}"), F.expr(f"sum({xs}) {calendar}"))
     return df.select(
         *df.columns,
         F.row_number().over(history).alias("reading_no"),
         prev.alias("prev_value"),
         (x - dec(prev)).cast("double").alias("delta"),
-        round3(mean_from(F.count(x).over(calendar), F.sum(x).over(calendar))).alias(f"rolling_avg_{days}d"),
+        round3(rolling).alias(f"rolling_avg_{days}d"),
         F.sum(flag.cast("int")).over(history.rowsBetween(Window.unboundedPreceding, 0)).cast("int").alias("bad_so_far"),
         round3((F.col(value) - mean_from(n, s1)) / F.nullif(sd_from(n, s1, s2), F.lit(0.0))).alias("z_score"),
     )
