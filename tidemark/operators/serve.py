@@ -111,10 +111,10 @@ def choices(df: DataFrame, column: str) -> DataFrame:
 def with_total(df: DataFrame, name: str = "total") -> DataFrame:
     """Attach the row count before any limit.
 
-    A one-row aggregate cross joined back: an unpartitioned ``count() over ()``
-    would pull every row into a single task.
+    The count is a scalar subquery (one partial aggregation, evaluated once): an
+    unpartitioned ``count() over ()`` would pull every row into a single task.
     """
-    return df.crossJoin(df.agg(F.count(F.lit(1)).alias(name)))
+    return df.withColumn(name, df.select(F.count(F.lit(1))).scalar())
 
 
 def search_ids(df: DataFrame, fragment: str | None, limit: int = 1000, column: str = "sensor_id") -> DataFrame:
@@ -129,9 +129,9 @@ def search_envelope(df: DataFrame, fragment: str | None, limit: int = 1000, colu
     _check_range("limit", limit, SEARCH_LIMIT)
     ids = id_contains(df.select(column), fragment, column).distinct()
     page = ids.orderBy(column).limit(limit).agg(F.sort_array(F.collect_list(column)).alias("items"))
-    total = ids.agg(F.count(F.lit(1)).alias("total"))
-    return page.crossJoin(total).select(
-        "items", "total", F.lit(limit).alias("limit"), (F.col("total") > F.size("items")).alias("truncated")
+    total = ids.select(F.count(F.lit(1))).scalar()
+    return page.select(
+        "items", total.alias("total"), F.lit(limit).alias("limit"), (total > F.size("items")).alias("truncated")
     )
 
 
@@ -209,10 +209,10 @@ def existence_probe(df: DataFrame, entity: Column | str, condition: Column, colu
 def table_health(readings: DataFrame, summaries: DataFrame) -> DataFrame:
     """Row counts of both tables and ``ok``/``empty`` (D10, via C2)."""
     r = readings.agg(F.count(F.lit(1)).alias("readings"))
-    s = summaries.agg(F.count(F.lit(1)).alias("summaries"))
-    return r.crossJoin(s).select(
+    summaries_count = summaries.select(F.count(F.lit(1))).scalar()
+    return r.select(
         F.when(F.col("readings") > 0, F.lit("ok")).otherwise(F.lit("empty")).alias("status"),
-        "readings", "summaries",
+        "readings", summaries_count.alias("summaries"),
     )
 
 
