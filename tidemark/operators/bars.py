@@ -367,9 +367,12 @@ def return_distribution(metrics: DataFrame, ticker: str = "ticker", value: str =
 def scoreboard(metrics: DataFrame, ticker: str = "ticker", date: str = "date",
                measures: Sequence[str] = ("close", "indexed_close", "daily_return_pct",
                                           "drawdown_pct", "volatility_30d_pct")) -> DataFrame:
-    """Latest value of each metric per ticker (D12), via a partial ``max_by``."""
+    """Latest value of each metric per ticker (D12), via partial ``max_by`` aggregates.
+
+    Dates are unique per ticker, so every ``max_by`` picks the same (latest) bar.
+    """
     return metrics.groupBy(ticker).agg(
         F.max(date).alias("last_date"),
-        F.max_by(F.struct(*measures), F.col(date)).alias("_l"),
-    ).select(ticker, "last_date", *[F.col(f"_l.{m}").alias(m) for m in measures])
+        *[F.max_by(F.col(m), F.col(date)).alias(m) for m in measures],
+    )
 

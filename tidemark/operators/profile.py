@@ -110,7 +110,7 @@ def arrival_summary(
 def display_profile(
     df: DataFrame, key: str = "parameter", value: str = "value", flag: Column | None = None
 ) -> DataFrame:
-    """Shape of the data per category: mean and sd at 3 dp, min/max at 2 dp."""
+    """Shape of the data per category, in category order: mean and sd at 3 dp, min/max at 2 dp."""
     flag = F.col("status") == "Bad" if flag is None else flag
     return df.groupBy(key).agg(
         F.count(F.lit(1)).alias("readings"),
@@ -119,7 +119,7 @@ def display_profile(
         round_to(F.min(value), 2).alias("lowest"),
         round_to(F.max(value), 2).alias("highest"),
         round3(percent(F.count_if(flag), F.count(F.lit(1)))).alias("bad_pct"),
-    )
+    ).orderBy(key)
 
 
 def sequence_completeness(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:

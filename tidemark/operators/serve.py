@@ -163,12 +163,12 @@ def entity_summary(df: DataFrame, entity: Column | str | None = None, by: Sequen
 
 
 def parameter_summary(df: DataFrame, entity: Column | str | None = None, by: Sequence[str] = ("sensor_id",)) -> DataFrame:
-    """Per-parameter summary of one entity, or of every entity."""
+    """Per-parameter summary of one entity ordered by parameter, or of every entity."""
     keys = ["parameter"] if entity is not None else [*by, "parameter"]
     src = for_entity(df, entity) if entity is not None else df
     n = F.count(F.lit(1))
     x = F.col("value").cast("decimal(18,3)")
-    return src.groupBy(*keys).agg(
+    out = src.groupBy(*keys).agg(
         n.alias("readings"),
         round3(F.sum(x).cast("double") / n).alias("avg_value"),
         round3(F.min("value")).alias("min_value"),
@@ -179,6 +179,7 @@ def parameter_summary(df: DataFrame, entity: Column | str | None = None, by: Seq
         F.min("reading_date").alias("first_reading"),
         F.max("reading_date").alias("last_reading"),
     )
+    return out.orderBy("parameter") if entity is not None else out
 
 
 def entity_documents(df: DataFrame, by: str = "sensor_id") -> DataFrame:
