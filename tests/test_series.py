@@ -139,3 +139,13 @@ def test_a_series_holding_a_third_of_the_rows(spark):
     plain = series_features(skewed)
     assert routed.count() == 15_000
     assert routed.exceptAll(plain).count() == 0 and plain.exceptAll(routed).count() == 0
+
+
+def test_null_values_are_skipped_by_the_statistics(spark, hot):
+    rows = [("0000001", d(0), "X", "p", 1.0, "Good", 1), ("0000001", d(1), "X", "p", None, "Good", 2),
+            ("0000001", d(2), "X", "p", 3.0, "Good", 3)]
+    out = by_seq(series_features(readings(spark, rows), hot_rows=hot))
+    assert [out[i].reading_no for i in (1, 2, 3)] == [1, 2, 3]
+    assert out[3].prev_value is None and out[3].delta is None
+    assert out[3].rolling_avg_7d == 2.0 and out[2].rolling_avg_7d == 1.0
+    assert out[1].z_score == -0.707 and out[2].z_score is None

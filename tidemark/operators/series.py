@@ -166,6 +166,7 @@ def _blocked_features(
 
     blocks = base.groupBy(*blk_key).agg(
         F.count(F.lit(1)).alias("_n"),
+        F.count(x).alias("_nx"),
         F.sum("_flag").alias("_bad"),
         F.sum(x).alias("_s1"),
         F.sum(x * x).alias("_s2"),
@@ -180,9 +181,9 @@ def _blocked_features(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
         F.coalesce(F.sum("_bad").over(before), F.lit(0)).alias("_bad_before"),
         F.lag("_last").over(ordered).alias("_prev_last"),
-        mean_from(F.sum("_n").over(calendar), F.sum("_s1").over(calendar)).alias("_roll"),
-        mean_from(F.sum("_n").over(series), F.sum("_s1").over(series)).alias("_mean"),
-        sd_from(F.sum("_n").over(series), F.sum("_s1").over(series), F.sum("_s2").over(series)).alias("_sd"),
+        mean_from(F.sum("_nx").over(calendar), F.sum("_s1").over(calendar)).alias("_roll"),
+        mean_from(F.sum("_nx").over(series), F.sum("_s1").over(series)).alias("_mean"),
+        sd_from(F.sum("_nx").over(series), F.sum("_s1").over(series), F.sum("_s2").over(series)).alias("_sd"),
     )
 
     local = Window.partitionBy(*blk_key).orderBy(tie)
