@@ -1,7 +1,6 @@
 """Bars: the reference's cleaning cases, our edge rows, fixture counts, metrics."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import Window

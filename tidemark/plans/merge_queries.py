@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import merge
 from tidemark.plans.catalog import register
-from tidemark.plans.sql_fixtures import BASE_BARS, UPSERT, with_
+from tidemark.plans.sql_fixtures import UPSERT, with_
 from tidemark.sources import fixtures
 
 KEY = ["date", "ticker"]
