@@ -75,3 +75,27 @@ def test_conform_orders_casts_and_names_missing(spark):
     import pytest
     with pytest.raises(ValueError, match="open, high"):
         conform(df, ["open", "high", "close"])
+
+
+def test_bars_chain_twice_changes_nothing(spark, tmp_out):
+    from tidemark.plans.bars_chain import bars_chain, latest_version, metrics_view
+    raw_path = f"{tmp_out}/raw"
+    fixtures.raw_bars(spark, SF001).write.parquet(raw_path)
+    raw = spark.read.parquet(raw_path)
+    first = bars_chain(spark, raw, f"{tmp_out}/snap")
+    assert first.version == 0 and first.load["inserted"] == first.load["total"] > 0
+    assert {d["rule"] for d in first.dropped} == {"duplicate_date", "incomplete", "nonpositive", "inconsistent"}
+    second = bars_chain(spark, raw, f"{tmp_out}/snap")
+    assert second.version == 1 and latest_version(spark, f"{tmp_out}/snap") == 1
+    assert (second.load["inserted"], second.load["updated"]) == (0, 0)
+    assert second.load["unchanged"] == first.load["inserted"]
+    m = metrics_view(spark, second.snapshot)
+    assert m.count() == first.load["total"] and m.where("drawdown_pct > 0").count() == 0
+
+
+def test_bars_chain_refuses_a_missing_ticker(spark, tmp_out):
+    import pytest
+    from tidemark.plans.bars_chain import ValidationFailed, bars_chain
+    raw = fixtures.raw_bars(spark, SF001)
+    with pytest.raises(ValidationFailed, match="NOPE"):
+        bars_chain(spark, raw, f"{tmp_out}/snap", wanted=["1-URGENT", "NOPE"])

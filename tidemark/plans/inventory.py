@@ -95,13 +95,15 @@ TESTED: dict[str, str] = {
     "A1": "tests/test_synth.py (balls-in-bins counts, bad rate, moments, ids, partitioning)",
     "A3": "tests/test_io.py::test_scan_bars_takes_ticker_from_partition",
     "A5": "tests/test_io.py::test_write_dataset_reports_rows",
-    "A7": "tests/test_merge.py (fixture counts, idempotence, NULL equality, duplicate key error)",
+    "A7": "tests/test_merge.py (fixture counts, idempotence, NULL equality, duplicate key error); "
+          "tests/test_io.py::test_bars_chain_twice_changes_nothing (versioned snapshots)",
     "A9": "tests/test_io.py (five outputs, isolation, the verifying job)",
     "A13": "tests/test_io.py::test_conform_orders_casts_and_names_missing",
     "B6": "tests/test_bars.py (reference cases, fixture rule counts)",
     "F2": "tests/test_serve.py (pages disjoint and complete, null placement)",
     "K8": "tests/test_bars.py (emptied ticker, dates out of order)",
-    "K10": "tests/test_checks.py (assert_checks raises on a broken window)",
+    "K10": "tests/test_checks.py (assert_checks raises on a broken window); "
+           "tests/test_io.py (both chains stop on failed checks or validation)",
 }
 
 NOT_RUN: dict[str, str] = {
