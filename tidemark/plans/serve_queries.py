@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import profile, serve
+from tidemark.operators import profile, serve, series
 from tidemark.plans.catalog import register
 from tidemark.plans.sensor_queries import LOCATION_PROFILE_SQL, PARAMETERS, SERIES_FEATURES, features
 from tidemark.plans.sql_fixtures import READINGS, with_
@@ -148,10 +148,18 @@ LIMIT {PAGE_LIMIT} OFFSET {PAGE_OFFSET}
 """
 
 
+def _entity_features(spark, sf_dir):
+    """Features of the chosen sensor only: a series depends on its own rows alone,
+    so the filter goes first and even the hot-series count reads one sensor."""
+    r = _readings(spark, sf_dir)
+    sensor = _first_sensor(r)
+    return series.series_features(serve.for_entity(r, sensor)), sensor
+
+
 @register("readings_page", PAGE_SQL)
 def readings_page(spark, sf_dir):
-    f = features(spark, sf_dir)
-    return serve.page(f, _first_sensor(f), sort=PAGE_SORT, order=PAGE_ORDER, limit=PAGE_LIMIT, offset=PAGE_OFFSET)
+    f, sensor = _entity_features(spark, sf_dir)
+    return serve.page(f, sensor, sort=PAGE_SORT, order=PAGE_ORDER, limit=PAGE_LIMIT, offset=PAGE_OFFSET)
 
 
 PAGE_FILTERED_SQL = with_(READINGS, SERIES_FEATURES) + f"""
@@ -164,8 +172,8 @@ LIMIT 20
 
 @register("readings_page_filtered", PAGE_FILTERED_SQL)
 def readings_page_filtered(spark, sf_dir):
-    f = features(spark, sf_dir)
-    return serve.page(f, _first_sensor(f), parameter=FILTER_PARAMETER, sort="value", order="asc", limit=20)
+    f, sensor = _entity_features(spark, sf_dir)
+    return serve.page(f, sensor, parameter=FILTER_PARAMETER, sort="value", order="asc", limit=20)
 
 
 PAGE_GLOBAL_SQL = with_(READINGS, SERIES_FEATURES) + f"""
@@ -190,9 +198,8 @@ FROM features WHERE sensor_id = {FIRST_SENSOR_SQL}
 
 @register("page_envelope", ENVELOPE_SQL)
 def page_envelope(spark, sf_dir):
-    f = features(spark, sf_dir)
-    return serve.page_envelope(f, _first_sensor(f), sort=PAGE_SORT, order=PAGE_ORDER,
-                               limit=PAGE_LIMIT, offset=PAGE_OFFSET)
+    f, sensor = _entity_features(spark, sf_dir)
+    return serve.page_envelope(f, sensor, sort=PAGE_SORT, order=PAGE_ORDER, limit=PAGE_LIMIT, offset=PAGE_OFFSET)
 
 
 # --- B7 / B12 / B13 / B14 / B15 / F6 -----------------------------------------------------------
