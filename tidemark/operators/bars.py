@@ -312,9 +312,8 @@ def _blocked_metrics(
     frame = Window.partitionBy(ticker, "_pb").orderBy("_pos").rowsBetween(-halo, 0)
     vol = F.lit(100.0) * F.sqrt(F.lit(float(TRADING_DAYS))) * F.stddev_samp("_ret").over(frame)
     out = tagged.select(*cols, "indexed_close", "_ret", "drawdown_pct", "_home", vol.alias("volatility_30d_pct"))
-    keep = [c for c in cols if c not in FILLABLE_COLUMNS[1:]]
     return out.where("_home").select(
-        *keep, "indexed_close", (F.lit(100.0) * F.col("_ret")).alias("daily_return_pct"),
+        *_metric_columns(cols), "indexed_close", (F.lit(100.0) * F.col("_ret")).alias("daily_return_pct"),
         "drawdown_pct", "volatility_30d_pct",
     )
 
