@@ -19,19 +19,21 @@ def pivot_mean(
 ) -> DataFrame:
     """One row per ``rows`` key, one column per listed value holding the mean at 3 dp.
 
-    The values must be listed: Spark would otherwise run a distinct job over the
-    whole input to discover them. Unlisted values vanish; an absent cell is NULL.
-    The mean is an exact decimal mean. Spark plans this as a partial aggregation
-    on (rows, column) followed by a pivot of the small per-cell results.
+    The values must be listed (discovering them would be a distinct job over
+    the whole input). Unlisted values vanish; an absent cell is NULL. The mean
+    is an exact decimal mean. Written as one conditional sum and count per
+    value in a single aggregation: one shuffle of partial aggregates on the row
+    key, where ``groupBy().pivot()`` would aggregate per (row key, value) and
+    shuffle a second time to pivot.
     """
     if not values:
         raise ValueError("pivot_mean needs the list of pivot values")
     x = dec(value)
-    return (
-        df.groupBy(*rows)
-        .pivot(column, list(values))
-        .agg(round3(mean_from(F.count(x), F.sum(x))))
-    )
+    cells = []
+    for v in values:
+        hit = F.col(column) == F.lit(v)
+        cells.append(round3(mean_from(F.count(F.when(hit, x)), F.sum(F.when(hit, x)))).alias(str(v)))
+    return df.groupBy(*rows).agg(*cells)
 
 
 def unpivot_values(
