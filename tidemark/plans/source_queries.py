@@ -33,7 +33,7 @@ def synthetic_profile(spark, sf_dir):
 
 @register("events_scan", "SELECT * FROM events")
 def events_scan(spark, sf_dir):
-    return io.scan(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    return io.scan(spark, f"{str(sf_dir).rstrip('/')}/events.parquet")
 
 
 RENAMED_SQL = with_(RAW_BARS) + """

@@ -15,4 +15,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazily scan one table; column pruning and filters reach the parquet reader."""
     if name not in TABLE_NAMES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
