@@ -1,0 +1,2 @@
+"""Column expressions: exact decimal numerics with SQL twins, calendar parts,
+hash-based reproducible draws."""
