@@ -46,16 +46,6 @@ def exact_mean(col: Column | str) -> Column:
     return F.sum(x).cast("double") / F.nullif(F.count(x), F.lit(0))
 
 
-def moments(col: Column | str, prefix: str) -> list[Column]:
-    """count, sum and sum of squares, exact; merge freely across partitions."""
-    x = dec(col)
-    return [
-        F.count(x).alias(f"{prefix}_n"),
-        F.sum(x).alias(f"{prefix}_s1"),
-        F.sum(x * x).alias(f"{prefix}_s2"),
-    ]
-
-
 def mean_from(n: Column, s1: Column) -> Column:
     return s1.cast("double") / F.nullif(n, F.lit(0))
 

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it provably has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
-
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
     """True when ``df`` has at most ``limit`` rows.

@@ -1,4 +1,4 @@
-"""Pivot, unpivot, stacking and distinct ids (inventory G1-G4)."""
+"""Pivot, unpivot and stacking (inventory G2-G4; G1 is ``serve.distinct_ids``)."""
 
 from __future__ import annotations
 
@@ -51,11 +51,6 @@ def unpivot_values(
     return wide.unpivot(list(ids), list(values), name, value).where(F.col(value).isNotNull())
 
 
-def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
-    """Sorted distinct values of one column (G1): a hash aggregate, then a range sort."""
-    return df.select(column).distinct().orderBy(column)
-
-
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
     """Concatenate frames with the same columns, matched by name."""
     if not frames:

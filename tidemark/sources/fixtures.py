@@ -36,8 +36,6 @@ INCOMING_MISSING_EVERY = 13
 DEFAULT_ZONE = "America/New_York"
 TICKER_ZONES = {"1-URGENT": "Asia/Tokyo", "3-MEDIUM": "Europe/Amsterdam"}
 
-BAR_VALUES = ("open", "high", "low", "close", "volume", "dividends", "stock_splits")
-
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sensor readings: events joined to the region of their user.
