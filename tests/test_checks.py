@@ -146,3 +146,22 @@ def test_the_approximate_summary_passes(spark, base):
     r, f, s = base
     approx = profile.group_profile(r, distinct="approx")
     assert checks.check_summary(approx, r).first().verdict == "PASS"
+
+
+@pytest.mark.parametrize("accuracy,ties", [(50, False), (50, True), (10_000, False)])
+def test_exact_quantiles_match_sorted_ranks(spark, accuracy, ties):
+    import math
+    from decimal import Decimal
+    r = fixtures.readings(spark, "/root/testdata/sf0.01")
+    if ties:
+        r = r.withColumn("value", F.floor(F.col("value") / 50).cast("double"))
+    probs = {"q05": 0.05, "q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95, "top": 1.0}
+    got = {row.parameter: row for row in profile.exact_quantiles(r, ["parameter"], "value", probs, accuracy).collect()}
+    values = {}
+    for row in r.select("parameter", "value").collect():
+        values.setdefault(row.parameter, []).append(row.value)
+    for param, vs in values.items():
+        vs.sort()
+        for name, p in probs.items():
+            rank = max(1, math.ceil(Decimal(repr(p)) * len(vs)))
+            assert got[param][name] == vs[rank - 1], (param, name)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import exchange_local_date
+from tidemark.operators.profile import exact_quantiles
 from tidemark.operators.series import DEFAULT_HOT_ROWS, day_number, find_hot_keys, floor_div
 
 # Column roles of a bar.
@@ -334,25 +335,26 @@ def filter_bars(df: DataFrame, start=None, end=None, tickers: Sequence[str] | No
 
 
 def return_distribution(metrics: DataFrame, ticker: str = "ticker", value: str = "daily_return_pct",
-                        accuracy: int = 10_000) -> DataFrame:
+                        accuracy: int = 10_000, exact: bool = False) -> DataFrame:
     """Box-plot figures of the daily returns per ticker.
 
     n, min, q1, median, q3, max, iqr, whisker fences at 1.5 * IQR and the count
-    of returns outside them. Quartiles are data values from a bounded quantile
-    sketch (exact below ``accuracy`` rows per ticker, rank error <= n/accuracy
-    above), so a ticker of any size aggregates in bounded memory.
+    of returns outside them. Quartiles are data values at rank ceil(p * n):
+    from a bounded quantile sketch (exact below ``accuracy`` rows per ticker,
+    rank error <= n/accuracy above), or with ``exact=True`` from
+    ``profile.exact_quantiles`` (exact at any size, still without sorting a
+    ticker in one task).
     """
     r = metrics.where(F.col(value).isNotNull())
-    q = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
-    stats = r.groupBy(ticker).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(value).alias("min"),
-        q.alias("_q"),
-        F.max(value).alias("max"),
-    ).select(
-        ticker, "n", "min",
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"), "max",
-    ).withColumn("iqr", F.col("q3") - F.col("q1")) \
+    base = r.groupBy(ticker).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"))
+    if exact:
+        quartiles = exact_quantiles(r, [ticker], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy)
+    else:
+        q = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
+        quartiles = r.groupBy(ticker).agg(q.alias("_q")).select(
+            ticker, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    stats = base.join(quartiles, ticker).select(ticker, "n", "min", "q1", "median", "q3", "max") \
+     .withColumn("iqr", F.col("q3") - F.col("q1")) \
      .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")) \
      .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
     outliers = r.select(ticker, value).join(stats.select(ticker, "lower_fence", "upper_fence"), ticker).groupBy(ticker).agg(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import exact_mean, exact_stddev, percent, round3, round_to
@@ -142,3 +142,69 @@ def sequence_completeness(df: DataFrame, keys: Sequence[str], position: str) ->
 def dependency_violations(df: DataFrame, determinant: str, dependent: str) -> DataFrame:
     """Per determinant value, how many distinct dependents it has."""
     return df.groupBy(determinant).agg(F.count_distinct(dependent).alias("dependents"))
+
+
+def exact_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    accuracy: int = PERCENTILE_ACCURACY,
+) -> DataFrame:
+    """Exact discrete quantiles per key, without sorting a key's rows in one task.
+
+    For each ``name: p`` the result is the value at rank ceil(p * n) (1-based,
+    ascending, NULLs ignored; the rank in exact decimal arithmetic), i.e. the
+    smallest value with at least p * n values at or below it.
+
+    1. One aggregation per key: n, and two sketch quantiles bracketing each p
+       (p -/+ 2/accuracy). The sketch's rank error is at most n/accuracy, so
+       the value at the target rank lies inside the bracket.
+    2. One pass counts, per key and p, the values below the bracket and
+       collapses the values inside it to (value, count) pairs - a partial
+       aggregation, so even a value repeated a billion times is one pair.
+    3. A running count over those pairs (at most ~4n/accuracy distinct values
+       per key and p) finds the first value whose rank reaches the target.
+    """
+    import decimal
+
+    keys = list(keys)
+    names = list(probs)
+    src = df.where(F.col(value).isNotNull())
+    delta = 2.0 / accuracy
+    lows = [max(0.0, probs[nm] - delta) for nm in names]
+    highs = [min(1.0, probs[nm] + delta) for nm in names]
+    brackets = src.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx(value, lows, accuracy).alias("_lo"),
+        F.percentile_approx(value, highs, accuracy).alias("_hi"),
+    )
+    targets = brackets.select(
+        *keys, "_n",
+        F.explode(F.array(*[
+            F.struct(
+                F.lit(i).alias("_i"),
+                F.col("_lo")[i].alias("_lo"),
+                F.col("_hi")[i].alias("_hi"),
+                F.greatest(F.lit(1), F.ceil(F.lit(decimal.Decimal(repr(float(probs[nm])))) * F.col("_n")))
+                .cast("long").alias("_rank"),
+            )
+            for i, nm in enumerate(names)
+        ])).alias("_t"),
+    ).select(*keys, "_n", "_t.*")
+
+    x = F.col(value)
+    tagged = src.select(*keys, value).join(targets, keys)
+    below = tagged.groupBy(*keys, "_i").agg(F.count_if(x < F.col("_lo")).alias("_below"))
+    band = tagged.where((x >= F.col("_lo")) & (x <= F.col("_hi"))).groupBy(*keys, "_i", value).agg(
+        F.count(F.lit(1)).alias("_c")
+    )
+    walk = Window.partitionBy(*keys, "_i").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = band.select(*keys, "_i", value, F.sum("_c").over(walk).alias("_cum")) \
+        .join(below, [*keys, "_i"]).join(targets.select(*keys, "_i", "_rank"), [*keys, "_i"])
+    hit = ranked.where(F.col("_below") + F.col("_cum") >= F.col("_rank")) \
+        .groupBy(*keys, "_i").agg(F.min(value).alias("_q"))
+    wide = hit.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)
+    ])
+    return brackets.select(*keys).join(wide, keys, "left")

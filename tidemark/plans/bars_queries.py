@@ -232,6 +232,12 @@ def return_distribution(spark, sf_dir):
     return bars.return_distribution(metrics(spark, sf_dir))
 
 
+@register("return_distribution_exact", DISTRIBUTION_SQL)
+def return_distribution_exact(spark, sf_dir):
+    """The same box plot with exact quartiles (bracket, count below, walk the band)."""
+    return bars.return_distribution(metrics(spark, sf_dir), exact=True)
+
+
 # --- D12 --------------------------------------------------------------------------------
 
 SCOREBOARD_SQL = with_(METRICS) + f"""

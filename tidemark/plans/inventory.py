@@ -58,7 +58,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "D8": ("dependency_violations",),
     "D9": ("sensor_documents",),
     "D10": ("table_health",),
-    "D11": ("return_distribution",),
+    "D11": ("return_distribution", "return_distribution_exact"),
     "D12": ("scoreboard",),
     "D13": ("upsert_report", "upsert_rerun_report"),
     # windows
