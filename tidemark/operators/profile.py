@@ -32,13 +32,15 @@ def group_profile(
     entity: str = "sensor_id",
     date: str = "reading_date",
     distinct: str = "exact",
+    quantiles: str = "approx",
 ) -> DataFrame:
     """One row per group with the eleven measures of the location profile.
 
     readings, sensors (exact distinct, or an HLL sketch with ``distinct="approx"``),
     avg/stddev/median/p95/min/max of ``value`` at 3 dp, bad_pct at 3 dp, first and
     last date. Mean and sd come from exact decimal moments, median and p95 from
-    ``percentile_approx`` (a bounded sketch that merges partially).
+    ``percentile_approx`` (a bounded sketch that merges partially) or, with
+    ``quantiles="exact"``, from ``exact_quantiles``.
     """
     flag = F.col("status") == "Bad" if flag is None else _flag(flag)
     if distinct not in ("exact", "approx"):
@@ -58,6 +60,15 @@ def group_profile(
         F.min(date).alias("first_reading"),
         F.max(date).alias("last_reading"),
     )
+    if quantiles == "exact":
+        exact = exact_quantiles(df, keys, value, {"_median": 0.5, "_p95": 0.95})
+        cols = measures.columns
+        measures = measures.join(exact, keys, "left").select(*[
+            round3("_median").alias(c) if c == "median_value" else round3("_p95").alias(c) if c == "p95_value"
+            else F.col(c) for c in cols
+        ])
+    elif quantiles != "approx":
+        raise ValueError(f"quantiles must be 'approx' or 'exact', got {quantiles!r}")
     if distinct == "approx":
         return measures
     # An exact distinct inside the same aggregate would make Spark group by

@@ -47,7 +47,8 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     # aggregations
     "D1": ("location_profile", "location_profile_approx_sensors"),
     "D1a": ("location_profile",), "D1b": ("location_profile_approx_sensors",), "D1c": ("location_profile",),
-    "D1d": ("location_profile",), "D1e": ("location_profile",), "D1f": ("location_profile",),
+    "D1d": ("location_profile",), "D1e": ("location_profile", "location_profile_exact_quantiles"),
+    "D1f": ("location_profile",),
     "D1g": ("location_profile",), "D1h": ("location_profile",),
     "D2": ("conditional_counts",),
     "D3": ("sensor_summary", "sensor_summaries"),

@@ -39,6 +39,12 @@ def location_profile(spark, sf_dir):
     return profile.group_profile(_readings(spark, sf_dir))
 
 
+@register("location_profile_exact_quantiles", LOCATION_PROFILE_SQL)
+def location_profile_exact_quantiles(spark, sf_dir):
+    """The profile with exact median and p95 (no sketch)."""
+    return profile.group_profile(_readings(spark, sf_dir), quantiles="exact")
+
+
 @register("location_profile_approx_sensors")
 def location_profile_approx_sensors(spark, sf_dir):
     """The same profile with the HLL sensor count; rows-only (sketch is engine-specific)."""
