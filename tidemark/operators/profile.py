@@ -204,12 +204,20 @@ def exact_quantiles(
         ])).alias("_t"),
     ).select(*keys, "_n", "_t.*")
 
+    # Each row meets its key's brackets once (one row per key), however many
+    # probabilities there are; only rows inside a bracket are duplicated.
     x = F.col(value)
-    tagged = src.select(*keys, value).join(targets, keys)
-    below = tagged.groupBy(*keys, "_i").agg(F.count_if(x < F.col("_lo")).alias("_below"))
-    band = tagged.where((x >= F.col("_lo")) & (x <= F.col("_hi"))).groupBy(*keys, "_i", value).agg(
-        F.count(F.lit(1)).alias("_c")
-    )
+    tagged = src.select(*keys, value).join(brackets.select(*keys, "_lo", "_hi"), keys)
+    below = tagged.groupBy(*keys).agg(*[
+        F.count_if(x < F.col("_lo")[i]).alias(f"_below{i}") for i in range(len(names))
+    ]).select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.col(f"_below{i}").alias("_below")) for i in range(len(names))
+    ])).alias("_b")).select(*keys, "_b.*")
+    inside = F.array(*[
+        F.when((x >= F.col("_lo")[i]) & (x <= F.col("_hi")[i]), F.lit(i)) for i in range(len(names))
+    ])
+    band = tagged.select(*keys, value, F.explode(inside).alias("_i")).where(F.col("_i").isNotNull()) \
+        .groupBy(*keys, "_i", value).agg(F.count(F.lit(1)).alias("_c"))
     walk = Window.partitionBy(*keys, "_i").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = band.select(*keys, "_i", value, F.sum("_c").over(walk).alias("_cum")) \
         .join(below, [*keys, "_i"]).join(targets.select(*keys, "_i", "_rank"), [*keys, "_i"])
