@@ -119,11 +119,11 @@ def test_rolling_mean_table_agrees_with_feature_column(spark):
     assert j.count() == f.count()
 
 
-@pytest.mark.parametrize("block_rows", [1, 2, 1000])
-def test_previous_value_matches_lag(spark, block_rows):
+@pytest.mark.parametrize("block_rows,hot_rows", [(1, 0), (2, 0), (1000, 0), (2, 66), (1, 1 << 22)])
+def test_previous_value_matches_lag(spark, block_rows, hot_rows):
     df = spark.range(0, 200).select(
         (F.col("id") % 3).alias("k"), (F.col("id") * 7 % 200).alias("o"), (F.col("id") * 1.5).alias("v"))
-    ours = previous_value(df, ["k"], "o", "v", block_rows=block_rows)
+    ours = previous_value(df, ["k"], "o", "v", block_rows=block_rows, hot_rows=hot_rows)
     ref = df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("o")))
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
 

@@ -235,14 +235,28 @@ def previous_value(
     value: str,
     block_rows: int = DEFAULT_BLOCK_ROWS,
     out: str = "prev",
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
-    """``lag(value) over (partition by keys order by order)`` without a per-key task.
+    """``lag(value) over (partition by keys order by order)`` without an unbounded task.
 
-    ``order`` must be a unique integer within a key. Rows are cut into blocks of
-    ``block_rows`` consecutive order values; the first row of a block takes the
-    last value of the previous non-empty block, found on the (small) block table.
+    Keys with at most ``hot_rows`` rows use the plain window; hotter keys
+    (``hot_rows=0``: all) are cut into blocks of ``block_rows`` consecutive
+    order values (``order`` must be a unique integer within a key), and the
+    first row of a block takes the last value of the previous non-empty block,
+    found on the (small) block table.
     """
     keys = list(keys)
+    if hot_rows:
+        hot = find_hot_keys(df, keys, hot_rows)
+        plain = df.select(*df.columns, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)).alias(out))
+        if hot is not None and not hot:
+            return plain
+        if hot is not None:
+            routing = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
+            cold = df.join(F.broadcast(routing), keys, "left_anti").select(*df.columns)
+            warm = df.join(F.broadcast(routing), keys, "left_semi").select(*df.columns)
+            cold_out = cold.select(*df.columns, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)).alias(out))
+            return cold_out.unionByName(previous_value(warm, keys, order, value, block_rows, out, hot_rows=0))
     base = df.withColumn("_pblk", floor_div(order, block_rows))
     last = base.groupBy(*keys, "_pblk").agg(F.max_by(value, order).alias("_last"))
     last = last.select(
