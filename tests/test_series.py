@@ -149,3 +149,18 @@ def test_null_values_are_skipped_by_the_statistics(spark, hot):
     assert out[3].prev_value is None and out[3].delta is None
     assert out[3].rolling_avg_7d == 2.0 and out[2].rolling_avg_7d == 1.0
     assert out[1].z_score == -0.707 and out[2].z_score is None
+
+
+def test_routing_bounds_come_from_the_session(spark):
+    src = fixtures.readings(spark, SF01)
+    try:
+        spark.conf.set("tidemark.hotRows", "14")
+        spark.conf.set("tidemark.blockRows", "2")
+        via_conf = series_features(src)
+    finally:
+        spark.conf.unset("tidemark.hotRows")
+        spark.conf.unset("tidemark.blockRows")
+    plan = via_conf._jdf.queryExecution().analyzed().toString()
+    assert "_blk" in plan  # the hot series took the blocked path
+    plain = series_features(src)
+    assert via_conf.exceptAll(plain).count() == 0 and plain.exceptAll(via_conf).count() == 0

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import exchange_local_date
 from tidemark.operators.profile import exact_quantiles
-from tidemark.operators.series import DEFAULT_HOT_ROWS, day_number, find_hot_keys, floor_div
+from tidemark.operators.series import DEFAULT_HOT_ROWS, day_number, find_hot_keys, floor_div, tuned
 
 # Column roles of a bar.
 PRICE_COLUMNS = ("open", "high", "low", "close")
@@ -195,7 +195,7 @@ def bar_metrics(
     close: str = "close",
     block_days: int = DEFAULT_BLOCK_DAYS,
     position_block: int = DEFAULT_POSITION_BLOCK,
-    hot_rows: int = DEFAULT_HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The ticker metrics view: indexed close, daily return %, drawdown %, 30-row volatility %.
 
@@ -214,6 +214,7 @@ def bar_metrics(
     halo = VOLATILITY_ROWS - 1
     if position_block <= halo:
         raise ValueError(f"position_block must exceed {halo}")
+    hot_rows = tuned(ohlcv, hot_rows, "tidemark.hotRows", DEFAULT_HOT_ROWS)
     args = (ticker, date, close)
     if hot_rows == 0:
         return _blocked_metrics(ohlcv, *args, block_days, position_block)

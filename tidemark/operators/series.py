@@ -47,6 +47,14 @@ MAX_HOT_KEYS = 100_000
 EPOCH = _dt.date(1970, 1, 1)
 
 
+def tuned(df: DataFrame, value: int | None, conf_key: str, default: int) -> int:
+    """An explicit argument, else the session conf ``conf_key``, else the default."""
+    if value is not None:
+        return value
+    configured = df.sparkSession.conf.get(conf_key, None)
+    return int(configured) if configured else default
+
+
 def floor_div(col: str, width: int) -> Column:
     """Integer floor division, monotone across zero."""
     c = f"CAST(`{col}` AS BIGINT)"
@@ -65,8 +73,8 @@ def series_features(
     value: str = "value",
     flag: Column | None = None,
     days: int = 7,
-    block_rows: int = DEFAULT_BLOCK_ROWS,
-    hot_rows: int = DEFAULT_HOT_ROWS,
+    block_rows: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add reading_no, prev_value, delta, rolling_avg_{days}d, bad_so_far, z_score.
 
@@ -79,8 +87,12 @@ def series_features(
       sd is NULL or 0
 
     Series with more than ``hot_rows`` rows take the blocked path;
-    ``hot_rows=0`` sends every series there.
+    ``hot_rows=0`` sends every series there. Unset, ``hot_rows`` and
+    ``block_rows`` come from the session confs ``tidemark.hotRows`` and
+    ``tidemark.blockRows``, else 4M and 1M.
     """
+    hot_rows = tuned(df, hot_rows, "tidemark.hotRows", DEFAULT_HOT_ROWS)
+    block_rows = tuned(df, block_rows, "tidemark.blockRows", DEFAULT_BLOCK_ROWS)
     if days < 1:
         raise ValueError("days must be at least 1")
     if block_rows < 1 or hot_rows < 0:
@@ -235,9 +247,9 @@ def previous_value(
     keys: Sequence[str],
     order: str,
     value: str,
-    block_rows: int = DEFAULT_BLOCK_ROWS,
+    block_rows: int | None = None,
     out: str = "prev",
-    hot_rows: int = DEFAULT_HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``lag(value) over (partition by keys order by order)`` without an unbounded task.
 
@@ -248,6 +260,8 @@ def previous_value(
     found on the (small) block table.
     """
     keys = list(keys)
+    hot_rows = tuned(df, hot_rows, "tidemark.hotRows", DEFAULT_HOT_ROWS)
+    block_rows = tuned(df, block_rows, "tidemark.blockRows", DEFAULT_BLOCK_ROWS)
     if hot_rows:
         hot = find_hot_keys(df, keys, hot_rows)
         plain = df.select(*df.columns, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)).alias(out))
