@@ -78,3 +78,17 @@ def test_health_empty(spark, feats):
     empty = feats.limit(0)
     assert serve.table_health(empty, empty).first().status == "empty"
     assert serve.table_health(feats, feats).first().status == "ok"
+
+
+def test_validate_rows_counts_each_rule(spark):
+    import datetime as dt
+    rows = [("abc1234", dt.date(2024, 1, 1), "X", "click", 1.0, "Good"),
+            ("ABC1234", dt.date(2024, 1, 1), "X", "click", 1.0, "Good"),      # upper case id
+            ("abc123", dt.date(2024, 1, 1), "X", "click", 1.0, "Good"),       # six characters
+            ("abc1234", dt.date(2024, 1, 1), "X", "Pressure", 1.0, "Good"),   # unknown parameter
+            ("abc1234", dt.date(2024, 1, 1), "X", "click", 1.0, "Meh"),       # unknown status
+            (None, dt.date(2024, 1, 1), "X", "click", 1.0, None)]             # NULLs are invalid
+    df = spark.createDataFrame(rows, "sensor_id string, reading_date date, location string, parameter string, "
+                                     "value double, status string")
+    v = serve.validate_rows(df, ["click", "view"]).first()
+    assert (v.rows, v.bad_id, v.bad_parameter, v.bad_status) == (6, 3, 1, 2)
