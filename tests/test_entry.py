@@ -29,3 +29,10 @@ def test_queries_names_are_plain():
     for name in entry.queries():
         assert not name.startswith("op") or not name[2:3].isdigit()
         assert "pipeline" not in name
+
+
+def test_rows_only_queries_run(spark):
+    from conftest import SF001
+    q, o = entry.queries(), entry.oracle_sql()
+    for name in sorted(set(q) - set(o)):
+        assert q[name](spark, SF001).count() > 0, name
