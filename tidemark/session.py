@@ -8,6 +8,7 @@ session built here pins values, and only those a test needs to be repeatable.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cores_of(master: str) -> str:
+    """The thread count of a ``local``/``local[N]``/``local[*]`` master string."""
+    m = re.fullmatch(r"local(?:\[(\*|\d+)\])?", master.strip())
+    if not m:
+        raise ValueError(f"only local masters are built here, got {master!r}; use spark-submit otherwise")
+    return m.group(1) or "1"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, setting a local one only if unset.
 
