@@ -164,3 +164,19 @@ def test_routing_bounds_come_from_the_session(spark):
     assert "_blk" in plan  # the hot series took the blocked path
     plain = series_features(src)
     assert via_conf.exceptAll(plain).count() == 0 and plain.exceptAll(via_conf).count() == 0
+
+
+def test_null_ties_and_dates_are_kept_on_both_paths(spark):
+    rows = [("0000001", d(0), "X", "p", 1.0, "Good", None), ("0000001", d(0), "X", "p", 2.0, "Good", 5),
+            ("0000001", None, "X", "p", 4.0, "Bad", 7), ("0000001", d(1), "X", "p", 3.0, "Good", 9)]
+    df = readings(spark, rows)
+    plain = series_features(df, hot_rows=1 << 22)
+    blocked = series_features(df, hot_rows=0, block_rows=2)
+    assert plain.count() == blocked.count() == 4
+    assert plain.exceptAll(blocked).count() == 0 and blocked.exceptAll(plain).count() == 0
+
+
+def test_a_non_integer_tie_is_refused(spark):
+    df = readings(spark, [("0000001", d(0), "X", "p", 1.0, "Good", 1)]).withColumn("seq", F.col("seq").cast("string"))
+    with pytest.raises(TypeError):
+        series_features(df)

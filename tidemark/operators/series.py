@@ -55,16 +55,31 @@ def tuned(df: DataFrame, value: int | None, conf_key: str, default: int) -> int:
     return int(configured) if configured else default
 
 
+INTEGRAL_TYPES = ("tinyint", "smallint", "int", "bigint")
+NULLS_FIRST = -(1 << 62)  # block coordinate of a NULL: sorts first, as NULLS FIRST does
+NULL_DAY = -(1 << 30)  # likewise for day numbers (an int; real dates are above -719163)
+
+
 def floor_div(col: str, width: int) -> Column:
-    """Integer floor division, monotone across zero."""
+    """Integer floor division, monotone across zero; NULL maps below every value."""
     c = f"CAST(`{col}` AS BIGINT)"
-    return F.expr(f"({c} - pmod({c}, {int(width)})) div {int(width)}")
+    return F.coalesce(F.expr(f"({c} - pmod({c}, {int(width)})) div {int(width)}"), F.lit(NULLS_FIRST))
+
+
+def require_integral(df: DataFrame, col: str) -> None:
+    if dict(df.dtypes).get(col) not in INTEGRAL_TYPES:
+        raise TypeError(f"{col!r} must be an integer column to cut blocks, got {dict(df.dtypes).get(col)}")
 
 
 def day_number(col: str) -> Column:
     return F.datediff(F.col(col), F.lit(EPOCH))
 
 
+def day_block(col: str) -> Column:
+    """Day number for block keys: a NULL date sorts first, as NULLS FIRST does."""
+    return F.coalesce(day_number(col), F.lit(NULL_DAY))
+
+
 def series_features(
     df: DataFrame,
     keys: Sequence[str] = ("sensor_id", "parameter"),
@@ -93,6 +108,7 @@ def series_features(
     """
     hot_rows = tuned(df, hot_rows, "tidemark.hotRows", DEFAULT_HOT_ROWS)
     block_rows = tuned(df, block_rows, "tidemark.blockRows", DEFAULT_BLOCK_ROWS)
+    require_integral(df, tie)
     if days < 1:
         raise ValueError("days must be at least 1")
     if block_rows < 1 or hot_rows < 0:
@@ -173,7 +189,7 @@ def _blocked_features(
 
     base = df.select(
         *cols,
-        day_number(date).alias("_day"),
+        day_block(date).alias("_day"),
         floor_div(tie, block_rows).alias("_blk"),
         flag.cast("int").alias("_flag"),
     )
@@ -184,7 +200,7 @@ def _blocked_features(
         F.sum("_flag").alias("_bad"),
         F.sum(x).alias("_s1"),
         F.sum(x * x).alias("_s2"),
-        F.max_by(value, tie).alias("_last"),
+        F.max_by(value, F.coalesce(F.col(tie).cast("long"), F.lit(NULLS_FIRST))).alias("_last"),
     )
     series = Window.partitionBy(*keys)
     ordered = series.orderBy("_day", "_blk")
@@ -262,6 +278,7 @@ def previous_value(
     keys = list(keys)
     hot_rows = tuned(df, hot_rows, "tidemark.hotRows", DEFAULT_HOT_ROWS)
     block_rows = tuned(df, block_rows, "tidemark.blockRows", DEFAULT_BLOCK_ROWS)
+    require_integral(df, order)
     if hot_rows:
         hot = find_hot_keys(df, keys, hot_rows)
         plain = df.select(*df.columns, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)).alias(out))
@@ -274,7 +291,8 @@ def previous_value(
             cold_out = cold.select(*df.columns, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)).alias(out))
             return cold_out.unionByName(previous_value(warm, keys, order, value, block_rows, out, hot_rows=0))
     base = df.withColumn("_pblk", floor_div(order, block_rows))
-    last = base.groupBy(*keys, "_pblk").agg(F.max_by(value, order).alias("_last"))
+    last = base.groupBy(*keys, "_pblk").agg(
+        F.max_by(value, F.coalesce(F.col(order).cast("long"), F.lit(NULLS_FIRST))).alias("_last"))
     last = last.select(
         *keys, "_pblk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pblk")).alias("_prev_last")
     )
