@@ -20,9 +20,11 @@ The blocked path:
 2. Windows over the block table give everything that crosses blocks: rows and
    flags before the block, the previous block's last value, the calendar-range
    mean (a RANGE frame over days includes all same-day blocks), and the
-   whole-series moments for the z-score. A series has at most
-   (seq span / block_rows) + (days) blocks, however sparse its ``seq`` values
-   are, so this window holds ~1M narrow rows for 1e12 readings.
+   whole-series moments for the z-score. This window holds one narrow row
+   per block of the series: about (seq span / block_rows) + (days) when
+   ``seq`` follows time (arrival order, event ids), but up to
+   min(rows, days x seq span / block_rows) when ``seq`` is unrelated to the
+   date - still far below the series' rows, yet not a fixed bound.
 3. Row-level windows run per block only (row number, lag, running flag count),
    then the block facts are joined on the block key. The rows are shuffled
    once, on the block key, and the join reuses that partitioning.

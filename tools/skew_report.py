@@ -71,9 +71,13 @@ def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--rows", type=int, default=1_000_000)
     ap.add_argument("--bars", action="store_true", help="bar metrics with a hot ticker instead")
+    ap.add_argument("--hot-rows", type=int, default=50_000)
+    ap.add_argument("--block-rows", type=int, default=20_000)
+    ap.add_argument("--seq-order", choices=("time", "random"), default="time",
+                    help="time: seq follows the date, like event ids; random: seq unrelated to the date")
     args = ap.parse_args()
     if args.bars:
-        return bars_main(args.rows)
+        return bars_main(args.rows, args.hot_rows, args.block_rows)
     log_dir = tempfile.mkdtemp(prefix="tidemark-skew-")
     # Many shuffle partitions and no coalescing: an evenly spread task then
     # reads about rows/64 records, so whatever one task reads above that is skew.
@@ -82,8 +86,12 @@ def main() -> None:
                                  "spark.sql.adaptive.enabled": "false"})
     base = synthetic_readings(spark, args.rows)
     hot = uniform(F.col("seq"), 7) < 1 / 3
+    # time: readings arrive in date order (the day advances with seq, as with
+    # event ids); random: the day is a hash draw unrelated to seq.
+    day = (F.date_add(F.lit("2025-01-01").cast("date"), (F.col("seq") * 365 / args.rows).cast("int"))
+           if args.seq_order == "time" else F.col("reading_date"))
     skewed = base.select(
-        F.when(hot, F.lit("hotspot")).otherwise(F.col("sensor_id")).alias("sensor_id"), "reading_date",
+        F.when(hot, F.lit("hotspot")).otherwise(F.col("sensor_id")).alias("sensor_id"), day.alias("reading_date"),
         F.when(hot, F.lit("Hungary")).otherwise(F.col("location")).alias("location"),
         F.when(hot, F.lit("Noise")).otherwise(F.col("parameter")).alias("parameter"),
         "value", "status", "seq",
@@ -91,7 +99,7 @@ def main() -> None:
     out = tempfile.mkdtemp(prefix="tidemark-skew-out-")
     runs = {
         "plain windows": dict(hot_rows=args.rows * 10),
-        "routed (hot series blocked)": dict(hot_rows=50_000, block_rows=20_000),
+        "routed (hot series blocked)": dict(hot_rows=args.hot_rows, block_rows=args.block_rows),
     }
     secs = {}
     for name, kw in runs.items():
@@ -101,15 +109,15 @@ def main() -> None:
         secs[name] = time.perf_counter() - t0
     a, b = (spark.read.parquet(f"{out}/{i}") for i in range(2))
     equal = a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    hot_rows = skewed.where("sensor_id = 'hotspot'").count()
+    hot_count = skewed.where("sensor_id = 'hotspot'").count()
     spark.stop()
     worst = max_task_records(log_dir)
-    print(f"rows={args.rows:,} hot series rows={hot_rows:,} identical results={equal}")
+    print(f"rows={args.rows:,} seq order={args.seq_order} hot series rows={hot_count:,} identical results={equal}")
     for name in runs:
         print(f"{name:30s} max records read by one task: {worst.get(name, 0):>10,}   {secs[name]:.1f}s")
 
 
-def bars_main(rows: int) -> None:
+def bars_main(rows: int, hot_rows: int = 50_000, block_rows: int = 20_000) -> None:
     from tidemark.operators.bars import bar_metrics
 
     log_dir = tempfile.mkdtemp(prefix="tidemark-skew-")
@@ -120,7 +128,7 @@ def bars_main(rows: int) -> None:
     out = tempfile.mkdtemp(prefix="tidemark-skew-out-")
     runs = {
         "plain windows": dict(hot_rows=rows * 10),
-        "routed (hot ticker blocked)": dict(hot_rows=50_000, block_days=40_000, position_block=20_000),
+        "routed (hot ticker blocked)": dict(hot_rows=hot_rows, block_days=2 * block_rows, position_block=block_rows),
     }
     secs = {}
     for name, kw in runs.items():
@@ -130,10 +138,10 @@ def bars_main(rows: int) -> None:
         secs[name] = time.perf_counter() - t0
     a, b = (spark.read.parquet(f"{out}/{i}") for i in range(2))
     equal = a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    hot_rows = src.where("ticker = 'HOT'").count()
+    hot_count = src.where("ticker = 'HOT'").count()
     spark.stop()
     worst = max_task_records(log_dir)
-    print(f"bars={rows:,} hot ticker bars={hot_rows:,} identical results={equal}")
+    print(f"bars={rows:,} hot ticker bars={hot_count:,} identical results={equal}")
     for name in runs:
         print(f"{name:30s} max records read by one task: {worst.get(name, 0):>10,}   {secs[name]:.1f}s")
 
