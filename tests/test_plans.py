@@ -9,11 +9,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from tidemark.plans import catalog
 
 from conftest import SF001
 
-QUERIES = entry.queries()
+QUERIES = catalog.load_all()[0]
 
 
 def physical(df) -> str:
