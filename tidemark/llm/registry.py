@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, licences, mixing, sharding
+from tidemark.llm import exact_dedup, language, licences, mixing, near_dedup, pieces, sharding
 from tidemark.llm.common import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, whether both libraries agree, and whether decoding gives the text back."""
+    return pieces.encode_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy that the mix holds: doc_id, source, copy, n_copies, shuffle_key (its place in the global order)."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -26,11 +31,22 @@ def op6_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents")).select(F.col(f"{ROW}.doc_id"), "slot", "shard")
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document: doc_id, class_id, class_size, kept."""
+    return near_dedup.near_classes(table(spark, sf_dir, "documents")).drop("digest")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_poisson_mix, op5_licence_scan, op6_shard_placement, op9_exact_dedup)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op3_piece_codec, op4_poisson_mix, op5_licence_scan, op6_shard_placement, op8_near_dedup, op9_exact_dedup, op10_language_id,
+)}
 
 
 def oracle_sql() -> dict[str, str]:
