@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, language, licences, mixing, near_dedup, pieces, sharding
+from tidemark.llm import exact_dedup, hamming, language, licences, mixing, near_dedup, pieces, secrets, sharding, substrings
 from tidemark.llm.common import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(table(spark, sf_dir, "documents"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text, whether both libraries agree, and whether decoding gives the text back."""
     return pieces.encode_texts(table(spark, sf_dir, "documents"))
@@ -31,6 +39,11 @@ def op6_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents")).select(F.col(f"{ROW}.doc_id"), "slot", "shard")
 
 
+def op7_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest codes of every vector whose id is divisible by 50, against all rows: query_id, rank, vec_id, distance."""
+    return hamming.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document: doc_id, class_id, class_size, kept."""
     return near_dedup.near_classes(table(spark, sf_dir, "documents")).drop("digest")
@@ -45,7 +58,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_piece_codec, op4_poisson_mix, op5_licence_scan, op6_shard_placement, op8_near_dedup, op9_exact_dedup, op10_language_id,
+    op1_repeated_substrings, op2_secret_scan, op3_piece_codec, op4_poisson_mix, op5_licence_scan,
+    op6_shard_placement, op7_nearest_codes, op8_near_dedup, op9_exact_dedup, op10_language_id,
 )}
 
 
@@ -54,5 +68,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_poisson_mix": mixing.ORACLE,
         "op5_licence_scan": licences.oracle(),
         "op6_shard_placement": sharding.oracle(),
+        "op7_nearest_codes": hamming.ORACLE,
         "op9_exact_dedup": exact_dedup.ORACLE,
     }
