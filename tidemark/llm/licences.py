@@ -7,8 +7,8 @@ A rule matches when its identifiers occur in its order; sentences between them
 do not matter.
 
 Licence texts come wrapped at any column as well as line by line, so two
-cuttings are matched: one that ends a sentence at its punctuation only, and
-one that also ends it at each line.  ``licences`` has the rules that match
+cuttings are matched: one that ends a sentence at its punctuation and at blank
+lines only, and one that also ends it at each line.  ``licences`` has the rules that match
 either sequence; ``sentence_ids`` is the line-wise sequence, or the other one
 where that has more known sentences.
 
@@ -143,7 +143,8 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     """doc_id, n_known, sentence_ids (comma-joined, in order) and licences (comma-joined, by name)."""
     lowered = F.lower(text_of())
     cue = F.lower(text_of()).rlike("|".join(CUES))
-    wrapped = F.regexp_replace(F.regexp_replace(lowered, r"[ \t\r\n]+", " "), r"[.!?;:]+ ", "\n")
+    paragraphs = F.regexp_replace(lowered, r"\n[ \t\r]*\n", ". ")
+    wrapped = F.regexp_replace(F.regexp_replace(paragraphs, r"[ \t\r\n]+", " "), r"[.!?;:]+ ", "\n")
     lined = F.regexp_replace(lowered, r"[.!?;:]+[ \t\r\n]+", "\n")
     rows = docs.select("doc_id", "text").select(
         "doc_id",
@@ -168,7 +169,7 @@ def oracle() -> str:
     ids = f"list_filter(list_transform(string_split({{0}}, chr(10)), lambda s: ({known})[trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))]), lambda x: x IS NOT NULL)"
     return f"""
 WITH t AS (SELECT doc_id, lower(coalesce(text, '')) AS body FROM documents),
-s AS (SELECT doc_id, {ids.format("regexp_replace(regexp_replace(body, '[ \\t\\r\\n]+', ' ', 'g'), '[.!?;:]+ ', chr(10), 'g')")} AS whole,
+s AS (SELECT doc_id, {ids.format("regexp_replace(regexp_replace(regexp_replace(body, '\\n[ \\t\\r]*\\n', '. ', 'g'), '[ \\t\\r\\n]+', ' ', 'g'), '[.!?;:]+ ', chr(10), 'g')")} AS whole,
       {ids.format("regexp_replace(body, '[.!?;:]+[ \\t\\r\\n]+', chr(10), 'g')")} AS lines FROM t),
 b AS (SELECT *, CASE WHEN len(whole) > len(lines) THEN whole ELSE lines END AS ids FROM s)
 SELECT doc_id, len(ids)::BIGINT AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
