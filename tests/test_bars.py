@@ -1,9 +1,9 @@
-"""Bars: the reference's cleaning cases, our edge rows, fixture counts, metrics."""
+"""Bars: one table of raw rows against every rule, exchange dates, fixture counts, metrics."""
 
 import datetime as dt
+import math
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars, checks
@@ -11,74 +11,75 @@ from tidemark.sources import fixtures
 
 from conftest import SF01
 
-BAR = "date date, ticker string, open double, high double, low double, close double, volume long, " \
-      "dividends double, stock_splits double, seq long"
-
-
-def frame(spark, **cols):
-    n = len(next(iter(cols.values())))
-    base = {"open": [10.0] * n, "high": [11.0] * n, "low": [9.0] * n, "close": [10.5] * n,
-            "volume": [1000] * n, "dividends": [0.0] * n, "stock_splits": [0.0] * n}
-    base.update(cols)
-    dates = base.pop("dates", [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(n)])
-    seqs = base.pop("seq", list(range(n)))
-    rows = [(dates[i], "T", base["open"][i], base["high"][i], base["low"][i], base["close"][i],
-             base["volume"][i], base["dividends"][i], base["stock_splits"][i], seqs[i]) for i in range(n)]
-    return spark.createDataFrame(rows, BAR)
-
-
-def test_missing_prices_are_dropped_not_filled(spark):
-    kept = bars.drop_incomplete(frame(spark, close=[10.5, None, 12.0]))
-    assert [r.close for r in kept.orderBy("date").collect()] == [10.5, 12.0]
-
-
-def test_nan_price_counts_as_incomplete(spark):
-    kept = bars.drop_incomplete(frame(spark, close=[10.5, float("nan"), 12.0]))
-    assert kept.count() == 2
-
-
-def test_volume_and_corporate_actions_are_filled_with_zero(spark):
-    filled = bars.fill_zero(frame(spark, volume=[1000, None, 3000], dividends=[0.0, None, float("nan")]))
-    rows = filled.orderBy("date").collect()
-    assert [r.volume for r in rows] == [1000, 0, 3000]
-    assert [r.dividends for r in rows] == [0.0, 0.0, 0.0]
-
-
-def test_the_last_bar_wins_when_a_date_repeats(spark):
-    day1, day2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    df = frame(spark, close=[10.0, 20.0, 30.0], dates=[day1, day2, day2], seq=[0, 1, 2])
-    kept = bars.keep_last(df, ["ticker", "date"], "seq").orderBy("date").collect()
-    assert [r.close for r in kept] == [10.0, 30.0]
-
-
-def test_unbracketed_bars_are_dropped(spark):
-    kept = bars.drop_inconsistent(frame(spark, high=[11.0, 10.0, 11.0], close=[10.5, 10.5, 10.5]))
-    assert [r.date.day for r in kept.orderBy("date").collect()] == [1, 3]
-
-
-@pytest.mark.parametrize("bad", [0.0, -5.0])
-def test_zero_and_negative_prices_are_dropped(spark, bad):
-    kept = bars.drop_nonpositive(frame(spark, close=[10.5, bad, 12.0]))
-    assert [r.close for r in kept.orderBy("date").collect()] == [10.5, 12.0]
-
-
-def test_last_duplicate_being_bad_removes_the_date(spark):
-    day = dt.date(2024, 1, 1)
-    df = frame(spark, close=[10.5, None], dates=[day, day], seq=[0, 1])
-    clean, report = bars.repair(df)
-    assert clean.count() == 0
-    assert {(r.rule, r.dropped) for r in report.collect()} == {("duplicate_date", 1), ("incomplete", 1)}
+NAN = float("nan")
+COLUMNS = "ticker string, date date, seq long, open double, high double, low double, close double, volume long, dividends double, stock_splits double"
+
+# (ticker, day, seq, open, high, low, close, volume), and the rule that takes the row out (None: it stays).
+RAW = [
+    ("kept", 1, 0, 20.0, 24.0, 19.0, 21.5, 700, None),
+    ("kept", 2, 0, 21.5, 21.5, 21.5, 21.5, None, None),       # flat, no volume
+    ("again", 1, 0, 5.0, 6.0, 4.0, 5.5, 10, "duplicate_date"),
+    ("again", 1, 1, 5.0, 6.0, 4.0, 4.5, 11, None),            # arrived later
+    ("again", 2, 7, 5.0, 6.0, 4.0, 5.0, 12, "duplicate_date"),
+    ("again", 2, 9, 5.0, 6.0, 4.0, None, 13, "incomplete"),   # the later one is bad: the date goes
+    ("gaps", 1, 0, None, 6.0, 4.0, 5.0, 1, "incomplete"),
+    ("gaps", 2, 0, 5.0, NAN, 4.0, 5.0, 1, "incomplete"),
+    ("gaps", 3, 0, 5.0, 6.0, 4.0, NAN, 1, "incomplete"),
+    ("free", 1, 0, 5.0, 6.0, 0.0, 5.0, 1, "nonpositive"),
+    ("free", 2, 0, -1.0, 6.0, -2.0, 5.0, 1, "nonpositive"),
+    ("torn", 1, 0, 5.0, 5.5, 4.0, 5.75, 1, "inconsistent"),   # close above the high
+    ("torn", 2, 0, 3.5, 6.0, 4.0, 5.0, 1, "inconsistent"),    # open below the low
+    (None, 1, 0, 5.0, 6.0, 4.0, 5.0, 1, None),                # no ticker: a group like any other
+]
+
+
+def day(n):
+    return dt.date(2021, 3, n)
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    return spark.createDataFrame([(t, day(d), s, o, h, lo, c, v, None, NAN) for t, d, s, o, h, lo, c, v, _ in RAW], COLUMNS)
+
+
+def test_repair_keeps_and_reports_each_row(raw):
+    clean, report = bars.repair(raw)
+    stays = {(t, day(d), c): v or 0 for t, d, _, _, _, _, c, v, rule in RAW if rule is None}
+    assert {(r.ticker, r.date, r.close): r.volume for r in clean.collect()} == stays
+    assert all((r.dividends, r.stock_splits) == (0.0, 0.0) for r in clean.collect())
+    dropped = {}
+    for row in RAW:
+        if row[-1]:
+            dropped[row[0], row[-1]] = dropped.get((row[0], row[-1]), 0) + 1
+    assert {(r.ticker, r.rule): r.dropped for r in report.collect() if r.dropped} == dropped
+
+
+@pytest.mark.parametrize("rule, operator", [
+    ("incomplete", bars.drop_incomplete), ("nonpositive", bars.drop_nonpositive), ("inconsistent", bars.drop_inconsistent),
+])
+def test_each_rule_alone_takes_its_rows(raw, rule, operator):
+    whole = raw.where("NOT (isnull(open) OR isnan(open) OR isnull(high) OR isnan(high) OR isnull(close) OR isnan(close))")
+    source = raw if rule == "incomplete" else whole
+    gone = source.exceptAll(operator(source)).collect()
+    expected = {(t, day(d), s) for t, d, s, *_, r in RAW if r == rule}
+    # A bar with a price of nothing is out of its bracket only where the rule says so.
+    assert expected <= {(r.ticker, r.date, r.seq) for r in gone}
+    assert all(r.ticker not in ("kept", None) for r in gone)
 
 
-def test_columns_are_renamed_to_snake_case(spark):
-    df = spark.createDataFrame([(1.0, 0.0)], "Open double, `Stock Splits` double")
-    assert bars.snake_case(df).columns == ["open", "stock_splits"]
+def test_names_become_snake_case(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "`Adj Close` int, VOLUME int, `Stock Splits` int")
+    assert bars.snake_case(df).columns == ["adj_close", "volume", "stock_splits"]
 
 
-def test_exchange_timezone_is_dropped(spark):
-    df = spark.createDataFrame([("T", "America/New_York")], "ticker string, exchange_tz string").select(
-        "ticker", "exchange_tz", F.to_timestamp(F.lit("2024-01-01 14:30:00-05:00")).alias("ts"))
-    assert bars.normalize(df).first().date == dt.date(2024, 1, 1)
+@pytest.mark.parametrize("zone, instant, local", [
+    ("America/New_York", "2021-07-02 02:30:00+00:00", day(1).replace(month=7, day=1)),
+    ("Asia/Tokyo", "2021-07-01 15:00:00+00:00", day(1).replace(month=7, day=2)),
+    ("UTC", "2021-07-01 23:59:59+00:00", day(1).replace(month=7, day=1)),
+])
+def test_the_date_is_the_exchange_s(spark, zone, instant, local):
+    df = spark.createDataFrame([("T", zone, instant)], "ticker string, exchange_tz string, text string")
+    assert bars.normalize(df.select("ticker", "exchange_tz", F.to_timestamp("text").alias("ts"))).first().date == local
 
 
 def test_tokyo_midnight_keeps_its_local_date(spark):
@@ -88,19 +89,23 @@ def test_tokyo_midnight_keeps_its_local_date(spark):
     assert bars.normalize(df).first().date == dt.date(2024, 1, 2)
 
 
-def test_validation_flags_an_emptied_ticker(spark):
-    wanted = spark.createDataFrame([("T",), ("GONE",)], "ticker string")
-    v = {r.ticker: r for r in checks.validate_bars(frame(spark, close=[10.5, 10.6]), wanted).collect()}
-    assert v["GONE"].rows == 0 and v["GONE"].failures == 1 and v["T"].failures == 0
+def test_validation_counts_each_failure(spark, raw):
+    wanted = spark.createDataFrame([("kept",), ("gaps",), ("free",), ("torn",), ("absent",), (None,)], "ticker string")
+    v = {r.ticker: r for r in checks.validate_bars(raw, wanted).collect()}
+    assert v["absent"].rows == 0 and v["absent"].failures == 1
+    assert v["kept"].failures == 0 and v[None].rows == 1
+    assert v["gaps"].missing_prices == 3 and v["free"].nonpositive_prices == 2 and v["torn"].unbracketed == 2
+    undated = raw.where("ticker = 'kept'").withColumn("date", F.when(F.col("date") == day(1), F.col("date")))
+    assert checks.validate_bars(undated, wanted.where("ticker = 'kept'")).first().duplicate_dates == 0
 
 
-def test_validation_flags_dates_out_of_order(spark):
-    df = frame(spark, close=[10.5, 10.6], dates=[dt.date(2024, 1, 2), dt.date(2024, 1, 1)], seq=[0, 1])
-    wanted = spark.createDataFrame([("T",)], "ticker string")
-    v = checks.validate_bars(df, wanted, arrival="seq").first()
-    assert v.out_of_order == 1 and v.failures == 1
-    ok = checks.validate_bars(frame(spark, close=[10.5, 10.6]), wanted, arrival="seq").first()
-    assert ok.failures == 0
+def test_validation_counts_rows_that_arrive_late(spark):
+    order = [3, 1, 2, 2, 5, 4]
+    rows = [("T", day(d), n, 5.0, 6.0, 4.0, 5.0, 1, 0.0, 0.0) for n, d in enumerate(order)]
+    df, wanted = spark.createDataFrame(rows, COLUMNS), spark.createDataFrame([("T",)], "ticker string")
+    late = sum(b < a for a, b in zip(order, order[1:]))
+    assert checks.validate_bars(df, wanted, arrival="seq").first().out_of_order == late == 2
+    assert checks.out_of_order(df, "ticker", "date", "seq").first().late == 2
 
 
 def test_fixture_rule_counts(spark):
@@ -114,42 +119,42 @@ def test_fixture_rule_counts(spark):
     annotated.unpersist()
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1 << 22])
-def test_first_bar_metrics(spark, hot_rows):
-    m = bars.bar_metrics(frame(spark, close=[10.0, 11.0, 9.9]).drop("seq"), hot_rows=hot_rows).orderBy("date").collect()
-    first = m[0]
-    assert first.daily_return_pct is None and first.indexed_close == 100.0
-    assert first.drawdown_pct == 0.0 and first.volatility_30d_pct is None
-    assert m[1].volatility_30d_pct is None and m[2].volatility_30d_pct is not None
-    assert m[2].drawdown_pct == pytest.approx(-10.0)
-
-
-def naive_metrics(ohlcv):
-    w = Window.partitionBy("ticker").orderBy("date")
-    ret = F.col("close") / F.nullif(F.lag("close").over(w), F.lit(0.0)) - 1
-    r = ohlcv.select("date", "ticker", "close", ret.alias("ret"),
-                     F.first("close").over(w).alias("fc"),
-                     F.max("close").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("pk"))
-    return r.select(
-        "date", "ticker", (F.lit(100.0) * F.col("close") / F.col("fc")).alias("indexed_close"),
-        (F.lit(100.0) * F.col("ret")).alias("daily_return_pct"),
-        (F.lit(100.0) * (F.col("close") / F.col("pk") - 1)).alias("drawdown_pct"),
-        (F.lit(100.0) * F.sqrt(F.lit(252.0)) * F.stddev_samp("ret").over(w.rowsBetween(-29, 0))).alias("volatility_30d_pct"),
-    )
-
-
-@pytest.mark.parametrize("block_days,position_block,routing", [
-    (1 << 12, 1 << 16, "blocked"), (7, 30, "blocked"), (64, 45, "blocked"), (7, 30, "mixed"), (7, 30, "plain"),
-])
-def test_metrics_equal_per_ticker_windows(spark, block_days, position_block, routing):
+def loop_metrics(closes):
+    """The four metrics of one ticker's closes by plain loops."""
+    out, moves = [], []
+    for n, c in enumerate(closes):
+        moves.append(None if n == 0 or closes[n - 1] == 0 else c / closes[n - 1] - 1)
+        near = [m for m in moves[-30:] if m is not None]
+        mean = sum(near) / len(near) if near else 0.0
+        sd = math.sqrt(sum((m - mean) ** 2 for m in near) / (len(near) - 1)) if len(near) > 1 else None
+        out.append((100 * c / closes[0], None if moves[-1] is None else 100 * moves[-1], 100 * (c / max(closes[: n + 1]) - 1),
+                    None if sd is None else 100 * math.sqrt(252) * sd))
+    return out
+
+
+def test_metrics_equal_plain_loops(spark):
     ohlcv = fixtures.ohlcv(spark, SF01)
-    sizes = sorted(r["count"] for r in ohlcv.groupBy("ticker").count().collect())
-    hot_rows = {"blocked": 0, "mixed": sizes[2], "plain": 1 << 22}[routing]
-    ours = bars.bar_metrics(ohlcv, block_days=block_days, position_block=position_block, hot_rows=hot_rows).select(
-        "date", "ticker", "indexed_close", "daily_return_pct", "drawdown_pct", "volatility_30d_pct")
-    ref = naive_metrics(ohlcv)
-    assert ours.count() == ref.count()
-    assert ours.exceptAll(ref).count() == 0
+    series = {}
+    for r in ohlcv.orderBy("date").collect():
+        series.setdefault(r.ticker, []).append(r.close)
+    got = {}
+    for r in bars.bar_metrics(ohlcv).orderBy("date").collect():
+        got.setdefault(r.ticker, []).append((r.indexed_close, r.daily_return_pct, r.drawdown_pct, r.volatility_30d_pct))
+    assert got.keys() == series.keys()
+    for ticker, closes in series.items():
+        for mine, want in zip(got[ticker], loop_metrics(closes), strict=True):
+            assert [m is None for m in mine] == [w is None for w in want]
+            assert [m for m in mine if m is not None] == pytest.approx([w for w in want if w is not None], rel=1e-9, abs=1e-9)
+
+
+def test_bars_without_a_ticker_have_metrics_and_a_distribution(spark):
+    rows = [(None, day(n), n, c, c, c, c, 1, 0.0, 0.0) for n, c in enumerate((10.0, 11.0, 0.0, 9.9), 1)]
+    m = bars.bar_metrics(spark.createDataFrame(rows, COLUMNS).drop("seq"))
+    got = m.orderBy("date").collect()
+    assert [r.daily_return_pct for r in got] == [None, pytest.approx(10.0), -100.0, None]
+    for exact in (True, False):
+        line = bars.return_distribution(m, exact=exact).collect()
+        assert [(r.ticker, r.n, r["min"], r.outliers) for r in line] == [(None, 2, -100.0, 0)]
 
 
 @pytest.mark.parametrize("session_zone", ["America/Los_Angeles", "Asia/Kolkata", "UTC"])

@@ -110,7 +110,8 @@ def test_constraints_report_each_violation(spark, base):
     broken = f.withColumn("bad_so_far", F.when(F.col("seq") == seq, F.lit(-1)).otherwise(F.col("bad_so_far"))) \
         .withColumn("delta", F.when(F.col("seq") == seq, F.lit(None)).otherwise(F.col("delta")))
     v = {row.constraint: row.violations for row in checks.check_constraints(broken, checks.readings_constraints()).collect()}
-    assert v["bad_so_far_sane"] == 1 and v["delta_paired"] == 1 and v["primary_key"] == 0
+    assert v["flags are between none and all"] == 1 and v["a step needs a previous value"] == 1
+    assert v["key sensor_id, parameter, reading_no"] == 0 and v["status is set"] == 0
 
 
 def test_side_by_side_counts(base):
@@ -165,3 +166,23 @@ def test_exact_quantiles_match_sorted_ranks(spark, accuracy, ties):
         for name, p in probs.items():
             rank = max(1, math.ceil(Decimal(repr(p)) * len(vs)))
             assert got[param][name] == vs[rank - 1], (param, name)
+
+
+def test_null_groups_agree_with_their_summary(spark):
+    r = fixtures.readings_with_nulls(spark, SF001)
+    for quantiles in ("approx", "exact"):
+        s = profile.group_profile(r, quantiles=quantiles)
+        assert s.where("location IS NULL AND sensors = 0").count() == 0
+        assert s.where("median_value IS NULL").count() == 0
+        assert checks.check_summary(s, r).first().verdict == "PASS"
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 4096])
+def test_exact_quantiles_do_not_depend_on_the_ranges(spark, monkeypatch, ranges):
+    monkeypatch.setattr(profile, "BAND_RANGES", ranges)
+    r = fixtures.readings_with_nulls(spark, SF001)
+    got = {x.parameter: x.m for x in profile.exact_quantiles(r, ["parameter"], "value", {"m": 0.5}, 20).collect()}
+    values = {}
+    for x in r.collect():
+        values.setdefault(x.parameter, []).append(x.value)
+    assert got == {k: sorted(v)[(len(v) + 1) // 2 - 1] for k, v in values.items()}

@@ -80,7 +80,7 @@ def test_conform_orders_casts_and_names_missing(spark):
 def test_bars_chain_twice_changes_nothing(spark, tmp_out):
     from tidemark.plans.bars_chain import bars_chain, latest_version, metrics_view
     raw_path = f"{tmp_out}/raw"
-    fixtures.raw_bars(spark, SF001).write.parquet(raw_path)
+    fixtures.raw_bars(spark, SF001).drop("arrival").write.parquet(raw_path)
     raw = spark.read.parquet(raw_path)
     first = bars_chain(spark, raw, f"{tmp_out}/snap")
     assert first.version == 0 and first.load["inserted"] == first.load["total"] > 0
@@ -93,9 +93,18 @@ def test_bars_chain_twice_changes_nothing(spark, tmp_out):
     assert m.count() == first.load["total"] and m.where("drawdown_pct > 0").count() == 0
 
 
+def test_bars_chain_stops_on_dates_out_of_order(spark, tmp_out):
+    import os
+    import pytest
+    from tidemark.plans.bars_chain import ValidationFailed, bars_chain
+    with pytest.raises(ValidationFailed, match="out of order"):
+        bars_chain(spark, fixtures.raw_bars(spark, SF001), f"{tmp_out}/snap", arrival="arrival")
+    assert not os.path.exists(f"{tmp_out}/snap")
+
+
 def test_bars_chain_refuses_a_missing_ticker(spark, tmp_out):
     import pytest
     from tidemark.plans.bars_chain import ValidationFailed, bars_chain
-    raw = fixtures.raw_bars(spark, SF001)
+    raw = fixtures.raw_bars(spark, SF001).drop("arrival")
     with pytest.raises(ValidationFailed, match="NOPE"):
         bars_chain(spark, raw, f"{tmp_out}/snap", wanted=["1-URGENT", "NOPE"])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import previous_value, rolling_mean, series_features
+from tidemark.operators.series import hot_series, previous_value, rolling_mean, series_features
 from tidemark.sources import fixtures
 
 from conftest import SF01
@@ -86,12 +86,29 @@ def test_blocks_and_routing_do_not_change_results(spark, block_rows, hot_rows):
 
 
 def test_hot_series_are_found(spark):
-    from tidemark.operators.series import find_hot_keys
-    src = fixtures.readings(spark, SF01)
-    hot = find_hot_keys(src, ["sensor_id", "parameter"], 14)
-    sizes = src.groupBy("sensor_id", "parameter").count()
-    assert len(hot) == sizes.where("count > 14").count() > 0
-    assert find_hot_keys(src, ["sensor_id", "parameter"], 14, max_keys=1) is None
+    src = fixtures.readings_with_nulls(spark, SF01)
+    keys = ["sensor_id", "parameter"]
+    sizes = src.groupBy(*keys).count()
+    assert hot_series(src, keys, 14).count() == sizes.where("count > 14").count() > 0
+    assert hot_series(src, keys, 14).where("sensor_id IS NULL").count() > 0
+    assert hot_series(src, keys, 100_000) is None
+    # The bound grows with the table, so that the number of hot series cannot.
+    assert hot_series(src, keys, 14, max_keys=300).count() == sizes.where(f"count > {-(-10_000 // 300)}").count()
+
+
+def test_null_keys_are_kept_on_every_route(spark):
+    rows = [(None if k % 3 == 0 else "0000001", d(k // 4), "X", None if k % 5 == 0 else "p", float(k), "Bad" if k % 2 else "Good", k) for k in range(40)]
+    df = readings(spark, rows)
+    plain = series_features(df, hot_rows=1 << 22)
+    assert plain.count() == 40
+    for hot_rows in (0, 6):
+        other = series_features(df, hot_rows=hot_rows, block_rows=3)
+        assert other.count() == 40
+        assert plain.exceptAll(other).count() == 0 and other.exceptAll(plain).count() == 0
+    lagged = previous_value(df, ["sensor_id"], "seq", "value", hot_rows=1 << 22)
+    for hot_rows in (0, 20):
+        other = previous_value(df, ["sensor_id"], "seq", "value", block_rows=3, hot_rows=hot_rows)
+        assert lagged.exceptAll(other).count() == 0 and other.count() == 40
 
 
 @pytest.mark.parametrize("hot_rows", [0, 1 << 22])

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import exchange_local_date
 from tidemark.operators.profile import exact_quantiles
-from tidemark.operators.series import DEFAULT_HOT_ROWS, day_number, find_hot_keys, floor_div, tuned
+from tidemark.operators.joins import keyed_join
 
 # Column roles of a bar.
 PRICE_COLUMNS = ("open", "high", "low", "close")
@@ -35,8 +35,6 @@ RULES = ("duplicate_date", "incomplete", "nonpositive", "inconsistent")
 TRADING_DAYS = 252
 VOLATILITY_ROWS = 30
 
-DEFAULT_BLOCK_DAYS = 1 << 12
-DEFAULT_POSITION_BLOCK = 1 << 16
 
 
 # --- normalising (B1, A13) -------------------------------------------------------
@@ -193,9 +191,6 @@ def bar_metrics(
     ticker: str = "ticker",
     date: str = "date",
     close: str = "close",
-    block_days: int = DEFAULT_BLOCK_DAYS,
-    position_block: int = DEFAULT_POSITION_BLOCK,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """The ticker metrics view: indexed close, daily return %, drawdown %, 30-row volatility %.
 
@@ -207,117 +202,29 @@ def bar_metrics(
       30 rows ending here (NULLs skipped, no minimum)
 
     Output keeps the input columns except dividends and splits. (ticker, date)
-    must be unique. Tickers with at most ``hot_rows`` bars use per-ticker
-    windows; hotter ones (``hot_rows=0``: all) are cut into date blocks and
-    halo-extended position blocks, so no task holds more than a block.
+    must be unique, so a ticker has at most one bar per calendar day: that
+    bounds its window (3,652,059 days are all that Spark's dates hold), and a
+    ticker is never cut. Bars without a ticker form one series.
     """
-    halo = VOLATILITY_ROWS - 1
-    if position_block <= halo:
-        raise ValueError(f"position_block must exceed {halo}")
-    hot_rows = tuned(ohlcv, hot_rows, "tidemark.hotRows", DEFAULT_HOT_ROWS)
-    args = (ticker, date, close)
-    if hot_rows == 0:
-        return _blocked_metrics(ohlcv, *args, block_days, position_block)
-    hot = find_hot_keys(ohlcv, [ticker], hot_rows)
-    if hot is None:
-        return _blocked_metrics(ohlcv, *args, block_days, position_block)
-    if not hot:
-        return _plain_metrics(ohlcv, *args)
-    keys = ohlcv.sparkSession.createDataFrame(hot, ohlcv.select(ticker).schema)
-    cold = ohlcv.join(F.broadcast(keys), ticker, "left_anti").select(*ohlcv.columns)
-    warm = ohlcv.join(F.broadcast(keys), ticker, "left_semi").select(*ohlcv.columns)
-    return _plain_metrics(cold, *args).unionByName(_blocked_metrics(warm, *args, block_days, position_block))
-
-
-def _metric_columns(cols: list[str]) -> list[str]:
-    return [c for c in cols if c not in FILLABLE_COLUMNS[1:]]
-
-
-def _plain_metrics(ohlcv: DataFrame, ticker: str, date: str, close: str) -> DataFrame:
-    """Per-ticker windows; used only for tickers of at most ``hot_rows`` bars."""
-    cols = ohlcv.columns
     c = F.col(close)
-    hist = Window.partitionBy(ticker).orderBy(date)
-    ret = c / F.nullif(F.lag(close).over(hist), F.lit(0.0)) - 1
-    step = ohlcv.select(
-        *cols,
-        ret.alias("_ret"),
-        F.first(close).over(hist).alias("_first_close"),
-        F.max(close).over(hist.rowsBetween(Window.unboundedPreceding, 0)).alias("_peak"),
+    history = Window.partitionBy(ticker).orderBy(date)
+    so_far = history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    recent = history.rowsBetween(1 - VOLATILITY_ROWS, Window.currentRow)
+    growth = c / F.nullif(F.lag(close).over(history), F.lit(0.0)) - 1
+    # Only the volatility needs the returns as rows; the rest are windows over the closes.
+    grown = ohlcv.withColumn("_growth", growth)
+    yearly = F.lit(100.0) * F.sqrt(F.lit(float(TRADING_DAYS)))
+    return grown.select(
+        *_metric_columns(ohlcv.columns),
+        (F.lit(100.0) * c / F.first(close).over(so_far)).alias("indexed_close"),
+        (F.lit(100.0) * F.col("_growth")).alias("daily_return_pct"),
+        (F.lit(100.0) * (c / F.max(close).over(so_far) - 1)).alias("drawdown_pct"),
+        (yearly * F.stddev_samp("_growth").over(recent)).alias("volatility_30d_pct"),
     )
-    frame = hist.rowsBetween(-(VOLATILITY_ROWS - 1), 0)
-    vol = F.lit(100.0) * F.sqrt(F.lit(float(TRADING_DAYS))) * F.stddev_samp("_ret").over(frame)
-    return step.select(
-        *_metric_columns(cols),
-        (F.lit(100.0) * c / F.col("_first_close")).alias("indexed_close"),
-        (F.lit(100.0) * F.col("_ret")).alias("daily_return_pct"),
-        (F.lit(100.0) * (c / F.col("_peak") - 1)).alias("drawdown_pct"),
-        vol.alias("volatility_30d_pct"),
-    )
-
-
-def _blocked_metrics(
-    ohlcv: DataFrame,
-    ticker: str = "ticker",
-    date: str = "date",
-    close: str = "close",
-    block_days: int = DEFAULT_BLOCK_DAYS,
-    position_block: int = DEFAULT_POSITION_BLOCK,
-) -> DataFrame:
-    """Date blocks for positions, running peak and previous close; position blocks
-    with a 29-row halo for the volatility frame."""
-    halo = VOLATILITY_ROWS - 1
-    cols = ohlcv.columns
-    base = ohlcv.select(*cols, day_number(date).alias("_d")).withColumn("_db", floor_div("_d", block_days))
-    c = F.col(close)
 
-    blocks = base.groupBy(ticker, "_db").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min_by(close, date).alias("_first"),
-        F.max_by(close, date).alias("_last"),
-        F.max(close).alias("_max"),
-    )
-    hist = Window.partitionBy(ticker).orderBy("_db")
-    before = hist.rowsBetween(Window.unboundedPreceding, -1)
-    facts = blocks.select(
-        ticker, "_db",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-        F.lag("_last").over(hist).alias("_prev_last"),
-        F.max("_max").over(before).alias("_peak_before"),
-        F.first("_first").over(hist.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_first_close"),
-    )
-    local = Window.partitionBy(ticker, "_db").orderBy(date)
-    rows = base.select(
-        *cols, "_db",
-        F.row_number().over(local).alias("_rn"),
-        F.lag(close).over(local).alias("_lag"),
-        F.max(close).over(local.rowsBetween(Window.unboundedPreceding, 0)).alias("_run_max"),
-    ).join(facts, [ticker, "_db"])
-    prev = F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag"))
-    peak = F.greatest(F.col("_run_max"), F.col("_peak_before"))
-    ret = c / F.nullif(prev, F.lit(0.0)) - 1
-    step1 = rows.select(
-        *cols,
-        (F.col("_n_before") + F.col("_rn")).alias("_pos"),
-        (F.lit(100.0) * c / F.col("_first_close")).alias("indexed_close"),
-        ret.alias("_ret"),
-        (F.lit(100.0) * (c / peak - 1)).alias("drawdown_pct"),
-    )
 
-    # Position blocks, each preceded by a copy of the previous block's last rows.
-    pb = F.expr(f"(_pos - 1) div {position_block}")
-    in_halo = F.pmod(F.col("_pos") - 1, F.lit(position_block)) >= position_block - halo
-    tagged = step1.select(
-        "*",
-        F.explode(F.when(in_halo, F.array(pb, pb + 1)).otherwise(F.array(pb))).alias("_pb"),
-    ).withColumn("_home", F.col("_pb") == pb)
-    frame = Window.partitionBy(ticker, "_pb").orderBy("_pos").rowsBetween(-halo, 0)
-    vol = F.lit(100.0) * F.sqrt(F.lit(float(TRADING_DAYS))) * F.stddev_samp("_ret").over(frame)
-    out = tagged.select(*cols, "indexed_close", "_ret", "drawdown_pct", "_home", vol.alias("volatility_30d_pct"))
-    return out.where("_home").select(
-        *_metric_columns(cols), "indexed_close", (F.lit(100.0) * F.col("_ret")).alias("daily_return_pct"),
-        "drawdown_pct", "volatility_30d_pct",
-    )
+def _metric_columns(cols: list[str]) -> list[str]:
+    return [c for c in cols if c not in FILLABLE_COLUMNS[1:]]
 
 
 # --- dashboard summaries (B10, D11, D12) --------------------------------------------
@@ -335,35 +242,38 @@ def filter_bars(df: DataFrame, start=None, end=None, tickers: Sequence[str] | No
     return df.where(cond)
 
 
+# The quartiles of a box plot.
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def return_distribution(metrics: DataFrame, ticker: str = "ticker", value: str = "daily_return_pct",
-                        accuracy: int = 10_000, exact: bool = False) -> DataFrame:
+                        accuracy: int = 10_000, exact: bool = True) -> DataFrame:
     """Box-plot figures of the daily returns per ticker.
 
     n, min, q1, median, q3, max, iqr, whisker fences at 1.5 * IQR and the count
-    of returns outside them. Quartiles are data values at rank ceil(p * n):
-    from a bounded quantile sketch (exact below ``accuracy`` rows per ticker,
-    rank error <= n/accuracy above), or with ``exact=True`` from
-    ``profile.exact_quantiles`` (exact at any size, still without sorting a
-    ticker in one task).
+    of returns outside them. Quartiles are data values at rank ceil(p * n): exact
+    at any size (``profile.exact_quantiles``, which sorts no ticker in one
+    task), or with ``exact=False`` from a bounded quantile sketch in the same
+    aggregation as the other figures (rank error <= n / accuracy). A NULL
+    ticker is a group like any other.
     """
-    r = metrics.where(F.col(value).isNotNull())
-    base = r.groupBy(ticker).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"))
+    r = metrics.select(ticker, value).where(F.col(value).isNotNull())
+    figures = [F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max")]
     if exact:
-        quartiles = exact_quantiles(r, [ticker], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy)
+        stats = keyed_join(r.groupBy(ticker).agg(*figures), exact_quantiles(r, [ticker], value, QUARTILES, accuracy), [ticker])
     else:
-        q = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
-        quartiles = r.groupBy(ticker).agg(q.alias("_q")).select(
-            ticker, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    stats = base.join(quartiles, ticker).select(ticker, "n", "min", "q1", "median", "q3", "max") \
-     .withColumn("iqr", F.col("q3") - F.col("q1")) \
-     .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")) \
-     .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
-    outliers = r.select(ticker, value).join(stats.select(ticker, "lower_fence", "upper_fence"), ticker).groupBy(ticker).agg(
-        F.count_if((F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))).alias("outliers")
-    )
-    return stats.join(outliers, ticker, "left").select(
-        *stats.columns, F.coalesce(F.col("outliers"), F.lit(0)).alias("outliers")
+        sketch = F.percentile_approx(value, list(QUARTILES.values()), accuracy)
+        stats = r.groupBy(ticker).agg(*figures, sketch.alias("_q")).select(
+            ticker, "n", "min", "max", *[F.col("_q")[i].alias(q) for i, q in enumerate(QUARTILES)])
+    spread = F.col("q3") - F.col("q1")
+    stats = stats.select(
+        ticker, "n", "min", "q1", "median", "q3", "max", spread.alias("iqr"),
+        (F.col("q1") - F.lit(1.5) * spread).alias("lower_fence"), (F.col("q3") + F.lit(1.5) * spread).alias("upper_fence"),
     )
+    fences = stats.select(ticker, "lower_fence", "upper_fence")
+    outside = keyed_join(r, fences, [ticker]).groupBy(ticker).agg(
+        F.count_if((F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))).alias("outliers"))
+    return keyed_join(stats, outside, [ticker])
 
 
 def scoreboard(metrics: DataFrame, ticker: str = "ticker", date: str = "date",

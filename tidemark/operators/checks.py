@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import dec, mean_from, round3
+from tidemark.operators.joins import KEY, keyed, keyed_join
 from tidemark.operators.series import day_number, previous_value
 
 # The tolerance the reference's checks allow (half of the last of
@@ -69,6 +70,15 @@ def check_arrival(
 
 # --- K2 / C1 ---------------------------------------------------------------------
 
+def side_by_side(summary: DataFrame, recomputed: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """FULL OUTER join on the keys (NULL equals NULL): ``_s_`` and ``_r_`` versions of the columns."""
+    s, r = (
+        keyed(df, keys).select(KEY, F.lit(True).alias(f"_in_{side}"), *[F.col(c).alias(f"_{side}_{c}") for c in columns])
+        for side, df in (("s", summary), ("r", recomputed))
+    )
+    return s.join(r, KEY, "full")
+
+
 def reconcile(
     summary: DataFrame,
     recomputed: DataFrame,
@@ -82,19 +92,17 @@ def reconcile(
     A disagreement is a key on one side only, unequal counts, or a measure that
     differs by more than ``tol`` (NULL on one side only counts as a difference).
     """
-    s = summary.select(*keys, F.lit(True).alias("_in_s"), *[F.col(c).alias(f"_s_{c}") for c in [count_col, *measures]])
-    r = recomputed.select(*keys, F.lit(True).alias("_in_r"), *[F.col(c).alias(f"_r_{c}") for c in [count_col, *measures]])
-    j = s.join(r, on=list(keys), how="full")
+    j = side_by_side(summary, recomputed, keys, [count_col, *measures])
     bad = F.col("_in_s").isNull() | F.col("_in_r").isNull() | ~F.col(f"_s_{count_col}").eqNullSafe(F.col(f"_r_{count_col}"))
     for m in measures:
         bad = bad | differs(F.col(f"_s_{m}"), F.col(f"_r_{m}"), tol)
-    return j.select(*keys, F.col("_in_s").isNotNull().alias("in_summary"),
+    return j.select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], F.col("_in_s").isNotNull().alias("in_summary"),
                     F.col("_in_r").isNotNull().alias("in_recomputed"), bad.alias("disagrees"))
 
 
-def recompute_profile(df: DataFrame, keys: Sequence[str] = ("location", "parameter"), value: str = "value") -> DataFrame:
-    """The profile recomputed with Spark's own built-in aggregates, for K2."""
-    return df.groupBy(*keys).agg(
+def profile_measures(value: str = "value") -> list[Column]:
+    """The profile's measures by Spark's own built-in aggregates, for K2."""
+    return [
         F.count(F.lit(1)).alias("readings"),
         F.avg(value).alias("avg_value"),
         F.stddev_samp(value).alias("stddev_value"),
@@ -103,7 +111,7 @@ def recompute_profile(df: DataFrame, keys: Sequence[str] = ("location", "paramet
         (100.0 * F.avg(_bad().cast("double"))).alias("bad_pct"),
         F.min("reading_date").alias("first_reading"),
         F.max("reading_date").alias("last_reading"),
-    )
+    ]
 
 
 # The quantiles the summary reports, the sketch accuracy behind
@@ -113,91 +121,85 @@ QUANTILE_ACCURACY = 10_000
 DISTINCT_BAND = 0.06
 
 
-def quantile_rank_errors(
-    summary: DataFrame,
-    readings: DataFrame,
-    keys: Sequence[str],
-    quantiles: Sequence[tuple[str, float]] = SUMMARY_QUANTILES,
-    value: str = "value",
-    accuracy: int = QUANTILE_ACCURACY,
-) -> DataFrame:
-    """Per group, whether each reported quantile has a rank within the sketch's bound.
+def rank_off(column: str, p: float, accuracy: int = QUANTILE_ACCURACY) -> Column:
+    """Whether a reported quantile's rank is outside the sketch's bound.
 
-    A value q reported for probability p over n values is right when fewer than
-    p*n + n/accuracy + 1 values are below q and at least p*n - n/accuracy - 1
-    are at or below it (ties at q count on either side). The summary (one row
-    per group) is joined back to the readings, and the counts are one
-    aggregation.
+    Over n values, fewer than p*n + n/accuracy + 1 must be below it and at least
+    p*n - n/accuracy - 1 at or below it (ties count on either side).
     """
-    keys = list(keys)
-    qs = summary.select(*keys, *[F.col(c).alias(f"_q_{c}") for c, _ in quantiles])
-    j = readings.select(*keys, value).join(qs, keys)
-    counts = j.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(value) < F.col(f"_q_{c}")).alias(f"_lt_{c}") for c, _ in quantiles],
-        *[F.count_if(F.col(value) <= F.col(f"_q_{c}")).alias(f"_le_{c}") for c, _ in quantiles],
-    )
-    bad = F.lit(False)
-    for c, p in quantiles:
-        slack = F.col("_n") / F.lit(float(accuracy)) + F.lit(1.0)
-        target = F.col("_n") * F.lit(p)
-        bad = bad | (F.col(f"_lt_{c}") > target + slack) | (F.col(f"_le_{c}") < target - slack)
-    return counts.select(*keys, bad.alias("quantile_off"))
+    slack = F.col("readings") / F.lit(float(accuracy)) + F.lit(1.0)
+    goal = F.col("readings") * F.lit(p)
+    return (F.col(f"_lt_{column}") > goal + slack) | (F.col(f"_le_{column}") < goal - slack)
 
 
 def check_summary(summary: DataFrame, readings: DataFrame, keys: Sequence[str] = ("location", "parameter"),
-                  entity: str = "sensor_id") -> DataFrame:
+                  entity: str = "sensor_id", value: str = "value") -> DataFrame:
     """The location summary agrees with the readings it summarises (K2).
 
-    Count, mean, sd, min, max and bad % within the tolerance (FULL OUTER on the
-    keys), first/last dates equal, median and p95 within the sketch's rank
-    bound, and the sensor count within the band of the exact distinct count.
+    Count, mean, sd, min, max and bad % within the tolerance, first and last
+    dates equal, median and p95 within the sketch's rank bound, and the sensor
+    count within the band of the exact distinct count. The readings are read
+    twice (all measures at once, and the distinct sensors); a NULL key is a
+    group like any other.
     """
     from tidemark.operators.profile import count_distinct_by
 
     keys = list(keys)
-    measures = ["avg_value", "stddev_value", "min_value", "max_value", "bad_pct"]
-    rec = recompute_profile(readings, keys).join(count_distinct_by(readings, keys, entity, "_exact_sensors"), keys, "left")
-    dis = reconcile(summary, rec, keys, "readings", measures)
-    extra = summary.select(*keys, "first_reading", "last_reading", "sensors").join(
-        rec.select(*keys, F.col("first_reading").alias("_f"), F.col("last_reading").alias("_l"), "_exact_sensors"),
-        keys, "full",
-    ).select(*keys, (
-        ~F.col("first_reading").eqNullSafe(F.col("_f")) | ~F.col("last_reading").eqNullSafe(F.col("_l"))
-        | F.coalesce(F.abs(F.col("sensors") - F.col("_exact_sensors"))
-                     > F.greatest(F.lit(1.0), F.col("_exact_sensors") * F.lit(DISTINCT_BAND)), F.lit(True))
-    ).alias("_dd"))
-    ranks = quantile_rank_errors(summary, readings, keys)
-    both = dis.join(extra, keys, "full").join(ranks, keys, "left")
-    return both.agg(*verdict_row(
-        "summary_agrees",
-        F.count_if(F.col("in_summary")),
-        F.count_if(F.coalesce(F.col("disagrees"), F.lit(True)) | F.coalesce(F.col("_dd"), F.lit(True))
-                   | F.coalesce(F.col("quantile_off"), F.lit(False))),
-    ))
+    close = ["avg_value", "stddev_value", "min_value", "max_value", "bad_pct"]
+    equal = ["readings", "first_reading", "last_reading"]
+    quantiles = summary.select(*keys, *[F.col(c).alias(f"_q_{c}") for c, _ in SUMMARY_QUANTILES])
+    seen = keyed_join(readings, quantiles, keys, "left")
+    ranks = [
+        F.count_if(F.col(value) < F.col(f"_q_{c}") if below else F.col(value) <= F.col(f"_q_{c}")).alias(f"_{name}_{c}")
+        for c, _ in SUMMARY_QUANTILES for name, below in (("lt", True), ("le", False))
+    ]
+    again = seen.groupBy(*keys).agg(*profile_measures(value), *ranks)
+    off = F.lit(False)
+    for c, p in SUMMARY_QUANTILES:
+        off = off | rank_off(c, p)
+    again = again.withColumn("quantile_off", off)
+    again = keyed_join(again, count_distinct_by(readings, keys, entity, "sensors"), keys, "left").fillna(0, ["sensors"])
+    both = side_by_side(summary.withColumn("quantile_off", F.lit(False)), again, keys, [*close, *equal, "sensors", "quantile_off"])
+    wrong = F.col("_in_s").isNull() | F.col("_in_r").isNull()
+    for c in close:
+        wrong = wrong | differs(F.col(f"_s_{c}"), F.col(f"_r_{c}"))
+    for c in equal:
+        wrong = wrong | ~F.col(f"_s_{c}").eqNullSafe(F.col(f"_r_{c}"))
+    band = F.greatest(F.lit(1.0), F.col("_r_sensors") * F.lit(DISTINCT_BAND))
+    wrong = wrong | (F.abs(F.col("_s_sensors") - F.col("_r_sensors")) > band) | F.col("_r_quantile_off")
+    return both.agg(*verdict_row("summary_agrees", F.count("_in_s"), F.count_if(F.coalesce(wrong, F.lit(True)))))
 
 
 # --- K3 / E12 ------------------------------------------------------------------------
 
+def feature_rules(value: str = "value") -> dict[str, Column]:
+    """Rule -> rows that break it, for the columns of the series features."""
+    opening = F.col("reading_no") == 1
+    step = F.col(value).cast(COMPARE_DECIMAL) - F.col("prev_value").cast(COMPARE_DECIMAL)
+    return {
+        "flags never outnumber rows": F.col("bad_so_far") > F.col("reading_no"),
+        "opening row stands alone": opening & F.col("prev_value").isNotNull(),
+        "other rows follow one": ~opening & F.col("prev_value").isNull(),
+        "step is the difference": F.col("prev_value").isNotNull() & differs(F.col("delta"), step),
+    }
+
+
+def rule_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """One row per rule: rule, rows_checked, violations; one aggregation over ``df``."""
+    total = F.count(F.lit(1)).alias("rows_checked")
+    wide = df.agg(total, *[F.count_if(F.coalesce(broken, F.lit(False))).alias(f"_{k}") for k, broken in enumerate(rules.values())])
+    lines = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col("rows_checked"), F.col(f"_{k}").alias("violations")) for k, rule in enumerate(rules)])
+    return wide.select(F.explode(lines).alias("line")).select("line.*")
+
+
 def window_consistency(features: DataFrame, value: str = "value") -> DataFrame:
-    """The four self-consistency counts of the window columns, one row."""
-    wrong_delta = F.col("prev_value").isNotNull() & differs(
-        F.col("delta"), F.col(value).cast(COMPARE_DECIMAL) - F.col("prev_value").cast(COMPARE_DECIMAL)
-    )
-    return features.agg(
-        F.count(F.lit(1)).alias("rows_checked"),
-        F.count_if(wrong_delta).alias("wrong_delta"),
-        F.count_if((F.col("reading_no") == 1) & F.col("prev_value").isNotNull()).alias("first_has_a_predecessor"),
-        F.count_if((F.col("reading_no") > 1) & F.col("prev_value").isNull()).alias("later_missing_predecessor"),
-        F.count_if(F.col("bad_so_far") > F.col("reading_no")).alias("impossible_bad_count"),
-    )
+    """The features' rules with the number of rows that break each."""
+    return rule_report(features, feature_rules(value))
 
 
 def check_window(features: DataFrame) -> DataFrame:
-    """K3: delta = value - prev; first has no predecessor, later ones do; bad_so_far <= position."""
-    t = window_consistency(features)
-    v = F.col("wrong_delta") + F.col("first_has_a_predecessor") + F.col("later_missing_predecessor") + F.col("impossible_bad_count")
-    return t.select(*verdict_row("window_consistent", F.col("rows_checked"), v))
+    """K3: every rule of :func:`feature_rules` holds."""
+    return window_consistency(features).agg(*verdict_row("window_consistent", F.max("rows_checked"), F.sum("violations")))
 
 
 # --- K4 / D7 ---------------------------------------------------------------------
@@ -275,12 +277,13 @@ class Constraint:
     predicate: Column | None = field(default=None, compare=False)
 
 
-def not_null(*cols: str) -> Constraint:
-    return Constraint(f"{'_'.join(cols)}_not_null", "not_null", tuple(cols))
+def not_null(*cols: str) -> list[Constraint]:
+    """One constraint for each column."""
+    return [Constraint(f"{c} is set", "not_null", (c,)) for c in cols]
 
 
 def primary_key(*cols: str) -> Constraint:
-    return Constraint("primary_key", "primary_key", tuple(cols))
+    return Constraint(f"key {', '.join(cols)}", "primary_key", tuple(cols))
 
 
 def check(name: str, predicate: Column) -> Constraint:
@@ -288,78 +291,78 @@ def check(name: str, predicate: Column) -> Constraint:
     return Constraint(name, "check", (), predicate)
 
 
-def check_constraints(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Violation count per constraint: constraint, kind, violations.
+def _any_null(cols: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for c in cols:
+        out = out | F.col(c).isNull()
+    return out
 
-    All row-level constraints are one aggregation; each primary key adds one
-    grouped count (partial aggregation, so duplicated hot keys are cheap).
-    """
-    row_level = [c for c in constraints if c.kind != "primary_key"]
-    parts = []
-    if row_level:
-        aggs = []
-        for c in row_level:
-            if c.kind == "not_null":
-                cond = F.lit(False)
-                for col in c.columns:
-                    cond = cond | F.col(col).isNull()
-            elif c.kind == "check":
-                cond = F.coalesce(~c.predicate, F.lit(False))
-            else:
-                raise ValueError(f"unknown constraint kind {c.kind!r}")
-            aggs.append(F.count_if(cond).alias(c.name))
-        wide = df.agg(*aggs)
-        parts.append(wide.select(F.explode(F.array(*[
-            F.struct(F.lit(c.name).alias("constraint"), F.lit(c.kind).alias("kind"), F.col(c.name).cast("long").alias("violations"))
-            for c in row_level
-        ])).alias("c")).select("c.*"))
+
+def _broken(c: Constraint) -> Column:
+    """Rows that break a constraint by themselves; a key's NULLs are such rows."""
+    return F.coalesce(~c.predicate, F.lit(False)) if c.kind == "check" else _any_null(c.columns)
+
+
+def _violations(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
+    """constraint, kind, rows_checked, violations: one aggregation for all rules of rows, one for each key's repeats."""
+    wrong = [c.kind for c in constraints if c.kind not in ("not_null", "primary_key", "check")]
+    if wrong:
+        raise ValueError(f"unknown constraint kind {wrong[0]!r}")
+    rows = rule_report(df, {c.name: _broken(c) for c in constraints})
+    kinds = F.create_map(*[F.lit(x) for c in constraints for x in (c.name, c.kind)])
+    out = rows.select(F.col("rule").alias("constraint"), F.element_at(kinds, F.col("rule")).alias("kind"), "rows_checked", "violations")
     for c in constraints:
         if c.kind == "primary_key":
-            dup = df.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-            key_null = F.lit(False)
-            for k in c.columns:
-                key_null = key_null | F.col(k).isNull()
-            nulls = df.select(F.count_if(key_null)).scalar()
-            v = dup.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d"))
-            parts.append(v.select(F.lit(c.name).alias("constraint"), F.lit(c.kind).alias("kind"),
-                                  (F.col("d") + nulls).cast("long").alias("violations")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            repeats = df.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
+            out = out.unionByName(repeats.select(
+                F.lit(c.name).alias("constraint"), F.lit(c.kind).alias("kind"), F.lit(0).cast("long").alias("rows_checked"), F.col("n").alias("violations")))
     return out
 
 
+def check_constraints(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
+    """Violation count per constraint: constraint, kind, violations.
+
+    A key counts the rows beyond the first of each key and the rows with a NULL in it.
+    """
+    return _violations(df, constraints).groupBy("constraint", "kind").agg(F.sum("violations").cast("long").alias("violations"))
+
+
 def readings_constraints() -> list[Constraint]:
-    """The DDL of the processed readings table as constraints (K9)."""
+    """What a row of the series features must satisfy (K9)."""
+    flags, place = F.col("bad_so_far"), F.col("reading_no")
     return [
-        not_null("sensor_id", "reading_date", "location", "parameter", "value", "status",
-                 "reading_no", "rolling_avg_7d", "bad_so_far"),
         primary_key("sensor_id", "parameter", "reading_no"),
-        check("status_known", F.col("status").isin("Good", "Bad")),
-        check("reading_no_positive", F.col("reading_no") >= 1),
-        check("bad_so_far_sane", F.col("bad_so_far").between(0, F.col("reading_no"))),
-        check("delta_paired", F.col("prev_value").isNull() == F.col("delta").isNull()),
+        check("a step needs a previous value", F.col("delta").isNull() == F.col("prev_value").isNull()),
+        check("flags are between none and all", (flags >= 0) & (flags <= place)),
+        check("places count from one", place > 0),
+        check("state is Good or Bad", (F.col("status") == "Bad") | (F.col("status") == "Good")),
+        *not_null("status", "value", "parameter", "location", "reading_date", "sensor_id", "bad_so_far", "rolling_avg_7d", "reading_no"),
     ]
 
 
 def location_stats_constraints() -> list[Constraint]:
+    """What a row of the location profile must satisfy (K9)."""
     return [
-        not_null("location", "parameter", "readings", "sensors"),
         primary_key("location", "parameter"),
-        check("readings_positive", F.col("readings") > 0),
-        check("window_ordered", F.col("first_reading") <= F.col("last_reading")),
+        check("ends after it begins", F.col("last_reading") >= F.col("first_reading")),
+        check("has readings", F.col("readings") >= 1),
+        *not_null("sensors", "readings", "parameter", "location"),
     ]
 
 
 def check_table(df: DataFrame, constraints: Sequence[Constraint], check_id: str) -> DataFrame:
     """K9: all constraints of a table folded into one verdict row."""
-    per = check_constraints(df, constraints)
-    rows = df.select(F.count(F.lit(1))).scalar()
-    return per.agg(F.sum("violations").alias("v")).select(*verdict_row(check_id, rows, F.col("v")))
+    return _violations(df, constraints).agg(*verdict_row(check_id, F.max("rows_checked"), F.sum("violations")))
 
 
 # --- K8: bars validation -------------------------------------------------------------
 
+def out_of_order(bars: DataFrame, ticker: str, date: str, arrival: str) -> DataFrame:
+    """(ticker, late): rows whose date is before the date of the ticker's previous arrival."""
+    with_previous = previous_value(bars.select(ticker, date, arrival), [ticker], arrival, date, out="_before")
+    return with_previous.groupBy(ticker).agg(F.count_if(F.coalesce(F.col(date) < F.col("_before"), F.lit(False))).alias("late"))
+
+
 def validate_bars(
     bars: DataFrame,
     wanted: DataFrame,
@@ -391,14 +394,14 @@ def validate_bars(
         frame = bars.withColumn("_ooo", F.lit(False))
     per = frame.groupBy(ticker).agg(
         F.count(F.lit(1)).alias("rows"),
-        (F.count(F.lit(1)) - F.count_distinct(date)).alias("duplicate_dates"),
+        (F.count(date) - F.count_distinct(date)).alias("duplicate_dates"),
         F.count_if(F.col("_ooo")).alias("out_of_order"),
         F.count_if(missing).alias("missing_prices"),
         F.count_if(F.coalesce(nonpos, F.lit(False))).alias("nonpositive_prices"),
         F.count_if(F.coalesce(unbracketed, F.lit(False))).alias("unbracketed"),
     )
     counts = ["rows", "duplicate_dates", "out_of_order", "missing_prices", "nonpositive_prices", "unbracketed"]
-    out = wanted.select(ticker).distinct().join(per, ticker, "left").select(
+    out = keyed_join(wanted.select(ticker).distinct(), per, [ticker], "left").select(
         ticker, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts]
     )
     failures = (F.col("rows") == 0).cast("long")
@@ -423,7 +426,11 @@ def run_checks(checks: Sequence[DataFrame]) -> DataFrame:
 
 
 class CheckFailed(AssertionError):
-    pass
+    """Raised for failed checks; ``rows`` has their verdicts."""
+
+    def __init__(self, message: str, rows: Sequence = ()):
+        super().__init__(message)
+        self.rows = list(rows)
 
 
 def assert_checks(results: DataFrame) -> list:
@@ -432,7 +439,7 @@ def assert_checks(results: DataFrame) -> list:
     failed = [r for r in rows if r["verdict"] != "PASS"]
     if failed:
         detail = "; ".join(f"{r['check_id']}: {r['violations']} of {r['rows_checked']}" for r in failed)
-        raise CheckFailed(f"{len(failed)} check(s) failed: {detail}")
+        raise CheckFailed(f"{len(failed)} check(s) failed: {detail}", failed)
     return rows
 
 
@@ -440,10 +447,7 @@ def assert_checks(results: DataFrame) -> list:
 
 def side_by_side_counts(**tables: DataFrame) -> DataFrame:
     """One row with the row count of each named table (C2), as scalar subqueries."""
-    items = list(tables.items())
-    name, df = items[0]
-    out = df.agg(F.count(F.lit(1)).alias(name))
-    for name, df in items[1:]:
-        out = out.withColumn(name, df.select(F.count(F.lit(1))).scalar())
-    return out
+    (first, df), *others = tables.items()
+    counts = [other.select(F.count(F.lit(1))).scalar().alias(name) for name, other in others]
+    return df.agg(F.count(F.lit(1)).alias(first)).select(first, *counts)
 

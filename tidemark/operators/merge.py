@@ -2,7 +2,8 @@
 
 Plain parquet has no transactions, so an upsert never rewrites the table it
 reads: ``classify_upsert`` is a lazy FULL OUTER join of the current snapshot
-and the incoming batch, ``upsert_snapshot`` is the next snapshot, and
+and the incoming batch (one scan of each), ``upsert`` gives the next snapshot
+together with counts that are observed while it is written, and
 ``write_snapshot`` lands it in a new directory; readers switch by path.
 """
 
@@ -10,15 +11,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import lookup_join, row_count_at_most
+from tidemark.operators.joins import KEY, keyed, keyed_join, lookup_join, measured_bytes
 
 # The four outcomes of a keyed load.
 INSERTED, UPDATED, UNCHANGED, RETAINED = "inserted", "updated", "unchanged", "retained"
-# A batch of at most this many rows is broadcast instead of shuffling the target.
-DEFAULT_BATCH_ROWS = 1_000_000
+# A batch that measures at most this many bytes may be broadcast instead of shuffling the target.
+DEFAULT_BATCH_BYTES = 8 << 20
+
+
+# Names shown in an error.
+SHOWN = 20
 
 
 class DuplicateKeyError(ValueError):
@@ -45,55 +50,45 @@ def _changed(values: Sequence[str]) -> Column:
     return cond
 
 
+def _sides(target: DataFrame, incoming: DataFrame, key: list[str], values: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both inputs with the key as a struct (NULL equals NULL) and their values renamed."""
+    return tuple(
+        keyed(df, key).select(KEY, F.lit(True).alias(f"_in_{side}"), *[F.col(v).alias(f"_{side}_{v}") for v in values])
+        for side, df in (("t", target), ("i", incoming))
+    )
+
+
 def classify_upsert(target: DataFrame, incoming: DataFrame, key: Sequence[str], values: Sequence[str],
-                    broadcast_rows: int | None = None) -> DataFrame:
+                    broadcast_bytes: int | None = None) -> DataFrame:
     """One row per key of either side: key columns, ``action``, and both versions.
 
     inserted: only incoming has the key; updated: both, some value IS DISTINCT
     FROM; unchanged: both, all values equal (NULL equals NULL); retained: only
-    the target has it.
-
-    With ``broadcast_rows`` set and ``incoming`` provably at most that many
-    rows (a bounded count), the target is never shuffled: matches come from a
-    broadcast hash join against the batch, retained rows from a broadcast anti
-    join, inserts from the batch minus the matched keys. Otherwise (the default,
-    right for inputs that are themselves derived plans) both sides are shuffled
-    on the key for one FULL OUTER join.
+    the target has it. A NULL in a key equals a NULL.
+
+    Both sides are scanned once and shuffled on the key for one FULL OUTER
+    join. With ``broadcast_bytes`` set and a batch that measures no more (one
+    aggregation over it), the target is not shuffled: it meets the broadcast
+    batch in a left join, and the inserted rows are the batch minus the target's
+    keys, for which only the key columns are read again.
     """
     key, values = list(key), list(values)
-    t = target.select(*key, F.lit(True).alias("_in_t"), *[F.col(v).alias(f"_t_{v}") for v in values])
-    i = incoming.select(*key, F.lit(True).alias("_in_i"), *[F.col(v).alias(f"_i_{v}") for v in values])
-    if broadcast_rows is not None and row_count_at_most(incoming, broadcast_rows):
-        return _classify_small_batch(t, i, key, values)
-    j = t.join(i, on=key, how="full")
-    return j.withColumn("action", _action(values))
-
-
-def _action(values: Sequence[str]) -> Column:
-    return (
+    t, i = _sides(target, incoming, key, values)
+    if broadcast_bytes is not None and measured_bytes(incoming.select(*key, *values)) <= broadcast_bytes:
+        both = t.join(F.broadcast(i), KEY, "left")
+        # Keys of the target that the batch has: no more of them than the batch has rows.
+        known = t.select(KEY).join(F.broadcast(i.select(KEY)), KEY, "left_semi")
+        new = i.join(known, KEY, "left_anti")
+        j = both.unionByName(new, allowMissingColumns=True)
+    else:
+        j = t.join(i, KEY, "full")
+    action = (
         F.when(F.col("_in_t").isNull(), F.lit(INSERTED))
         .when(F.col("_in_i").isNull(), F.lit(RETAINED))
         .when(_changed(values), F.lit(UPDATED))
         .otherwise(F.lit(UNCHANGED))
     )
-
-
-def _classify_small_batch(t: DataFrame, i: DataFrame, key: list[str], values: list[str]) -> DataFrame:
-    """The classification for a batch small enough to broadcast (checked by the caller)."""
-    batch = F.broadcast(i)
-    matched = t.join(batch, key, "inner")
-    retained = t.join(F.broadcast(i.select(*key)), key, "left_anti")
-    inserted = i.join(matched.select(*key), key, "left_anti")
-    cols = [*key, "_in_t", *[f"_t_{v}" for v in values], "_in_i", *[f"_i_{v}" for v in values]]
-    none_t = [F.lit(None).cast("boolean").alias("_in_t"), *[F.lit(None).alias(f"_t_{v}") for v in values]]
-    none_i = [F.lit(None).cast("boolean").alias("_in_i"), *[F.lit(None).alias(f"_i_{v}") for v in values]]
-    parts = [
-        matched.select(*cols),
-        retained.select(*key, "_in_t", *[f"_t_{v}" for v in values], *none_i),
-        inserted.select(*key, *none_t, "_in_i", *[f"_i_{v}" for v in values]),
-    ]
-    out = parts[0].unionByName(parts[1], allowMissingColumns=False).unionByName(parts[2])
-    return out.withColumn("action", _action(values))
+    return j.select(*[F.col(f"{KEY}.{k}").alias(k) for k in key], *[c for c in j.columns if c != KEY], action.alias("action"))
 
 
 def snapshot_from(classified: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -108,33 +103,46 @@ def upsert_snapshot(target: DataFrame, incoming: DataFrame, key: Sequence[str],
     return snapshot_from(classify_upsert(target, incoming, key, values), key, values)
 
 
+def _load_counts(date: str) -> list[Column]:
+    return [
+        *[F.count_if(F.col("action") == a).alias(a) for a in (INSERTED, UPDATED, UNCHANGED, RETAINED)],
+        F.count(F.lit(1)).alias("total"),
+        F.min(date).alias("first_date"),
+        F.max(date).alias("last_date"),
+    ]
+
+
 def load_report(classified: DataFrame, date: str = "date") -> DataFrame:
     """inserted, updated, unchanged, retained, total rows after, first and last date."""
-    after = F.col(date)
-    return classified.agg(
-        F.count_if(F.col("action") == INSERTED).alias(INSERTED),
-        F.count_if(F.col("action") == UPDATED).alias(UPDATED),
-        F.count_if(F.col("action") == UNCHANGED).alias(UNCHANGED),
-        F.count_if(F.col("action") == RETAINED).alias(RETAINED),
-        F.count(F.lit(1)).alias("total"),
-        F.min(after).alias("first_date"),
-        F.max(after).alias("last_date"),
-    )
+    return classified.agg(*_load_counts(date))
 
 
 def upsert(target: DataFrame, incoming: DataFrame, key: Sequence[str], values: Sequence[str],
-           check_keys: bool = True, date: str = "date",
-           broadcast_rows: int | None = DEFAULT_BATCH_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(next snapshot, load report) for a stored snapshot and a batch.
+           check_keys: bool = True, date: str = "date") -> tuple[DataFrame, Observation]:
+    """(next snapshot, its load report) for a stored snapshot and a batch.
 
-    Raises on a repeated key in ``incoming``. A batch of at most
-    ``broadcast_rows`` rows is broadcast, so the (large) target is scanned but
-    never shuffled.
+    The report's counts are taken while the snapshot is written: read
+    ``report.get`` after the write. Raises on a repeated key in ``incoming``.
     """
     if check_keys:
         require_unique(incoming, key)
-    classified = classify_upsert(target, incoming, key, values, broadcast_rows)
-    return snapshot_from(classified, key, values), load_report(classified, date)
+    report = Observation("load")
+    classified = classify_upsert(target, incoming, key, values).observe(report, *_load_counts(date))
+    return snapshot_from(classified, key, values), report
+
+
+def snapshot_versions(spark: SparkSession, base_path: str) -> dict[int, bool]:
+    """Version -> whether it was written to its end (has ``_SUCCESS``); lists one folder level."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base_path)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    found = {}
+    for entry in fs.listStatus(path):
+        name = entry.getPath().getName()
+        if entry.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+            found[int(name[2:])] = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
+    return found
 
 
 def write_snapshot(snapshot: DataFrame, base_path: str, version: int, partition_by: Sequence[str] = ()) -> str:
@@ -149,19 +157,23 @@ def write_snapshot(snapshot: DataFrame, base_path: str, version: int, partition_
 
 # --- fingerprints (A11) -------------------------------------------------------------
 
-def row_hash(cols: Sequence[str], dtypes: dict[str, str]) -> Column:
-    """A 60-bit hash of a canonical text form of the row (md5 prefix).
+def canonical_text(column: str, dtype: str) -> Column:
+    """A text of a value that any engine can make: NULL is ``N``, others are ``length:text``.
 
-    Floating columns are rendered at 6 decimals, NULL as ``\\N``; the same
-    text and hash come out of any engine with md5.
+    Floating values are written as decimals of 15 places, those beyond a
+    decimal's range as Spark writes them; NaN and infinities have their names.
     """
-    parts = []
-    for c in cols:
-        col = F.col(c)
-        if dtypes[c] in ("double", "float"):
-            col = col.cast("decimal(38,6)")
-        parts.append(F.coalesce(col.cast("string"), F.lit("\\N")))
-    text = F.concat_ws("|", *parts)
+    c = F.col(column)
+    text = c.cast("string")
+    if dtype in ("double", "float"):
+        odd = F.isnan(c) | (F.abs(c) == float("inf"))
+        text = F.when(odd, c.cast("string")).otherwise(F.coalesce(c.try_cast("decimal(38,15)").cast("string"), c.cast("string")))
+    return F.when(c.isNull(), F.lit("N")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+
+def row_hash(cols: Sequence[str], dtypes: dict[str, str]) -> Column:
+    """A 60-bit hash (md5 prefix) of the row's canonical texts; their lengths keep neighbouring columns apart."""
+    text = F.concat(*[canonical_text(c, dtypes[c]) for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
@@ -180,15 +192,28 @@ def fingerprint(df: DataFrame, by: Sequence[str], cols: Sequence[str] | None = N
     )
 
 
+# What can have happened to an input since it was recorded.
+ADDED, CHANGED, REMOVED, SAME = "added", "changed", "removed", "unchanged"
+MARKS = ("rows", "hash_sum", "hash_xor")
+
+
 def changed_groups(new: DataFrame, recorded: DataFrame, by: Sequence[str], force: bool = False) -> DataFrame:
-    """Groups to rebuild: new or different fingerprint, or everything when forced."""
+    """Every group of either side with its ``status`` and whether what is built from it must be rebuilt.
+
+    A group that is no longer there counts as a change: what was built from it
+    is out of date. ``force`` marks every group. A NULL key is a group like
+    any other.
+    """
     by = list(by)
-    r = recorded.select(*by, *[F.col(c).alias(f"_r_{c}") for c in ("rows", "hash_sum", "hash_xor")])
-    j = new.join(r, by, "left")
-    differ = F.lit(bool(force)) | F.col("_r_rows").isNull()
-    for c in ("rows", "hash_sum", "hash_xor"):
-        differ = differ | ~F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return j.select(*by, "rows", "hash_sum", "hash_xor", differ.alias("changed"))
+    now = keyed(new, by).select(KEY, F.lit(True).alias("_now"), *MARKS)
+    then = keyed(recorded, by).select(KEY, F.lit(True).alias("_then"), *[F.col(c).alias(f"_then_{c}") for c in MARKS])
+    same = F.lit(True)
+    for c in MARKS:
+        same = same & F.col(c).eqNullSafe(F.col(f"_then_{c}"))
+    status = F.when(F.col("_then").isNull(), ADDED).when(F.col("_now").isNull(), REMOVED).when(same, SAME).otherwise(CHANGED)
+    j = now.join(then, KEY, "full").withColumn("status", status)
+    changed = F.lit(bool(force)) | (F.col("status") != SAME)
+    return j.select(*[F.col(f"{KEY}.{k}").alias(k) for k in by], *MARKS, "status", changed.alias("changed"))
 
 
 # --- staleness and missing inputs (A10, C4, C6) -----------------------------------------
@@ -224,7 +249,8 @@ def missing_inputs(wanted: DataFrame, available: DataFrame, name: str = "input")
 
 
 def require_inputs(wanted: DataFrame, available: DataFrame, name: str = "input") -> None:
-    """Raise listing the missing inputs (the wanted list is small: one row per input)."""
-    missing = [r[name] for r in missing_inputs(wanted, available, name).orderBy(name).collect()]
-    if missing:
-        raise FileNotFoundError(f"not available yet: {', '.join(map(str, missing))}")
+    """Raise naming the first of the missing inputs and their number."""
+    missing = missing_inputs(wanted, available, name)
+    first = [r[name] for r in missing.orderBy(name).limit(SHOWN).collect()]
+    if first:
+        raise FileNotFoundError(f"{missing.count()} input(s) not available yet: {', '.join(map(str, first))}")

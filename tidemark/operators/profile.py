@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import exact_mean, exact_stddev, percent, round3, round_to
+from tidemark.operators.joins import keyed_join
 
 # The HLL error the profile asks for, and percentile accuracy.
 APPROX_DISTINCT_RSD = 0.02
 PERCENTILE_ACCURACY = 10_000
+# Ranges into which an exact quantile's bracket is cut.
+BAND_RANGES = 4096
 
 
 def _flag(flag: Column | str) -> Column:
@@ -63,7 +66,7 @@ def group_profile(
     if quantiles == "exact":
         exact = exact_quantiles(df, keys, value, {"_median": 0.5, "_p95": 0.95})
         cols = measures.columns
-        measures = measures.join(exact, keys, "left").select(*[
+        measures = keyed_join(measures, exact, keys, "left").select(*[
             round3("_median").alias(c) if c == "median_value" else round3("_p95").alias(c) if c == "p95_value"
             else F.col(c) for c in cols
         ])
@@ -77,7 +80,7 @@ def group_profile(
     # to one small pre-aggregation of (keys, entity) pairs.
     entities = count_distinct_by(df, keys, entity, "sensors")
     cols = measures.columns
-    joined = measures.join(entities, keys, "left")
+    joined = keyed_join(measures, entities, keys, "left")
     return joined.select(*cols[:3], F.coalesce(F.col("sensors"), F.lit(0)).alias("sensors"), *cols[3:])
 
 
@@ -174,8 +177,11 @@ def exact_quantiles(
     2. One pass counts, per key and p, the values below the bracket and
        collapses the values inside it to (value, count) pairs - a partial
        aggregation, so even a value repeated a billion times is one pair.
-    3. A running count over those pairs (at most ~4n/accuracy distinct values
-       per key and p) finds the first value whose rank reaches the target.
+    3. The bracket's values are counted by ``BAND_RANGES`` equal ranges; a running
+       count over a key's ranges finds the one that holds the rank, and a
+       running count over that range's distinct values finds the value.
+
+    A NULL key is a group like any other.
     """
     import decimal
 
@@ -207,7 +213,7 @@ def exact_quantiles(
     # Each row meets its key's brackets once (one row per key), however many
     # probabilities there are; only rows inside a bracket are duplicated.
     x = F.col(value)
-    tagged = src.select(*keys, value).join(brackets.select(*keys, "_lo", "_hi"), keys)
+    tagged = keyed_join(src.select(*keys, value), brackets.select(*keys, "_lo", "_hi"), keys)
     below = tagged.groupBy(*keys).agg(*[
         F.count_if(x < F.col("_lo")[i]).alias(f"_below{i}") for i in range(len(names))
     ]).select(*keys, F.explode(F.array(*[
@@ -218,12 +224,26 @@ def exact_quantiles(
     ])
     band = tagged.select(*keys, value, F.explode(inside).alias("_i")).where(F.col("_i").isNotNull()) \
         .groupBy(*keys, "_i", value).agg(F.count(F.lit(1)).alias("_c"))
-    walk = Window.partitionBy(*keys, "_i").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = band.select(*keys, "_i", value, F.sum("_c").over(walk).alias("_cum")) \
-        .join(below, [*keys, "_i"]).join(targets.select(*keys, "_i", "_rank"), [*keys, "_i"])
-    hit = ranked.where(F.col("_below") + F.col("_cum") >= F.col("_rank")) \
+    # The bracket is cut into equal ranges of values; a key's few ranges are run
+    # through first, and only the values of the range that holds the rank are walked.
+    at = [*keys, "_i"]
+    edges = brackets.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.col("_lo")[i].cast("double").alias("_from"), F.col("_hi")[i].cast("double").alias("_to"))
+        for i in range(len(names))])).alias("_e")).select(*keys, "_e.*")
+    width = (F.col("_to") - F.col("_from")) / F.lit(float(BAND_RANGES))
+    part = F.when(width > 0, F.least(F.floor((x.cast("double") - F.col("_from")) / width), F.lit(BAND_RANGES - 1))).otherwise(F.lit(0))
+    band = keyed_join(band, edges, at).withColumn("_part", part.cast("int")).drop("_from", "_to")
+    parts = band.groupBy(*at, "_part").agg(F.sum("_c").alias("_in"))
+    goal = keyed_join(keyed_join(parts, below, at), targets.select(*at, "_rank"), at)
+    upto = Window.partitionBy(*at).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    goal = goal.withColumn("_upto", F.col("_below") + F.sum("_in").over(upto))
+    goal = goal.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_in") < F.col("_rank")))
+    goal = goal.select(*at, "_part", "_rank", (F.col("_upto") - F.col("_in")).alias("_before"))
+    walk = Window.partitionBy(*at, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = keyed_join(band, goal, [*at, "_part"]).withColumn("_cum", F.sum("_c").over(walk))
+    hit = ranked.where(F.col("_before") + F.col("_cum") >= F.col("_rank")) \
         .groupBy(*keys, "_i").agg(F.min(value).alias("_q"))
     wide = hit.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)
     ])
-    return brackets.select(*keys).join(wide, keys, "left")
+    return keyed_join(brackets.select(*keys), wide, keys, "left")

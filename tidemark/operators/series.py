@@ -3,32 +3,32 @@
 A plain ``Window.partitionBy(entity, category).orderBy(date)`` sends a whole
 series to one task. That is the fastest plan while every series is of modest
 size, and a disaster for a series holding a third of the table. So series are
-split by size first (one partial aggregation of row counts per series):
+split by size first (one partial aggregation of row counts per series, of
+which only the largest count and the total reach the driver):
 
-* series with at most ``hot_rows`` rows run through plain windows - each
-  window partition is then bounded by ``hot_rows``;
-* the hot ones (at most ``total / hot_rows`` of them; the key set brought to
-  the driver and broadcast to route rows is capped at ``MAX_HOT_KEYS``, past
-  which every series takes the blocked path) are cut into *blocks*: rows of one
-  day whose tie-break ``seq`` falls in the same ``block_rows``-wide range.
-  Since ``seq`` is unique, a block holds at most ``block_rows`` rows.
+* while no series exceeds ``hot_rows`` rows, all run through plain windows;
+* otherwise the series above ``max(hot_rows, total / MAX_HOT_KEYS)`` rows - by
+  that bound never more than ``MAX_HOT_KEYS`` of them, so their keys can be
+  broadcast - are cut into *blocks*: rows of one day whose tie-break ``seq``
+  falls in the same ``block_rows``-wide range. Since ``seq`` is unique, a block
+  holds at most ``block_rows`` rows. The others stay in plain windows.
 
 The blocked path:
 
 1. One partial aggregation per block (count, flags, exact decimal sums, last
-   value) - map-side combined.
-2. Windows over the block table give everything that crosses blocks: rows and
-   flags before the block, the previous block's last value, the calendar-range
-   mean (a RANGE frame over days includes all same-day blocks), and the
-   whole-series moments for the z-score. This window holds one narrow row
-   per block of the series: about (seq span / block_rows) + (days) when
-   ``seq`` follows time (arrival order, event ids), but up to
-   min(rows, days x seq span / block_rows) when ``seq`` is unrelated to the
-   date - still far below the series' rows, yet not a fixed bound.
+   value) - map-side combined - and from it one per day.
+2. Windows over a series' *days* (at most the calendar's days) give what crosses
+   days: rows and flags before the day, the last value before it, the
+   calendar-range mean and the whole-series moments. Windows over a day's
+   *blocks* (at most seq span / block_rows) give what crosses blocks.
 3. Row-level windows run per block only (row number, lag, running flag count),
    then the block facts are joined on the block key. The rows are shuffled
    once, on the block key, and the join reuses that partitioning.
 
+No task of the blocked path holds more than ``max(days, seq span / block_rows,
+block_rows)`` rows of a series. A NULL key is a series like any other: keys are
+compared as structs, in which NULL equals NULL.
+
 Both paths produce identical rows (tests force each one). Order within a
 series is (date, seq); ``seq`` must be a unique integer.
 """
@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import MOMENT_DECIMAL, dec, mean_from, round3, sd_from
+from tidemark.operators.joins import KEY, keyed, keyed_join
 
 DEFAULT_BLOCK_ROWS = 1 << 20
 DEFAULT_HOT_ROWS = 1 << 22
@@ -120,29 +121,30 @@ def series_features(
     args = (keys, date, tie, value, flag, days)
     if hot_rows == 0:
         return _blocked_features(df, *args, block_rows)
-    hot_rows_found = find_hot_keys(df, keys, hot_rows)
-    if hot_rows_found is None:  # more hot series than the routing table may hold: block them all
-        return _blocked_features(df, *args, block_rows)
-    if not hot_rows_found:
+    hot = hot_series(df, keys, hot_rows)
+    if hot is None:
         return _plain_features(df, *args)
-    hot = df.sparkSession.createDataFrame(hot_rows_found, df.select(*keys).schema)
-    cold = df.join(F.broadcast(hot), keys, "left_anti").select(*df.columns)
-    warm = df.join(F.broadcast(hot), keys, "left_semi").select(*df.columns)
+    cold, warm = routed(df, hot, keys)
     return _plain_features(cold, *args).unionByName(_blocked_features(warm, *args, block_rows))
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int,
-                  max_keys: int = MAX_HOT_KEYS) -> list | None:
-    """The keys with more than ``hot_rows`` rows.
+def hot_series(df: DataFrame, keys: Sequence[str], hot_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
+    """The keys of the hot series, a lazy frame of at most ``max_keys`` rows; None when there is none.
 
-    One partial aggregation of row counts per key (a job run now, when the plan
-    is built). There are at most ``rows / hot_rows`` such keys; at most
-    ``max_keys`` are brought to the driver, and None says there were more.
+    A series is hot above ``hot_rows`` rows and above ``total / max_keys``, which
+    bounds the number of hot keys whatever the table holds. One job runs now:
+    the largest and the total of the per-series counts.
     """
     keys = list(keys)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    rows = counts.where(F.col("_rows") > hot_rows).select(*keys).limit(max_keys + 1).collect()
-    return None if len(rows) > max_keys else rows
+    most, total = counts.agg(F.max("_rows"), F.sum("_rows")).first()
+    bound = max(hot_rows, -(-(total or 0) // max_keys))
+    return None if (most or 0) <= bound else counts.where(F.col("_rows") > bound).select(*keys)
+
+
+def routed(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of other series, rows of hot series); a NULL key is matched like any other."""
+    return tuple(keyed_join(df, hot, keys, how, broadcast_right=True).select(*df.columns) for how in ("left_anti", "left_semi"))
 
 
 def _plain_features(
@@ -183,7 +185,7 @@ def _blocked_features(
     days: int,
     block_rows: int,
 ) -> DataFrame:
-    """The blocked path: no task ever holds more than ``block_rows`` rows of a series."""
+    """The blocked path; see the module text for the bound of its tasks."""
     keys = list(keys)
     cols = df.columns
     x = dec(value)
@@ -204,28 +206,50 @@ def _blocked_features(
         F.sum(x * x).alias("_s2"),
         F.max_by(value, F.coalesce(F.col(tie).cast("long"), F.lit(NULLS_FIRST))).alias("_last"),
     )
+    per_day = blocks.groupBy(*keys, "_day").agg(
+        *[F.sum(c).alias(f"_d{c}") for c in ("_n", "_nx", "_bad", "_s1", "_s2")],
+        F.max_by("_last", "_blk").alias("_d_last"),
+    )
     series = Window.partitionBy(*keys)
-    ordered = series.orderBy("_day", "_blk")
+    ordered = series.orderBy("_day")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    calendar = series.orderBy("_day").rangeBetween(-(days - 1), 0)
-    block_facts = blocks.select(
+    calendar = ordered.rangeBetween(-(days - 1), 0)
+    n, s1, s2 = F.sum("_d_nx"), F.sum("_d_s1"), F.sum("_d_s2")
+    day_facts = per_day.select(
+        *keys, "_day",
+        F.coalesce(F.sum("_d_n").over(before), F.lit(0)).alias("_n_days"),
+        F.coalesce(F.sum("_d_bad").over(before), F.lit(0)).alias("_bad_days"),
+        F.lag("_d_last").over(ordered).alias("_last_day"),
+        mean_from(n.over(calendar), s1.over(calendar)).alias("_roll"),
+        mean_from(n.over(series), s1.over(series)).alias("_mean"),
+        sd_from(n.over(series), s1.over(series), s2.over(series)).alias("_sd"),
+    )
+    in_day = Window.partitionBy(*keys, "_day").orderBy("_blk")
+    earlier = in_day.rowsBetween(Window.unboundedPreceding, -1)
+    within = blocks.select(
+        *blk_key,
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_here"),
+        F.coalesce(F.sum("_bad").over(earlier), F.lit(0)).alias("_bad_here"),
+        F.row_number().over(in_day).alias("_nth"),
+        F.lag("_last").over(in_day).alias("_last_here"),
+    )
+    block_facts = keyed_join(within, day_facts, [*keys, "_day"]).select(
         *blk_key,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-        F.coalesce(F.sum("_bad").over(before), F.lit(0)).alias("_bad_before"),
-        F.lag("_last").over(ordered).alias("_prev_last"),
-        mean_from(F.sum("_nx").over(calendar), F.sum("_s1").over(calendar)).alias("_roll"),
-        mean_from(F.sum("_nx").over(series), F.sum("_s1").over(series)).alias("_mean"),
-        sd_from(F.sum("_nx").over(series), F.sum("_s1").over(series), F.sum("_s2").over(series)).alias("_sd"),
+        (F.col("_n_days") + F.col("_n_here")).alias("_n_before"),
+        (F.col("_bad_days") + F.col("_bad_here")).alias("_bad_before"),
+        F.when(F.col("_nth") == 1, F.col("_last_day")).otherwise(F.col("_last_here")).alias("_prev_last"),
+        "_roll", "_mean", "_sd",
     )
 
-    local = Window.partitionBy(*blk_key).orderBy(tie)
-    rows = base.select(
-        *cols, "_day", "_blk",
+    # The window and the join share one partitioning: the block key as a struct.
+    local = Window.partitionBy(KEY).orderBy(tie)
+    rows = keyed(base, blk_key).select(
+        *cols, KEY,
         F.row_number().over(local).alias("_rn"),
         F.lag(value).over(local).alias("_lag"),
         F.sum("_flag").over(local.rowsBetween(Window.unboundedPreceding, 0)).alias("_bad_run"),
     )
-    joined = rows.join(block_facts, on=blk_key, how="inner")
+    joined = rows.join(keyed(block_facts, blk_key).drop(*blk_key), KEY)
     prev = F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag"))
     return joined.select(
         *cols,
@@ -275,35 +299,32 @@ def previous_value(
     (``hot_rows=0``: all) are cut into blocks of ``block_rows`` consecutive
     order values (``order`` must be a unique integer within a key), and the
     first row of a block takes the last value of the previous non-empty block,
-    found on the (small) block table.
+    found on the block table (order span / block_rows rows of a key).
     """
     keys = list(keys)
     hot_rows = tuned(df, hot_rows, "tidemark.hotRows", DEFAULT_HOT_ROWS)
     block_rows = tuned(df, block_rows, "tidemark.blockRows", DEFAULT_BLOCK_ROWS)
     require_integral(df, order)
+    def plain(part: DataFrame) -> DataFrame:
+        return part.select(*part.columns, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)).alias(out))
+
     if hot_rows:
-        hot = find_hot_keys(df, keys, hot_rows)
-        plain = df.select(*df.columns, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)).alias(out))
-        if hot is not None and not hot:
-            return plain
-        if hot is not None:
-            routing = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
-            cold = df.join(F.broadcast(routing), keys, "left_anti").select(*df.columns)
-            warm = df.join(F.broadcast(routing), keys, "left_semi").select(*df.columns)
-            cold_out = cold.select(*df.columns, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)).alias(out))
-            return cold_out.unionByName(previous_value(warm, keys, order, value, block_rows, out, hot_rows=0))
+        hot = hot_series(df, keys, hot_rows)
+        if hot is None:
+            return plain(df)
+        cold, warm = routed(df, hot, keys)
+        return plain(cold).unionByName(previous_value(warm, keys, order, value, block_rows, out, hot_rows=0))
+    blk_key = [*keys, "_pblk"]
     base = df.withColumn("_pblk", floor_div(order, block_rows))
-    last = base.groupBy(*keys, "_pblk").agg(
+    last = base.groupBy(*blk_key).agg(
         F.max_by(value, F.coalesce(F.col(order).cast("long"), F.lit(NULLS_FIRST))).alias("_last"))
-    last = last.select(
-        *keys, "_pblk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pblk")).alias("_prev_last")
-    )
-    local = Window.partitionBy(*keys, "_pblk").orderBy(order)
-    rows = base.select(
-        *df.columns, "_pblk",
+    last = last.select(*blk_key, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pblk")).alias("_prev_last"))
+    local = Window.partitionBy(KEY).orderBy(order)
+    rows = keyed(base, blk_key).select(
+        *df.columns, KEY,
         F.row_number().over(local).alias("_rn"),
         F.lag(value).over(local).alias("_lag"),
     )
-    joined = rows.join(last, on=[*keys, "_pblk"], how="inner")
+    joined = rows.join(keyed(last, blk_key).select(KEY, "_prev_last"), KEY)
     prev = F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag"))
     return joined.select(*df.columns, prev.alias(out))

@@ -13,10 +13,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import exact_stddev, percent, round3
+from tidemark.operators.joins import keyed_join
 
 # The id pattern, enumerations and request bounds of the API.
 SENSOR_ID_PATTERN = r"^[0-9a-z]{7}$"
@@ -96,6 +97,10 @@ def validate_rows(df: DataFrame, parameters: Sequence[str], id_col: str = "senso
     )
 
 
+# Parts that a search is counted in.
+SEARCH_PARTS = 64
+
+
 # --- distinct ids, choices, search (G1, B14, F4, E11) ----------------------------------
 
 def distinct_ids(df: DataFrame, column: str = "sensor_id") -> DataFrame:
@@ -118,21 +123,29 @@ def with_total(df: DataFrame, name: str = "total") -> DataFrame:
 
 
 def search_ids(df: DataFrame, fragment: str | None, limit: int = 1000, column: str = "sensor_id") -> DataFrame:
-    """Up to ``limit`` sorted ids containing ``fragment``, each with the total match count."""
+    """Up to ``limit`` sorted ids containing ``fragment``, each with the total match count.
+
+    One scan: an aggregate of the distinct ids keeps their number and, per
+    task, only the ``limit`` smallest of them.
+    """
     _check_range("limit", limit, SEARCH_LIMIT)
-    ids = id_contains(df.select(column), fragment, column).distinct()
-    return with_total(ids).orderBy(column).limit(limit)
+    found = search_envelope(df, fragment, limit, column)
+    return found.select(F.explode("items").alias(column), "total")
 
 
 def search_envelope(df: DataFrame, fragment: str | None, limit: int = 1000, column: str = "sensor_id") -> DataFrame:
-    """One row: items (at most ``limit`` ids), total, limit, truncated."""
+    """One row: items (at most ``limit`` ids, sorted), total, limit, truncated."""
     _check_range("limit", limit, SEARCH_LIMIT)
-    ids = id_contains(df.select(column), fragment, column).distinct()
-    page = ids.orderBy(column).limit(limit).agg(F.sort_array(F.collect_list(column)).alias("items"))
-    total = ids.select(F.count(F.lit(1))).scalar()
-    return page.select(
-        "items", total.alias("total"), F.lit(limit).alias("limit"), (total > F.size("items")).alias("truncated")
-    )
+    ids = id_contains(df.select(column), fragment, column).where(F.col(column).isNotNull()).distinct()
+    # Each part keeps its smallest ids and its count; the parts are then put together.
+    part = F.pmod(F.hash(column), F.lit(SEARCH_PARTS))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    counted = ids.withColumn("_part", part).withColumn("_nth", nth)
+    whole = counted.groupBy("_part").agg(
+        F.count(F.lit(1)).alias("n"), F.collect_list(F.when(F.col("_nth") <= limit, F.col(column))).alias("first"))
+    merged = whole.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.sort_array(F.flatten(F.collect_list("first"))).alias("all"))
+    items = F.slice("all", 1, limit)
+    return merged.select(items.alias("items"), "total", F.lit(limit).alias("limit"), (F.col("total") > F.size(items)).alias("truncated"))
 
 
 # --- summaries (D3, D4, D9, D10, C5) ------------------------------------------------------
@@ -191,7 +204,7 @@ def entity_documents(df: DataFrame, by: str = "sensor_id") -> DataFrame:
     per = parameter_summary(df, by=[by])
     fields = [c for c in per.columns if c != by]
     nested = per.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("parameters"))
-    return entity_summary(df, by=[by]).join(nested, by, "left")
+    return keyed_join(entity_summary(df, by=[by]), nested, [by], "left")
 
 
 def existence_probe(df: DataFrame, entity: Column | str, condition: Column, column: str = "sensor_id") -> DataFrame:
@@ -258,6 +271,34 @@ def page(
     return ordered.offset(offset).limit(limit) if offset else ordered.limit(limit)
 
 
+def page_after(
+    df: DataFrame,
+    entity: Column | str,
+    after: tuple | None = None,
+    sort: str = "reading_date",
+    order: str = "asc",
+    limit: int = 50,
+) -> DataFrame:
+    """The page that follows a row, by keyset instead of OFFSET (F2).
+
+    ``after`` is (sort value, parameter, reading_no) of the last row seen, None
+    for the first page. However deep the page, a task keeps ``limit`` rows; the
+    order is that of :func:`page`.
+    """
+    _check_range("limit", limit, PAGE_LIMIT)
+    rows = for_entity(df, entity)
+    if after is not None:
+        value, parameter, number = after
+        tail = (F.col("parameter") > F.lit(parameter)) | ((F.col("parameter") == F.lit(parameter)) & (F.col("reading_no") > F.lit(number)))
+        same = F.col(sort).eqNullSafe(F.lit(value))
+        if value is None:  # NULLs are last upwards and first downwards
+            beyond = F.lit(False) if order == "asc" else F.col(sort).isNotNull()
+        else:
+            beyond = F.coalesce(F.col(sort) > F.lit(value), F.lit(True)) if order == "asc" else F.coalesce(F.col(sort) < F.lit(value), F.lit(False))
+        rows = rows.where(beyond | (same & tail))
+    return page(rows, None, sort=sort, order=order, limit=limit)
+
+
 def page_envelope(df: DataFrame, entity: Column | str | None = None, parameter: str | None = None,
                   status: str | None = None, sort: str = "reading_date", order: str = "asc",
                   limit: int = 50, offset: int = 0) -> DataFrame:

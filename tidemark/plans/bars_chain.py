@@ -5,18 +5,16 @@ load into a new snapshot -> metrics.
 
 Snapshots live in ``SNAPSHOT_BASE/v=<n>``; a run reads the newest one, writes
 ``v=<n+1>`` and never overwrites what it reads, so earlier versions stay as
-history. Running the same raw data twice inserts and updates nothing.
+history; a folder without ``_SUCCESS`` is a run that died and is never read.
+Running the same raw data twice inserts and updates nothing.
 """
 
 from __future__ import annotations
 
 import logging
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +26,10 @@ KEY = ["date", "ticker"]
 VALUES = ["open", "high", "low", "close", "volume", "dividends", "stock_splits"]
 
 
+# Lines of the repair report that a run logs and returns.
+REPORTED = 10_000
+
+
 class ValidationFailed(ValueError):
     pass
 
@@ -41,17 +43,9 @@ class BarsRun:
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:
-    """Newest ``v=<n>`` under ``base`` on any filesystem Spark reads; None when there is none.
-
-    Spark lists the snapshot directories itself (``v`` is discovered as a
-    partition column); only file paths come back to the driver, no rows.
-    """
-    try:
-        files = spark.read.parquet(base).inputFiles()
-    except AnalysisException:
-        return None
-    found = {int(m.group(1)) for f in files if (m := re.search(r"/v=(\d+)/", f))}
-    return max(found) if found else None
+    """Newest completely written ``v=<n>`` under ``base``; None when there is none."""
+    done = [n for n, whole in merge.snapshot_versions(spark, base).items() if whole]
+    return max(done, default=None)
 
 
 def empty_snapshot(spark: SparkSession) -> DataFrame:
@@ -60,33 +54,43 @@ def empty_snapshot(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def bars_chain(spark: SparkSession, raw: DataFrame, snapshot_base: str,
-               wanted: Sequence[str] | None = None) -> BarsRun:
-    """Run the chain once over ``raw`` (the raw bars with ``seq``, ``ts`` and ``exchange_tz``)."""
-    annotated = bars.annotate_repairs(bars.normalize(raw)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        dropped = bars.report_from(annotated).orderBy("ticker", "rule").collect()  # tickers x rules rows
-        for row in dropped:
-            log.warning("%s: %s dropped %d rows", row["ticker"], row["rule"], row["dropped"])
-        clean = bars.conform(bars.clean_from(annotated), bars.OHLCV_COLUMNS, {"volume": "long"})
-
-        wanted_df = (spark.createDataFrame([(t,) for t in wanted], "ticker string") if wanted is not None
-                     else raw.select("ticker").distinct())
-        failing = checks.validate_bars(clean, wanted_df).where(F.col("failures") > 0).collect()
-        if failing:
-            detail = "; ".join(f"{r['ticker']}: {r['failures']} failure(s), {r['rows']} rows" for r in failing)
-            raise ValidationFailed(f"bars not fit to load: {detail}")
-
-        current = latest_version(spark, snapshot_base)
-        target = empty_snapshot(spark) if current is None else spark.read.parquet(f"{snapshot_base}/v={current}")
-        snapshot, report = merge.upsert(target, clean, KEY, VALUES)
-        load = report.first().asDict()
-        version = 0 if current is None else current + 1
-        path = merge.write_snapshot(snapshot, snapshot_base, version)
-        log.info("load: %(inserted)d inserted, %(updated)d updated, %(unchanged)d unchanged", load)
-        return BarsRun(path, version, [r.asDict() for r in dropped], load)
-    finally:
-        annotated.unpersist()
+def bars_chain(spark: SparkSession, raw: DataFrame, snapshot_base: str, wanted: Sequence[str] | None = None,
+               arrival: str | None = None) -> BarsRun:
+    """Run the chain once over ``raw`` (the raw bars with ``seq``, ``ts`` and ``exchange_tz``).
+
+    ``arrival`` names a unique arrival number of the raw rows; with it, a run
+    whose dates do not arrive in order stops before anything is written.
+    """
+    normal = bars.normalize(raw)
+    if arrival is not None:
+        late = checks.out_of_order(normal, "ticker", "date", arrival).where("late > 0")
+        first = late.orderBy("ticker").limit(merge.SHOWN).collect()
+        if first:
+            raise ValidationFailed("dates out of order: " + "; ".join(f"{r['ticker']}: {r['late']} row(s)" for r in first))
+        normal = normal.drop(arrival)
+    annotated = bars.annotate_repairs(normal)
+    dropped = bars.report_from(annotated).orderBy("ticker", "rule").limit(REPORTED).collect()
+    for row in dropped:
+        log.warning("repairs of %s removed %d row(s) by rule %s", row["ticker"], row["dropped"], row["rule"])
+    clean = bars.conform(bars.clean_from(annotated), bars.OHLCV_COLUMNS, {"volume": "long"})
+
+    wanted_df = (spark.createDataFrame([(t,) for t in wanted], "ticker string") if wanted is not None
+                 else raw.select("ticker").distinct())
+    failing = checks.validate_bars(clean, wanted_df).where(F.col("failures") > 0).orderBy("ticker").limit(merge.SHOWN).collect()
+    if failing:
+        detail = "; ".join(f"{r['ticker']}: {r['failures']} failure(s), {r['rows']} rows" for r in failing)
+        raise ValidationFailed(f"bars not fit to load: {detail}")
+
+    versions = merge.snapshot_versions(spark, snapshot_base)
+    current = latest_version(spark, snapshot_base)
+    target = empty_snapshot(spark) if current is None else spark.read.parquet(f"{snapshot_base}/v={current}")
+    snapshot, report = merge.upsert(target, clean, KEY, VALUES)
+    # Past every folder there is, so that a run which died does not block its number.
+    version = max(versions, default=-1) + 1
+    path = merge.write_snapshot(snapshot, snapshot_base, version)
+    load = report.get
+    log.info("snapshot %d holds %d rows: %d new, %d replaced", version, load["total"], load["inserted"], load["updated"])
+    return BarsRun(path, version, [r.asDict() for r in dropped], load)
 
 
 def metrics_view(spark: SparkSession, snapshot_path: str) -> DataFrame:

@@ -3,30 +3,37 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import sql_round
 from tidemark.operators import bars, checks
+from tidemark.operators.reshape import stack
 from tidemark.plans.catalog import register
 from tidemark.plans.sql_fixtures import ANNOTATED_BARS, METRICS, RAW_BARS, with_
-from tidemark.sources import fixtures
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources import fixtures, io
 
 # The volatility is a 30-row sum of squares; engines add it up in different
 # orders, so it is compared at 6 decimals (relative noise is ~1e-16).
 VOL_DIGITS = 6
 
 
-def _normalized(spark, sf_dir):
+def _arrived(spark, sf_dir):
     return bars.normalize(fixtures.raw_bars(spark, sf_dir))
 
 
+def _normalized(spark, sf_dir):
+    return _arrived(spark, sf_dir).drop("arrival")
+
+
 def _annotated(spark, sf_dir):
     return bars.annotate_repairs(_normalized(spark, sf_dir))
 
 
 def clean(spark, sf_dir):
-    return bars.clean_bars(fixtures.raw_bars(spark, sf_dir))
+    return bars.clean_bars(fixtures.raw_bars(spark, sf_dir).drop("arrival"))
 
 
 def metrics(spark, sf_dir):
@@ -114,31 +121,34 @@ def bars_rule_filters(spark, sf_dir):
 
 # --- K8 -------------------------------------------------------------------------------
 
-def _validation_sql(source: str) -> str:
+def _validation_sql(source: str, late: str = "(SELECT NULL AS ticker, 0 AS late)") -> str:
+    """``late``: ticker and number of rows dated before the row that arrived before them."""
     return f"""
 SELECT w.ticker,
        CAST(coalesce(v.rows, 0) AS BIGINT) AS rows,
        CAST(coalesce(v.duplicate_dates, 0) AS BIGINT) AS duplicate_dates,
-       CAST(0 AS BIGINT) AS out_of_order,
+       CAST(coalesce(a.late, 0) AS BIGINT) AS out_of_order,
        CAST(coalesce(v.missing_prices, 0) AS BIGINT) AS missing_prices,
        CAST(coalesce(v.nonpositive_prices, 0) AS BIGINT) AS nonpositive_prices,
        CAST(coalesce(v.unbracketed, 0) AS BIGINT) AS unbracketed,
        CAST(CASE WHEN coalesce(v.rows, 0) = 0 THEN 1 ELSE 0 END + coalesce(v.duplicate_dates, 0)
-            + coalesce(v.missing_prices, 0) + coalesce(v.nonpositive_prices, 0)
+            + coalesce(a.late, 0) + coalesce(v.missing_prices, 0) + coalesce(v.nonpositive_prices, 0)
             + coalesce(v.unbracketed, 0) AS BIGINT) AS failures
 FROM (SELECT DISTINCT ticker FROM raw_bars) w
 LEFT JOIN (
-    SELECT ticker, count(*) AS rows, count(*) - count(DISTINCT date) AS duplicate_dates,
+    SELECT ticker, count(*) AS rows, count(date) - count(DISTINCT date) AS duplicate_dates,
            count(*) FILTER (WHERE open IS NULL OR isnan(open) OR high IS NULL OR isnan(high)
                             OR low IS NULL OR isnan(low) OR close IS NULL OR isnan(close)) AS missing_prices,
            count(*) FILTER (WHERE coalesce(open <= 0 OR high <= 0 OR low <= 0 OR close <= 0, false)) AS nonpositive_prices,
            count(*) FILTER (WHERE coalesce(high < greatest(open, close) OR low > least(open, close), false)) AS unbracketed
     FROM {source} GROUP BY ticker
-) v USING (ticker)
+) v USING (ticker) LEFT JOIN {late} a USING (ticker)
 """
 
 
-VALIDATION_RAW_SQL = with_(RAW_BARS) + _validation_sql("raw_bars")
+LATE_SQL = """(SELECT ticker, count(*) FILTER (WHERE date < before) AS late
+    FROM (SELECT ticker, date, lag(date) OVER (PARTITION BY ticker ORDER BY k, seq) AS before FROM raw_bars) GROUP BY ticker)"""
+VALIDATION_RAW_SQL = with_(RAW_BARS) + _validation_sql("raw_bars", LATE_SQL)
 VALIDATION_CLEAN_SQL = with_(ANNOTATED_BARS) + _validation_sql("clean")
 
 
@@ -148,7 +158,8 @@ def _wanted(spark, sf_dir):
 
 @register("bars_validation_raw", VALIDATION_RAW_SQL)
 def bars_validation_raw(spark, sf_dir):
-    return checks.validate_bars(_normalized(spark, sf_dir), _wanted(spark, sf_dir))
+    """K8 on the rows as they arrive, their order among them."""
+    return checks.validate_bars(_arrived(spark, sf_dir), _wanted(spark, sf_dir), arrival="arrival")
 
 
 @register("bars_validation", VALIDATION_CLEAN_SQL)
@@ -229,7 +240,8 @@ FROM fenced f
 
 @register("return_distribution", DISTRIBUTION_SQL)
 def return_distribution(spark, sf_dir):
-    return bars.return_distribution(metrics(spark, sf_dir))
+    """The box plot with quartiles from the bounded sketch (exact below 10,000 rows a ticker)."""
+    return bars.return_distribution(metrics(spark, sf_dir), exact=False)
 
 
 @register("return_distribution_exact", DISTRIBUTION_SQL)
@@ -259,3 +271,36 @@ def scoreboard(spark, sf_dir):
 @register("bars_chronological", with_(ANNOTATED_BARS) + "SELECT * FROM clean ORDER BY ticker, date")
 def bars_chronological(spark, sf_dir):
     return clean(spark, sf_dir).orderBy("ticker", "date")
+
+
+# --- A3 / A5: written by ticker and read back ---------------------------------------------
+
+READ_BACK = ("1-URGENT", "3-MEDIUM")
+
+
+@register("bars_read_back", with_(ANNOTATED_BARS) + f"""
+SELECT date, ticker, open, high, low, close, volume, dividends, stock_splits FROM clean WHERE ticker IN {READ_BACK!r}""")
+def bars_read_back(spark, sf_dir):
+    """Bars partitioned by ticker in the shared folder, two of the partitions read."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bars-{uuid.uuid4().hex}"
+    io.write_bars(clean(spark, sf_dir), path)
+    return io.scan_bars(spark, path, READ_BACK).select("date", "ticker", *bars.OHLCV_COLUMNS[2:])
+
+
+@register("dataset_read_back", with_(ANNOTATED_BARS) + """
+SELECT date, ticker, close, (SELECT count(*) FROM clean) AS reported FROM clean""")
+def dataset_read_back(spark, sf_dir):
+    """A dataset written as one file and read again, with the rows that the write reported."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dataset-{uuid.uuid4().hex}"
+    report = io.write_dataset(clean(spark, sf_dir), path, single_file=True)
+    return io.scan(spark, path).select("date", "ticker", "close", F.lit(report["rows"]).cast("long").alias("reported"))
+
+
+# --- G2 -----------------------------------------------------------------------------------
+
+@register("bars_stacked", with_(ANNOTATED_BARS) + """
+SELECT date, ticker, close, close > open AS rising FROM clean WHERE ticker < '3' OR ticker > '4'""")
+def bars_stacked(spark, sf_dir):
+    """Tickers' frames stacked by column name, whatever the order of their columns."""
+    c = clean(spark, sf_dir).select("date", "ticker", "close", (F.col("close") > F.col("open")).alias("rising"))
+    return stack([c.where("ticker < '3'"), c.where("ticker > '4'").select("rising", "close", "ticker", "date")])

@@ -10,15 +10,18 @@ from __future__ import annotations
 
 COVERAGE: dict[str, tuple[str, ...]] = {
     # sources and sinks
-    "A1": ("synthetic_readings", "synthetic_profile"),
-    "A1a": ("synthetic_readings",), "A1b": ("synthetic_readings",), "A1c": ("synthetic_readings",),
-    "A1d": ("synthetic_readings",), "A1e": ("synthetic_readings",), "A1f": ("synthetic_readings",),
+    "A1": ("synthetic_contract", "synthetic_readings", "synthetic_profile"),
+    "A1a": ("synthetic_contract",), "A1b": ("synthetic_contract",), "A1c": ("synthetic_contract",),
+    "A1d": ("synthetic_contract",), "A1e": ("synthetic_contract",), "A1f": ("synthetic_contract",),
     "A2": ("events_scan",),
+    "A3": ("bars_read_back",),
+    "A5": ("dataset_read_back",),
+    "A9": ("chain_outputs",),
     "A7": ("upsert_actions", "upsert_snapshot", "upsert_report", "upsert_rerun_report", "upsert_report_small_batch"),
     "A8": ("renamed_for_table",),
     "A10": ("stale_inputs",),
     "A11": ("fingerprint", "changed_inputs"),
-    "A12": ("constraints_readings", "constraints_location_stats"),
+    "A12": ("constraints_readings", "constraints_location_stats", "constraints_on_broken_readings"),
     "A13": ("bars_clean",),
     "A14": ("preview_readings",),
     # projections, filters, predicates
@@ -32,21 +35,21 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "B10": ("dashboard_filter",),
     "B11": ("unpivot_values",),
     "B12": ("reading_flags", "sensor_warnings"),
-    "B13": ("row_validation",),
+    "B13": ("row_validation_broken", "row_validation"),
     "B14": ("location_choices", "location_filter"),
     "B15": ("reading_projection",),
     "B16": ("location_profile",),
     # joins
-    "C1": ("check_summary",),
-    "C2": ("table_health",),
+    "C1": ("reconcile_broken_summary", "check_summary",),
+    "C2": ("table_counts", "table_health"),
     "C3": ("upsert_actions",),
     "C4": ("stale_inputs",),
     "C5": ("existence_probe",),
     "C6": ("missing_inputs",),
     "C8": ("location_profile", "series_features"),
     # aggregations
-    "D1": ("location_profile", "location_profile_approx_sensors"),
-    "D1a": ("location_profile",), "D1b": ("location_profile_approx_sensors",), "D1c": ("location_profile",),
+    "D1": ("profile_null_keys", "location_profile", "location_profile_approx_sensors"),
+    "D1a": ("location_profile",), "D1b": ("approx_sensors_in_band", "location_profile_approx_sensors"), "D1c": ("location_profile",),
     "D1d": ("location_profile",), "D1e": ("location_profile", "location_profile_exact_quantiles"),
     "D1f": ("location_profile",),
     "D1g": ("location_profile",), "D1h": ("location_profile",),
@@ -57,39 +60,40 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "D6": ("parameter_shape",),
     "D7": ("sequence_completeness",),
     "D8": ("dependency_violations",),
-    "D9": ("sensor_documents",),
+    "D9": ("sensor_document_lines", "sensor_documents"),
     "D10": ("table_health",),
     "D11": ("return_distribution", "return_distribution_exact"),
     "D12": ("scoreboard",),
     "D13": ("upsert_report", "upsert_rerun_report"),
     # windows
-    "E1": ("series_features",), "E2": ("series_features",), "E3": ("series_features",),
-    "E4": ("series_features", "check_rolling"), "E5": ("series_features",), "E6": ("series_features",),
+    "E1": ("series_features_routed", "series_features"), "E2": ("previous_value", "series_features"), "E3": ("series_features_routed", "series_features"),
+    "E4": ("series_features_routed", "series_features", "check_rolling"), "E5": ("series_features_routed", "series_features"), "E6": ("series_features_routed", "series_features"),
     "E7": ("ticker_metrics",), "E8": ("ticker_metrics",), "E9": ("ticker_metrics",), "E10": ("ticker_metrics",),
     "E11": ("search_ids", "page_envelope"),
     "E12": ("window_consistency", "check_window"),
     # sorts, limits, top-k
     "F1": ("bars_keep_last",),
-    "F2": ("readings_page", "readings_page_filtered", "readings_page_all_sensors"),
+    "F2": ("readings_page_after", "readings_page", "readings_page_filtered", "readings_page_all_sensors"),
     "F3": ("page_envelope",),
-    "F4": ("search_ids", "search_envelope"),
+    "F4": ("search_ids", "search_envelope_text", "search_envelope"),
     "F5": ("bars_chronological",),
     "F6": ("location_table",),
     # set operations and reshape
     "G1": ("sensor_ids",),
-    "G2": ("bars_normalized",),
+    "G2": ("bars_stacked",),
     "G3": ("pivot_mean",),
     "G4": ("unpivot_values",),
     # data-quality checks
-    "K1": ("check_arrival", "sensor_checks"),
+    "K1": ("check_arrival", "checks_on_broken_readings", "sensor_checks"),
     "K2": ("check_summary", "sensor_checks"),
     "K3": ("check_window", "sensor_checks"),
     "K4": ("check_positions", "sensor_checks"),
     "K5": ("check_rolling", "sensor_checks"),
-    "K6": ("check_one_location", "sensor_checks"),
+    "K6": ("check_one_location", "checks_on_broken_readings", "sensor_checks"),
     "K7": ("parameter_shape",),
     "K8": ("bars_validation", "bars_validation_raw", "check_bars"),
-    "K9": ("constraints_readings", "constraints_location_stats"),
+    "K9": ("constraints_readings", "constraints_location_stats", "constraints_on_broken_readings"),
+    "K10": ("checks_that_raise",),
 }
 
 TESTED: dict[str, str] = {

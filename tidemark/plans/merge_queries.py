@@ -60,9 +60,9 @@ def upsert_report(spark, sf_dir):
 
 @register("upsert_report_small_batch", with_(UPSERT, CLASSIFIED) + REPORT_BODY)
 def upsert_report_small_batch(spark, sf_dir):
-    """The same load through the broadcast path: the target is never shuffled."""
+    """The same load with the batch broadcast: the target is not shuffled."""
     c = merge.classify_upsert(fixtures.upsert_target(spark, sf_dir), fixtures.upsert_incoming(spark, sf_dir),
-                              KEY, VALUES, broadcast_rows=merge.DEFAULT_BATCH_ROWS)
+                              KEY, VALUES, broadcast_bytes=merge.DEFAULT_BATCH_BYTES)
     return merge.load_report(c)
 
 
@@ -86,18 +86,19 @@ def upsert_rerun_report(spark, sf_dir):
 
 # --- A11 ------------------------------------------------------------------------------
 
-def _fp_sql(source: str) -> str:
-    text = " || '|' || ".join(
-        [f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in ("date",)]
-        + [f"coalesce(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '\\N')" for c in ("open", "high", "low", "close")]
-        + ["coalesce(CAST(volume AS VARCHAR), '\\N')"]
-        + [f"coalesce(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '\\N')" for c in ("dividends", "stock_splits")]
-    )
+def _text_sql(column: str, kind: str = "") -> str:
+    text = f"CAST(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38,15)) AS VARCHAR)" if kind == "double" else f"CAST({column} AS VARCHAR)"
+    return f"coalesce(length({text}) || ':' || {text}, 'N')"
+
+
+def _fp_sql(source: str, by: tuple[str, ...] = ("ticker",)) -> str:
+    columns = [("date", ""), ("ticker", "")] + [(v, "" if v == "volume" else "double") for v in VALUES]
+    text = " || ".join(_text_sql(c, k) for c, k in columns if c not in by)
     h = f"CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)"
-    return f"""SELECT ticker, count(*) AS rows,
+    return f"""SELECT {", ".join(by)}, count(*) AS rows,
        CAST(sum(CAST({h} AS DECIMAL(38,0))) AS VARCHAR) AS hash_sum,
        bit_xor({h}) AS hash_xor
-FROM {source} GROUP BY ticker"""
+FROM {source} GROUP BY ALL"""
 
 
 FINGERPRINT_SQL = with_(UPSERT) + _fp_sql("incoming")
@@ -108,19 +109,24 @@ def fingerprint(spark, sf_dir):
     return merge.fingerprint(fixtures.upsert_incoming(spark, sf_dir), ["ticker"])
 
 
-CHANGED_GROUPS_SQL = with_(UPSERT, f"n AS ({_fp_sql('incoming')})", f"r AS ({_fp_sql('target')})") + """
-SELECT n.ticker, n.rows, n.hash_sum, n.hash_xor,
-       r.rows IS NULL OR n.rows IS DISTINCT FROM r.rows OR n.hash_sum IS DISTINCT FROM r.hash_sum
-       OR n.hash_xor IS DISTINCT FROM r.hash_xor AS changed
-FROM n LEFT JOIN r USING (ticker)
+# A (date, ticker) cell is the input whose change is looked for: some are new,
+# some gone, some differ and most are as recorded.
+CHANGED_GROUPS_SQL = with_(UPSERT, f"n AS ({_fp_sql('incoming', ('date', 'ticker'))})", f"r AS ({_fp_sql('target', ('date', 'ticker'))})") + """,
+st AS (
+    SELECT date, ticker, n.rows, n.hash_sum, n.hash_xor,
+           CASE WHEN r.rows IS NULL THEN 'added' WHEN n.rows IS NULL THEN 'removed'
+                WHEN n.hash_sum = r.hash_sum AND n.hash_xor = r.hash_xor THEN 'unchanged' ELSE 'changed' END AS status
+    FROM n FULL JOIN r USING (date, ticker)
+)
+SELECT *, status <> 'unchanged' AS changed FROM st
 """
 
 
 @register("changed_inputs", CHANGED_GROUPS_SQL)
 def changed_inputs(spark, sf_dir):
-    new = merge.fingerprint(fixtures.upsert_incoming(spark, sf_dir), ["ticker"])
-    old = merge.fingerprint(fixtures.upsert_target(spark, sf_dir), ["ticker"])
-    return merge.changed_groups(new, old, ["ticker"])
+    new = merge.fingerprint(fixtures.upsert_incoming(spark, sf_dir), ["date", "ticker"])
+    old = merge.fingerprint(fixtures.upsert_target(spark, sf_dir), ["date", "ticker"])
+    return merge.changed_groups(new, old, ["date", "ticker"])
 
 
 # --- A10 / C4 / C6 -----------------------------------------------------------------------
@@ -128,19 +134,24 @@ def changed_inputs(spark, sf_dir):
 # The download request a manifest entry must match.
 PERIOD, INTERVAL = "5y", "1d"
 
-# The manifest records, per ticker, the day its bars were last fetched: the
-# ticker's latest bar in the target table. "Today" is the latest bar overall.
-MANIFEST_SQL = """manifest AS (
-    SELECT ticker AS input, max(date) AS fetched_on, '5y' AS period, '1d' AS interval, count(*) AS rows
-    FROM target GROUP BY ticker
+# The manifest records each ticker but one, with the day its bars were last
+# fetched (the ticker's latest bar in the target) and the interval asked for;
+# one ticker was asked for by the week. "Today" is the latest bar overall.
+UNRECORDED, WEEKLY = "4-NOT SPECIFIED", "5-LOW"
+
+MANIFEST_SQL = f"""manifest AS (
+    SELECT ticker AS input, (SELECT max(date) FROM base_bars) - CASE WHEN ticker = '1-URGENT' THEN 1 ELSE 0 END AS fetched_on,
+           '5y' AS period, CASE WHEN ticker = '{WEEKLY}' THEN '1wk' ELSE '1d' END AS interval, count(*) AS rows
+    FROM target WHERE ticker <> '{UNRECORDED}' GROUP BY ticker
 )"""
 
 
 def _manifest(spark, sf_dir):
-    t = fixtures.upsert_target(spark, sf_dir)
-    return t.groupBy(F.col("ticker").alias("input")).agg(
-        F.max("date").alias("fetched_on"), F.lit(PERIOD).alias("period"), F.lit(INTERVAL).alias("interval"),
-        F.count(F.lit(1)).alias("rows"),
+    t = fixtures.upsert_target(spark, sf_dir).where(F.col("ticker") != UNRECORDED)
+    today = fixtures.base_bars(spark, sf_dir).select(F.max("date")).scalar()
+    return t.groupBy(F.col("ticker").alias("input")).agg(F.count(F.lit(1)).alias("rows")).select(
+        "input", F.date_sub(today, F.when(F.col("input") == "1-URGENT", 1).otherwise(0)).alias("fetched_on"), F.lit(PERIOD).alias("period"),
+        F.when(F.col("input") == WEEKLY, F.lit("1wk")).otherwise(F.lit(INTERVAL)).alias("interval"), "rows",
     )
 
 

@@ -46,20 +46,20 @@ class ChainReport:
 
 
 def run_outputs(steps: Sequence[Step], output_dir: str, inputs: dict[str, DataFrame]) -> ChainReport:
-    """Build each step once, write it, and hand later steps the written copy."""
+    """Write every step whose needs are there; steps that need it read the written data."""
     report = ChainReport()
     available = dict(inputs)
     for step in steps:
         missing = [n for n in step.needs if n not in available]
         if missing:
-            log.warning("%s skipped: %s did not land", step.name, ", ".join(missing))
+            log.warning("no %s without %s", step.name, " and ".join(missing))
             report.skipped.append(step.name)
             continue
         path = f"{output_dir.rstrip('/')}/{step.name}"
         try:
             written = write_dataset(step.build(available), path, step.name, single_file=step.single_file)
-        except Exception as exc:  # one broken output must not hide the others
-            log.exception("%s failed", step.name)
+        except Exception as exc:  # a step's error is its own: steps that do not need it go on
+            log.exception("step %s", step.name)
             report.failed[step.name] = f"{type(exc).__name__}: {exc}"
             continue
         report.outputs[step.name] = written
@@ -139,13 +139,13 @@ def main(argv: Sequence[str] | None = None) -> int:
     params = list(PARAMETER_MEANS)
     report = sensor_chain(synthetic_readings(spark, args.rows), args.output_dir, params)
     for name, out in report.outputs.items():
-        log.info("%-11s %10s rows -> %s", name, f"{out['rows']:,}", out["path"])
+        log.info("wrote %s: %d rows in %s", name, out["rows"], out["path"])
     if not report.ok:
-        log.error("failed: %s; skipped: %s", report.failed, report.skipped)
+        log.error("incomplete: %s not built, %s not tried", ", ".join(report.failed) or "none", ", ".join(report.skipped) or "none")
         return 1
     try:
         for row in assert_checks(verify_outputs(spark, args.output_dir, params)):
-            log.info("%-28s %s (%s rows checked)", row["check_id"], row["verdict"], row["rows_checked"])
+            log.info("check %s over %d rows: %s", row["check_id"], row["rows_checked"], row["verdict"])
     except CheckFailed as exc:
         log.error("%s", exc)
         return 1

@@ -6,7 +6,7 @@ from tidemark.functions.numeric import sql_mean, sql_percent, sql_round, sql_sd
 from tidemark.functions import calendar
 from tidemark.operators import profile, reshape, series
 from tidemark.plans.catalog import register
-from tidemark.plans.sql_fixtures import READINGS, with_
+from tidemark.plans.sql_fixtures import NULL_READINGS, READINGS, with_
 from tidemark.sources import fixtures
 
 
@@ -150,3 +150,53 @@ FROM readings
 @register("date_parts", DATE_PARTS_SQL)
 def date_parts_query(spark, sf_dir):
     return calendar.date_parts(_readings(spark, sf_dir))
+
+
+# --- NULL keys and the blocked route -------------------------------------------------
+
+NULL_FEATURES = SERIES_FEATURES.replace("FROM readings", "FROM null_readings")
+NULL_SERIES_SQL = with_(NULL_READINGS, NULL_FEATURES) + "SELECT * FROM features"
+
+# Small bounds, so that the test tables have hot series and many blocks.
+SMALL_HOT, SMALL_BLOCK = 16, 50
+
+
+@register("series_features_blocked", NULL_SERIES_SQL)
+def series_features_blocked(spark, sf_dir):
+    """E1-E6 with every series cut into blocks; sensors and parameters may be NULL."""
+    return series.series_features(fixtures.readings_with_nulls(spark, sf_dir), hot_rows=0, block_rows=SMALL_BLOCK)
+
+
+@register("series_features_routed", NULL_SERIES_SQL)
+def series_features_routed(spark, sf_dir):
+    """E1-E6 with the larger series cut into blocks, the NULL series among them."""
+    return series.series_features(fixtures.readings_with_nulls(spark, sf_dir), hot_rows=SMALL_HOT, block_rows=SMALL_BLOCK)
+
+
+NULL_PROFILE_SQL = with_(NULL_READINGS) + LOCATION_PROFILE_SQL[len(with_(READINGS)):].replace("FROM readings", "FROM null_readings")
+
+
+@register("profile_null_keys", NULL_PROFILE_SQL)
+def profile_null_keys(spark, sf_dir):
+    """D1 keeps the groups whose location or parameter is NULL."""
+    return profile.group_profile(fixtures.readings_with_nulls(spark, sf_dir))
+
+
+@register("profile_null_keys_exact_quantiles", NULL_PROFILE_SQL)
+def profile_null_keys_exact_quantiles(spark, sf_dir):
+    return profile.group_profile(fixtures.readings_with_nulls(spark, sf_dir), quantiles="exact")
+
+
+@register("previous_value", with_(NULL_READINGS) + """
+SELECT seq, sensor_id, value, lag(value) OVER (PARTITION BY sensor_id ORDER BY seq) AS prev FROM null_readings""")
+def previous_value(spark, sf_dir):
+    """``lag`` by arrival with the hot sensors in blocks; the NULL sensor is one."""
+    r = fixtures.readings_with_nulls(spark, sf_dir).select("seq", "sensor_id", "value")
+    return series.previous_value(r, ["sensor_id"], "seq", "value", block_rows=SMALL_BLOCK, hot_rows=60)
+
+
+@register("readings_due", with_(READINGS) + "SELECT seq, CAST(reading_date + INTERVAL 30 DAY AS DATE) AS due FROM readings")
+def readings_due(spark, sf_dir):
+    """Adding days to a date."""
+    from pyspark.sql import functions as F
+    return _readings(spark, sf_dir).select("seq", F.date_add("reading_date", 30).alias("due"))

@@ -1,16 +1,23 @@
 """Registered source queries: scan, table renames and the synthetic generator.
 
 The generator's draws use Spark's xxhash64, which DuckDB does not offer, so its
-queries are rows-only here and tested statistically in tests/test_synth.py.
+rows have no oracle; ``synthetic_contract`` counts what they must never do, and
+tests/test_synth.py looks at their distributions.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import profile
+from tidemark.operators.joins import keyed_join
 from tidemark.plans.catalog import register
-from tidemark.plans.sql_fixtures import RAW_BARS, with_
+from tidemark.plans.sensor_chain import sensor_chain
+from tidemark.plans.sensor_queries import PARAMETERS
+from tidemark.plans.sql_fixtures import RAW_BARS, READINGS, with_
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import fixtures, io, synth
 from tidemark.sources.tables import table
 
@@ -31,6 +38,58 @@ def synthetic_profile(spark, sf_dir):
     return profile.group_profile(_synthetic(spark, sf_dir), distinct="approx")
 
 
+CONTRACT = ("bad_id", "bad_location", "bad_parameter", "bad_status", "bad_day", "long_decimals", "moving_sensors")
+
+
+@register("synthetic_contract", "SELECT count(*) AS rows, " + ", ".join(f"0::BIGINT AS {c}" for c in CONTRACT) + " FROM events")
+def synthetic_contract(spark, sf_dir):
+    """Rows of the generator that break its contract: id form, domains, dates, decimals, one place per sensor."""
+    r = _synthetic(spark, sf_dir)
+    last = F.date_add(F.lit(synth.DEFAULT_START), synth.DEFAULT_DAYS - 1)
+    broken = {
+        "bad_id": ~F.col("sensor_id").rlike("^[0-9a-z]{7}$"),
+        "bad_location": ~F.col("location").isin(*synth.LOCATIONS),
+        "bad_parameter": ~F.col("parameter").isin(*synth.PARAMETER_MEANS),
+        "bad_status": ~F.col("status").isin("Good", "Bad"),
+        "bad_day": ~F.col("reading_date").between(F.lit(synth.DEFAULT_START), last),
+        "long_decimals": F.col("value") != F.round("value", 3),
+    }
+    places = r.groupBy("sensor_id").agg(F.count_distinct("location").alias("n")).select(F.count_if(F.col("n") > 1)).scalar()
+    counts = r.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.coalesce(c, F.lit(True))).alias(k) for k, c in broken.items()])
+    return counts.withColumn("moving_sensors", places)
+
+
+APPROX_SQL = with_(READINGS) + "SELECT DISTINCT location, parameter, true AS in_band FROM readings"
+
+
+@register("approx_sensors_in_band", APPROX_SQL)
+def approx_sensors_in_band(spark, sf_dir):
+    """Whether the sketch's sensor count is within three of its standard errors of the exact one."""
+    r = fixtures.readings(spark, sf_dir)
+    keys = ["location", "parameter"]
+    both = keyed_join(
+        profile.group_profile(r, distinct="approx").select(*keys, F.col("sensors").alias("about")),
+        profile.count_distinct_by(r, keys, "sensor_id", "exact"), keys)
+    return both.select(*keys, (F.abs(F.col("about") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.06)).alias("in_band"))
+
+
+CHAIN_SQL = with_(READINGS) + """
+SELECT unnest(['window', 'aggregate', 'pivot', 'unpivot', 'date_parts']) AS output,
+       unnest([(SELECT count(*) FROM readings), (SELECT count(*) FROM (SELECT DISTINCT location, parameter FROM readings)),
+               (SELECT count(*) FROM (SELECT DISTINCT sensor_id, reading_date FROM readings)),
+               (SELECT count(*) FROM (SELECT DISTINCT sensor_id, reading_date, parameter FROM readings)),
+               (SELECT count(*) FROM readings)]) AS rows
+"""
+
+
+@register("chain_outputs", CHAIN_SQL)
+def chain_outputs(spark, sf_dir):
+    """The five outputs of the chain, written to the shared folder, with the rows of each."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/chain-{uuid.uuid4().hex}"
+    report = sensor_chain(fixtures.readings(spark, sf_dir), path, PARAMETERS)
+    return spark.createDataFrame([(k, v["rows"]) for k, v in report.outputs.items()], "output string, rows bigint")
+
+
 @register("events_scan", "SELECT * FROM events")
 def events_scan(spark, sf_dir):
     return io.scan(spark, f"{str(sf_dir).rstrip('/')}/events.parquet")
@@ -45,5 +104,5 @@ FROM raw_bars
 
 @register("renamed_for_table", RENAMED_SQL)
 def renamed_for_table(spark, sf_dir):
-    raw = fixtures.raw_bars(spark, sf_dir).drop("ts", "exchange_tz")
+    raw = fixtures.raw_bars(spark, sf_dir).drop("ts", "exchange_tz", "arrival")
     return io.rename_for_table(raw, {"Stock Splits": "stock_splits"})

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import lookup_join
-from tidemark.operators.reshape import stack
 from tidemark.sources.tables import table
 
 # The fixture contract of FIXTURES.md.
@@ -91,15 +90,15 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns: ticker, exchange_tz, ts (instant of local midnight), Open, High,
     Low, Close, Volume, Dividends, Stock Splits, seq (arrival order within a
-    (ticker, date): 0 for the original, 1 for a later correction).
+    (ticker, date): 0 for the original, 1 for a later correction), arrival
+    (unique, by order key: the dates do not arrive in order).
     """
-    base = base_bars(spark, sf_dir).withColumn("seq", F.lit(0))
-    corrections = base.where(F.col("k") % CORRECTION_EVERY == 0).select(
-        "ticker", "date", "k", "open", "high", "low",
-        ((F.col("high") + F.col("low")) / 2).alias("close"), "volume", F.lit(1).alias("seq"),
-    )
     k = F.col("k")
-    rows = stack([base, corrections])
+    versions = F.when(k % CORRECTION_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = base_bars(spark, sf_dir).withColumn("seq", F.explode(versions))
+    # Both rows of a corrected bar come from the one aggregation.
+    close = F.when(F.col("seq") == 1, (F.col("high") + F.col("low")) / 2).otherwise(F.col("close"))
+    rows = rows.withColumn("close", close)
     zone = _zone()
     return rows.select(
         "ticker",
@@ -115,9 +114,32 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("Dividends"),
         F.lit(None).cast("double").alias("Stock Splits"),
         F.col("seq").cast("long").alias("seq"),
+        (k * 2 + F.col("seq")).cast("long").alias("arrival"),
     )
 
 
+# Rows of the readings that lose a key, by event id.
+NULL_SENSOR_EVERY, NULL_PARAMETER_EVERY, NULL_LOCATION_EVERY = 17, 23, 29
+
+
+def readings_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``readings`` with some sensors, parameters and locations unknown."""
+    out = readings(spark, sf_dir)
+    for column, every in (("sensor_id", NULL_SENSOR_EVERY), ("parameter", NULL_PARAMETER_EVERY), ("location", NULL_LOCATION_EVERY)):
+        out = out.withColumn(column, F.when(F.col("seq") % every != 0, F.col(column)))
+    return out
+
+
+def broken_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``readings`` that fail checks: NULLs, sensors in two places, unknown states and ids of a wrong form."""
+    n = F.col("seq")
+    return readings_with_nulls(spark, sf_dir).withColumns({
+        "location": F.when(n % 31 == 0, F.lit("ELSEWHERE")).otherwise(F.col("location")),
+        "status": F.when(n % 37 == 0, F.lit("Odd")).otherwise(F.col("status")),
+        "sensor_id": F.when(n % 41 == 0, F.concat(F.lit("X-"), F.col("sensor_id"))).otherwise(F.col("sensor_id")),
+    })
+
+
 def ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean bars in the ``ohlcv`` table shape (date, ticker, 7 values)."""
     return base_bars(spark, sf_dir).select(
@@ -131,7 +153,7 @@ def _clean_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.bars import clean_bars
 
     keys = base_bars(spark, sf_dir).select("ticker", "date", "k")
-    return clean_bars(raw_bars(spark, sf_dir)).join(keys, ["ticker", "date"])
+    return clean_bars(raw_bars(spark, sf_dir).drop("arrival")).join(keys, ["ticker", "date"])
 
 
 def upsert_target(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,11 +47,12 @@ def write_dataset(df: DataFrame, path: str, name: str | None = None, single_file
                   mode: str = "overwrite") -> dict:
     """Write parquet and report columns, rows and path (A5).
 
-    ``single_file`` coalesces to one task and is meant for small outputs only.
+    ``single_file`` is meant for small outputs: the finished rows go through one
+    more exchange into one file, so the work before it keeps its own tasks.
     """
     obs = Observation(name or "write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (observed.coalesce(1) if single_file else observed).write.mode(mode).parquet(path)
+    (observed.repartition(1) if single_file else observed).write.mode(mode).parquet(path)
     return {"name": name or path, "path": path, "columns": list(df.columns), "rows": obs.get["rows"]}
 
 
@@ -64,13 +65,14 @@ def load_jdbc(df: DataFrame, table: str, options: dict[str, str], writers: int =
               batch: int = JDBC_BATCH) -> int:
     """Replace a table's rows, keeping its DDL and constraints; return the committed count.
 
-    ``coalesce`` caps concurrent writers without a shuffle; ``truncate`` keeps
+    ``repartition`` caps the concurrent writers but not the tasks of the work
+    before them; ``truncate`` keeps
     the table definition instead of dropping and re-creating it. The count is
     asked of the database, and read by position (some databases upper-case
     unquoted aliases).
     """
     (
-        df.coalesce(writers).write.format("jdbc")
+        df.repartition(writers).write.format("jdbc")
         .options(**options)
         .option("dbtable", table)
         .option("batchsize", str(batch))
@@ -82,6 +84,6 @@ def load_jdbc(df: DataFrame, table: str, options: dict[str, str], writers: int =
     return int(landed.first()[0])
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first rows, for a look."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first rows, for a look (A14); with ``order`` always the same ones."""
+    return (df.orderBy(*order) if order else df).limit(n)

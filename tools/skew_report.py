@@ -51,33 +51,14 @@ def max_task_records(log_dir: str) -> dict[str, int]:
     return worst
 
 
-def skewed_bars(spark, rows: int):
-    """Daily bars where one ticker holds about a third of them; (ticker, date) unique."""
-    from tidemark.functions.draws import bounded
-
-    ids = spark.range(rows)
-    hot = uniform(F.col("id"), 11) < 1 / 3
-    close = F.round(F.lit(100.0) + uniform(F.col("id"), 13) * 20, 2)
-    return ids.select(
-        F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
-        F.when(hot, F.lit("HOT")).otherwise(F.concat(F.lit("T"), bounded(F.col("id"), 17, 1000).cast("string")))
-        .alias("ticker"),
-        close.alias("open"), (close + 1).alias("high"), (close - 1).alias("low"), close.alias("close"),
-        F.lit(1000).cast("long").alias("volume"),
-    )
-
-
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--rows", type=int, default=1_000_000)
-    ap.add_argument("--bars", action="store_true", help="bar metrics with a hot ticker instead")
     ap.add_argument("--hot-rows", type=int, default=50_000)
     ap.add_argument("--block-rows", type=int, default=20_000)
     ap.add_argument("--seq-order", choices=("time", "random"), default="time",
                     help="time: seq follows the date, like event ids; random: seq unrelated to the date")
     args = ap.parse_args()
-    if args.bars:
-        return bars_main(args.rows, args.hot_rows, args.block_rows)
     log_dir = tempfile.mkdtemp(prefix="tidemark-skew-")
     # Many shuffle partitions and no coalescing: an evenly spread task then
     # reads about rows/64 records, so whatever one task reads above that is skew.
@@ -117,34 +98,5 @@ def main() -> None:
         print(f"{name:30s} max records read by one task: {worst.get(name, 0):>10,}   {secs[name]:.1f}s")
 
 
-def bars_main(rows: int, hot_rows: int = 50_000, block_rows: int = 20_000) -> None:
-    from tidemark.operators.bars import bar_metrics
-
-    log_dir = tempfile.mkdtemp(prefix="tidemark-skew-")
-    spark = local_session(app="tidemark-skew-report", shuffle_partitions=64,
-                          extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
-                                 "spark.sql.adaptive.enabled": "false"})
-    src = skewed_bars(spark, rows)
-    out = tempfile.mkdtemp(prefix="tidemark-skew-out-")
-    runs = {
-        "plain windows": dict(hot_rows=rows * 10),
-        "routed (hot ticker blocked)": dict(hot_rows=hot_rows, block_days=2 * block_rows, position_block=block_rows),
-    }
-    secs = {}
-    for name, kw in runs.items():
-        spark.sparkContext.setJobGroup(name, name)
-        t0 = time.perf_counter()
-        bar_metrics(src, **kw).write.mode("overwrite").parquet(f"{out}/{len(secs)}")
-        secs[name] = time.perf_counter() - t0
-    a, b = (spark.read.parquet(f"{out}/{i}") for i in range(2))
-    equal = a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    hot_count = src.where("ticker = 'HOT'").count()
-    spark.stop()
-    worst = max_task_records(log_dir)
-    print(f"bars={rows:,} hot ticker bars={hot_count:,} identical results={equal}")
-    for name in runs:
-        print(f"{name:30s} max records read by one task: {worst.get(name, 0):>10,}   {secs[name]:.1f}s")
-
-
 if __name__ == "__main__":
     main()
