@@ -39,8 +39,8 @@ SIMILARITY = 0.8
 #: Signatures agree in K draws; this far under the threshold (4.5 standard deviations) a pair is passed over.
 MARGIN = 0.15
 #: Texts and set elements of a block.
-BLOCK_TEXTS = 256
-BLOCK_ELEMENTS = 1 << 18
+BLOCK_TEXTS = 1024
+BLOCK_ELEMENTS = 1 << 20
 
 
 def words_of(column: str = "text") -> Column:
@@ -198,8 +198,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     numbered = rows.select("digest", "doc_id", F.monotonically_increasing_id().alias("row"), "words")
     signed = materialise(numbered.mapInArrow(_signed, f"digest string, doc_id {kind}, row bigint, size bigint, bands array<bigint>"), "near-signed")
     # One text for each word sequence; its id is the smallest row number.
-    copies = signed.groupBy("digest").agg(F.min(F.struct(F.col("row").alias("tid"), "doc_id")).alias("first"))
-    first = copies.select("first.tid", "first.doc_id", "digest")
+    copies = signed.groupBy("digest").agg(
+        F.min(F.struct(F.col("row").alias("tid"), "doc_id")).alias("first"), F.min(_order()).alias("lowest"), F.count("*").alias("copies")
+    )
+    first = materialise(copies.select("first.tid", "first.doc_id", "digest", "lowest", "copies"), "near-first")
     texts = materialise(signed.join(first.select("tid"), F.col("row") == F.col("tid"), "left_semi").select(F.col("row").alias("tid"), "size", "bands"), "near-texts")
     groups = materialise(_groups(texts, similarity), "near-groups")
     # A group with one text has nothing to compare.
@@ -214,12 +216,17 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return _decided(rows, signed, first, roots)
 
 
+def _order() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("row"))
+
+
 def _decided(rows: DataFrame, signed: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
-    known = first.select("tid", "digest").join(roots, F.col("tid") == F.col("id"), "left").select("digest", F.coalesce("root", "tid").alias("root"))
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("row"))
-    member = signed.select("digest", "doc_id", "row").join(known, "digest")
-    best = member.groupBy("root").agg(F.min(order).alias("best"), F.count("*").alias("class_size"))
-    decided = member.join(best, "root").select(
+    """Decisions per row.  Classes are summed up over texts and written, so the joins back are plain and may be split."""
+    known = first.join(roots, F.col("tid") == F.col("id"), "left").select("digest", "lowest", "copies", F.coalesce("root", "tid").alias("root"))
+    known = materialise(known, "near-known")
+    best = materialise(known.groupBy("root").agg(F.min("lowest").alias("best"), F.sum("copies").alias("class_size")), "near-best")
+    classed = known.select("digest", "root").join(best, "root").select("digest", "best", "class_size")
+    decided = signed.select("digest", "doc_id", "row").join(classed, "digest").select(
         "doc_id", "digest", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("best.row") == F.col("row")).alias("kept")
     )
     empty = rows.filter("words = ''").select("doc_id", "digest", F.col("doc_id").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"), F.lit(True).alias("kept"))
