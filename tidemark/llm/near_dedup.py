@@ -40,7 +40,7 @@ SIMILARITY = 0.8
 MARGIN = 0.15
 #: Texts and set elements of a block.
 BLOCK_TEXTS = 1024
-BLOCK_ELEMENTS = 1 << 20
+BLOCK_ELEMENTS = 1 << 18
 
 
 def words_of(column: str = "text") -> Column:
@@ -77,22 +77,22 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-    """The rows of each group of a partition that is sorted by its first column."""
-    held: dict[str, list] = {}
+    """The rows of each group of a partition that is sorted by its first column; one group at a time is copied."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        columns = batch.to_pydict()
-        gid = np.asarray(columns["gid"])
+        gid = batch.column(0).to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(gid[1:] != gid[:-1]) + 1).tolist(), len(gid)] if len(gid) else []
         for a, b in zip(cuts, cuts[1:]):
-            part = {k: v[a:b] for k, v in columns.items()}
-            if held and held["gid"][0] == part["gid"][0]:
-                held = {k: held[k] + v for k, v in part.items()}
-                continue
-            if held:
-                yield held
-            held = part
+            if held and last != gid[a]:
+                yield pa.Table.from_batches(held).to_pydict()
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = gid[a]
+        # What goes on in the next batch must not keep this one in memory.
+        held = [pa.RecordBatch.from_pylist(h.to_pylist(), schema=h.schema) for h in held]
     if held:
-        yield held
+        yield pa.Table.from_batches(held).to_pydict()
 
 
 def _linked(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
