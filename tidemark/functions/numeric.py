@@ -35,7 +35,12 @@ def _c(col: Column | str) -> Column:
 
 
 def dec(col: Column | str, kind: str = MOMENT_DECIMAL) -> Column:
-    return _c(col).cast(kind)
+    """The value as an exact decimal; a value with more decimals than ``kind`` holds is an error, never rounded."""
+    value = _c(col)
+    exact = value.cast(kind)
+    fits = value.isNull() | (exact.cast("double") == value.cast("double"))
+    said = F.concat(F.lit(f"value does not fit {kind}: "), value.cast("string"))
+    return F.when(fits, exact).otherwise(F.raise_error(said).cast(kind))
 
 
 # --- aggregate building blocks ------------------------------------------------

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import exact_stddev, percent, round3
+from tidemark.functions.numeric import dec, exact_stddev, percent, round3
 from tidemark.operators.joins import keyed_join
 
 # The id pattern, enumerations and request bounds of the API.
@@ -180,7 +180,7 @@ def parameter_summary(df: DataFrame, entity: Column | str | None = None, by: Seq
     keys = ["parameter"] if entity is not None else [*by, "parameter"]
     src = for_entity(df, entity) if entity is not None else df
     n = F.count(F.lit(1))
-    x = F.col("value").cast("decimal(18,3)")
+    x = dec("value")
     out = src.groupBy(*keys).agg(
         n.alias("readings"),
         round3(F.sum(x).cast("double") / n).alias("avg_value"),
