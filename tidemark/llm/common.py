@@ -41,17 +41,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written = path  # for release()
+    return table
 
 
-def release(df: DataFrame) -> None:
-    """Delete the files behind a :func:`materialise` table that no later plan reads."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if folder.startswith(("file:", shared_dir(spark))) or shared_dir(spark) in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+def release(written: DataFrame) -> None:
+    """Delete the files of a :func:`materialise` table that no later plan reads."""
+    spark = written.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(written._written)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def packed(docs: DataFrame, **helpers: Column) -> DataFrame:
