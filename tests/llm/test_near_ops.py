@@ -227,7 +227,7 @@ def test_the_sort_finds_windows_at_every_residue(spark):
     """Equal windows at all pairs of places modulo 3, in strings of their own."""
     base = words(300, 9).encode()
     rows = [(k, bytes([65 + k]) * k + base[:420] + bytes([97 + k]) * 30) for k in range(7)] + [(50, words(200, 8).encode())]
-    got = {r.owner: (r.starts, r.ends) for r in cover.repeated(spark.createDataFrame(rows, "owner bigint, body binary")).collect()}
+    got = {r.owner: (r.starts, r.ends) for r in cover.repeated(cover.in_chunks(spark.createDataFrame(rows, "owner bigint, body binary"))).collect()}
     assert got == {k: ([k], [k + 20]) for k in range(7)}
 
 

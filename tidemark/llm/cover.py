@@ -36,6 +36,8 @@ MERGES = (((1, 2), 0, (396, 397, 398, 399)), ((0, 1), 1, (0, 397, 398, 399)), ((
 #: Bytes of a chunk, and keys that a bucket is meant for.
 CHUNK_BYTES = 1 << 20
 BUCKET_KEYS = 1 << 19
+#: Passes in which the first level's buckets are dealt, to halve what a shuffle holds.
+FIRST_PASSES = 2
 
 SCHEMA = "chunk bigint, body binary, sizes binary, owners binary, names binary, alive binary"
 
@@ -77,11 +79,10 @@ class Chunk:
             # A place that joins a dropped name has no equal.
             at = at[np.all([self.names[at + k] != 0 for k in offsets], axis=0)]
             return at, np.stack([self.names[at + k].view(np.uint64) for k in offsets], axis=1)
-        words = np.zeros((len(at), 3), np.uint64)
-        for w, offset in enumerate(offsets):
-            for k in range(8):
-                words[:, w] = (words[:, w] << np.uint64(8)) | self.body[at + offset + k]
-        return at, words
+        word = np.zeros(max(len(self.body) - 7, 0), np.uint64)
+        for k in range(8):
+            word = (word << np.uint64(8)) | self.body[k : k + len(word)]
+        return at, np.stack([word[at + k] for k in offsets], axis=1)
 
     def merge_keys(self) -> tuple[np.ndarray, np.ndarray]:
         """(windows, keys): two keys for each window in question, by the pairs that its residue is in."""
@@ -129,17 +130,21 @@ class Chunk:
 
 
 def _distinct(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys by bucket and order: (order of the rows, first row of each distinct key, distinct keys, their counts, their buckets)."""
+    """Keys brought together by a hash: (order of the rows, distinct key of each, distinct keys, their counts, their buckets).
+
+    Buckets are ranges of the hash.  Should different keys share a hash, a key
+    may come twice; the bucket's sort puts its counts and names together.
+    """
     h = np.zeros(len(keys), np.uint64)
     for c in range(keys.shape[1]):
         h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + keys[:, c] + np.uint64(1))
-    bucket = (h % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((*[keys[:, c] for c in range(keys.shape[1] - 1, -1, -1)], bucket))
+    order = np.argsort(h)
     sorted_keys = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = (sorted_keys[1:] != sorted_keys[:-1]).any(axis=1)
     first = np.flatnonzero(new)
-    return order, np.cumsum(new) - 1, sorted_keys[first], np.diff(np.append(first, len(keys))), bucket[order[first]]
+    width = np.uint64((1 << 64) // buckets + 1)
+    return order, np.cumsum(new) - 1, sorted_keys[first], np.diff(np.append(first, len(keys))), (h[order[first]] // width).astype(np.int64)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -148,11 +153,15 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             yield Chunk(row)
 
 
-def _sent(level: int, buckets: int) -> Callable:
+def _sent(level: int, buckets: int, part: int, parts: int) -> Callable:
+    """Each chunk's distinct keys of the buckets that are dealt in this pass."""
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
             _, keys = chunk.keys(level)
             _, _, distinct, counts, bucket = _distinct(keys, buckets)
+            mine = bucket % parts == part
+            distinct, counts, bucket = distinct[mine], counts[mine], bucket[mine]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             firsts = np.concatenate([[0], cuts]) if len(bucket) else []
             rows = [
@@ -213,7 +222,7 @@ def _received(level: int, buckets: int) -> Callable:
 
 
 def in_chunks(strings: DataFrame) -> DataFrame:
-    """(owner bigint, body binary) -> chunk rows for :func:`repeated`; written once."""
+    """(owner bigint, body binary), owners unique -> chunk rows for :func:`repeated`; written once."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -241,24 +250,33 @@ def in_chunks(strings: DataFrame) -> DataFrame:
     return materialise(strings.select("owner", "body").mapInArrow(collect, SCHEMA), "cover-chunks")
 
 
-def repeated(strings: DataFrame) -> DataFrame:
-    """(owner, starts array<int>, ends array<int>): runs of windows of each string that occur elsewhere in ``strings``.
+def repeated(state: DataFrame) -> DataFrame:
+    """(owner, starts array<int>, ends array<int>): runs of windows of each string that occur elsewhere in the strings.
 
-    ``strings`` has (owner bigint, body binary), owners unique; a run's end is that of its last window's start.
+    ``state`` is what :func:`in_chunks` made of the strings, and is deleted; a run's end is its last window's start.
     """
-    spark = strings.sparkSession
-    state = in_chunks(strings)
+    spark = state.sparkSession
+    spark.sparkContext._jvm.System.gc()  # lets Spark delete shuffle files that nothing reads any more
     size = state.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     buckets = int(max(8, size // BUCKET_KEYS + 1))
     for level in range(len(LEVELS) + 1):
         words = len(LEVELS[level][1]) if level < len(LEVELS) else 2
-        sent = state.mapInArrow(_sent(level, buckets), "bucket int, chunk bigint, n bigint, keys binary, counts binary")
-        told = sent.groupBy("bucket").applyInArrow(_ranked(words), "chunk bigint, bucket int, names binary")
+        # The first level has the most and the longest keys: its buckets are dealt in passes, each freed before the next.
+        parts = FIRST_PASSES if level == 0 else 1
+        passes = []
+        for part in range(parts):
+            sent = state.mapInArrow(_sent(level, buckets, part, parts), "bucket int, chunk bigint, n bigint, keys binary, counts binary")
+            passes.append(materialise(sent.groupBy("bucket").applyInArrow(_ranked(words), "chunk bigint, bucket int, names binary"), "cover-names"))
+            spark.sparkContext._jvm.System.gc()
+        told = passes[0]
+        for more in passes[1:]:
+            told = told.unionByName(more)
         after = state.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_received(level, buckets), SCHEMA)
         after = materialise(after, f"cover-{level}")
-        release(state)
+        for done in (state, *passes):
+            release(done)
         state = after
-        spark.sparkContext._jvm.System.gc()  # lets Spark delete the finished level's shuffle files
+        spark.sparkContext._jvm.System.gc()
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):

@@ -9,8 +9,8 @@ any text or in the same one.  Texts are UTF-8 bytes; matches never cross texts.
    says so, so equal passages give equal pieces.
 2. Equal pieces are taken together with their number: all windows of a piece
    that occurs twice are repeated.  Among the distinct pieces anchors are
-   counted again, and the runs of windows whose anchors still occur twice are
-   the strings of the sort.
+   counted again, and the runs of windows whose anchors still occur twice, in
+   pieces of which one at least has no copy, are the strings of the sort.
 3. The difference-cover sort (:mod:`tidemark.llm.cover`) names these strings'
    windows and finds those with an equal neighbour.
 4. Each text's repeated windows are put together; what they cover is removed.
@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.anchors import WINDOW, anchors, runs_of
-from tidemark.llm.common import materialise, text_of
-from tidemark.llm.cover import repeated
+from tidemark.llm.common import materialise, release, text_of
+from tidemark.llm.cover import in_chunks, repeated
 
 #: A piece ends after an anchor whose hash is divisible by this.
 PIECE_ANCHORS = 16
@@ -133,14 +133,19 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["d1", "d2", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
-def _twice(items: DataFrame, keys: list[str], weight: str | Column) -> DataFrame:
-    """(keys, chosen): for each item the places of its hashes that occur at least twice over all items."""
+def _places(items: DataFrame, keys: list[str], often: DataFrame) -> DataFrame:
+    """(keys, chosen): for each item the places of its hashes that are in ``often`` (h)."""
     each = items.select(*keys, F.posexplode("hashes").alias("place", "h"))
-    weighted = items.select(F.explode("hashes").alias("h"), (F.col(weight) if isinstance(weight, str) else weight).alias("w"))
-    often = weighted.groupBy("h").agg(F.sum("w").alias("n")).filter("n >= 2").select("h")
     return each.join(often, "h").groupBy(*keys).agg(F.collect_list("place").alias("chosen"))
 
 
+def _counted(items: DataFrame) -> DataFrame:
+    """(h, n, least): over all items, how many have the hash (with their copies, and without) and the fewest copies of one."""
+    return items.select(F.explode("hashes").alias("h"), "copies").groupBy("h").agg(
+        F.sum("copies").alias("n"), F.count("*").alias("items"), F.min("copies").alias("least")
+    )
+
+
 def remove_repeated(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (start:end of each removed run, in bytes) of every row."""
     rows = _rows(docs)
@@ -149,10 +154,12 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     found = materialise(found, "substring-anchors")
     texts = found.groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.min("key").alias("key"), F.first("hashes").alias("hashes"), F.first("starts").alias("starts"))
     texts = materialise(texts, "substring-texts")
-    chosen = texts.join(_twice(texts, ["d1", "d2"], "copies"), ["d1", "d2"])
+    release(found)
+    chosen = texts.join(_places(texts, ["d1", "d2"], _counted(texts).filter("n >= 2").select("h")), ["d1", "d2"])
     # One row of each text that has a repeated anchor: its row with the smallest key.
     bodies = long.select("d1", "d2", "key", "body").join(chosen, ["d1", "d2", "key"]).dropDuplicates(["d1", "d2", "key"])
     bodies = materialise(bodies.select("d1", "d2", "copies", "body", "hashes", "starts", "chosen"), "substring-bodies")
+    release(texts)
     pieces = bodies.mapInArrow(
         _pieces, "d1 bigint, d2 bigint, copies bigint, at int, windows int, piece binary, hashes array<bigint>, starts array<int>"
     )
@@ -162,16 +169,26 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
         F.sum("copies").alias("copies"), F.first("piece").alias("piece"), F.first("hashes").alias("hashes"), F.first("starts").alias("starts")
     )
     distinct = materialise(distinct.withColumn("owner", F.monotonically_increasing_id()), "substring-distinct")
-    shared = distinct.select("owner", "piece", "starts").join(_twice(distinct, ["owner"], F.lit(1)), "owner")
+    # From here on the occurrences go without their bytes, and the whole tables make room.
+    occurrences = materialise(pieces.select("d1", "d2", "at", "windows", "p1", "p2"), "substring-occurrences")
+    release(pieces)
+    named = materialise(distinct.select("owner", "p1", "p2", F.col("copies").alias("n")), "substring-named")
+    # A hash that only pieces with copies share says nothing new: all their windows are known.
+    open_hashes = _counted(distinct).filter("items >= 2 AND least = 1").select("h")
+    shared = distinct.select("owner", "piece", "starts").join(_places(distinct, ["owner"], open_hashes), "owner")
     strings = shared.select("owner", "piece", "starts", "chosen").mapInArrow(_strings, "piece bigint, at int, body binary")
     strings = materialise(strings.withColumn("owner", F.monotonically_increasing_id()), "substring-strings")
-    sorted_runs = repeated(strings.select("owner", "body"))
-    runs = sorted_runs.join(strings.select("owner", "piece", "at"), "owner").select(
+    release(distinct)
+    where = materialise(strings.select("owner", "piece", "at"), "substring-where")
+    chunks = in_chunks(strings.select("owner", "body"))
+    release(strings)
+    sorted_runs = repeated(chunks)
+    runs = sorted_runs.join(where, "owner").select(
         "piece", F.explode(F.arrays_zip("starts", "ends")).alias("r"), "at"
     ).select("piece", F.struct((F.col("r.starts") + F.col("at")).alias("s"), (F.col("r.ends") + F.col("at")).alias("e")).alias("run"))
     runs = runs.groupBy("piece").agg(F.collect_list("run").alias("runs"))  # the runs of one piece
-    known = distinct.select("owner", "p1", "p2", F.col("copies").alias("n")).join(runs, F.col("owner") == F.col("piece"), "left").drop("piece", "owner")
-    placed = pieces.select("d1", "d2", "at", "windows", "p1", "p2").join(known, ["p1", "p2"]).filter("n >= 2 OR runs IS NOT NULL")
+    known = named.join(runs, F.col("owner") == F.col("piece"), "left").drop("piece", "owner")
+    placed = occurrences.join(known, ["p1", "p2"]).filter("n >= 2 OR runs IS NOT NULL")
     whole = F.array(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("windows") - 1).alias("e")))
     shifted = F.transform("runs", lambda r: F.struct((r["s"] + F.col("at")).alias("s"), (r["e"] + F.col("at")).alias("e")))
     covered = placed.select("d1", "d2", F.when(F.col("n") >= 2, whole).otherwise(shifted).alias("runs"))
