@@ -98,8 +98,9 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, bits: int = BITS
     done = []
     for radius in range(max(width for _, width in parts) + 1):
         probes = _probes(waiting, parts, radius)
-        met = probes.join(index, ["segment", "value"]).select("query", "code").distinct()
-        met = met.join(codes, "code").select("query", F.explode("ids").alias("id"), F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance"))
+        # Hinted: by the size of the open queries, from which Spark estimates theirs, the probes would be broadcast.
+        met = probes.join(index.hint("merge"), ["segment", "value"]).select("query", "code").distinct()
+        met = met.join(codes.hint("merge"), "code").select("query", F.explode("ids").alias("id"), F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance"))
         held = met if best is None else met.unionByName(best).distinct()
         held = materialise(held.withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= k).drop("nth"), "hamming-best")
         covered = count * (radius + 1) - 1
