@@ -143,6 +143,33 @@ def test_order_matters_and_awkward_texts_have_none(docs):
     assert licences.scan_licences(docs([(1, "a", "en", "s")]).filter("false")).count() == 0
 
 
+FOUNDATION = "it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+HOPE = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty."
+
+
+def test_version_of_a_split_gpl_sentence_counts(docs):
+    ends = {
+        "either version 2 of the License, or (at your option) any later version.": "GPL-2.0-or-later",
+        "either version 3 of the License, or (at your option) any later version.": "GPL-3.0-or-later",
+        "version 2 of the License.": "GPL-2.0-only",
+        "version 3 of the License.": "GPL-3.0-only",
+        "either version 9 of the License.": "",
+    }
+    rows, want = [], {}
+    for k, (end, name) in enumerate(ends.items()):
+        text = f"Foo is free software; you can redistribute it and/or modify {FOUNDATION}{end} {HOPE}"
+        rows += [(2 * k, text, "en", "s"), (2 * k + 1, re.sub(r"((?:\S+\s+){6}\S+)\s", r"\1\n", text), "en", "s")]
+        want[2 * k] = want[2 * k + 1] = name
+    # Another licence's version does not complete the sentence.
+    lesser = "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+    both = f"you can redistribute it and/or modify {FOUNDATION}version 2 of the License. {HOPE}\n\nyou can modify {lesser}either version 3 of the License, or (at your option) any later version. {HOPE}"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. "
+    rows += [(50, both, "en", "s"), (51, mpl + "2.0.", "en", "s"), (52, mpl + "1.1.", "en", "s")]
+    want |= {50: "GPL-2.0-only", 51: "MPL-2.0", 52: ""}
+    got = {r.doc_id: r.licences for r in licences.scan_licences(docs(rows)).collect()}
+    assert got == want
+
+
 def test_lookup_table_is_fair_and_stable():
     names = [f"n{k}" for k in range(10)]
     owner = sharding.lookup_table(names, 1009)

@@ -119,11 +119,47 @@ def sentence_ids() -> dict[str, str]:
     return found
 
 
+#: By the longest piece only; :func:`oracle` is built from these and from ``RULES``.
 IDS = sentence_ids()
 
+#: What the cutting makes of the known sentences that it splits, a name for each piece.
+SPLIT = {"gpl2-redistribute": ("gpl-redistribute", "gpl2-or-later"), "mpl2-subject": ("mpl-subject", "mpl-2")}
+#: Other pieces that follow "gpl-redistribute".
+ENDS = {
+    "gpl3-or-later": "either version 3 of the License, or (at your option) any later version.",
+    "gpl2-version": "version 2 of the License.",
+    "gpl3-version": "version 3 of the License.",
+}
+#: (licence, name of the piece after "gpl-redistribute").
+GPL = (("GPL-2.0-or-later", "gpl2-or-later"), ("GPL-3.0-or-later", "gpl3-or-later"), ("GPL-2.0-only", "gpl2-version"), ("GPL-3.0-only", "gpl3-version"))
+
+
+def piece_ids() -> dict[str, str]:
+    """Normalised piece -> identifier, every piece of every known sentence."""
+    found = {}
+    for name, sentence in (SENTENCES | ENDS).items():
+        pieces = _pieces(sentence)
+        for piece, own in zip(pieces, SPLIT.get(name, (name,)), strict=True):
+            if piece in found:
+                raise ValueError(f"{name}: a piece is not its own")
+            found[piece] = own
+    return found
+
+
+def piece_rules() -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """``RULES`` over pieces.  The pieces of one sentence follow each other directly (joined by a comma)."""
+    over = [(licence, tuple(",".join(SPLIT.get(i, (i,))) for i in rule)) for licence, rule in RULES]
+    for licence, end in GPL:
+        over += [(licence, (f"gpl-redistribute,{end}", "gpl-hope")), (licence, ("gpl-free", f"gpl-redistribute,{end}"))]
+    return tuple(dict.fromkeys(over))
+
+
+PIECES = piece_ids()
+PIECE_RULES = piece_rules()
+
 
 def _known(cut: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for pair in IDS.items() for x in pair])
+    known = F.create_map(*[F.lit(x) for pair in PIECES.items() for x in pair])
     normal = F.transform(F.split(cut, "\n"), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
     return F.filter(F.transform(normal, lambda s: F.try_element_at(known, s)), lambda s: s.isNotNull())
 
@@ -131,7 +167,7 @@ def _known(cut: Column) -> Column:
 def _matches(ids: Column) -> Column:
     """Licences whose rule occurs in the sequence, each once, by name."""
     joined = F.concat(F.lit(","), F.concat_ws(",", ids), F.lit(","))
-    hits = [F.when(joined.rlike(rule_pattern(rule)), F.lit(licence)) for licence, rule in RULES]
+    hits = [F.when(joined.rlike(rule_pattern(rule)), F.lit(licence)) for licence, rule in PIECE_RULES]
     return F.array_compact(F.array(*hits))
 
 
