@@ -170,6 +170,31 @@ def test_version_of_a_split_gpl_sentence_counts(docs):
     assert got == want
 
 
+def test_licences_in_comments_and_after_copyright_lines(docs):
+    wrap = lambda name: re.sub(r"((?:\S+\s+){6}\S+)\s", r"\1\n", licences.SENTENCES[name])
+    mit = f"MIT License\n\nCopyright (c) 2020 Foo\n\n{wrap('mit-grant')}\n\n{wrap('mit-notice')}"
+    isc = f"Copyright 2020 Foo <a@b.example>\n\n{wrap('isc-grant')}"
+    rows, want = [], {}
+    for k, leader in enumerate((" * ", "# ", "// ", "-- ", ";; ", "")):
+        for n, (body, name) in enumerate(((mit, "MIT"), ("The " + mit.split("\n\nThe above")[0].replace("License", "License (MIT)", 1), "MIT"), (isc, "ISC"))):
+            for tight in (0, 1):
+                text = body.replace("Foo\n\n", "Foo\n").replace("example>\n\n", "example>\n") if tight else body
+                i = 10 * k + 2 * n + tight
+                rows.append((i, "\n".join((leader + line).rstrip() for line in text.split("\n")), "en", "s"))
+                want[i] = name
+    # A title known by its line, a grant known as a whole: one sequence.
+    rows.append((90, "The MIT License (MIT)\nCopyright (c) 2020 Foo\n\n" + wrap("mit-grant"), "en", "s"))
+    # A sentence wrapped before "copyright notice" is still one sentence.
+    notice = licences.SENTENCES["mit-notice"].replace("above copyright", "above\ncopyright")
+    rows.append((91, wrap("mit-grant") + "\n" + notice, "en", "s"))
+    # A line that happens to read like the end of another header is none.
+    rows.append((92, f"you can redistribute it and/or modify {FOUNDATION}either\nversion 2 of the License,\nor later. {HOPE}", "en", "s"))
+    want |= {90: "MIT", 91: "MIT", 92: ""}
+    got = {r.doc_id: r for r in licences.scan_licences(docs(rows)).collect()}
+    assert {i: r.licences for i, r in got.items()} == want
+    assert got[90].sentence_ids == "mit-title,mit-grant" and got[90].n_known == 2
+
+
 def test_lookup_table_is_fair_and_stable():
     names = [f"n{k}" for k in range(10)]
     owner = sharding.lookup_table(names, 1009)
