@@ -198,6 +198,22 @@ def test_scan_of_rows(docs):
     assert secrets.scan_secrets(docs(rows).filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("text, value", [
+    ('password := "f8Xk2-pQ9zW"', "f8Xk2-pQ9zW"), ("password:=f8Xk2-pQ9zW", "f8Xk2-pQ9zW"), ("pwd => 'f8Xk2-pQ9zW'", "f8Xk2-pQ9zW"),
+    ('password = "f8X(k2-pQ9zW!r"', "f8X(k2-pQ9zW!r"), ("{'passwd': 'a;b,c d[2]{Q}!'}", "a;b,c d[2]{Q}!"), (r'secret="f8\"Xk2-pQ9zW"', r'f8\"Xk2-pQ9zW'),
+    ('password = "f8Xk2-pQ9zW\nno end', "f8Xk2-pQ9zW"), ("redis://:f8Xk2pQ9zW@host", "f8Xk2pQ9zW"), ("HTTPS://bob:f8Xk2pQ9zW@host", "f8Xk2pQ9zW"),
+    (f"https://{'u' * 300}:f8Xk2pQ9zW@host", "f8Xk2pQ9zW"), ("x=1-a-scheme-that-is-long+ssh://bob:f8Xk2pQ9zW@host", "f8Xk2pQ9zW"),
+])
+def test_whole_values_of_credential_contexts(text, value):
+    assert [text[a:b] for a, _, b, _ in secrets.guess_spans(text)] == [value]
+
+
+def test_contexts_inside_a_quoted_value_and_long_runs():
+    text = 'token: "see pwd=f8Xk2-pQ9zW there"'
+    assert [text[a:b] for a, _, b, _ in secrets.guess_spans(text)] == ["see pwd=f8Xk2-pQ9zW there", "f8Xk2-pQ9zW"]
+    assert secrets.guess_spans("a" * 200_000 + " @ " + "a+" * 100_000) == [] and secrets.guess_spans('password = ""') == []
+
+
 def brute_cost(value):
     """Cheapest segmentation by trying every cut, from the same prices."""
     from functools import lru_cache

@@ -39,15 +39,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 
-#: Credential contexts; group 1 is the value.
+#: Credential contexts; the last group that took part is the value: one in quotes up to the closing quote on its line, else a bare one.
 CONTEXTS = (
     re.compile(
         r"""(?:passwords?|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth[_-]?key)"""
-        r"""["']?[\x20\t]*(?:[:=]|=>|:=)[\x20\t]*["']?([^\s"'<>,;()\[\]{}]+)""",
+        r"""["']?[\x20\t]*(?:=>|:=|[:=])[\x20\t]*(?:"([^"\\\r\n]*(?:\\.[^"\\\r\n]*)*)"|'([^'\\\r\n]*(?:\\.[^'\\\r\n]*)*)'|["']?([^\s"'<>,;()\[\]{}]+))""",
         re.I | re.A,
     ),
     re.compile(r"\bbearer[\x20\t]+([A-Za-z0-9+/_.=~-]+)", re.I | re.A),
-    re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:([^\s/@]+)@", re.A),
+    re.compile(r"(?<![a-z0-9+.-])[0-9+.-]*[a-z][a-z0-9+.-]*://[^\s/:@]*:([^\s/@]+)@", re.I | re.A),
 )
 
 
@@ -67,10 +67,15 @@ def guess_spans(text: str, min_cost: float = MIN_COST) -> list[tuple[int, int, i
     found = {}
     patterns = [p for p, need in zip(CONTEXTS, (":=", " \t", "@")) if any(c in text for c in need)]
     for pattern in patterns:
-        for m in pattern.finditer(text):
-            value = m.group(1).rstrip(".:!?")
+        m = pattern.search(text)
+        while m:
+            at = m.start(m.lastindex)
+            quoted = m.lastindex < pattern.groups
+            value = m[m.lastindex] if quoted else m[m.lastindex].rstrip(".:!?")
             if len(value) >= MIN_VALUE and (cost := log10_guesses(value)) >= min_cost:
-                found[m.start(1), m.start(1) + len(value)] = cost
+                found[at, at + len(value)] = cost
+            # A quoted value can hold contexts of its own.
+            m = pattern.search(text, at if quoted else m.end())
     return sorted((a, 3, b, cost) for (a, b), cost in found.items())
 
 
