@@ -127,6 +127,15 @@ def test_keep_one_returns_whole_rows(docs):
     assert kept.count() == len(brute_classes(planted()))
 
 
+def test_near_dedup_keeps_texts_of_any_white_space(docs):
+    blanks = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    rows = [(k, f"{c} {c}", "en", "s") for k, c in enumerate(blanks)] + [(100, "a\x1cb\x85c", "en", "s"), (101, "a b c", "en", "s")]
+    d = docs(rows)
+    got = {r.doc_id: (r.class_id, r.class_size, r.kept) for r in near_dedup.near_classes(d).collect()}
+    assert got == {k: (k, 1, True) for k in range(len(blanks))} | {100: (100, 2, True), 101: (100, 2, False)}
+    assert {r.doc_id for r in near_dedup.keep_one(d).collect()} == set(got) - {101}
+
+
 def test_near_dedup_of_an_empty_table(docs):
     d = docs([(1, "a", "en", "s")]).filter("false")
     assert near_dedup.near_classes(d).count() == 0 and near_dedup.keep_one(d).count() == 0

@@ -44,8 +44,8 @@ BLOCK_ELEMENTS = 1 << 18
 
 
 def words_of(column: str = "text") -> Column:
-    """Lower-cased words joined by single blanks."""
-    return F.trim(F.regexp_replace(F.lower(text_of(column)), r"[\s\p{Z}]+", " "))
+    """Lower-cased words joined by single blanks; what ``str.split`` takes for white space parts them, as in :mod:`tidemark.llm.shingles`."""
+    return F.trim(F.regexp_replace(F.lower(text_of(column)), r"[\s\p{Z}\x1c-\x1f\x85]+", " "))
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
