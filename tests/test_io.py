@@ -93,6 +93,19 @@ def test_bars_chain_twice_changes_nothing(spark, tmp_out):
     assert m.count() == first.load["total"] and m.where("drawdown_pct > 0").count() == 0
 
 
+def test_bars_chain_writes_the_whole_report(spark, tmp_out, monkeypatch):
+    from tidemark.operators import bars
+    from tidemark.plans import bars_chain
+    monkeypatch.setattr(bars_chain, "REPORTED", 2)
+    fixtures.raw_bars(spark, SF001).drop("arrival").write.parquet(f"{tmp_out}/raw")
+    raw = spark.read.parquet(f"{tmp_out}/raw")
+    run = bars_chain.bars_chain(spark, raw, f"{tmp_out}/snap")
+    whole = {tuple(r) for r in bars.report_from(bars.annotate_repairs(bars.normalize(raw))).select("ticker", "rule", "dropped").collect()}
+    written = [tuple(r) for r in spark.read.parquet(run.report).select("ticker", "rule", "dropped").collect()]
+    assert set(written) == whole and len(written) == len(whole) == run.report_lines > len(run.dropped) == 2
+    assert bars_chain.latest_version(spark, f"{tmp_out}/snap") == 0
+
+
 def test_bars_chain_stops_on_dates_out_of_order(spark, tmp_out):
     import os
     import pytest

@@ -6,12 +6,14 @@ load into a new snapshot -> metrics.
 Snapshots live in ``SNAPSHOT_BASE/v=<n>``; a run reads the newest one, writes
 ``v=<n+1>`` and never overwrites what it reads, so earlier versions stay as
 history; a folder without ``_SUCCESS`` is a run that died and is never read.
-Running the same raw data twice inserts and updates nothing.
+Running the same raw data twice inserts and updates nothing.  The whole drop
+report of a run is a table of its own in ``SNAPSHOT_BASE/drops``.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars, checks, merge
+from tidemark.sources import io
 
 log = logging.getLogger(__name__)
 
@@ -26,8 +29,10 @@ KEY = ["date", "ticker"]
 VALUES = ["open", "high", "low", "close", "volume", "dividends", "stock_splits"]
 
 
-# Lines of the repair report that a run logs and returns.
+# First lines of the repair report that a run logs and returns; the report itself is a table.
 REPORTED = 10_000
+# Folder of the reports under the snapshot base, one table a run.
+REPORTS = "drops"
 
 
 class ValidationFailed(ValueError):
@@ -40,6 +45,8 @@ class BarsRun:
     version: int
     dropped: list
     load: dict
+    report: str
+    report_lines: int
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:
@@ -69,9 +76,11 @@ def bars_chain(spark: SparkSession, raw: DataFrame, snapshot_base: str, wanted:
             raise ValidationFailed("dates out of order: " + "; ".join(f"{r['ticker']}: {r['late']} row(s)" for r in first))
         normal = normal.drop(arrival)
     annotated = bars.annotate_repairs(normal)
-    dropped = bars.report_from(annotated).orderBy("ticker", "rule").limit(REPORTED).collect()
+    written = io.write_dataset(bars.report_from(annotated), f"{snapshot_base}/{REPORTS}/{uuid.uuid4().hex}", mode="error")
+    dropped = spark.read.parquet(written["path"]).orderBy("ticker", "rule").limit(REPORTED).collect()
     for row in dropped:
         log.warning("repairs of %s removed %d row(s) by rule %s", row["ticker"], row["dropped"], row["rule"])
+    log.info("repair report: %d line(s), the first %d logged -> %s", written["rows"], len(dropped), written["path"])
     clean = bars.conform(bars.clean_from(annotated), bars.OHLCV_COLUMNS, {"volume": "long"})
 
     wanted_df = (spark.createDataFrame([(t,) for t in wanted], "ticker string") if wanted is not None
@@ -90,7 +99,7 @@ def bars_chain(spark: SparkSession, raw: DataFrame, snapshot_base: str, wanted:
     path = merge.write_snapshot(snapshot, snapshot_base, version)
     load = report.get
     log.info("snapshot %d holds %d rows: %d new, %d replaced", version, load["total"], load["inserted"], load["updated"])
-    return BarsRun(path, version, [r.asDict() for r in dropped], load)
+    return BarsRun(path, version, [r.asDict() for r in dropped], load, written["path"], written["rows"])
 
 
 def metrics_view(spark: SparkSession, snapshot_path: str) -> DataFrame:
