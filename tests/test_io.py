@@ -93,6 +93,21 @@ def test_bars_chain_twice_changes_nothing(spark, tmp_out):
     assert m.count() == first.load["total"] and m.where("drawdown_pct > 0").count() == 0
 
 
+def test_dataset_read_back_writes_no_single_file(spark, monkeypatch):
+    from tidemark.plans import bars_queries
+    made, write = [], io.write_dataset
+    monkeypatch.setattr(bars_queries, "FILE_ROWS", 50)
+    monkeypatch.setattr(io, "write_dataset", lambda df, path, *a, **k: made.append(path) or write(df, path, *a, **k))
+    rows = bars_queries.dataset_read_back(spark, SF001).collect()
+    sizes = [r["count"] for r in spark.read.parquet(made[0]).groupBy("_metadata.file_path").count().collect()]
+    assert len(rows) == sum(sizes) == rows[0].reported and len(sizes) > 1 and max(sizes) <= 50
+
+
+def test_single_file_of_a_small_output(spark, tmp_out):
+    io.write_dataset(spark.range(100).repartition(4), f"{tmp_out}/one", single_file=True)
+    assert spark.read.parquet(f"{tmp_out}/one").select("_metadata.file_path").distinct().count() == 1
+
+
 def test_bars_chain_writes_the_whole_report(spark, tmp_out, monkeypatch):
     from tidemark.operators import bars
     from tidemark.plans import bars_chain

@@ -287,12 +287,16 @@ def bars_read_back(spark, sf_dir):
     return io.scan_bars(spark, path, READ_BACK).select("date", "ticker", *bars.OHLCV_COLUMNS[2:])
 
 
+# Fixed value: rows of a file of the dataset.
+FILE_ROWS = 1_000_000
+
+
 @register("dataset_read_back", with_(ANNOTATED_BARS) + """
 SELECT date, ticker, close, (SELECT count(*) FROM clean) AS reported FROM clean""")
 def dataset_read_back(spark, sf_dir):
-    """A dataset written as one file and read again, with the rows that the write reported."""
+    """A dataset written by the plan's own tasks and read again, with the rows that the write reported."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dataset-{uuid.uuid4().hex}"
-    report = io.write_dataset(clean(spark, sf_dir), path, single_file=True)
+    report = io.write_dataset(clean(spark, sf_dir), path, max_records=FILE_ROWS)
     return io.scan(spark, path).select("date", "ticker", "close", F.lit(report["rows"]).cast("long").alias("reported"))
 
 

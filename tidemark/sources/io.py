@@ -44,15 +44,16 @@ def rename_for_table(df: DataFrame, overrides: dict[str, str] | None = None) ->
 
 
 def write_dataset(df: DataFrame, path: str, name: str | None = None, single_file: bool = False,
-                  mode: str = "overwrite") -> dict:
+                  mode: str = "overwrite", max_records: int = 0) -> dict:
     """Write parquet and report columns, rows and path (A5).
 
     ``single_file`` is meant for small outputs: the finished rows go through one
     more exchange into one file, so the work before it keeps its own tasks.
+    ``max_records`` bounds the rows of a file (0: no bound).
     """
     obs = Observation(name or "write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (observed.repartition(1) if single_file else observed).write.mode(mode).parquet(path)
+    (observed.repartition(1) if single_file else observed).write.mode(mode).option("maxRecordsPerFile", max_records).parquet(path)
     return {"name": name or path, "path": path, "columns": list(df.columns), "rows": obs.get["rows"]}
 
 
