@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import bars, checks
 from tidemark.sources import fixtures
 
-from conftest import SF01
+from sf_tables import SF01
 
 NAN = float("nan")
 COLUMNS = "ticker string, date date, seq long, open double, high double, low double, close double, volume long, dividends double, stock_splits double"

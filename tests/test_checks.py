@@ -7,7 +7,7 @@ from tidemark.operators import checks, profile
 from tidemark.operators.series import series_features
 from tidemark.sources import fixtures
 
-from conftest import SF001
+from sf_tables import SF001
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import bars, profile, reshape
 from tidemark.sources import fixtures
 
-from conftest import SF01
+from sf_tables import SF01
 
 PARAMS = ("click", "error", "purchase", "signup", "view")
 

@@ -32,7 +32,7 @@ def test_query_names_are_identifiers():
 
 
 def test_rows_only_queries_run(spark):
-    from conftest import SF001
+    from sf_tables import SF001
     q, o = catalog.load_all()
     for name in sorted(set(q) - set(o)):
         assert q[name](spark, SF001).count() > 0, name

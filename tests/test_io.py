@@ -9,7 +9,7 @@ from tidemark.plans.sensor_chain import Step, run_outputs, sensor_chain
 from tidemark.plans.sensor_chain import main as sensor_chain_main
 from tidemark.sources import fixtures, io, synth
 
-from conftest import SF001
+from sf_tables import SF001
 
 
 def test_write_dataset_reports_rows(spark, tmp_out):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import merge
 from tidemark.sources import fixtures
 
-from conftest import SF01
+from sf_tables import SF01
 
 KEY = ["date", "ticker"]
 VALUES = ["open", "high", "low", "close", "volume", "dividends", "stock_splits"]

@@ -9,7 +9,7 @@ from tidemark.plans import catalog
 from tidemark.sources.tables import TABLE_NAMES
 from tools.oracle_check import norm, spark_type_name
 
-from conftest import SF001
+from sf_tables import SF001
 
 QUERIES, ORACLES = catalog.load_all()
 

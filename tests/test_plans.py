@@ -11,7 +11,7 @@ import pytest
 
 from tidemark.plans import catalog
 
-from conftest import SF001
+from sf_tables import SF001
 
 QUERIES = catalog.load_all()[0]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.series import hot_series, previous_value, rolling_mean, series_features
 from tidemark.sources import fixtures
 
-from conftest import SF01
+from sf_tables import SF01
 
 SCHEMA = "sensor_id string, reading_date date, location string, parameter string, value double, status string, seq long"
 
