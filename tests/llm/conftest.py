@@ -5,19 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from pyspark.sql import types as T  # noqa: E402
-
-SF001 = "/root/testdata/sf0.001"
-
-#: Documents plus columns whose names the operators use themselves.
-DOCS = T.StructType([
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("text", T.StringType()),
-    T.StructField("lang", T.StringType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("n_chars", T.LongType()),
-])
-CLASHING = T.StructType([*DOCS.fields, *(T.StructField(n, T.StringType()) for n in ("kept", "digest", "row", "slot", "rate", "__row", "score", "body", "key", "copy"))])
+from samples import CLASHING, DOCS  # noqa: E402
 
 
 @pytest.fixture
@@ -29,20 +17,3 @@ def docs(spark):
             full = [r + ("x",) * (len(CLASHING.fields) - 5) for r in full]
         return spark.createDataFrame(full, CLASHING if clashing else DOCS).repartition(parts)
     return make
-
-
-def words(n, seed=0):
-    """n invented words, the same for the same seed."""
-    import random
-    r = random.Random(seed)
-    return " ".join("".join(r.choice("bcdfglmnprstv") + r.choice("aeiou") for _ in range(r.randint(1, 4))) for _ in range(n))
-
-
-#: Null, empty, blank, short, very long, repeated rows, null ids and ties.
-def awkward():
-    long = words(30000, 5)
-    return [
-        (1, None, None, None), (2, "", "en", "a"), (3, "   \n\t", "en", "a"), (4, "x", None, "a"), (5, "!!! 123 ...", "en", None),
-        (6, long, "en", "b"), (7, long, "en", "b"), (7, long, "en", "b"), (None, long, "en", "b"), (None, None, None, None),
-        (8, "é́ 🙂   ﬁ ½", "fr", "c"), (9, words(300, 1), "en", "b"), (10, words(300, 1) + " tail", "en", "b"), (9, words(300, 1), "en", "b"),
-    ]

@@ -14,7 +14,7 @@ from tidemark.llm.common import ROW
 from tidemark.sources.tables import TABLE_NAMES
 from tools.oracle_check import norm, spark_type_name
 
-from conftest import SF001, awkward, words
+from samples import SF001, awkward, words
 
 NATIVE = ("op4_poisson_mix", "op5_licence_scan", "op6_shard_placement", "op7_nearest_codes", "op9_exact_dedup")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F, types as T
 from tidemark.llm import anchors, cover, darts, hamming, links, near_dedup, registry, shingles, substrings
 from tidemark.llm.common import table
 
-from conftest import SF001, awkward, words
+from samples import SF001, awkward, words
 
 # ------------------------------------------------------------------ signatures
 

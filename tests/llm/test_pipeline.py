@@ -10,7 +10,7 @@ import corpus_pipeline
 from tidemark.llm import language, mixing, pieces
 from tidemark.llm.common import table
 
-from conftest import SF001, awkward, words
+from samples import SF001, awkward, words
 from test_native import poisson_cdf
 from test_near_ops import brute_classes
 

@@ -14,7 +14,7 @@ from sentencepiece import sentencepiece_model_pb2
 from tidemark.llm import guesses, language, pieces, registry, secrets
 from tidemark.llm.common import table
 
-from conftest import SF001, awkward, words
+from samples import SF001, awkward, words
 
 # ---------------------------------------------------------------- language ID
 
