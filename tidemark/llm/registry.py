@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, hamming, language, licences, mixing, near_dedup, pieces, secrets, sharding, substrings
+from tidemark.llm import exact_dedup, hamming, infilling, language, licences, mixing, near_dedup, pieces, secrets, sharding, substrings
 from tidemark.llm.common import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,9 +57,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, sizes and digests of every text's fill-in-middle output and of the text rebuilt from it."""
+    made = infilling.restore(infilling.fill_in_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_repeated_substrings, op2_secret_scan, op3_piece_codec, op4_poisson_mix, op5_licence_scan,
     op6_shard_placement, op7_nearest_codes, op8_near_dedup, op9_exact_dedup, op10_language_id,
+    op13_infilling,
 )}
 
 
