@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, hamming, infilling, language, licences, mixing, near_dedup, pieces, secrets, sharding, substrings
+from tidemark.llm import decontamination, exact_dedup, hamming, infilling, language, licences, mixing, near_dedup, pieces, secrets, sharding, substrings
 from tidemark.llm.common import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and items of every document whose text holds windows of the benchmark."""
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), listed, (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form, sizes and digests of every text's fill-in-middle output and of the text rebuilt from it."""
     made = infilling.restore(infilling.fill_in_middle(table(spark, sf_dir, "documents")))
@@ -67,7 +74,7 @@ def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_repeated_substrings, op2_secret_scan, op3_piece_codec, op4_poisson_mix, op5_licence_scan,
     op6_shard_placement, op7_nearest_codes, op8_near_dedup, op9_exact_dedup, op10_language_id,
-    op13_infilling,
+    op12_decontamination, op13_infilling,
 )}
 
 
@@ -78,4 +85,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_shard_placement": sharding.oracle(),
         "op7_nearest_codes": hamming.ORACLE,
         "op9_exact_dedup": exact_dedup.ORACLE,
+        "op12_decontamination": decontamination.ORACLE,
     }
