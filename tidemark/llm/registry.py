@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontamination, exact_dedup, hamming, infilling, language, licences, mixing, near_dedup, pieces, secrets, sharding, substrings
+from tidemark.llm import alignment, decontamination, exact_dedup, hamming, infilling, language, licences, mixing, near_dedup, pieces, secrets, sharding, substrings
 from tidemark.llm.common import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers meet in every text, and how common its pairs are in the corpus."""
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document whose text holds windows of the benchmark."""
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -74,7 +79,7 @@ def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_repeated_substrings, op2_secret_scan, op3_piece_codec, op4_poisson_mix, op5_licence_scan,
     op6_shard_placement, op7_nearest_codes, op8_near_dedup, op9_exact_dedup, op10_language_id,
-    op12_decontamination, op13_infilling,
+    op11_alignment, op12_decontamination, op13_infilling,
 )}
 
 
