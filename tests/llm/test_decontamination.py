@@ -59,11 +59,12 @@ def items_of(spark, rows, clashing=False):
 def test_query_equals_plain_loops(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, SF001, "documents").collect()]
     items = [(r.item_id, r.text) for r in table(spark, SF001, "benchmark").collect()]
-    want = brute(rows, items)
+    want, near = brute(rows, items), {i: len(x) for i, _, _, x in brute(rows, items, decontamination.NEAR)}
     found = registry.op12_decontamination(spark, SF001).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found), key=str) == sorted(
         ((i, n, h, len(x), hashlib.sha256(",".join(x).encode()).hexdigest(), h > 0) for i, n, h, x in want), key=str
     )
+    assert {r.doc_id: r.n_near for r in found} == near
     assert any(h for _, _, h, _ in want) and any(not h for _, _, h, _ in want)
 
 

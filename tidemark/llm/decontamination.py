@@ -30,12 +30,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import materialise, text_of
 from tidemark.llm.postings import GAP, build_index, documents_of, unpacked, words
 
 WINDOW = 10
+#: Places that a word may be off in the query's neighbourhood matches.
+NEAR = 2
 #: Windows of a piece of an item.
 PIECE = 4096
 #: Bytes of item words looked up at once, in expectation.
@@ -245,7 +247,7 @@ def find_items(index: DataFrame, items: DataFrame, slop: int = 0, window: int =
     return every
 
 
-def covered() -> F.Column:
+def covered() -> Column:
     """Number of words that the sorted runs in ``runs`` cover together."""
     seen = F.struct(F.lit(-1).cast("bigint").alias("upto"), F.lit(0).cast("bigint").alias("total"))
     return F.aggregate(
@@ -259,16 +261,29 @@ def covered() -> F.Column:
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, slop: int = 0, window: int = WINDOW, index: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_words, n_hit, items (ids as strings, sorted) and runs (struct of first_word and last_word, sorted) of every document."""
+def listed() -> Column:
+    return F.array_sort(F.collect_set(F.col("item_id").cast("string")))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, slop: int = 0, window: int = WINDOW, near: int | None = None, index: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_words, n_hit, items (ids as strings, sorted) and runs (struct of first_word and last_word, sorted) of every document.
+
+    With ``near``, also near_items: the items of which a window's words all lie
+    at most ``near`` places from where the phrase would have them.
+    """
     index = index if index is not None else build_index(docs)
     found = find_items(index, items, slop, window)
     runs = F.array_sort(F.collect_set(F.struct("first_word", "last_word")))
-    hits = found.groupBy("block", "ordinal").agg(runs.alias("runs"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    hits = found.groupBy("block", "ordinal").agg(runs.alias("runs"), listed().alias("items"))
     hits = hits.select("block", "ordinal", "items", "runs", covered().alias("n_hit"))
     every = documents_of(index).join(hits, ["block", "ordinal"], "left")
     none = F.array().cast("array<string>")
-    return every.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", none).alias("items"), "runs")
+    columns = ["doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", none).alias("items"), "runs"]
+    if near is not None:
+        around = find_items(index, items, near, window).groupBy("block", "ordinal").agg(listed().alias("near_items"))
+        every = every.join(around, ["block", "ordinal"], "left")
+        columns.append(F.coalesce("near_items", none).alias("near_items"))
+    return every.select(*columns)
 
 
 ORACLE = r"""
@@ -286,9 +301,18 @@ doc_windows AS (SELECT r, p, width, array_to_string(w[p : p + width - 1], ' ') A
                 FROM (SELECT r, w, width, unnest(range(1, len(w) - width + 2)) AS p FROM cut, widths WHERE kind = 'd' AND len(w) >= width)),
 found AS (SELECT r, p, width, item_id FROM doc_windows JOIN item_windows USING (width, phrase)),
 hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + width)) AS place FROM found) GROUP BY r),
+-- A neighbourhood: room for the phrase in the document such that each of its words is at most 2 places off.
+item_words AS (SELECT DISTINCT item_id, width, phrase, string_split(phrase, ' ') AS w FROM item_windows),
+item_terms AS (SELECT item_id, width, phrase, unnest(range(0, width)) AS k, unnest(w) AS term FROM item_words),
+doc_terms AS (SELECT r, len(w) AS n, unnest(range(0, len(w))) AS place, unnest(w) AS term FROM cut WHERE kind = 'd'),
+room AS (SELECT DISTINCT r, item_id, phrase, width, k, place - k + unnest(range(-2, 3)) AS start, n FROM doc_terms JOIN item_terms USING (term)),
+near AS (SELECT DISTINCT r, item_id FROM (
+             SELECT r, item_id, phrase, start, width FROM room WHERE start >= 0 AND start + width <= n
+             GROUP BY r, item_id, phrase, start, width HAVING count(DISTINCT k) = width)),
+nearby AS (SELECT r, count(DISTINCT item_id) AS n_near FROM near GROUP BY r),
 listed AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
            FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM cut LEFT JOIN hit USING (r) LEFT JOIN listed USING (r) WHERE kind = 'd'
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM cut LEFT JOIN hit USING (r) LEFT JOIN listed USING (r) LEFT JOIN nearby USING (r) WHERE kind = 'd'
 """

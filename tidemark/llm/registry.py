@@ -63,10 +63,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hit words and items of every document whose text holds windows of the benchmark."""
-    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Hit words and items of every document, and in how many items' neighbourhoods it has a part (n_near)."""
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=decontamination.NEAR)
     listed = F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256")
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), listed, (F.col("n_hit") > 0).alias("contaminated"))
+    counts = [F.size(c).cast("bigint").alias(name) for c, name in (("items", "n_items"), ("near_items", "n_near"))]
+    return found.select("doc_id", "n_words", "n_hit", counts[0], listed, (F.col("n_hit") > 0).alias("contaminated"), counts[1])
 
 
 def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
