@@ -103,8 +103,11 @@ class Run:
         """Documents and what :meth:`TwoTokenizers.encode` says of them."""
         kept = [x for x in encoded if x is not None]
         flat = [s for x in kept for s in x]
-        a = np.frombuffer(b"".join([s[0] for s in flat]), np.int32)
-        b = np.frombuffer(b"".join([s[1] for s in flat]), np.int32)
+        flat_a, flat_b, flat_groups = zip(*flat) if flat else ((), (), ())
+        a, b = np.frombuffer(b"".join(flat_a), np.int32), np.frombuffer(b"".join(flat_b), np.int32)
+        # Segments of each document, and the tokens up to its end.
+        cuts = np.cumsum([0, *map(len, kept)])
+        upto_a, upto_b = (np.concatenate([[0], np.cumsum(np.fromiter(map(len, x), np.int64, len(x)) // 4)])[cuts] for x in (flat_a, flat_b))
         ends_a, ends_b = np.cumsum(both.a_sizes[a]), np.cumsum(both.b_sizes[b])
         total = int(ends_a[-1]) + 1 if len(a) else 1
         is_a, is_b = np.zeros(total, bool), np.zeros(total, bool)
@@ -113,8 +116,6 @@ class Run:
         ends = np.flatnonzero(is_a | is_b)
         here_a, here_b = is_a[ends], is_b[ends]
         link_a, link_b = a[np.cumsum(here_a) - here_a], b[np.cumsum(here_b) - here_b]
-        sizes = [(sum(len(s[0]) for s in x) // 4, sum(len(s[1]) for s in x) // 4) for x in kept]
-        upto_a = np.cumsum([0, *(n for n, _ in sizes)])
         doc_ends = ends_a[upto_a[1:] - 1] if kept else np.zeros(0, np.int64)
         upto = np.concatenate([[0], np.searchsorted(ends, doc_ends, "right")])
         closed = np.concatenate([[0], np.cumsum(here_a & here_b)])[upto]
@@ -122,11 +123,13 @@ class Run:
         pair = layout.rank[link_b] << layout.a_bits | link_a
         self.links.append(pair << layout.doc_bits | np.repeat(ordinal, np.diff(upto)))
         self.size += len(pair)
-        told = iter(zip(sizes, np.diff(closed).tolist(), np.diff(upto).tolist()))
+        told = zip(*[np.diff(x).tolist() for x in (upto_a, upto_b, closed, upto)], cuts.tolist(), cuts[1:].tolist())
         for doc_id, x in zip(ids, encoded):
-            (n_a, n_b), groups, links = next(told) if x is not None else ((0, 0), 0, 0)
-            digest = hashlib.sha256(";".join([s[2] for s in x]).encode()).hexdigest() if x is not None else ""
-            self.docs.append((doc_id, n_a, n_b, groups, links, digest))
+            if x is None:
+                self.docs.append((doc_id, 0, 0, 0, 0, ""))
+            else:
+                *numbers, begin, end = next(told)
+                self.docs.append((doc_id, *numbers, hashlib.sha256(";".join(flat_groups[begin:end]).encode()).hexdigest()))
 
     def rows(self, layout: Layout, run: int, id_type: pa.DataType) -> pa.RecordBatch:
         records = np.sort(np.concatenate(self.links)) if self.links else np.zeros(0, np.int64)

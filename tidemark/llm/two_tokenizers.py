@@ -5,7 +5,9 @@ front of a word: no token of A spans such a place (its pattern begins a new
 match there), nor does one of B if no piece holds the marker, or a line end,
 beside another character in that way.  The files are looked at for this; if
 either has a normaliser, another pattern or such pieces, whole texts are
-encoded instead.  A process remembers a segment's result.
+encoded instead.  A process remembers segments' results in two generations:
+when the younger is full it becomes the older one, and what is met again moves
+back into the younger, so common segments stay and memory is bounded.
 """
 
 from __future__ import annotations
@@ -13,12 +15,13 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
 MARK = "▁"
-#: Segments remembered by a process (it forgets all when full), and the longest one that is.
-MEMO, LONGEST = 400_000, 200
+#: Segments of a generation, and the longest one that is remembered.
+MEMO, LONGEST = 250_000, 200
 _BYTE, _NORMAL, _UNKNOWN = 6, 1, 2
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _WIDE = re.compile(r"\s\s")
@@ -48,8 +51,9 @@ class TwoTokenizers:
         for token, k in self.a.get_vocab().items():
             self.a_bytes[k] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
         self.b_bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == _BYTE else p.piece.replace(MARK, " ").encode() for p in proto.pieces]
-        self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        self._a_len, self._b_len = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self._a_text, self._b_text = [str(k) for k in range(len(self.a_bytes))], [str(k) for k in range(len(self.b_bytes))]
+        self.a_sizes, self.b_sizes = np.array(self._a_len, np.int64), np.array(self._b_len, np.int64)
         rules = proto.normalizer_spec
         usable = [p.piece for p in proto.pieces if p.type not in (_BYTE, _UNKNOWN)]
         cutter = told.get("pre_tokenizer") or {}
@@ -64,7 +68,8 @@ class TwoTokenizers:
             and not any(re.search(f"[^{MARK}]{MARK}", p) or "\n" in p for p in usable)
             and len(self.b.encode("\n")) == 2
         )
-        self.memo: dict[str, tuple[bytes, bytes, str] | None] = {}
+        self.young: dict[str, tuple[bytes, bytes, str] | None] = {}
+        self.old: dict[str, tuple[bytes, bytes, str] | None] = {}
 
     def segments(self, text: str) -> list[str]:
         """The segments of space + text; one that begins with a space and another character is given without the space."""
@@ -80,44 +85,47 @@ class TwoTokenizers:
         ids_a = [x.ids for x in self.a.encode_batch_fast(whole, add_special_tokens=False)]
         # B adds the space itself; in front of a line end it is a token of its own, which goes.
         ids_b = self.b.encode([s[1:] if s[0] == " " else s for s in whole], num_threads=1)
+        bytes_a, bytes_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         out = []
         for text, a, b in zip(whole, ids_a, ids_b):
             if text[0] == "\n":
                 b = b[1:]
-            raw = text.encode()
-            same = b"".join([self.a_bytes[k] for k in a]) == raw == b"".join([self.b_bytes[k] for k in b])
-            out.append((np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes(), self.groups(a, b)) if same else None)
+            same = b"".join(map(bytes_a, a)) == text.encode() == b"".join(map(bytes_b, b))
+            out.append((array("i", a).tobytes(), array("i", b).tobytes(), self.groups(a, b)) if same else None)
         return out
 
     def groups(self, a: list[int], b: list[int]) -> str:
         """``a1,a2|b1;a3|b2,b3``: cut where a token of A and one of B end together."""
-        out, held_a, held_b, end_a, end_b, rest = [], [], [], 0, 0, iter(b)
-        for k in a:
-            end_a += len(self.a_bytes[k])
-            held_a.append(str(k))
+        a_len, b_len, a_text, b_text = self._a_len, self._b_len, self._a_text, self._b_text
+        out, from_a, from_b, upto_b, end_a, end_b = [], 0, 0, 0, 0, 0
+        for upto_a, k in enumerate(a, 1):
+            end_a += a_len[k]
             while end_b < end_a:
-                j = next(rest)
-                end_b += len(self.b_bytes[j])
-                held_b.append(str(j))
+                end_b += b_len[b[upto_b]]
+                upto_b += 1
             if end_a == end_b:
-                out.append(f"{','.join(held_a)}|{','.join(held_b)}")
-                held_a, held_b = [], []
+                out.append(",".join([a_text[x] for x in a[from_a:upto_a]]) + "|" + ",".join([b_text[x] for x in b[from_b:upto_b]]))
+                from_a, from_b = upto_a, upto_b
         return ";".join(out)
 
     def encode(self, texts: list[str | None]) -> list[list[tuple[bytes, bytes, str]] | None]:
         """Per text its segments' (ids of A, ids of B, groups); None for a text without tokens."""
         cut = [self.segments(t) if t else [] for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo = self.memo
-        new = list({s for words in cut for s in words if s not in memo})
-        learned = dict(zip(new, self._learn(new)))
-        memo.update(learned)
+        young, old, new = self.young, self.old, []
+        for s in set().union(*cut):
+            if s not in young:
+                if s in old:
+                    young[s] = old[s]
+                else:
+                    new.append(s)
+        young.update(zip(new, self._learn(new)))
         out = []
         for words in cut:
-            found = [memo[s] for s in words]
-            out.append(found if found and None not in found else None)
+            found = list(map(young.__getitem__, words))
+            out.append(found if all(found) and found else None)
         for s in new:
             if len(s) > LONGEST:
-                del memo[s]
+                del young[s]
+        if len(young) > MEMO:
+            self.old, self.young = young, {}
         return out
