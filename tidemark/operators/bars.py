@@ -8,10 +8,8 @@ costs one buffer per map task), then a single CASE names the first rule the
 survivor breaks. Clean rows and the per-rule report both come from that
 annotated table.
 
-Metrics avoid a per-ticker window: a ticker's history is cut into date blocks
-(at most ``block_days`` bars each, since dates are unique per ticker) and
-position blocks for the 30-row volatility frame, each extended by the 29 rows
-before it so every frame is complete inside one block.
+Metrics are windows over a ticker's history. (ticker, date) is unique there, so
+a ticker has at most one bar per calendar day, which bounds its window.
 """
 
 from __future__ import annotations

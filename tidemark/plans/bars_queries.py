@@ -287,6 +287,15 @@ def bars_read_back(spark, sf_dir):
     return io.scan_bars(spark, path, READ_BACK).select("date", "ticker", *bars.OHLCV_COLUMNS[2:])
 
 
+@register("bars_read_back_whole", with_(ANNOTATED_BARS) + """
+SELECT date, ticker, open, high, low, close, volume, dividends, stock_splits FROM clean""")
+def bars_read_back_whole(spark, sf_dir):
+    """The same dataset read without a list of tickers."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bars-{uuid.uuid4().hex}"
+    io.write_bars(clean(spark, sf_dir), path)
+    return io.scan_bars(spark, path).select("date", "ticker", *bars.OHLCV_COLUMNS[2:])
+
+
 # Fixed value: rows of a file of the dataset.
 FILE_ROWS = 1_000_000
 
@@ -303,8 +312,9 @@ def dataset_read_back(spark, sf_dir):
 # --- G2 -----------------------------------------------------------------------------------
 
 @register("bars_stacked", with_(ANNOTATED_BARS) + """
-SELECT date, ticker, close, close > open AS rising FROM clean WHERE ticker < '3' OR ticker > '4'""")
+SELECT date, ticker, close, close > open AS rising FROM clean""")
 def bars_stacked(spark, sf_dir):
-    """Tickers' frames stacked by column name, whatever the order of their columns."""
+    """Tickers' frames stacked by column name, whatever the order of their columns; together they hold every bar."""
     c = clean(spark, sf_dir).select("date", "ticker", "close", (F.col("close") > F.col("open")).alias("rising"))
-    return stack([c.where("ticker < '3'"), c.where("ticker > '4'").select("rising", "close", "ticker", "date")])
+    rest = c.where("ticker >= '3' OR ticker IS NULL")
+    return stack([c.where("ticker < '3'"), rest.select("rising", "close", "ticker", "date")])

@@ -21,7 +21,9 @@ _MODULES = (
     "tidemark.plans.sensor_queries",
     "tidemark.plans.bars_queries",
     "tidemark.plans.merge_queries",
+    "tidemark.plans.version_queries",
     "tidemark.plans.serve_queries",
+    "tidemark.plans.layout_queries",
     "tidemark.plans.check_queries",
     "tidemark.plans.source_queries",
 )

@@ -14,13 +14,14 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "A1a": ("synthetic_contract",), "A1b": ("synthetic_contract",), "A1c": ("synthetic_contract",),
     "A1d": ("synthetic_contract",), "A1e": ("synthetic_contract",), "A1f": ("synthetic_contract",),
     "A2": ("events_scan",),
-    "A3": ("bars_read_back",),
+    "A3": ("bars_read_back", "bars_read_back_whole"),
     "A5": ("dataset_read_back",),
-    "A9": ("chain_outputs",),
-    "A7": ("upsert_actions", "upsert_snapshot", "upsert_report", "upsert_rerun_report", "upsert_report_small_batch"),
+    "A9": ("chain_outputs", "rebuilt_bars", "rebuild_runs"),
+    "A7": ("upsert_actions", "upsert_snapshot", "upsert_report", "upsert_rerun_report", "upsert_report_small_batch",
+           "upsert_partial_snapshot", "upsert_partial_report"),
     "A8": ("renamed_for_table",),
     "A10": ("stale_inputs",),
-    "A11": ("fingerprint", "changed_inputs"),
+    "A11": ("fingerprint", "changed_inputs", "rebuild_plan", "rebuilt_bars"),
     "A12": ("constraints_readings", "constraints_location_stats", "constraints_on_broken_readings"),
     "A13": ("bars_clean",),
     "A14": ("preview_readings",),
@@ -30,8 +31,8 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "B3": ("bars_rule_filters",), "B4": ("bars_rule_filters",), "B5": ("bars_rule_filters",),
     "B6": ("bars_repair_report", "bars_annotated", "bars_clean"),
     "B7": ("optional_filters", "readings_page_filtered"),
-    "B8": ("search_ids",),
-    "B9": ("sensor_summary", "sensor_parameter_summary", "readings_page"),
+    "B8": ("search_ids", "search_ids_indexed", "search_ids_short_fragment"),
+    "B9": ("sensor_summary", "sensor_parameter_summary", "readings_page", "sensor_lookup_clustered"),
     "B10": ("dashboard_filter",),
     "B11": ("unpivot_values",),
     "B12": ("reading_flags", "sensor_warnings"),
@@ -54,7 +55,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "D1f": ("location_profile",),
     "D1g": ("location_profile",), "D1h": ("location_profile",),
     "D2": ("conditional_counts",),
-    "D3": ("sensor_summary", "sensor_summaries"),
+    "D3": ("sensor_summary", "sensor_summaries", "sensor_summary_clustered"),
     "D4": ("sensor_parameter_summary", "sensor_parameter_summaries"),
     "D5": ("arrival_summary",),
     "D6": ("parameter_shape",),

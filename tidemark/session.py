@@ -49,10 +49,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is respected
-    as is. A machine-local folder is only ever chosen here, for local sessions.
+    as is. A machine-local folder is only ever chosen here, for sessions whose
+    driver and executors are one process; any other session must name one.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
@@ -60,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not re.fullmatch(r"local(?:\[[^\]]*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(local)
     return local

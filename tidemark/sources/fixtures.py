@@ -171,3 +171,27 @@ def upsert_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean_with_key(spark, sf_dir).where(F.col("k") % INCOMING_MISSING_EVERY != 0).select(
         "date", "ticker", "open", "high", "low", "close", "volume", "dividends", "stock_splits",
     )
+
+
+# What differed in the raw bars of an earlier download. One ticker
+# was not there yet, one has since been revised, one is gone today.
+NEW_TICKER, REVISED_TICKER, GONE_TICKER, GONE_LIKE = "1-URGENT", "2-HIGH", "6-GONE", "5-LOW"
+REVISED_EVERY = 5
+
+
+def raw_bars_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_bars`` as an earlier download delivered them."""
+    raw = raw_bars(spark, sf_dir)
+    old = raw.where(F.col("ticker") != NEW_TICKER).withColumn(
+        "Volume", F.when((F.col("ticker") == REVISED_TICKER) & (F.col("arrival") % REVISED_EVERY == 0), F.col("Volume") + 1).otherwise(F.col("Volume")))
+    return old.unionByName(raw.where(F.col("ticker") == GONE_LIKE).withColumn("ticker", F.lit(GONE_TICKER)))
+
+
+# The tickers of a batch in which there is news.
+LIVELY = ("1-URGENT", "3-MEDIUM")
+
+
+def quiet_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with every ticker's bars, of which only some tickers bring news: the others repeat the table."""
+    lively = F.col("ticker").isin(*LIVELY)
+    return upsert_incoming(spark, sf_dir).where(lively).unionByName(upsert_target(spark, sf_dir).where(~lively))
