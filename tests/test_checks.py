@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import checks, profile
 from tidemark.operators.series import series_features
 from tidemark.sources import fixtures
+from tidemark.sources.schemas import LOCATION_STATS, READINGS_FEATURES
 
 from sf_tables import SF001
 
@@ -28,8 +29,8 @@ def verdicts(readings, feats, summary):
         checks.check_positions(feats),
         checks.check_rolling(feats),
         checks.check_one_location(readings),
-        checks.check_table(feats, checks.readings_constraints(), "readings_constraints"),
-        checks.check_table(summary, checks.location_stats_constraints(), "location_stats_constraints"),
+        checks.check_table(feats, READINGS_FEATURES, "readings_constraints"),
+        checks.check_table(summary, LOCATION_STATS, "location_stats_constraints"),
     ]).collect()}
 
 
@@ -109,8 +110,8 @@ def test_constraints_report_each_violation(spark, base):
     seq = target_seq(f)
     broken = f.withColumn("bad_so_far", F.when(F.col("seq") == seq, F.lit(-1)).otherwise(F.col("bad_so_far"))) \
         .withColumn("delta", F.when(F.col("seq") == seq, F.lit(None)).otherwise(F.col("delta")))
-    v = {row.constraint: row.violations for row in checks.check_constraints(broken, checks.readings_constraints()).collect()}
-    assert v["flags are between none and all"] == 1 and v["a step needs a previous value"] == 1
+    v = {row.constraint: row.violations for row in checks.check_constraints(broken, READINGS_FEATURES).collect()}
+    assert v["bad_so_far is at least 0"] == 1 and v["prev_value and delta are set together"] == 1
     assert v["key sensor_id, parameter, reading_no"] == 0 and v["status is set"] == 0
 
 

@@ -13,7 +13,6 @@ raises when any failed. Nothing else here brings rows to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +20,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import dec, mean_from, round3
 from tidemark.operators.joins import KEY, keyed, keyed_join
 from tidemark.operators.series import day_number, previous_value
+from tidemark.sources.schemas import READINGS_FEATURES, TableType
+
+#: The columns in which an arrived reading holds a value: those of the readings that its features extend.
+REQUIRED = tuple(f.name for f in READINGS_FEATURES.fields[:6])
 
 # The tolerance the reference's checks allow (half of the last of
 # three decimals kept), compared in exact decimal.
@@ -51,7 +54,7 @@ def _bad(status: str = "status") -> Column:
 
 def check_arrival(
     df: DataFrame,
-    required: Sequence[str] = ("sensor_id", "reading_date", "location", "parameter", "value", "status"),
+    required: Sequence[str] = REQUIRED,
     category: str = "parameter",
     expected_categories: int = 6,
 ) -> DataFrame:
@@ -173,14 +176,12 @@ def check_summary(summary: DataFrame, readings: DataFrame, keys: Sequence[str] =
 # --- K3 / E12 ------------------------------------------------------------------------
 
 def feature_rules(value: str = "value") -> dict[str, Column]:
-    """Rule -> rows that break it, for the columns of the series features."""
-    opening = F.col("reading_no") == 1
-    step = F.col(value).cast(COMPARE_DECIMAL) - F.col("prev_value").cast(COMPARE_DECIMAL)
+    """Rule -> rows that break it, for the columns of the series features."""
+    change = F.col(value).cast(COMPARE_DECIMAL) - F.col("prev_value").cast(COMPARE_DECIMAL)
     return {
-        "flags never outnumber rows": F.col("bad_so_far") > F.col("reading_no"),
-        "opening row stands alone": opening & F.col("prev_value").isNotNull(),
-        "other rows follow one": ~opening & F.col("prev_value").isNull(),
-        "step is the difference": F.col("prev_value").isNotNull() & differs(F.col("delta"), step),
+        "delta is value minus prev_value": F.col("prev_value").isNotNull() & differs(F.col("delta"), change),
+        "prev_value is set from the second reading on": F.col("prev_value").isNotNull() != (F.col("reading_no") > 1),
+        "bad_so_far is at most reading_no": F.col("bad_so_far") > F.col("reading_no"),
     }
 
 
@@ -269,90 +270,35 @@ def check_one_location(df: DataFrame, entity: str = "sensor_id", attribute: str
 
 # --- K9 / A12 ----------------------------------------------------------------------
 
-@dataclass(frozen=True)
-class Constraint:
-    name: str
-    kind: str  # not_null | primary_key | check
-    columns: tuple[str, ...] = ()
-    predicate: Column | None = field(default=None, compare=False)
-
-
-def not_null(*cols: str) -> list[Constraint]:
-    """One constraint for each column."""
-    return [Constraint(f"{c} is set", "not_null", (c,)) for c in cols]
-
-
-def primary_key(*cols: str) -> Constraint:
-    return Constraint(f"key {', '.join(cols)}", "primary_key", tuple(cols))
-
+def _key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows beyond the first of each key, and rows with a NULL in it."""
+    unset = F.lit(False)
+    for k in key:
+        unset = unset | F.col(k).isNull()
+    # A key is in one group, so all of its rows have the NULL or none has.
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1 + F.when(unset, F.col("n")).otherwise(0)), F.lit(0)).alias("violations"))
 
-def check(name: str, predicate: Column) -> Constraint:
-    """A CHECK constraint: rows where the predicate is FALSE violate it (NULL passes, as in SQL)."""
-    return Constraint(name, "check", (), predicate)
 
+def check_constraints(df: DataFrame, table: TableType) -> DataFrame:
+    """Violation count per constraint of a declared table: constraint, kind, violations.
 
-def _any_null(cols: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for c in cols:
-        out = out | F.col(c).isNull()
-    return out
-
-
-def _broken(c: Constraint) -> Column:
-    """Rows that break a constraint by themselves; a key's NULLs are such rows."""
-    return F.coalesce(~c.predicate, F.lit(False)) if c.kind == "check" else _any_null(c.columns)
-
-
-def _violations(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """constraint, kind, rows_checked, violations: one aggregation for all rules of rows, one for each key's repeats."""
-    wrong = [c.kind for c in constraints if c.kind not in ("not_null", "primary_key", "check")]
-    if wrong:
-        raise ValueError(f"unknown constraint kind {wrong[0]!r}")
-    rows = rule_report(df, {c.name: _broken(c) for c in constraints})
-    kinds = F.create_map(*[F.lit(x) for c in constraints for x in (c.name, c.kind)])
-    out = rows.select(F.col("rule").alias("constraint"), F.element_at(kinds, F.col("rule")).alias("kind"), "rows_checked", "violations")
-    for c in constraints:
-        if c.kind == "primary_key":
-            repeats = df.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
-            out = out.unionByName(repeats.select(
-                F.lit(c.name).alias("constraint"), F.lit(c.kind).alias("kind"), F.lit(0).cast("long").alias("rows_checked"), F.col("n").alias("violations")))
-    return out
-
-
-def check_constraints(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Violation count per constraint: constraint, kind, violations.
-
-    A key counts the rows beyond the first of each key and the rows with a NULL in it.
+    One aggregation for all rules of rows, one for the key, which counts the
+    rows beyond the first of each key and the rows with a NULL in it.
     """
-    return _violations(df, constraints).groupBy("constraint", "kind").agg(F.sum("violations").cast("long").alias("violations"))
-
-
-def readings_constraints() -> list[Constraint]:
-    """What a row of the series features must satisfy (K9)."""
-    flags, place = F.col("bad_so_far"), F.col("reading_no")
-    return [
-        primary_key("sensor_id", "parameter", "reading_no"),
-        check("a step needs a previous value", F.col("delta").isNull() == F.col("prev_value").isNull()),
-        check("flags are between none and all", (flags >= 0) & (flags <= place)),
-        check("places count from one", place > 0),
-        check("state is Good or Bad", (F.col("status") == "Bad") | (F.col("status") == "Good")),
-        *not_null("status", "value", "parameter", "location", "reading_date", "sensor_id", "bad_so_far", "rolling_avg_7d", "reading_no"),
-    ]
-
-
-def location_stats_constraints() -> list[Constraint]:
-    """What a row of the location profile must satisfy (K9)."""
-    return [
-        primary_key("location", "parameter"),
-        check("ends after it begins", F.col("last_reading") >= F.col("first_reading")),
-        check("has readings", F.col("readings") >= 1),
-        *not_null("sensors", "readings", "parameter", "location"),
-    ]
+    rules = table.rules()
+    rows = rule_report(df, {r.name: ~r.holds for r in rules})
+    kinds = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.kind)])
+    out = rows.select(F.col("rule").alias("constraint"), F.element_at(kinds, F.col("rule")).alias("kind"), "violations")
+    named = F.lit(f"key {', '.join(table.key)}").alias("constraint")
+    return out.unionByName(_key_violations(df, table.key).select(named, F.lit("primary_key").alias("kind"), "violations"))
 
 
-def check_table(df: DataFrame, constraints: Sequence[Constraint], check_id: str) -> DataFrame:
+def check_table(df: DataFrame, table: TableType, check_id: str) -> DataFrame:
     """K9: all constraints of a table folded into one verdict row."""
-    return _violations(df, constraints).agg(*verdict_row(check_id, F.max("rows_checked"), F.sum("violations")))
+    rows = rule_report(df, {r.name: ~r.holds for r in table.rules()})
+    key = _key_violations(df, table.key).select(F.lit(0).cast("long").alias("rows_checked"), "violations")
+    return rows.select("rows_checked", "violations").unionByName(key).agg(*verdict_row(check_id, F.max("rows_checked"), F.sum("violations")))
 
 
 # --- K8: bars validation -------------------------------------------------------------

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import exact_mean, exact_stddev, percent, round3, round_to
 from tidemark.operators.joins import keyed_join
+from tidemark.sources.schemas import READINGS_FEATURES
 
+#: The columns in which a reading holds a value.
+REQUIRED = tuple(f.name for f in READINGS_FEATURES.fields[:6])
 # The HLL error the profile asks for, and percentile accuracy.
 APPROX_DISTINCT_RSD = 0.02
 PERCENTILE_ACCURACY = 10_000
@@ -104,7 +107,7 @@ def arrival_summary(
     entity: str = "sensor_id",
     category: str = "parameter",
     date: str = "reading_date",
-    required: Sequence[str] = ("sensor_id", "reading_date", "location", "parameter", "value", "status"),
+    required: Sequence[str] = REQUIRED,
 ) -> DataFrame:
     """Distinct entities, categories and days plus a null audit, one row."""
     any_null = F.lit(False)

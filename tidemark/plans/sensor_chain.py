@@ -100,6 +100,7 @@ def sensor_chain(source: DataFrame, output_dir: str, parameters: Sequence[str],
 def verify_outputs(spark, output_dir: str, parameters: Sequence[str]) -> DataFrame:
     """The sensor checks (K1-K6, K9) over the written window and aggregate outputs."""
     from tidemark.operators import checks
+    from tidemark.sources.schemas import LOCATION_STATS, READINGS_FEATURES
 
     window = spark.read.parquet(f"{output_dir.rstrip('/')}/window")
     summary = spark.read.parquet(f"{output_dir.rstrip('/')}/aggregate")
@@ -111,8 +112,8 @@ def verify_outputs(spark, output_dir: str, parameters: Sequence[str]) -> DataFra
         checks.check_positions(window),
         checks.check_rolling(window),
         checks.check_one_location(readings),
-        checks.check_table(window, checks.readings_constraints(), "readings_constraints"),
-        checks.check_table(summary, checks.location_stats_constraints(), "location_stats_constraints"),
+        checks.check_table(window, READINGS_FEATURES, "readings_constraints"),
+        checks.check_table(summary, LOCATION_STATS, "location_stats_constraints"),
     ])
 
 
