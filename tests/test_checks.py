@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import checks, profile
+from tidemark.operators import checks, profile, suite
 from tidemark.operators.series import series_features
 from tidemark.sources import fixtures
 from tidemark.sources.schemas import LOCATION_STATS, READINGS_FEATURES
@@ -34,6 +34,75 @@ def verdicts(readings, feats, summary):
     ]).collect()}
 
 
+def whole(feats, summary):
+    """(rows, violations, verdict) per check of the one-pass suite."""
+    return {r.check_id: (r.rows_checked, r.violations, r.verdict) for r in suite.sensor_suite(feats, summary, expected_categories=5).collect()}
+
+
+def one_by_one(feats, summary):
+    """The same by the single checks, with the features as the readings."""
+    return {r.check_id: (r.rows_checked, r.violations, r.verdict) for r in checks.run_checks([
+        checks.check_arrival(feats, expected_categories=5), checks.check_summary(summary, feats), checks.check_window(feats),
+        checks.check_positions(feats), checks.check_rolling(feats), checks.check_one_location(feats),
+        checks.check_table(feats, READINGS_FEATURES, "readings_constraints"), checks.check_table(summary, LOCATION_STATS, "location_stats_constraints"),
+    ]).collect()}
+
+
+#: What is done to the features, or to the summary.
+BROKEN_FEATURES = {
+    "nothing": {},
+    "position": {"reading_no": "IF(reading_no = 3, 2, reading_no)"},
+    "no_position": {"reading_no": "IF(seq % 50 = 0, NULL, reading_no)"},
+    "delta": {"delta": "delta + IF(seq % 9 = 0, 0.01, 0)"},
+    "no_delta": {"delta": "IF(seq % 9 = 0, NULL, delta)"},
+    "previous": {"prev_value": "IF(reading_no = 1, 5.0D, prev_value)"},
+    "flags": {"bad_so_far": "IF(seq % 7 = 0, -1, IF(seq % 5 = 0, 99999, bad_so_far))"},
+    "rolling": {"rolling_avg_7d": "IF(seq % 7 = 0, NULL, rolling_avg_7d + IF(seq % 5 = 0, 0.001, 0.0004))"},
+    "location": {"location": "IF(seq % 11 = 0, 'ELSEWHERE', location)"},
+    "nulls": {"sensor_id": "IF(seq % 13 = 0, NULL, sensor_id)", "location": "IF(seq % 17 = 0, NULL, location)", "parameter": "IF(seq % 19 = 0, NULL, parameter)"},
+    "status": {"status": "IF(seq % 23 = 0, 'Odd', status)"},
+    "category": {"parameter": "IF(parameter = 'error', 'click', parameter)"},
+}
+BROKEN_SUMMARY = {
+    "mean": {"avg_value": "avg_value + 0.01"}, "median": {"median_value": "p95_value"}, "sensors": {"sensors": "sensors + 5"},
+    "dates": {"first_reading": "date_add(last_reading, 1)"}, "count": {"readings": "IF(parameter = 'click', 0, readings)"},
+    "key": {"location": "IF(location = 'ASIA', NULL, location)"}, "twice": {"location": "IF(location = 'ASIA', 'EUROPE', location)"},
+}
+
+
+@pytest.mark.parametrize("name", BROKEN_FEATURES)
+def test_one_pass_equals_the_single_checks_over_broken_features(base, name):
+    _, f, s = base
+    broken = f.withColumns({c: F.expr(e) for c, e in BROKEN_FEATURES[name].items()}) if BROKEN_FEATURES[name] else f
+    got = whole(broken, s)
+    assert tuple(sorted(got)) == tuple(sorted(suite.CHECKS)) and got == one_by_one(broken, s)
+    assert (name == "nothing") == all(v == "PASS" for *_, v in got.values())
+
+
+@pytest.mark.parametrize("name", BROKEN_SUMMARY)
+def test_one_pass_equals_the_single_checks_over_a_broken_summary(base, name):
+    _, f, s = base
+    broken = s.withColumns({c: F.expr(e) for c, e in BROKEN_SUMMARY[name].items()})
+    got, want = whole(f, broken), one_by_one(f, broken)
+    if name == "twice":  # the single check counts each row of a repeated key
+        assert got.pop("summary_agrees")[2] == want.pop("summary_agrees")[2] == "FAIL"
+    assert got == want and any(v == "FAIL" for *_, v in got.values())
+
+
+def test_one_pass_over_nothing(base):
+    _, f, s = base
+    got = whole(f.where("false"), s.where("false"))
+    assert got["arrival"] == (0, 2, "FAIL") and all(v == "PASS" for k, (*_, v) in got.items() if k != "arrival")
+
+
+def test_one_pass_reads_the_features_twice(spark, base, tmp_out):
+    _, f, s = base
+    f.write.parquet(f"{tmp_out}/f")
+    s.write.parquet(f"{tmp_out}/s")
+    plan = suite.sensor_suite(spark.read.parquet(f"{tmp_out}/f"), spark.read.parquet(f"{tmp_out}/s"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_out}/f") == 2
+
+
 def failing(readings, feats, summary):
     return {k for k, v in verdicts(readings, feats, summary).items() if v != "PASS"}
 

@@ -99,22 +99,10 @@ def sensor_chain(source: DataFrame, output_dir: str, parameters: Sequence[str],
 
 def verify_outputs(spark, output_dir: str, parameters: Sequence[str]) -> DataFrame:
     """The sensor checks (K1-K6, K9) over the written window and aggregate outputs."""
-    from tidemark.operators import checks
-    from tidemark.sources.schemas import LOCATION_STATS, READINGS_FEATURES
-
-    window = spark.read.parquet(f"{output_dir.rstrip('/')}/window")
-    summary = spark.read.parquet(f"{output_dir.rstrip('/')}/aggregate")
-    readings = window.select("sensor_id", "reading_date", "location", "parameter", "value", "status", "seq")
-    return checks.run_checks([
-        checks.check_arrival(readings, expected_categories=len(parameters)),
-        checks.check_summary(summary, readings),
-        checks.check_window(window),
-        checks.check_positions(window),
-        checks.check_rolling(window),
-        checks.check_one_location(readings),
-        checks.check_table(window, READINGS_FEATURES, "readings_constraints"),
-        checks.check_table(summary, LOCATION_STATS, "location_stats_constraints"),
-    ])
+    from tidemark.operators.suite import sensor_suite
+
+    base = output_dir.rstrip("/")
+    return sensor_suite(spark.read.parquet(f"{base}/window"), spark.read.parquet(f"{base}/aggregate"), expected_categories=len(parameters))
 
 
 def main(argv: Sequence[str] | None = None) -> int:
