@@ -168,3 +168,36 @@ def test_local_dates_ignore_the_session_zone(spark, session_zone):
         assert got.count() == 8828
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_the_last_row_is_one_row_and_ties_are_told(spark):
+    rows = [
+        ("one", 1, 1.0, "a"), ("one", 2, 2.0, "b"),                      # the larger number
+        ("tied", 5, 1.0, "a"), ("tied", 5, 2.0, "b"), ("tied", 4, 9.0, "z"),
+        ("same", 7, 1.0, "a"), ("same", 7, 1.0, "a"),                    # equal rows are no tie
+        ("late", None, 9.0, "z"), ("late", -(2**63), 1.0, "a"),          # no number is before any
+        ("none", None, 1.0, "a"), ("none", None, 2.0, "b"), ("alone", None, 3.0, None),
+        (None, 2**63 - 1, None, None), (None, 2**63 - 2, 1.0, "a"),
+    ]
+    df = spark.createDataFrame(rows, "k string, seq bigint, x double, y string")
+    for parts in (1, 5):
+        got = {r.k: (r.seq, r.x, r.y, r.n, r.tied) for r in bars.keep_last(df.repartition(parts), ["k"], "seq", "n", "tied").collect()}
+        assert got["one"] == (2, 2.0, "b", 2, False) and got["same"] == (7, 1.0, "a", 2, False)
+        assert got["late"] == (-(2**63), 1.0, "a", 2, False) and got["alone"] == (None, 3.0, None, 1, False)
+        assert got[None] == (2**63 - 1, None, None, 2, False)
+        assert got["tied"][:3] in {(5, 1.0, "a"), (5, 2.0, "b")} and got["tied"][3:] == (3, True)
+        assert got["none"][:3] in {(None, 1.0, "a"), (None, 2.0, "b")} and got["none"][3:] == (2, True)
+        assert parts == 1 or got == first
+        first = got
+    with pytest.raises(TypeError):
+        bars.keep_last(df, ["k"], "x")
+
+
+def test_a_run_with_several_last_bars_stops(spark, tmp_out):
+    from tidemark.plans import bars_chain
+    raw = fixtures.raw_bars(spark, SF01).drop("arrival")
+    doubled = raw.unionByName(raw.where("ticker = '2-HIGH'").withColumn("Close", F.col("Close") + 0.25))
+    with pytest.raises(bars_chain.ValidationFailed, match="several last bars: 2-HIGH"):
+        bars_chain.bars_chain(spark, doubled, tmp_out)
+    with pytest.raises(bars_chain.ValidationFailed, match="several last bars: 2-HIGH"):
+        bars_chain.bars_rebuild(spark, doubled, tmp_out, "5y/1d")

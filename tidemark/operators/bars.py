@@ -15,6 +15,7 @@ a ticker has at most one bar per calendar day, which bounds its window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,35 +110,69 @@ def drop_inconsistent(df: DataFrame) -> DataFrame:
     return df.where(~inconsistent())
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], seq: str, count_as: str | None = None) -> DataFrame:
-    """The row with the largest ``seq`` per key (F1); ``seq`` must be unique per key.
+# A row's place among the rows of its key: its sequence number, then a hash of its values.
+_HASH_RANGE = Decimal(1 << 63)
+_MASK = (1 << 63) - 1
+
+
+def _places(df: DataFrame, seq: str) -> tuple[Column, Column]:
+    """(place, place with the hash turned round): one exact number each, so both have plain aggregation buffers."""
+    kind = dict(df.dtypes)[seq]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{seq} must be an integer, got {kind}")
+    above = _number(F.col(seq)) * F.lit(_HASH_RANGE)
+    tag = F.xxhash64(*[F.col(c) for c in df.columns]).bitwiseAND(F.lit(_MASK))
+    return (above + tag.cast("decimal(19,0)")).cast("decimal(38,0)"), (above + (F.lit(_MASK) - tag).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def _number(seq: Column) -> Column:
+    """The sequence number; a row without one is before all others."""
+    return F.coalesce(seq.cast("decimal(19,0)"), F.lit(-_HASH_RANGE - 1))
+
+
+def keep_last(df: DataFrame, keys: Sequence[str], seq: str, count_as: str | None = None, tie_as: str | None = None) -> DataFrame:
+    """The whole row with the largest ``seq`` per key (F1).
+
+    A row without ``seq`` counts as older than any with one. Among rows of the
+    largest ``seq`` a hash of the row decides, so every column comes from one
+    row and the choice does not depend on order or partitioning; with
+    ``tie_as``, a column says whether rows that differ shared it (rows equal in
+    every column are no tie).
 
     ``max_by`` is a partial aggregation, so a key repeated many times is reduced
     in the map tasks before anything is shuffled. One ``max_by`` per column
-    (all pick the same row, since ``seq`` is unique) keeps primitive buffers and
-    so the hash aggregate; a single struct-valued ``max_by`` would force a sort
-    aggregate.
+    (all by the same place, which no two different rows share) keeps plain
+    buffers and so the hash aggregate; a struct would force a sort aggregate.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    aggs = [F.max_by(F.col(c), F.col(seq)).alias(c) if c != seq else F.max(seq).alias(c) for c in rest]
+    place, turned = _places(df, seq)
+    placed = df.withColumns({"_place": place, "_turned": turned})
+    aggs = [F.max_by(F.col(c), F.col("_place")).alias(c) if c != seq else F.max(seq).alias(c) for c in rest]
     if count_as:
         aggs.append(F.count(F.lit(1)).alias(count_as))
-    return df.groupBy(*keys).agg(*aggs)
+    if tie_as:
+        # Each hash and its turn add up to the mask, if both come from one row.
+        above = (_number(F.max(seq)) * F.lit(_HASH_RANGE)).cast("decimal(38,0)")
+        tags = (F.max("_place") - above) + (F.max("_turned") - above)
+        aggs.append((tags != F.lit(_MASK)).alias(tie_as))
+    return placed.groupBy(*keys).agg(*aggs)
 
 
 # --- one-pass repair (B6) ---------------------------------------------------------
 
 def annotate_repairs(
-    bars: DataFrame, keys: Sequence[str] = ("ticker", "date"), seq: str = "seq"
+    bars: DataFrame, keys: Sequence[str] = ("ticker", "date"), seq: str = "seq", tie_as: str | None = None
 ) -> DataFrame:
     """One row per (ticker, date) survivor with ``rule`` (NULL = kept) and ``duplicates``.
 
+    With ``tie_as`` also whether different rows shared the largest ``seq``.
+
     Rules apply in the order duplicate -> fill -> incomplete -> nonpositive ->
     inconsistent; a row is attributed to the first rule it breaks. The fill runs
     before the price rules, so a missing volume never drops a bar.
     """
-    last = keep_last(bars, keys, seq, count_as="_n")
+    last = keep_last(bars, keys, seq, count_as="_n", tie_as=tie_as)
     filled = fill_zero(last)
     rule = (
         F.when(incomplete(), F.lit("incomplete"))
@@ -155,6 +190,11 @@ def clean_from(annotated: DataFrame) -> DataFrame:
     return annotated.where(F.col("rule").isNull()).drop("rule", "duplicates")
 
 
+def ties_from(annotated: DataFrame, tie: str, ticker: str = "ticker") -> DataFrame:
+    """(ticker, ties): days on which different rows were the last one, for tickers that have any."""
+    return annotated.groupBy(ticker).agg(F.count_if(F.col(tie)).alias("ties")).where("ties > 0")
+
+
 def report_from(annotated: DataFrame, ticker: str = "ticker") -> DataFrame:
     """Rows dropped per ticker and rule (only rules that dropped something)."""
     per = annotated.groupBy(ticker).agg(

@@ -161,6 +161,37 @@ def dependency_violations(df: DataFrame, determinant: str, dependent: str) -> Da
     return df.groupBy(determinant).agg(F.count_distinct(dependent).alias("dependents"))
 
 
+# Size of a stored sketch, as a power of two: a relative error of 1.04 / sqrt(2 ** 14), 0.8 %.
+SKETCH_BITS = 14
+# Ranges of days asked for at once.
+MAX_RANGES = 1_000
+
+
+def daily_sketches(df: DataFrame, keys: Sequence[str], entity: str = "sensor_id", date: str = "reading_date") -> DataFrame:
+    """An HLL sketch of the distinct entities per group and day (D1b, D5), to be stored.
+
+    A day's sketch never changes once the day is over, so a table of them grows
+    by a day at a time and no later question reads the rows again. NULL
+    entities are not counted; a NULL key is a group.
+    """
+    return df.groupBy(*keys, date).agg(F.hll_sketch_agg(entity, F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def distinct_between(sketches: DataFrame, keys: Sequence[str], ranges: DataFrame, date: str = "reading_date") -> DataFrame:
+    """Distinct entities per range of days and group, from stored sketches: range, keys, approx_distinct.
+
+    ``ranges`` has name, first_day and last_day (both included); a few lines
+    (at most ``MAX_RANGES``). A partial union runs in the map tasks: a task sends one
+    sketch per range and group, whatever the number of days.
+    """
+    if ranges.count() > MAX_RANGES:
+        raise ValueError(f"more than {MAX_RANGES} ranges")
+    # One line per day of a range: bounded by the ranges and the calendar.
+    held = ranges.select(F.col("name").alias("range"), F.explode(F.sequence("first_day", "last_day")).alias(date))
+    united = sketches.join(held, date).groupBy("range", *keys).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return united.select("range", *keys, F.hll_sketch_estimate("sketch").alias("approx_distinct"))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],

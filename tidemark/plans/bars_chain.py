@@ -93,6 +93,13 @@ def require_arrival(normal: DataFrame, arrival: str) -> None:
         raise ValidationFailed("dates out of order: " + "; ".join(f"{r['ticker']}: {r['late']} row(s)" for r in first))
 
 
+def require_no_ties(annotated: DataFrame) -> None:
+    """Raise when different bars of one day share the largest ``seq``: which one is right is not in the data."""
+    tied = bars.ties_from(annotated, "_tied").orderBy("ticker").limit(merge.SHOWN).collect()
+    if tied:
+        raise ValidationFailed("several last bars: " + "; ".join(f"{r['ticker']}: {r['ties']} day(s)" for r in tied))
+
+
 def require_valid(clean: DataFrame, wanted: DataFrame) -> None:
     """Raise when a wanted ticker has no bars left, or bars that are not fit to load."""
     failing = checks.validate_bars(clean, wanted).where(F.col("failures") > 0).orderBy("ticker").limit(merge.SHOWN).collect()
@@ -106,13 +113,16 @@ def bars_chain(spark: SparkSession, raw: DataFrame, snapshot_base: str, wanted:
     """Run the chain once over ``raw`` (the raw bars with ``seq``, ``ts`` and ``exchange_tz``).
 
     ``arrival`` names a unique arrival number of the raw rows; with it, a run
-    whose dates do not arrive in order stops before anything is written.
+    whose dates do not arrive in order stops before anything is written, as
+    does one in which different bars of a day share the largest ``seq``.
     """
     normal = bars.normalize(raw)
     if arrival is not None:
         require_arrival(normal, arrival)
         normal = normal.drop(arrival)
-    annotated = bars.annotate_repairs(normal)
+    annotated = bars.annotate_repairs(normal, tie_as="_tied")
+    require_no_ties(annotated)
+    annotated = annotated.drop("_tied")
     written = io.write_dataset(bars.report_from(annotated), f"{snapshot_base}/{REPORTS}/{uuid.uuid4().hex}", mode="error")
     dropped = spark.read.parquet(written["path"]).orderBy("ticker", "rule").limit(REPORTED).collect()
     for row in dropped:
@@ -179,7 +189,9 @@ def bars_rebuild(spark: SparkSession, raw: DataFrame, base: str, request: str, w
         if arrival is not None:
             require_arrival(todo, arrival)
             todo = todo.drop(arrival)
-        clean = bars.conform(bars.clean_from(bars.annotate_repairs(todo)), bars.OHLCV_COLUMNS, {"volume": "long"})
+        annotated = bars.annotate_repairs(todo, tie_as="_tied")
+        require_no_ties(annotated)
+        clean = bars.conform(bars.clean_from(annotated), bars.OHLCV_COLUMNS, {"volume": "long"})
         require_valid(clean, named)
         touched = spark.createDataFrame([(t,) for t in built + gone], "ticker string")
         clean_version = clean_table.write_groups(clean, touched)

@@ -25,6 +25,7 @@ _MODULES = (
     "tidemark.plans.serve_queries",
     "tidemark.plans.layout_queries",
     "tidemark.plans.check_queries",
+    "tidemark.plans.guard_queries",
     "tidemark.plans.source_queries",
 )
 

@@ -22,7 +22,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "A8": ("renamed_for_table",),
     "A10": ("stale_inputs",),
     "A11": ("fingerprint", "changed_inputs", "rebuild_plan", "rebuilt_bars"),
-    "A12": ("constraints_readings", "constraints_location_stats", "constraints_on_broken_readings"),
+    "A12": ("guarded_write_report", "guarded_table", "guarded_quarantine", "constraints_readings", "constraints_location_stats", "constraints_on_broken_readings"),
     "A13": ("bars_clean",),
     "A14": ("preview_readings",),
     # projections, filters, predicates
@@ -50,7 +50,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "C8": ("location_profile", "series_features"),
     # aggregations
     "D1": ("profile_null_keys", "location_profile", "location_profile_approx_sensors"),
-    "D1a": ("location_profile",), "D1b": ("approx_sensors_in_band", "location_profile_approx_sensors"), "D1c": ("location_profile",),
+    "D1a": ("location_profile",), "D1b": ("approx_sensors_in_band", "sensors_over_time", "location_profile_approx_sensors"), "D1c": ("location_profile",),
     "D1d": ("location_profile",), "D1e": ("location_profile", "location_profile_exact_quantiles"),
     "D1f": ("location_profile",),
     "D1g": ("location_profile",), "D1h": ("location_profile",),

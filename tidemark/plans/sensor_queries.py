@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
+import uuid
+
+from pyspark.sql import functions as F
+
 from tidemark.functions.numeric import sql_mean, sql_percent, sql_round, sql_sd
 from tidemark.functions import calendar
 from tidemark.operators import profile, reshape, series
 from tidemark.plans.catalog import register
 from tidemark.plans.sql_fixtures import NULL_READINGS, READINGS, with_
-from tidemark.sources import fixtures
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources import fixtures, io
 
 
 def _readings(spark, sf_dir):
@@ -200,3 +207,35 @@ def readings_due(spark, sf_dir):
     """Adding days to a date."""
     from pyspark.sql import functions as F
     return _readings(spark, sf_dir).select("seq", F.date_add("reading_date", 30).alias("due"))
+
+
+# --- D1b / D5: distinct sensors over time from stored sketches ------------------------------
+
+# Ranges of days, as shares of the readings' span, and the band of the estimate.
+SPANS = {"whole": (0.0, 1.0), "first_tenth": (0.0, 0.1), "middle": (0.3, 0.6), "last_week": (0.99, 1.0)}
+BAND = 0.02
+
+SKETCHED_SQL = with_(READINGS, f"""spans AS (
+    SELECT name, first + CAST(floor(lo * days) AS INTEGER) AS first_day, first + CAST(floor(hi * days) AS INTEGER) AS last_day
+    FROM (VALUES {", ".join(f"('{n}', {a}, {b})" for n, (a, b) in SPANS.items())}) s(name, lo, hi),
+         (SELECT min(reading_date) AS first, max(reading_date) - min(reading_date) AS days FROM readings))""") + """
+SELECT name AS range, location, count(DISTINCT sensor_id) AS sensors, true AS within_band
+FROM readings JOIN spans ON reading_date BETWEEN first_day AND last_day GROUP BY ALL"""
+
+
+@register("sensors_over_time", SKETCHED_SQL)
+def sensors_over_time(spark, sf_dir):
+    """Distinct sensors per location in several ranges of days: the exact count, and whether the union of the
+    days' stored sketches is within 2 % of it (or within one sensor)."""
+    r = _readings(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sensor-sketches-{uuid.uuid4().hex}"
+    io.write_dataset(profile.daily_sketches(r, ["location"]), path)
+    first, days = r.agg(F.min("reading_date"), F.date_diff(F.max("reading_date"), F.min("reading_date"))).first()
+    lines = [(n, first + dt.timedelta(days=math.floor(a * days)), first + dt.timedelta(days=math.floor(b * days))) for n, (a, b) in SPANS.items()]
+    spans = spark.createDataFrame(lines, "name string, first_day date, last_day date")
+    told = profile.distinct_between(io.scan(spark, path), ["location"], spans)
+    day_of = spans.select(F.col("name").alias("range"), F.explode(F.sequence("first_day", "last_day")).alias("reading_date"))
+    exact = r.join(day_of, "reading_date").groupBy("range", "location").agg(F.count_distinct("sensor_id").alias("sensors"))
+    off = F.abs(F.col("approx_distinct") - F.col("sensors"))
+    both = exact.join(told, ["range", "location"])
+    return both.select("range", "location", "sensors", (off <= F.greatest(F.lit(1.0), F.lit(BAND) * F.col("sensors"))).alias("within_band"))
