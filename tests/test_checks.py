@@ -219,15 +219,15 @@ def test_the_approximate_summary_passes(spark, base):
     assert checks.check_summary(approx, r).first().verdict == "PASS"
 
 
-@pytest.mark.parametrize("accuracy,ties", [(50, False), (50, True), (10_000, False)])
-def test_exact_quantiles_match_sorted_ranks(spark, accuracy, ties):
+@pytest.mark.parametrize("rounds,ties", [(0, False), (1, False), (1, True), (2, False), (3, True)])
+def test_exact_quantiles_match_sorted_ranks(spark, rounds, ties):
     import math
     from decimal import Decimal
     r = fixtures.readings(spark, "/root/testdata/sf0.01")
     if ties:
         r = r.withColumn("value", F.floor(F.col("value") / 50).cast("double"))
     probs = {"q05": 0.05, "q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95, "top": 1.0}
-    got = {row.parameter: row for row in profile.exact_quantiles(r, ["parameter"], "value", probs, accuracy).collect()}
+    got = {row.parameter: row for row in profile.exact_quantiles(r, ["parameter"], "value", probs, rounds).collect()}
     values = {}
     for row in r.select("parameter", "value").collect():
         values.setdefault(row.parameter, []).append(row.value)
@@ -247,12 +247,44 @@ def test_null_groups_agree_with_their_summary(spark):
         assert checks.check_summary(s, r).first().verdict == "PASS"
 
 
-@pytest.mark.parametrize("ranges", [1, 7, 4096])
-def test_exact_quantiles_do_not_depend_on_the_ranges(spark, monkeypatch, ranges):
-    monkeypatch.setattr(profile, "BAND_RANGES", ranges)
+@pytest.mark.parametrize("grid,k", [(4, 8), (16, 8), (1024, 8192)])
+def test_exact_quantiles_do_not_depend_on_the_sketch(spark, monkeypatch, grid, k):
+    """A coarse sketch misses ranks: more rows go on, the result is the same."""
+    monkeypatch.setattr(profile, "GRID", grid)
+    monkeypatch.setattr(profile, "SKETCH_K", k)
+    monkeypatch.setattr(profile, "MARGIN", 0)
     r = fixtures.readings_with_nulls(spark, SF001)
-    got = {x.parameter: x.m for x in profile.exact_quantiles(r, ["parameter"], "value", {"m": 0.5}, 20).collect()}
+    got = {x.parameter: x.m for x in profile.exact_quantiles(r, ["parameter"], "value", {"m": 0.5}).collect()}
     values = {}
     for x in r.collect():
         values.setdefault(x.parameter, []).append(x.value)
     assert got == {k: sorted(v)[(len(v) + 1) // 2 - 1] for k, v in values.items()}
+
+
+def test_crowded_values_do_not_meet_in_one_task(spark):
+    """All values but a few lie in one millionth of the range; each round still leaves a small share of them."""
+    rows = spark.range(200_000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") < 4, F.col("id") * 1e12).otherwise(
+        F.lit(5.0) + F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / F.lit(1e12)).alias("v")).cache()
+    plan = profile.exact_quantiles(rows, ["k"], "v", {"q1": 0.25, "m": 0.5})
+    walked = [x for x in plan._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in x]
+    assert len(walked) == 1
+    got = {r.k: (r.q1, r.m) for r in plan.collect()}
+    for k in (0, 1):
+        vs = sorted(r.v for r in rows.where(F.col("k") == k).collect())
+        assert got[k] == (vs[24_999], vs[49_999])
+    band = rows.where("k = 0").select("k", F.lit(0).alias("_i"), F.col("v").alias("_value"), F.col("v").alias("_x"), F.lit(50_000).cast("long").alias("_rank"))
+    at = ["k", "_i"]
+    for share in (100, 2_000):
+        inner = band.groupBy(*at).agg(profile._grid("_x").alias("_grid"), F.count(F.lit(1)).alias("_n"), F.first("_rank").alias("_r"))
+        brackets = inner.select(*at, *profile._bracket(F.col("_r"), F.col("_n"), "_grid")).checkpoint()
+        band = profile._narrowed(profile.keyed_join(band, brackets, at), at).checkpoint()
+        assert band.count() <= max(100_000 / share, 50)
+    rows.unpersist()
+
+
+def test_exact_quantiles_put_nan_above_all(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 1.0), ("a", nan), ("a", nan), ("b", nan), ("c", None), ("d", float("inf")), ("d", -1.0), (None, 2.0)], "k string, v double")
+    got = {r.k: (r.lo, r.hi) for r in profile.exact_quantiles(df, ["k"], "v", {"lo": 0.1, "hi": 0.9}).collect()}
+    assert got["a"][0] == 1.0 and got["a"][1] != got["a"][1] and got["b"][0] != got["b"][0]
+    assert got["d"] == (-1.0, float("inf")) and got[None] == (2.0, 2.0) and "c" not in got

@@ -298,7 +298,7 @@ def return_distribution(metrics: DataFrame, ticker: str = "ticker", value: str =
     r = metrics.select(ticker, value).where(F.col(value).isNotNull())
     figures = [F.count(F.lit(1)).alias("n"), F.min(value).alias("min"), F.max(value).alias("max")]
     if exact:
-        stats = keyed_join(r.groupBy(ticker).agg(*figures), exact_quantiles(r, [ticker], value, QUARTILES, accuracy), [ticker])
+        stats = keyed_join(r.groupBy(ticker).agg(*figures), exact_quantiles(r, [ticker], value, QUARTILES), [ticker])
     else:
         sketch = F.percentile_approx(value, list(QUARTILES.values()), accuracy)
         stats = r.groupBy(ticker).agg(*figures, sketch.alias("_q")).select(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import exact_mean, exact_stddev, percent, round3, round_to
 from tidemark.operators.joins import keyed_join
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.schemas import READINGS_FEATURES
 
 #: The columns in which a reading holds a value.
@@ -22,8 +23,8 @@ REQUIRED = tuple(f.name for f in READINGS_FEATURES.fields[:6])
 # The HLL error the profile asks for, and percentile accuracy.
 APPROX_DISTINCT_RSD = 0.02
 PERCENTILE_ACCURACY = 10_000
-# Ranges into which an exact quantile's bracket is cut.
-BAND_RANGES = 4096
+# The quantiles of the profile.
+PROFILE_QUANTILES = {"median_value": 0.5, "p95_value": 0.95}
 
 
 def _flag(flag: Column | str) -> Column:
@@ -53,13 +54,16 @@ def group_profile(
         raise ValueError(f"distinct must be 'exact' or 'approx', got {distinct!r}")
     keys = list(keys)
     sensors = [] if distinct == "exact" else [F.approx_count_distinct(entity, rsd=APPROX_DISTINCT_RSD).alias("sensors")]
+    if quantiles not in ("approx", "exact"):
+        raise ValueError(f"quantiles must be 'approx' or 'exact', got {quantiles!r}")
+    sketched = [] if quantiles == "exact" else [
+        round3(F.percentile_approx(value, p, PERCENTILE_ACCURACY)).alias(c) for c, p in PROFILE_QUANTILES.items()]
     measures = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("readings"),
         *sensors,
         round3(exact_mean(value)).alias("avg_value"),
         round3(exact_stddev(value)).alias("stddev_value"),
-        round3(F.percentile_approx(value, 0.5, PERCENTILE_ACCURACY)).alias("median_value"),
-        round3(F.percentile_approx(value, 0.95, PERCENTILE_ACCURACY)).alias("p95_value"),
+        *sketched,
         round3(F.min(value)).alias("min_value"),
         round3(F.max(value)).alias("max_value"),
         round3(percent(F.count_if(flag), F.count(F.lit(1)))).alias("bad_pct"),
@@ -67,14 +71,11 @@ def group_profile(
         F.max(date).alias("last_reading"),
     )
     if quantiles == "exact":
-        exact = exact_quantiles(df, keys, value, {"_median": 0.5, "_p95": 0.95})
-        cols = measures.columns
-        measures = keyed_join(measures, exact, keys, "left").select(*[
-            round3("_median").alias(c) if c == "median_value" else round3("_p95").alias(c) if c == "p95_value"
-            else F.col(c) for c in cols
-        ])
-    elif quantiles != "approx":
-        raise ValueError(f"quantiles must be 'approx' or 'exact', got {quantiles!r}")
+        exact = exact_quantiles(df, keys, value, PROFILE_QUANTILES)
+        before = measures.columns.index("min_value")
+        order = [*measures.columns[:before], *PROFILE_QUANTILES, *measures.columns[before:]]
+        joined = keyed_join(measures, exact, keys, "left")
+        measures = joined.select(*[round3(c).alias(c) if c in PROFILE_QUANTILES else F.col(c) for c in order])
     if distinct == "approx":
         return measures
     # An exact distinct inside the same aggregate would make Spark group by
@@ -192,92 +193,115 @@ def distinct_between(sketches: DataFrame, keys: Sequence[str], ranges: DataFrame
     return united.select("range", *keys, F.hll_sketch_estimate("sketch").alias("approx_distinct"))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    accuracy: int = PERCENTILE_ACCURACY,
-) -> DataFrame:
+# Ranks at which a sketch is asked for a bracket, its size, and how many ranks a bracket is wide on each side.
+GRID, SKETCH_K, MARGIN = 1_024, 8_192, 2
+# Rounds of bracketing; each leaves about (2 * MARGIN + 1) / GRID of the rows.
+ROUNDS = 2
+
+
+def _bracket(rank: Column, n: Column, grid: str) -> list[Column]:
+    """Values of the sketch's grid around a rank out of ``n``."""
+    at = rank.cast("double") / n * F.lit(float(GRID))
+    lowest = F.least(F.lit(GRID), F.greatest(F.lit(0), F.floor(at).cast("int") - MARGIN))
+    highest = F.least(F.lit(GRID), F.ceil(at).cast("int") + MARGIN)
+    return [F.element_at(grid, lowest + 1).alias("_lo"), F.element_at(grid, highest + 1).alias("_hi")]
+
+
+def _grid(x: str) -> Column:
+    """Values at evenly spaced ranks of a group, from a mergeable sketch."""
+    ranks = F.array(*[F.lit(k / GRID) for k in range(GRID + 1)])
+    return F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(x, F.lit(SKETCH_K)), ranks)
+
+
+def _narrowed(tagged: DataFrame, at: Sequence[str]) -> DataFrame:
+    """Rows tagged with their group's rank and bracket -> the rows of the part (below, in or above it) that holds the rank.
+
+    The parts are counted exactly, so the rank is never lost, however good the
+    sketch: a bracket that misses only leaves more rows.
+    """
+    x, rank = F.col("_x"), F.col("_rank")
+    parts = tagged.groupBy(*at).agg(
+        F.first("_rank").alias("_rank"), F.count_if(x < F.col("_lo")).alias("_below"), F.count_if(x <= F.col("_hi")).alias("_upto"), F.count(F.lit(1)).alias("_n"))
+    part = F.when(rank <= F.col("_below"), 0).when(rank <= F.col("_upto"), 1).otherwise(2)
+    left = F.when(rank <= F.col("_below"), F.lit(0)).when(rank <= F.col("_upto"), F.col("_below")).otherwise(F.col("_upto"))
+    chosen = parts.select(*at, part.alias("_part"), (rank - left).alias("_left"))
+    mine = F.when(x < F.col("_lo"), 0).when(x <= F.col("_hi"), 1).otherwise(2)
+    held = keyed_join(tagged.drop("_rank"), chosen, at).where(mine == F.col("_part"))
+    return held.select(*at, "_value", "_x", F.col("_left").alias("_rank"))
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], rounds: int | None = None) -> DataFrame:
     """Exact discrete quantiles per key, without sorting a key's rows in one task.
 
     For each ``name: p`` the result is the value at rank ceil(p * n) (1-based,
-    ascending, NULLs ignored; the rank in exact decimal arithmetic), i.e. the
-    smallest value with at least p * n values at or below it.
-
-    1. One aggregation per key: n, and two sketch quantiles bracketing each p
-       (p -/+ 2/accuracy). The sketch's rank error is at most n/accuracy, so
-       the value at the target rank lies inside the bracket.
-    2. One pass counts, per key and p, the values below the bracket and
-       collapses the values inside it to (value, count) pairs - a partial
-       aggregation, so even a value repeated a billion times is one pair.
-    3. The bracket's values are counted by ``BAND_RANGES`` equal ranges; a running
-       count over a key's ranges finds the one that holds the rank, and a
-       running count over that range's distinct values finds the value.
-
-    A NULL key is a group like any other.
+    ascending, NULLs ignored, NaN above all numbers; the rank in exact decimal
+    arithmetic), i.e. the smallest value with at least p * n values at or below
+    it.
+
+    1. A mergeable (KLL) sketch per key gives values at evenly spaced ranks; two
+       of them bracket each rank.
+    2. The rows below, in and above each bracket are counted, and those of the
+       part that holds the rank go on, with the rank that is left.
+    3. This is done ``rounds`` times, from the second on with a sketch per key
+       and quantile over the rows that are left. Brackets follow ranks, not
+       values, so it makes no difference how values crowd or repeat.
+    4. What remains, about n / 200 ** rounds rows, is collapsed to (value, count)
+       pairs, and a running count finds the value.
+
+    The brackets, and between rounds the rows that go on, are checkpointed
+    (reliably, in the shared folder): a sketch depends on chance, so one that is
+    computed again is another one. A NULL key is a group like any other.
     """
     import decimal
 
-    keys = list(keys)
-    names = list(probs)
-    src = df.where(F.col(value).isNotNull())
-    delta = 2.0 / accuracy
-    lows = [max(0.0, probs[nm] - delta) for nm in names]
-    highs = [min(1.0, probs[nm] + delta) for nm in names]
-    brackets = src.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx(value, lows, accuracy).alias("_lo"),
-        F.percentile_approx(value, highs, accuracy).alias("_hi"),
-    )
-    targets = brackets.select(
-        *keys, "_n",
-        F.explode(F.array(*[
-            F.struct(
-                F.lit(i).alias("_i"),
-                F.col("_lo")[i].alias("_lo"),
-                F.col("_hi")[i].alias("_hi"),
-                F.greatest(F.lit(1), F.ceil(F.lit(decimal.Decimal(repr(float(probs[nm])))) * F.col("_n")))
-                .cast("long").alias("_rank"),
-            )
-            for i, nm in enumerate(names)
-        ])).alias("_t"),
-    ).select(*keys, "_n", "_t.*")
-
-    # Each row meets its key's brackets once (one row per key), however many
-    # probabilities there are; only rows inside a bracket are duplicated.
-    x = F.col(value)
-    tagged = keyed_join(src.select(*keys, value), brackets.select(*keys, "_lo", "_hi"), keys)
-    below = tagged.groupBy(*keys).agg(*[
-        F.count_if(x < F.col("_lo")[i]).alias(f"_below{i}") for i in range(len(names))
-    ]).select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.col(f"_below{i}").alias("_below")) for i in range(len(names))
-    ])).alias("_b")).select(*keys, "_b.*")
-    inside = F.array(*[
-        F.when((x >= F.col("_lo")[i]) & (x <= F.col("_hi")[i]), F.lit(i)) for i in range(len(names))
-    ])
-    band = tagged.select(*keys, value, F.explode(inside).alias("_i")).where(F.col("_i").isNotNull()) \
-        .groupBy(*keys, "_i", value).agg(F.count(F.lit(1)).alias("_c"))
-    # The bracket is cut into equal ranges of values; a key's few ranges are run
-    # through first, and only the values of the range that holds the rank are walked.
+    keys, names = list(keys), list(probs)
+    rounds = ROUNDS if rounds is None else rounds
+    ensure_checkpoint_dir(df.sparkSession)
+    src = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value"), F.col(value).cast("double").alias("_x"))
+    is_nan = F.isnan("_x")
+    numbers = src.where(~is_nan)
+    sketched = numbers.groupBy(*keys).agg(*([_grid("_x").alias("_grid")] if rounds else [F.lit(None).alias("_grid")]))
+    counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), F.count_if(~is_nan).alias("_n"), F.max(F.when(is_nan, F.col("_value"))).alias("_nan"))
     at = [*keys, "_i"]
-    edges = brackets.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.col("_lo")[i].cast("double").alias("_from"), F.col("_hi")[i].cast("double").alias("_to"))
-        for i in range(len(names))])).alias("_e")).select(*keys, "_e.*")
-    width = (F.col("_to") - F.col("_from")) / F.lit(float(BAND_RANGES))
-    part = F.when(width > 0, F.least(F.floor((x.cast("double") - F.col("_from")) / width), F.lit(BAND_RANGES - 1))).otherwise(F.lit(0))
-    band = keyed_join(band, edges, at).withColumn("_part", part.cast("int")).drop("_from", "_to")
-    parts = band.groupBy(*at, "_part").agg(F.sum("_c").alias("_in"))
-    goal = keyed_join(keyed_join(parts, below, at), targets.select(*at, "_rank"), at)
-    upto = Window.partitionBy(*at).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
-    goal = goal.withColumn("_upto", F.col("_below") + F.sum("_in").over(upto))
-    goal = goal.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_in") < F.col("_rank")))
-    goal = goal.select(*at, "_part", "_rank", (F.col("_upto") - F.col("_in")).alias("_before"))
-    walk = Window.partitionBy(*at, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = keyed_join(band, goal, [*at, "_part"]).withColumn("_cum", F.sum("_c").over(walk))
-    hit = ranked.where(F.col("_before") + F.col("_cum") >= F.col("_rank")) \
-        .groupBy(*keys, "_i").agg(F.min(value).alias("_q"))
-    wide = hit.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)
-    ])
-    return keyed_join(brackets.select(*keys), wide, keys, "left")
+    wanted = F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.greatest(F.lit(1), F.ceil(F.lit(decimal.Decimal(repr(float(probs[nm])))) * F.col("_all"))).cast("long").alias("_rank"))
+        for i, nm in enumerate(names)])
+    targets = counts.select(*keys, "_n", "_nan", F.explode(wanted).alias("_t")).select(*keys, "_n", "_nan", "_t.*")
+    # One line per key, with all of its brackets, meets the rows; only rows of a rank's part are repeated for it.
+    # A rank among the NaN finds no number below; it is answered at the end.
+    goals = keyed_join(targets, sketched, keys)
+    if rounds:
+        # A sketch computed anew would differ; the brackets, one line per key and quantile, must not.
+        goals = goals.select(*at, "_rank", *_bracket(F.col("_rank"), F.col("_n"), "_grid")).checkpoint()
+        lined = goals.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "_rank", "_lo", "_hi"))).alias("_goals"))
+        met = keyed_join(numbers, lined, keys)
+        x = F.col("_x")
+        seen = [F.col("_goals")[i] for i in range(len(names))]
+        tally = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(f"_below{i}").alias("_below"), F.col(f"_upto{i}").alias("_upto")) for i in range(len(names))])
+        parts = met.groupBy(*keys).agg(*[F.count_if(x < g["_lo"]).alias(f"_below{i}") for i, g in enumerate(seen)],
+                                       *[F.count_if(x <= g["_hi"]).alias(f"_upto{i}") for i, g in enumerate(seen)])
+        parts = parts.select(*keys, F.explode(tally).alias("_p")).select(*keys, "_p.*")
+        rank = F.col("_rank")
+        chosen = keyed_join(goals, parts, at).select(
+            *at, "_lo", "_hi",
+            F.when(rank <= F.col("_below"), 0).when(rank <= F.col("_upto"), 1).otherwise(2).alias("_part"),
+            (rank - F.when(rank <= F.col("_below"), F.lit(0)).when(rank <= F.col("_upto"), F.col("_below")).otherwise(F.col("_upto"))).alias("_left"))
+        picks = chosen.groupBy(*keys).agg(F.collect_list(F.struct("_i", "_left", "_lo", "_hi", "_part")).alias("_picks"))
+        part_of = lambda g: F.when(x < g["_lo"], 0).when(x <= g["_hi"], 1).otherwise(2)
+        going = keyed_join(numbers, picks, keys).select(
+            *keys, "_value", "_x", F.explode(F.filter("_picks", lambda g: part_of(g) == g["_part"])).alias("_g"))
+        band = going.select(*keys, F.col("_g._i").alias("_i"), "_value", "_x", F.col("_g._left").alias("_rank"))
+    else:
+        band = keyed_join(numbers, goals.groupBy(*keys).agg(F.collect_list(F.struct("_i", "_rank")).alias("_goals")), keys) \
+            .select(*keys, "_value", "_x", F.explode("_goals").alias("_g")).select(*keys, F.col("_g._i").alias("_i"), "_value", "_x", F.col("_g._rank").alias("_rank"))
+    for _ in range(1, rounds):
+        band = band.checkpoint()
+        inner = band.groupBy(*at).agg(_grid("_x").alias("_grid"), F.count(F.lit(1)).alias("_n"), F.first("_rank").alias("_r"))
+        brackets = inner.select(*at, *_bracket(F.col("_r"), F.col("_n"), "_grid")).checkpoint()
+        band = _narrowed(keyed_join(band, brackets, at), at)
+    pairs = band.groupBy(*at, "_value").agg(F.count(F.lit(1)).alias("_c"), F.first("_rank").alias("_rank"))
+    walk = Window.partitionBy(*at).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    hit = pairs.withColumn("_cum", F.sum("_c").over(walk)).where(F.col("_cum") >= F.col("_rank")).groupBy(*at).agg(F.min("_value").alias("_q"))
+    over = targets.where(F.col("_rank") > F.col("_n")).select(*at, F.col("_nan").alias("_q"))
+    wide = hit.unionByName(over).groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)])
+    return keyed_join(counts.select(*keys), wide, keys, "left")
