@@ -108,10 +108,10 @@ def codec():
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.characters(codec="utf-8"), max_size=60) | st.text(alphabet="ab ▁\n\té語🙂aA.", max_size=60))
 def test_rebuilt_bpe_equals_the_library(library, codec, text):
-    (ids, _, normal), = codec.encode([text])
+    (ids, _, normal, back), = codec.encoded([text])
     # The library takes a lone blank at the end as its dummy prefix would.
     assert ids.tolist() == library.encode(text)
-    assert codec.decode([ids]) == [codec.plain(normal)]
+    assert codec.decode([ids]) == [codec.plain(normal)] == [back]
 
 
 def unigram_model(byte_fallback=True, extra=True):
@@ -146,6 +146,34 @@ def test_rebuilt_unigram_equals_the_library(extra, text):
     assert own.decode([ids]) == [own.plain(normal)]
 
 
+def test_a_disagreement_is_told_and_the_backend_s_ids_stay(library):
+    """The library is made to differ on one word, alone and at the end of a text."""
+    model = open(pieces.MODEL_PATH, "rb").read()
+
+    class Other:
+        def encode(self, texts, num_threads=1):
+            one = lambda t: [5, 6] if t == "word" else library.encode(t)
+            return one(texts) if isinstance(texts, str) else [one(t) for t in texts]
+
+    own = pieces.PieceCodec(model)
+    own.check = Other()
+    texts = ["a word here", "nothing else", "word", "", None, "x  y "]
+    found = own.encoded(texts)
+    assert [same for _, same, *_ in found] == [False, True, False, True, True, True]
+    assert [ids.tolist() for ids, *_ in found] == [library.encode(t or "") for t in texts]
+    assert [ids.tolist() for ids, *_ in own.encoded(texts)] == [ids.tolist() for ids, *_ in found]
+
+
+def test_words_move_between_generations(library, monkeypatch):
+    monkeypatch.setattr(pieces, "MEMO", 3)
+    monkeypatch.setattr(pieces, "LONGEST", 8)
+    monkeypatch.setattr(pieces, "CHUNK", 10)
+    own = pieces.PieceCodec(open(pieces.MODEL_PATH, "rb").read())
+    texts = ["one two three", "two four", "averyverylongword two", "one five six seven", "two eight averyverylongword"] * 3
+    assert [ids.tolist() for ids, *_ in own.encoded(texts)] == [library.encode(t) for t in texts]
+    assert max(map(len, [*own.young, *own.old])) <= 8 + 1
+
+
 def test_codec_over_rows(docs, library):
     rows = awkward() + [(50, "▁raw  marks▁▁", "en", "s"), (51, " ", "en", "s")]
     got = pieces.encode_texts(docs(rows, clashing=True)).collect()

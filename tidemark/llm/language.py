@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import ROW, materialise, packed
+from tidemark.llm.common import materialise
 
 SIZES = (3, 4)
 SLOT_BITS = 20
@@ -41,8 +41,10 @@ MIN_SHARE = 0.01
 #: More languages than this are refused: the label column is then not a language.
 MAX_LANGUAGES = 1024
 WORD = 62
-#: Characters handled at once.
-CHUNK = 1 << 20
+#: Characters handled at once, unless a run of letters is longer.
+CHUNK = 1 << 18
+#: Rows whose texts are unpacked at once.
+ROWS = 1_000
 #: Documents with a smaller share of known n-grams are rejected by :func:`keep_identified`.
 MIN_SCORE = 0.2
 
@@ -66,15 +68,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
     """Chunks of about CHUNK characters: (index of each piece's text, pieces).
 
-    A longer text is cut at a blank; only a text without any blank in CHUNK
-    characters is cut inside a word.
+    A longer text is cut in front of a character that is no letter, so no
+    n-gram is lost or made; a longer run of letters stays in one piece.
     """
     index, held, size = [], [], 0
     for k, text in enumerate(texts):
         at = 0
         while at < len(text) or not text:
-            end = len(text) if len(text) - at <= CHUNK else max(text.rfind(" ", at, at + CHUNK), at)
-            end = at + CHUNK if end == at and text else end
+            end = len(text) if len(text) - at <= CHUNK else _cut_at(text, at)
             index.append(k)
             held.append(text[at:end])
             size += end - at
@@ -88,6 +89,14 @@ def pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         yield index, held
 
 
+def _cut_at(text: str, begin: int) -> int:
+    """The last place up to CHUNK characters from ``begin`` where no letter begins, else the first one beyond."""
+    for end in range(begin + CHUNK, begin, -1):
+        if not text[end].isalpha():
+            return end
+    return next((end for end in range(begin + CHUNK, len(text)) if not text[end].isalpha()), len(text))
+
+
 def grams(held: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(n-gram hashes, position in ``held`` of each, whether each piece has a letter).
 
@@ -249,17 +258,14 @@ def keep_identified(docs: DataFrame, model: dict | None = None, min_score: float
         return docs.limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    identified = _iterator_udf(min_score, shared)
-    return packed(docs, body=F.col("text")).filter(identified("body")).select(f"{ROW}.*")
-
+    at = docs.columns.index("text")
 
-def _iterator_udf(min_score: float, shared):
-    import pandas as pd
-
-    def identified(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            langs, share = scores([t if isinstance(t, str) else None for t in batch], shared.value)
-            yield pd.Series(np.array([x != "und" for x in langs], bool) & (share >= min_score))
+    def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Views of the batch, so that few texts are Python strings at a time.
+            for start in range(0, batch.num_rows, ROWS):
+                some = batch.slice(start, ROWS)
+                langs, share = scores(some.column(at).to_pylist(), shared.value)
+                yield some.filter(pa.array(np.array([x != "und" for x in langs], bool) & (share >= min_score)))
 
-    identified.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(identified, "boolean")
+    return docs.mapInArrow(identified, docs.schema)

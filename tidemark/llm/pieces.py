@@ -8,18 +8,24 @@ to the tasks (its size is that of a vocabulary).
 
 Where no piece of the vocabulary holds the marker after another character, the
 marker always begins a new piece, so a normalised text is encoded exactly by
-encoding its marked words one by one; each task encodes a distinct word once
-(multithreaded batches, a bounded memo).  Every distinct word's ids are held
-against the sentencepiece library's; where they differ (words whose merges the
-two order differently), the latter's are taken and ``parity`` is false.
+encoding its marked words one by one; each process encodes a distinct word once
+(multithreaded batches), decodes its ids and holds them against the
+sentencepiece library's.  All three are remembered in two generations: when the
+younger is full it becomes the older one, and words met again move back.  The
+ids are always the rebuilt backend's; ``parity`` is false for a text with a
+word on which the library differs.  As the library, too, begins a piece at
+every marker, its ids of a text are those of its words, so equal words are an
+equal text.
 
 Decoding takes ids only: byte pieces become bytes, markers blanks, and the
-dummy prefix goes.  ``roundtrip`` says that the decoded text is the normalised
-text.
+dummy prefix goes.  A text's ids are its words' ids in a row, so it decodes to
+their decoded words in a row.  ``roundtrip`` says that the decoded text is the
+normalised text.
 
 Defined results: null and empty texts have no ids and decode to the empty
-text; every row gives one row, repeated ones too; an empty table gives an
-empty result; other columns take no part.
+text; every row gives one row, repeated ones too; texts of any length are
+encoded whole; an empty table gives an empty result; other columns take no
+part.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +46,10 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Threads of one task's batch encoding.
 THREADS = 2
-#: Words held by a task's memo; it starts anew when full.
-MEMO = 500_000
+#: Words of a generation, and the longest one that is remembered.
+MEMO, LONGEST = 200_000, 200
 #: Characters of text encoded at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _BYTE, _NORMAL, _USER, _CONTROL, _UNKNOWN = 6, 1, 4, 3, 2
 _BPE = 2
 
@@ -90,8 +97,9 @@ class PieceCodec:
         self.check = SentencePieceProcessor(model_proto=model) if verify else None
         # A piece that starts with the marker starts a word; decoding cuts there.
         self.starts = np.array([p.piece.startswith(MARK) for p in proto.pieces], bool)
-        self.memo: dict[str, bytes] = {}
-        self.differ: set[str] = set()
+        # Word -> (ids, decoded, whether the library agrees).
+        self.young: dict[str, tuple[bytes, str, bool]] = {}
+        self.old: dict[str, tuple[bytes, str, bool]] = {}
         self.back: dict[bytes, str] = {}
 
     def normalised(self, text: str) -> str:
@@ -114,34 +122,55 @@ class PieceCodec:
             return [MARK + w for w in normal[1:].split(MARK)] if normal != MARK else [MARK]
         return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", normal)
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> list[tuple[bytes, str, bool]]:
+        """(ids, decoded, whether the library agrees) of each word."""
         ids = [x.ids for x in self.words.encode_batch_fast(new, add_special_tokens=False)]
-        if self.check is not None:
-            # The library adds the dummy prefix itself.  A lone marker is an empty text to it: nothing to compare.
-            same = [k for k, w in enumerate(new) if self.prefix and w[:1] == MARK and w != MARK]
-            told = self.check.encode([new[k][1:].replace(MARK, " ") for k in same], num_threads=1)
-            for k, other in zip(same, told):
-                if other != ids[k]:
-                    ids[k] = other
-                    self.differ.add(new[k])
-        self.memo.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, ids))
-
-    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool, str]]:
-        """(ids, whether both libraries agree, normalised text) of each text."""
+        back = self.words.decode_batch(ids, skip_special_tokens=False)
+        same = [True] * len(new)
+        if self.check is not None and self.prefix:
+            # The library adds the dummy prefix itself; where it would add it to nothing, the word is put behind another.
+            asked = [w[1:].replace(MARK, " ") if w[:1] == MARK and w != MARK else None for w in new]
+            told = iter(self.check.encode([t for t in asked if t is not None], num_threads=1))
+            same = [self._behind(w) == own if t is None else next(told) == own for w, t, own in zip(new, asked, ids)]
+        return [(array("i", own).tobytes(), text, agrees) for own, text, agrees in zip(ids, back, same)]
+
+    def _behind(self, word: str) -> list[int]:
+        """The library's ids of a word that follows another."""
+        return self.check.encode("a" + word.replace(MARK, " "))[len(self.check.encode("a")) :]
+
+    def encoded(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool, str, str]]:
+        """(ids, whether both libraries agree, normalised text, decoded text) of each text."""
         normals = [self.normalised(t or "") for t in texts]
         out: list = [None] * len(texts)
         for some in _chunks(normals):
             cut = [self._cut(normals[k]) for k in some]
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-                self.differ.clear()
-            self._learn(list({w for words in cut for w in words if w not in self.memo}))
-            memo, differ = self.memo, self.differ
+            young, old, new = self.young, self.old, []
+            for w in set().union(*cut):
+                if w not in young:
+                    if w in old:
+                        young[w] = old[w]
+                    else:
+                        new.append(w)
+            young.update(zip(new, self._learn(new)))
             for k, words in zip(some, cut):
-                ids = np.frombuffer(b"".join([memo[w] for w in words]), np.int32)
-                out[k] = (ids, not differ or differ.isdisjoint(words), normals[k])
+                if words:
+                    ids, back, same = zip(*map(young.__getitem__, words))
+                    text = "".join(back)
+                    text = text[1:] if self.prefix and text[:1] == " " else text
+                    out[k] = (np.frombuffer(b"".join(ids), np.int32), all(same), normals[k], text)
+                else:
+                    out[k] = (np.zeros(0, np.int32), True, normals[k], "")
+            for w in new:
+                if len(w) > LONGEST:
+                    del young[w]
+            if len(young) > MEMO:
+                self.old, self.young = young, {}
         return out
 
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool, str]]:
+        """(ids, whether both libraries agree, normalised text) of each text."""
+        return [found[:3] for found in self.encoded(texts)]
+
     def decode(self, many: list[np.ndarray]) -> list[str]:
         """The text of each list of ids."""
         keys = []
@@ -153,7 +182,7 @@ class PieceCodec:
             cuts = (np.append(begin, len(ids)) * 4).tolist()
             raw = ids.tobytes()
             keys.append([raw[a:b] for a, b in zip(cuts, cuts[1:])])
-        if len(self.back) > MEMO:
+        if len(self.back) > MEMO:  # starts anew
             self.back.clear()
         back = self.back
         new = list({k for words in keys for k in words if k not in back})
@@ -206,10 +235,9 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, keep: tuple[str,
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for some in _chunks([t or "" for t in texts]):
-                done = own.encode([texts[k] for k in some])
-                back = own.decode([ids for ids, _, _ in done])
-                sizes = np.array([len(ids) for ids, _, _ in done], np.int64)
-                flat = np.concatenate([ids for ids, _, _ in done]) if done else np.zeros(0, np.int32)
+                done = own.encoded([texts[k] for k in some])
+                sizes = np.array([len(ids) for ids, *_ in done], np.int64)
+                flat = np.concatenate([ids for ids, *_ in done]) if done else np.zeros(0, np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat, pa.int32()))
                 at = pa.array(some)
                 yield pa.RecordBatch.from_arrays(
@@ -217,9 +245,9 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, keep: tuple[str,
                     + [
                         lists,
                         pa.array(sizes),
-                        pa.array([same for _, same, _ in done]),
-                        pa.array([own.plain(normal) == text for (_, _, normal), text in zip(done, back)]),
-                        pa.array([hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for text in back]),
+                        pa.array([same for _, same, _, _ in done]),
+                        pa.array([own.plain(normal) == text for _, _, normal, text in done]),
+                        pa.array([hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for *_, text in done]),
                     ],
                     names=names,
                 )
