@@ -9,10 +9,12 @@ the end, so the result is a pure function of the multiset of inputs:
 * sample sd = sqrt(double(n*sum(x*x) - sum(x)^2) / double(n*(n-1))), NULL when n < 2
 * percent   = double(100 * k) / n
 
-Inputs are measures with at most three decimals (the sensor values and bar
-prices are rounded to that at the source), so ``decimal(18,3)`` holds them
+Inputs are measures with at most three decimals by default (the sensor values
+and bar prices are rounded to that at the source), so ``decimal(18,3)`` holds them
 exactly for |x| < 1e15; squares and products keep scale 6, so nothing is
-rounded. The moment numerator grows like n^2 * x^2; decimal(38,6) holds it up
+rounded. Operators take ``decimals`` for finer measures: ``decimal(18,n)`` holds
+|x| < 10^(18-n); up to n = 6 sums of squares stay exact, and a mean is exact for
+any n. The moment numerator grows like n^2 * x^2; decimal(38,6) holds it up
 to n ~ 1e11 rows per group for values near 1e3. ANSI mode turns an overflow
 into an error, never into a wrong answer.
 
@@ -30,6 +32,13 @@ MEAN_DECIMAL = "decimal(18,3)"
 MOMENT_DECIMAL = "decimal(18,3)"
 
 
+def measure(decimals: int = 3) -> str:
+    """The type that holds a measure of so many decimals exactly."""
+    if not 0 <= decimals <= 12:
+        raise ValueError("decimals must be between 0 and 12")
+    return f"decimal(18,{decimals})"
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -45,9 +54,9 @@ def dec(col: Column | str, kind: str = MOMENT_DECIMAL) -> Column:
 
 # --- aggregate building blocks ------------------------------------------------
 
-def exact_mean(col: Column | str) -> Column:
+def exact_mean(col: Column | str, kind: str = MEAN_DECIMAL) -> Column:
     """Mean over non-null values from a decimal sum; NULL on an empty group."""
-    x = dec(col, MEAN_DECIMAL)
+    x = dec(col, kind)
     return F.sum(x).cast("double") / F.nullif(F.count(x), F.lit(0))
 
 
@@ -62,8 +71,8 @@ def sd_from(n: Column, s1: Column, s2: Column) -> Column:
     return F.when(n >= 2, F.sqrt(num / den))
 
 
-def exact_stddev(col: Column | str) -> Column:
-    x = dec(col)
+def exact_stddev(col: Column | str, kind: str = MOMENT_DECIMAL) -> Column:
+    x = dec(col, kind)
     n = F.count(x)
     return sd_from(n, F.sum(x), F.sum(x * x))
 

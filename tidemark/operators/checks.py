@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import dec, mean_from, round3
+from tidemark.functions.numeric import dec, mean_from, measure, round3
 from tidemark.operators.joins import KEY, keyed, keyed_join
 from tidemark.operators.series import day_number, previous_value
 from tidemark.sources.schemas import READINGS_FEATURES, TableType
@@ -226,6 +226,7 @@ def check_rolling(
     value: str = "value",
     column: str = "rolling_avg_7d",
     days: int = 7,
+    decimals: int = 3,
 ) -> DataFrame:
     """K5: the rolling mean recomputes from raw values within the tolerance.
 
@@ -238,7 +239,7 @@ def check_rolling(
     row-level join.
     """
     keys = list(keys)
-    x = dec(value)
+    x = dec(value, measure(decimals))
     stored = F.col(column)
     per_day = features.groupBy(*keys, date).agg(
         F.count(F.lit(1)).alias("_rows"),

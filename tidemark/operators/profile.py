@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import exact_mean, exact_stddev, percent, round3, round_to
+from tidemark.functions.numeric import exact_mean, exact_stddev, measure, percent, round3, round_to
 from tidemark.operators.joins import keyed_join
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.schemas import READINGS_FEATURES
@@ -40,6 +40,7 @@ def group_profile(
     date: str = "reading_date",
     distinct: str = "exact",
     quantiles: str = "approx",
+    decimals: int = 3,
 ) -> DataFrame:
     """One row per group with the eleven measures of the location profile.
 
@@ -47,7 +48,8 @@ def group_profile(
     avg/stddev/median/p95/min/max of ``value`` at 3 dp, bad_pct at 3 dp, first and
     last date. Mean and sd come from exact decimal moments, median and p95 from
     ``percentile_approx`` (a bounded sketch that merges partially) or, with
-    ``quantiles="exact"``, from ``exact_quantiles``.
+    ``quantiles="exact"``, from ``exact_quantiles``. ``decimals`` is how many the
+    values have; more are an error, never rounded.
     """
     flag = F.col("status") == "Bad" if flag is None else _flag(flag)
     if distinct not in ("exact", "approx"):
@@ -61,8 +63,8 @@ def group_profile(
     measures = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("readings"),
         *sensors,
-        round3(exact_mean(value)).alias("avg_value"),
-        round3(exact_stddev(value)).alias("stddev_value"),
+        round3(exact_mean(value, measure(decimals))).alias("avg_value"),
+        round3(exact_stddev(value, measure(decimals))).alias("stddev_value"),
         *sketched,
         round3(F.min(value)).alias("min_value"),
         round3(F.max(value)).alias("max_value"),
@@ -126,14 +128,14 @@ def arrival_summary(
 
 
 def display_profile(
-    df: DataFrame, key: str = "parameter", value: str = "value", flag: Column | None = None
+    df: DataFrame, key: str = "parameter", value: str = "value", flag: Column | None = None, decimals: int = 3
 ) -> DataFrame:
     """Shape of the data per category, in category order: mean and sd at 3 dp, min/max at 2 dp."""
     flag = F.col("status") == "Bad" if flag is None else flag
     return df.groupBy(key).agg(
         F.count(F.lit(1)).alias("readings"),
-        round3(exact_mean(value)).alias("mean"),
-        round3(exact_stddev(value)).alias("sd"),
+        round3(exact_mean(value, measure(decimals))).alias("mean"),
+        round3(exact_stddev(value, measure(decimals))).alias("sd"),
         round_to(F.min(value), 2).alias("lowest"),
         round_to(F.max(value), 2).alias("highest"),
         round3(percent(F.count_if(flag), F.count(F.lit(1)))).alias("bad_pct"),

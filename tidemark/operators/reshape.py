@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import dec, mean_from, round3
+from tidemark.functions.numeric import dec, mean_from, measure, round3
 
 
 def pivot_mean(
@@ -16,6 +16,7 @@ def pivot_mean(
     column: str = "parameter",
     values: Sequence[str] = (),
     value: str = "value",
+    decimals: int = 3,
 ) -> DataFrame:
     """One row per ``rows`` key, one column per listed value holding the mean at 3 dp.
 
@@ -28,7 +29,7 @@ def pivot_mean(
     """
     if not values:
         raise ValueError("pivot_mean needs the list of pivot values")
-    x = dec(value)
+    x = dec(value, measure(decimals))
     cells = []
     for v in values:
         hit = F.col(column) == F.lit(v)

@@ -41,7 +41,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import MOMENT_DECIMAL, dec, mean_from, round3, sd_from
+from tidemark.functions.numeric import dec, mean_from, measure, round3, sd_from
 from tidemark.operators.joins import KEY, keyed, keyed_join
 
 DEFAULT_BLOCK_ROWS = 1 << 20
@@ -93,6 +93,7 @@ def series_features(
     days: int = 7,
     block_rows: int | None = None,
     hot_rows: int | None = None,
+    decimals: int = 3,
 ) -> DataFrame:
     """Add reading_no, prev_value, delta, rolling_avg_{days}d, bad_so_far, z_score.
 
@@ -104,6 +105,7 @@ def series_features(
     * z_score: (value - series mean) / series sample sd at 3 dp; NULL when the
       sd is NULL or 0
 
+    ``decimals`` is how many the values have; more are an error, never rounded.
     Series with more than ``hot_rows`` rows take the blocked path;
     ``hot_rows=0`` sends every series there. Unset, ``hot_rows`` and
     ``block_rows`` come from the session confs ``tidemark.hotRows`` and
@@ -118,7 +120,7 @@ def series_features(
         raise ValueError("block_rows must be positive and hot_rows not negative")
     keys = list(keys)
     flag = (F.col("status") == "Bad") if flag is None else flag
-    args = (keys, date, tie, value, flag, days)
+    args = (keys, date, tie, value, flag, days, measure(decimals))
     if hot_rows == 0:
         return _blocked_features(df, *args, block_rows)
     hot = hot_series(df, keys, hot_rows)
@@ -148,10 +150,10 @@ def routed(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFram
 
 
 def _plain_features(
-    df: DataFrame, keys: list[str], date: str, tie: str, value: str, flag: Column, days: int
+    df: DataFrame, keys: list[str], date: str, tie: str, value: str, flag: Column, days: int, kind: str
 ) -> DataFrame:
     """Per-series windows; used only for series of at most ``hot_rows`` rows."""
-    x = dec(value)
+    x = dec(value, kind)
     series = Window.partitionBy(*keys)
     history = series.orderBy(date, tie)
     prev = F.lag(value).over(history)
@@ -162,13 +164,13 @@ def _plain_features(
         f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY `{date}` "
         f"RANGE BETWEEN INTERVAL {days - 1} DAYS PRECEDING AND CURRENT ROW)"
     )
-    xs = f"CAST(`{value}` AS {MOMENT_DECIMAL})"
+    xs = f"CAST(`{value}` AS {kind})"
     rolling = mean_from(F.expr(f"count({xs}) {calendar}"), F.expr(f"sum({xs}) {calendar}"))
     return df.select(
         *df.columns,
         F.row_number().over(history).alias("reading_no"),
         prev.alias("prev_value"),
-        (x - dec(prev)).cast("double").alias("delta"),
+        (x - dec(prev, kind)).cast("double").alias("delta"),
         round3(rolling).alias(f"rolling_avg_{days}d"),
         F.sum(flag.cast("int")).over(history.rowsBetween(Window.unboundedPreceding, 0)).cast("int").alias("bad_so_far"),
         round3((F.col(value) - mean_from(n, s1)) / F.nullif(sd_from(n, s1, s2), F.lit(0.0))).alias("z_score"),
@@ -183,12 +185,13 @@ def _blocked_features(
     value: str,
     flag: Column,
     days: int,
+    kind: str,
     block_rows: int,
 ) -> DataFrame:
     """The blocked path; see the module text for the bound of its tasks."""
     keys = list(keys)
     cols = df.columns
-    x = dec(value)
+    x = dec(value, kind)
     blk_key = keys + ["_day", "_blk"]
 
     base = df.select(
@@ -255,7 +258,7 @@ def _blocked_features(
         *cols,
         (F.col("_n_before") + F.col("_rn")).cast("int").alias("reading_no"),
         prev.alias("prev_value"),
-        (x - dec(prev)).cast("double").alias("delta"),
+        (x - dec(prev, kind)).cast("double").alias("delta"),
         round3("_roll").alias(f"rolling_avg_{days}d"),
         (F.col("_bad_before") + F.col("_bad_run")).cast("int").alias("bad_so_far"),
         round3((F.col(value) - F.col("_mean")) / F.nullif(F.col("_sd"), F.lit(0.0))).alias("z_score"),
@@ -268,6 +271,7 @@ def rolling_mean(
     date: str = "reading_date",
     value: str = "value",
     days: int = 7,
+    decimals: int = 3,
 ) -> DataFrame:
     """Trailing calendar-day mean per (keys, date), recomputed from raw values.
 
@@ -275,7 +279,7 @@ def rolling_mean(
     over the day table, which is at most one row per key per calendar day.
     """
     keys = list(keys)
-    x = dec(value)
+    x = dec(value, measure(decimals))
     per_day = df.groupBy(*keys, date).agg(F.count(x).alias("_n"), F.sum(x).alias("_s1"))
     frame = Window.partitionBy(*keys).orderBy(day_number(date)).rangeBetween(-(days - 1), 0)
     return per_day.select(

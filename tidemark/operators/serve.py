@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import dec, exact_stddev, percent, round3
+from tidemark.functions.numeric import dec, exact_stddev, measure, percent, round3
 from tidemark.operators.joins import keyed_join
 
 # The id pattern, enumerations and request bounds of the API.
@@ -175,18 +175,18 @@ def entity_summary(df: DataFrame, entity: Column | str | None = None, by: Sequen
     return df.groupBy(*by).agg(*aggs)
 
 
-def parameter_summary(df: DataFrame, entity: Column | str | None = None, by: Sequence[str] = ("sensor_id",)) -> DataFrame:
+def parameter_summary(df: DataFrame, entity: Column | str | None = None, by: Sequence[str] = ("sensor_id",), decimals: int = 3) -> DataFrame:
     """Per-parameter summary of one entity ordered by parameter, or of every entity."""
     keys = ["parameter"] if entity is not None else [*by, "parameter"]
     src = for_entity(df, entity) if entity is not None else df
     n = F.count(F.lit(1))
-    x = dec("value")
+    x = dec("value", measure(decimals))
     out = src.groupBy(*keys).agg(
         n.alias("readings"),
         round3(F.sum(x).cast("double") / n).alias("avg_value"),
         round3(F.min("value")).alias("min_value"),
         round3(F.max("value")).alias("max_value"),
-        round3(exact_stddev("value")).alias("stddev_value"),
+        round3(exact_stddev("value", measure(decimals))).alias("stddev_value"),
         F.count_if(_bad()).alias("bad_readings"),
         round3(percent(F.count_if(_bad()), n)).alias("bad_pct"),
         F.min("reading_date").alias("first_reading"),

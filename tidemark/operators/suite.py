@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import dec, mean_from, percent, round3, sd_from
+from tidemark.functions.numeric import dec, mean_from, measure, percent, round3, sd_from
 from tidemark.operators.checks import DISTINCT_BAND, REQUIRED, SUMMARY_QUANTILES, differs, feature_rules, rank_off
 from tidemark.operators.joins import keyed_join
 from tidemark.operators.series import day_number
@@ -55,9 +55,9 @@ def _broken(conditions: Sequence[Column]) -> Column:
     return out
 
 
-def row_measures(value: str = "value") -> list[Column]:
+def row_measures(value: str = "value", decimals: int = 3) -> list[Column]:
     """What the checks need of the rows, as aggregates of a cell."""
-    x, stored, v = dec(value), F.col("rolling_avg_7d"), F.col(value)
+    x, stored, v = dec(value, measure(decimals)), F.col("rolling_avg_7d"), F.col(value)
     ranks = [
         F.count_if(v < F.col(f"_q_{c}") if below else v <= F.col(f"_q_{c}")).alias(f"_{name}_{c}")
         for c, _ in SUMMARY_QUANTILES for name, below in (("lt", True), ("le", False))
@@ -107,7 +107,7 @@ def _lines(frame: DataFrame, **violations: tuple[Column, Column]) -> DataFrame:
     return wide.select(F.explode(lines).alias("line")).select("line.*")
 
 
-def sensor_suite(features: DataFrame, summary: DataFrame, expected_categories: int = 6, days: int = 7) -> DataFrame:
+def sensor_suite(features: DataFrame, summary: DataFrame, expected_categories: int = 6, days: int = 7, decimals: int = 3) -> DataFrame:
     """One verdict row per check of :data:`CHECKS` over the series features and the stored location profile.
 
     Verdicts and counts are those of the single checks. ``summary`` is read
@@ -117,7 +117,7 @@ def sensor_suite(features: DataFrame, summary: DataFrame, expected_categories: i
     # One line per key, so that a summary that repeats one does not multiply rows.
     quantiles = summary.groupBy(*GROUP).agg(*[F.max(c).alias(f"_q_{c}") for c, _ in SUMMARY_QUANTILES])
     seen = keyed_join(features, quantiles, GROUP, "left")
-    cells = seen.groupBy(*SERIES, "location", "reading_date").agg(*row_measures())
+    cells = seen.groupBy(*SERIES, "location", "reading_date").agg(*row_measures(decimals=decimals))
     coarse = grains(cells.withColumn("rolling_broken", rolling_off(days)))
 
     off = _any([rank_off(c, p) for c, p in SUMMARY_QUANTILES])

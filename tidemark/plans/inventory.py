@@ -11,12 +11,12 @@ from __future__ import annotations
 COVERAGE: dict[str, tuple[str, ...]] = {
     # sources and sinks
     "A1": ("synthetic_contract", "synthetic_readings", "synthetic_profile"),
-    "A1a": ("synthetic_contract",), "A1b": ("synthetic_contract",), "A1c": ("synthetic_contract",),
-    "A1d": ("synthetic_contract",), "A1e": ("synthetic_contract",), "A1f": ("synthetic_contract",),
+    "A1a": ("synthetic_contract", "synthetic_distribution"), "A1b": ("synthetic_contract", "synthetic_distribution"), "A1c": ("synthetic_contract",),
+    "A1d": ("synthetic_contract",), "A1e": ("synthetic_contract",), "A1f": ("synthetic_contract", "synthetic_distribution"),
     "A2": ("events_scan",),
     "A3": ("bars_read_back", "bars_read_back_whole"),
     "A5": ("dataset_read_back",),
-    "A9": ("chain_outputs", "rebuilt_bars", "rebuild_runs"),
+    "A9": ("chain_outputs", "chain_window", "chain_aggregate", "chain_pivot", "chain_unpivot", "chain_date_parts", "rebuilt_bars", "rebuild_runs"),
     "A7": ("upsert_actions", "upsert_snapshot", "upsert_report", "upsert_rerun_report", "upsert_report_small_batch",
            "upsert_partial_snapshot", "upsert_partial_report"),
     "A8": ("renamed_for_table",),
