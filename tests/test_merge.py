@@ -112,6 +112,10 @@ def test_fingerprints_tell_close_values_and_columns_apart(spark):
     rows = [(1, "a|b", "c", 1.0000001), (2, "a", "b|c", 1.0000002), (3, "a", "b|c", float("nan")), (4, None, "N", float("inf")), (5, "N", None, 1e300)]
     marks = merge.fingerprint(spark.createDataFrame(rows, schema), ["g"]).collect()
     assert len({r.hash_sum for r in marks}) == 5
+    near = [(k, "x", "y", v) for k, v in enumerate((1e-20, 2e-20, 5e-324, 0.1 + 0.2, 0.3, 1e300, 1.0000000000000002e300))]
+    assert len({r.hash_sum for r in merge.fingerprint(spark.createDataFrame(near, schema), ["g"]).collect()}) == len(near)
+    zeros = merge.fingerprint(spark.createDataFrame([(1, "x", "y", 0.0), (2, "x", "y", -0.0)], schema), ["g"]).collect()
+    assert len({r.hash_sum for r in zeros}) == 1
 
 
 def test_changed_groups_see_every_change(spark):

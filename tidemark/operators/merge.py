@@ -160,14 +160,13 @@ def write_snapshot(snapshot: DataFrame, base_path: str, version: int, partition_
 def canonical_text(column: str, dtype: str) -> Column:
     """A text of a value that any engine can make: NULL is ``N``, others are ``length:text``.
 
-    Floating values are written as decimals of 15 places, those beyond a
-    decimal's range as Spark writes them; NaN and infinities have their names.
+    Floating values are written in hexadecimal (``0x1.8p3``), which is the value
+    to its last bit; the two zeros are equal, NaN and infinities have their names.
     """
     c = F.col(column)
     text = c.cast("string")
     if dtype in ("double", "float"):
-        odd = F.isnan(c) | (F.abs(c) == float("inf"))
-        text = F.when(odd, c.cast("string")).otherwise(F.coalesce(c.try_cast("decimal(38,15)").cast("string"), c.cast("string")))
+        text = F.regexp_replace(F.format_string("%a", c.cast("double") + 0.0), r"\.0p", "p")
     return F.when(c.isNull(), F.lit("N")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
 
 

@@ -87,7 +87,7 @@ def upsert_rerun_report(spark, sf_dir):
 # --- A11 ------------------------------------------------------------------------------
 
 def _text_sql(column: str, kind: str = "") -> str:
-    text = f"CAST(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38,15)) AS VARCHAR)" if kind == "double" else f"CAST({column} AS VARCHAR)"
+    text = f"replace(format('{{:a}}', {column} + 0.0), 'p+', 'p')" if kind == "double" else f"CAST({column} AS VARCHAR)"
     return f"coalesce(length({text}) || ':' || {text}, 'N')"
 
 
