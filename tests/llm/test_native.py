@@ -122,16 +122,63 @@ def test_mix_of_empty_sources_and_tables(docs):
     assert mixing.mix_sources(docs([(1, "a", "en", "s")]).filter("false")).count() == 0
 
 
+def wrapped(text):
+    """A line end after every seventh word."""
+    return re.sub(r"((?:\S+\s+){6}\S+)\s", r"\1\n", text)
+
+
+def licence_texts():
+    """(text, licence) of every rule: line by line, wrapped, commented, upper case."""
+    for name, rule in licences.RULES:
+        parts = [licences.SENTENCES[i] for i in rule]
+        paragraphs = "\n\n".join(wrapped(p) for p in parts)
+        yield "Some words first.\n" + "\n".join(parts) + "\nAnd after.", name
+        yield paragraphs.upper(), name
+        yield "\n".join(("# " + line).rstrip() for line in paragraphs.split("\n")), name
+
+
 def test_every_known_licence_text_is_found(docs):
-    rows, want = [], {}
-    for k, (name, rule) in enumerate(licences.RULES):
-        body = "Some words first.\n" + "\n".join(licences.SENTENCES[i] for i in rule) + "\nAnd after."
-        wrapped = re.sub(r"((?:\S+\s+){6}\S+)\s", r"\1\n", "\n\n".join(licences.SENTENCES[i] for i in rule))
-        rows += [(2 * k, body, "en", "s"), (2 * k + 1, wrapped.upper(), "en", "s")]
-        want[2 * k] = want[2 * k + 1] = name
-    got = {r.doc_id: r for r in licences.scan_licences(docs(rows, clashing=True)).collect()}
-    for k, name in want.items():
-        assert name in got[k].licences.split(","), (k, name, got[k])
+    rows = list(licence_texts())
+    got = {r.doc_id: r.licences for r in licences.scan_licences(docs([(k, t, "en", "s") for k, (t, _) in enumerate(rows)], clashing=True)).collect()}
+    assert [(k, got[k]) for k in range(len(rows))] == [(k, name) for k, (_, name) in enumerate(rows)]
+
+
+def test_a_longer_rule_wins_and_consumes_its_sentences(docs):
+    text = lambda *ids: "\n\n".join(licences.SENTENCES[i] for i in ids)
+    two = ("bsd-redistribution", "bsd-source", "bsd-binary")
+    rows = {
+        1: (text(*two, "bsd-endorse"), "BSD-3-Clause"), 2: (text(*two), "BSD-2-Clause"), 3: (text(*two[:2]), "BSD-1-Clause"),
+        4: (text(*two, "bsd-advert", "bsd-endorse"), "BSD-4-Clause"), 5: (text(*two, *two, "bsd-endorse"), "BSD-2-Clause,BSD-3-Clause"),
+        6: (text(*two, "bsd-endorse", *two), "BSD-2-Clause,BSD-3-Clause"), 7: (text("bsd-redistribution", "mit-grant", "bsd-source", "mit-notice", "bsd-binary"), "BSD-2-Clause,MIT"),
+        8: (text("mit-title", "mit-grant", "mit-notice", "mit-warranty"), "MIT"), 9: (text("mit-grant", "apache2-short", "classpath-exception"), "Apache-2.0,Classpath-exception-2.0"),
+        10: (text("mit-notice", "mit-grant"), ""), 11: (text("lgpl-free", "lgpl21-redistribute") + "\n\n" + text("agpl3-redistribute"), "AGPL-3.0-or-later,LGPL-2.1-or-later"),
+        12: (text("apache2-header", "apache2-comply", "apache2-as-is") + "\n" + text("zlib-as-is", "zlib-grant", "bsl1-header"), "Apache-2.0,BSL-1.0,Zlib"),
+    }
+    got = {r.doc_id: r.licences for r in licences.scan_licences(docs([(k, t, "en", "s") for k, (t, _) in rows.items()])).collect()}
+    assert got == {k: name for k, (_, name) in rows.items()}
+
+
+def test_own_sentences_and_rules(docs):
+    own = licences.Licences({"a": "This house is licensed.", "b": "No warranty; none at all, no software."}, [("H", ("a", "b")), ("A", ("a",))], split={"b": ("b1", "b2")})
+    rows = [(1, "This house is licensed.\nNo warranty; none at all, no software.", "en", "s"), (2, "This house is licensed", "en", "s"), (3, "Released under the MIT License.", "en", "s")]
+    assert {r.doc_id: r.licences for r in licences.scan_licences(docs(rows), own).collect()} == {1: "H", 2: "A", 3: ""}
+    for bad in ({"a": "No cue in here."}, {"a": "A licence.", "b": "a licence!"}, {"a": "Two licences; one piece too many."}):
+        with pytest.raises(ValueError):
+            licences.Licences(bad, [])
+
+
+def test_licence_sql_on_texts_of_all_kinds(docs):
+    """The SQL beside the operator on full, wrapped, commented and broken texts, copyright lines among them."""
+    texts = [t for t, _ in licence_texts()]
+    texts += [f"Copyright (c) 2020 Foo\n{t}" for t in texts[:30]] + [f"{a}\n\n{b}" for a, b in zip(texts, texts[7:])] + [t[: len(t) // 2] for t in texts]
+    texts += ["copyright: notice\nMIT License", "copyright notice\nMIT License", "© 2020 x\nMIT License", "(c)\nMIT License", "MIT License;\r\n\r\nAll rights reserved.", "* * *\nMIT License\n* * *"]
+    rows = [(k, t, "en", "s") for k, t in enumerate(texts)] + [(None, None, None, None), (9000, "", "en", "s"), (9001, "MIT License. " * 3000, "en", "s")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    told = con.sql(licences.oracle()).fetchall()
+    got = [(r.doc_id, r.n_known, r.sentence_ids, r.licences) for r in licences.scan_licences(docs(rows)).collect()]
+    assert sorted(got, key=str) == sorted(told, key=str)
 
 
 def test_order_matters_and_awkward_texts_have_none(docs):

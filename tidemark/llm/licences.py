@@ -2,9 +2,11 @@
 
 A text is cut into sentences, each is normalised (lower case, everything but
 a-z and 0-9 to single spaces) and mapped to the identifier of a known licence
-sentence; the resulting identifier sequence is matched against ordered rules.
-A rule matches when its identifiers occur in its order; sentences between them
-do not matter.
+sentence; the resulting identifier sequence is matched against ordered rules,
+longest first.  A rule matches when its identifiers occur in its order, whatever
+lies between, and takes them out of the sequence for the rules after it: a text
+of one licence is not also the shorter licence that it contains, and of two
+licences in one text each needs sentences of its own.
 
 Licence texts come wrapped at any column as well as line by line, and in source
 comments.  A sentence ends at its punctuation, at a line without letters and
@@ -15,9 +17,14 @@ way found, by position, and ``licences`` the rules that match this sequence.
 Before the cutting, a text must contain one of the words that each known
 sentence contains (``CUES``, checked at import), so other texts are not cut.
 
+Sentences and rules are parameters (:class:`Licences`); the ones below cover
+common licences.
+
 Defined results: null text counts as empty; a text without a known sentence
-gives empty lists.  Every row gives one row, repeated ones too.  An empty
-table gives an empty result; other columns take no part.
+gives empty lists.  Texts of any length are cut whole.  Rules of one length are
+tried as listed, so there are no ties; a licence found twice is named once.
+Every row gives one row, repeated ones too.  An empty table gives an empty
+result; other columns take no part.
 """
 
 from __future__ import annotations
@@ -65,6 +72,20 @@ SENTENCES = {
     "cc0-dedicated": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "unlicense": "This is free and unencumbered software released into the public domain without copyright.",
     "rights-reserved": "All rights reserved.",
+    "lgpl-free": "This library is free software;",
+    "lgpl21-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "bsd-advert": "All advertising materials mentioning features or use of this software must display the following acknowledgement:",
+    "epl1-made": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "epl2-made": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "bsl1-header": "Distributed under the Boost Software License, Version 1.0.",
+    "bsl1-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "artistic2-terms": "This license establishes the terms under which a given free software Package may be copied, modified, distributed, and/or redistributed.",
+    "classpath-exception": "As a special exception, the copyright holders of this library give you permission to link this library with independent modules to produce an executable, regardless of the license terms of these independent modules, and to copy and distribute the resulting executable under terms of your choice, provided that you also meet, for each linked independent module, the terms and conditions of the license of that module.",
+    "llvm-exception": "Part of the LLVM Project, under the Apache License v2.0 with LLVM Exceptions.",
 }
 
 #: Fixed values: (licence, identifiers in order).  One licence can have several rules.
@@ -92,6 +113,19 @@ RULES = (
     ("CC0-1.0", ("cc0-dedicated",)),
     ("Unlicense", ("unlicense",)),
     ("all-rights-reserved", ("rights-reserved",)),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl21-redistribute")),
+    ("LGPL-3.0-or-later", ("lgpl3-redistribute",)),
+    ("AGPL-3.0-or-later", ("agpl3-redistribute",)),
+    ("BSD-4-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-advert", "bsd-endorse")),
+    ("BSD-1-Clause", ("bsd-redistribution", "bsd-source")),
+    ("EPL-1.0", ("epl1-made",)),
+    ("EPL-2.0", ("epl2-made",)),
+    ("BSL-1.0", ("bsl1-header",)),
+    ("BSL-1.0", ("bsl1-grant",)),
+    ("Zlib", ("zlib-as-is", "zlib-grant")),
+    ("Artistic-2.0", ("artistic2-terms",)),
+    ("Classpath-exception-2.0", ("classpath-exception",)),
+    ("Apache-2.0 WITH LLVM-exception", ("llvm-exception",)),
 )
 
 #: Each known sentence contains one of these words.
@@ -108,54 +142,70 @@ def _pieces(sentence: str) -> list[str]:
     return [p for p in (normal_sentence(x) for x in cut.split("\n")) if p]
 
 
-def sentence_ids() -> dict[str, str]:
-    """Normalised sentence -> identifier.  A sentence that the cutting splits is known by its longest piece."""
-    found = {}
-    for name, sentence in SENTENCES.items():
-        piece = max(_pieces(sentence), key=len)
-        if piece in found or not any(c in piece for c in CUES):
-            raise ValueError(f"{name}: its normal form is not its own, or has no cue")
-        found[piece] = name
-    return found
-
-
-#: By the longest piece only; :func:`oracle` is built from these and from ``RULES``.
-IDS = sentence_ids()
-
 #: What the cutting makes of the known sentences that it splits, a name for each piece.
-SPLIT = {"gpl2-redistribute": ("gpl-redistribute", "gpl2-or-later"), "mpl2-subject": ("mpl-subject", "mpl-2")}
-#: Other pieces that follow "gpl-redistribute".
+SPLIT = {
+    "gpl2-redistribute": ("gpl-redistribute", "gpl2-or-later"),
+    "lgpl21-redistribute": ("lgpl-redistribute", "lgpl21-or-later"),
+    "mpl2-subject": ("mpl-subject", "mpl-2"),
+}
+#: Other pieces that follow "gpl-redistribute" and "lgpl-redistribute".
 ENDS = {
     "gpl3-or-later": "either version 3 of the License, or (at your option) any later version.",
     "gpl2-version": "version 2 of the License.",
     "gpl3-version": "version 3 of the License.",
+    "lgpl21-version": "version 2.1 of the License.",
 }
-#: (licence, name of the piece after "gpl-redistribute").
+#: (licence, name of the piece after "gpl-redistribute"), and the same after "lgpl-redistribute".
 GPL = (("GPL-2.0-or-later", "gpl2-or-later"), ("GPL-3.0-or-later", "gpl3-or-later"), ("GPL-2.0-only", "gpl2-version"), ("GPL-3.0-only", "gpl3-version"))
+LGPL = (("LGPL-2.1-or-later", "lgpl21-or-later"), ("LGPL-2.1-only", "lgpl21-version"), ("LGPL-3.0-or-later", "gpl3-or-later"), ("LGPL-3.0-only", "gpl3-version"))
 
 
-def piece_ids() -> dict[str, str]:
-    """Normalised piece -> identifier, every piece of every known sentence."""
-    found = {}
-    for name, sentence in (SENTENCES | ENDS).items():
-        pieces = _pieces(sentence)
-        for piece, own in zip(pieces, SPLIT.get(name, (name,)), strict=True):
-            if piece in found:
-                raise ValueError(f"{name}: a piece is not its own")
-            found[piece] = own
-    return found
+class Licences:
+    """Known sentences and ordered rules over their pieces.
 
+    ``split`` names the pieces of a sentence that the cutting splits, ``ends``
+    are further pieces, ``more`` further rules; ``,`` in a rule joins pieces
+    that follow each other directly.
+    """
 
-def piece_rules() -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """``RULES`` over pieces.  The pieces of one sentence follow each other directly (joined by a comma)."""
-    over = [(licence, tuple(",".join(SPLIT.get(i, (i,))) for i in rule)) for licence, rule in RULES]
+    def __init__(self, known: dict[str, str], rules, split: dict | None = None, ends: dict | None = None, more=()):
+        split, ends = split or {}, ends or {}
+        #: Normalised piece -> identifier, every piece of every known sentence.
+        self.pieces: dict[str, str] = {}
+        for name, sentence in (known | ends).items():
+            cut = _pieces(sentence)
+            own = split.get(name, (name,))
+            if len(cut) != len(own) or any(p in self.pieces for p in cut):
+                raise ValueError(f"{name}: needs a name for each of its pieces, none of them known")
+            if not any(c in " ".join(cut) for c in CUES):
+                raise ValueError(f"{name}: has none of the cues")
+            self.pieces.update(zip(cut, own))
+        over = [(licence, tuple(",".join(split.get(i, (i,))) for i in rule)) for licence, rule in rules]
+        # Longest first; of one length as listed.
+        #: (licence, pieces in order).
+        self.rules = sorted(dict.fromkeys([*over, *more]), key=lambda r: -sum(i.count(",") + 1 for i in r[1]))
+        # What follows a cut inside a known sentence is a sentence by its punctuation, never by its line.
+        later = {*ends, *(i for names in split.values() for i in names[1:])}
+        self.by_line = {piece: i for piece, i in self.pieces.items() if i not in later}
+
+    def patterns(self) -> list[tuple[str, str, int]]:
+        """(licence, expression over the tagged sequence, number of its gaps)."""
+        return [(licence, GAP.join("".join(f"<{i}>" for i in part.split(",")) for part in rule), len(rule) - 1) for licence, rule in self.rules]
+
+
+#: Identifiers between those of a rule, as few as possible.
+GAP = "((?:<[^>]+>)*?)"
+
+
+def _foundation() -> list[tuple[str, tuple[str, ...]]]:
+    """The rules of the headers whose version stands in a piece of its own."""
+    found = []
     for licence, end in GPL:
-        over += [(licence, (f"gpl-redistribute,{end}", "gpl-hope")), (licence, ("gpl-free", f"gpl-redistribute,{end}"))]
-    return tuple(dict.fromkeys(over))
+        found += [(licence, (f"gpl-redistribute,{end}", "gpl-hope")), (licence, ("gpl-free", f"gpl-redistribute,{end}"))]
+    return found + [(licence, (f"lgpl-redistribute,{end}",)) for licence, end in LGPL]
 
 
-PIECES = piece_ids()
-PIECE_RULES = piece_rules()
+KNOWN = Licences(SENTENCES, RULES, SPLIT, ENDS, _foundation())
 
 
 #: Comment leaders; lines without letters or digits; copyright lines (known sentences have "copyright notice", "holder" and "and" at a line's start, too).
@@ -171,62 +221,79 @@ def sentences(lowered: Column) -> Column:
     return F.split(F.regexp_replace(apart, r"[.!?;:]+[ \t\r\n]+", "\n\n"), r"\n{2,}")
 
 
-def _known(cut: Column) -> Column:
+def _known(cut: Column, licences: Licences) -> Column:
     """Identifiers by position: of each sentence as a whole, then of its lines."""
     def look(ids: dict[str, str], s: Column) -> Column:
         known = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
         return F.try_element_at(known, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
 
-    # What follows a cut inside a known sentence is a sentence by its punctuation, never by its line.
-    ends = {*ENDS, *(i for names in SPLIT.values() for i in names[1:])}
-    by_line = {piece: i for piece, i in PIECES.items() if i not in ends}
-    whole = F.transform(cut, lambda s: F.struct(look(PIECES, s).alias("id"), s.alias("s")))
-    lines = lambda x: F.transform(F.split(x["s"], "\n"), lambda line: look(by_line, line))
+    whole = F.transform(cut, lambda s: F.struct(look(licences.pieces, s).alias("id"), s.alias("s")))
+    lines = lambda x: F.transform(F.split(x["s"], "\n"), lambda line: look(licences.by_line, line))
     more = lambda x: F.filter(lines(x), lambda i: i.isNotNull() & ~i.eqNullSafe(x["id"]))
     found = F.transform(whole, lambda x: F.concat(F.array(x["id"]), F.when(x["s"].contains("\n"), more(x)).otherwise(F.array().cast("array<string>"))))
     return F.array_compact(F.flatten(found))
 
 
-def _matches(ids: Column) -> Column:
-    """Licences whose rule occurs in the sequence, each once, by name."""
-    joined = F.concat(F.lit(","), F.concat_ws(",", ids), F.lit(","))
-    hits = [F.when(joined.rlike(rule_pattern(rule)), F.lit(licence)) for licence, rule in PIECE_RULES]
-    return F.array_compact(F.array(*hits))
+def _matches(ids: Column, licences: Licences) -> Column:
+    """Licences whose rules match, by name; each rule takes its identifiers out of the sequence."""
+    tagged = F.concat_ws("", F.transform(ids, lambda i: F.concat(F.lit("<"), i, F.lit(">"))))
+    rules = F.array(*[
+        F.struct(F.lit(p).alias("p"), F.lit("".join(f"${k + 1}" for k in range(gaps))).alias("rest"), F.lit(licence).alias("licence"))
+        for licence, p, gaps in licences.patterns()])
 
+    def apply(held: Column, rule: Column) -> Column:
+        found = F.when(F.regexp_like(held["left"], rule["p"]), F.concat(held["found"], F.array(rule["licence"]))).otherwise(held["found"])
+        return F.struct(F.regexp_replace(held["left"], rule["p"], rule["rest"]).alias("left"), found.alias("found"))
 
-def rule_pattern(rule: tuple[str, ...]) -> str:
-    return ".*".join(f",{i}," if k == 0 else f"(?:^|,){i}," for k, i in enumerate(rule)).replace(".*(?:^|,)", "(?:.*,)?")
+    start = F.struct(tagged.alias("left"), F.array().cast("array<string>").alias("found"))
+    return F.array_sort(F.array_distinct(F.aggregate(rules, start, apply, lambda held: held["found"])))
 
 
-def scan_licences(docs: DataFrame) -> DataFrame:
+def scan_licences(docs: DataFrame, licences: Licences = KNOWN) -> DataFrame:
     """doc_id, n_known, sentence_ids (comma-joined, in order) and licences (comma-joined, by name)."""
     lowered = F.lower(text_of())
     cue = F.lower(text_of()).rlike("|".join(CUES))
     none = F.array().cast("array<string>")
-    rows = docs.select("doc_id", "text").select("doc_id", F.when(cue, _known(sentences(lowered))).otherwise(none).alias("ids"))
+    rows = docs.select("doc_id", "text").select("doc_id", F.when(cue, _known(sentences(lowered), licences)).otherwise(none).alias("ids"))
     return rows.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_known"),
         F.concat_ws(",", "ids").alias("sentence_ids"),
-        F.concat_ws(",", F.array_sort(F.array_distinct(_matches(F.col("ids"))))).alias("licences"),
+        F.when(F.size("ids") > 0, F.concat_ws(",", _matches(F.col("ids"), licences))).otherwise("").alias("licences"),
     )
 
 
-def oracle() -> str:
-    """An earlier state in DuckDB's list functions: sentences by their longest piece (``IDS``), two cuttings matched apart, comments not read.
+def oracle(licences: Licences = KNOWN) -> str:
+    """The same in DuckDB: lines told apart one by one, and a column for what each rule leaves."""
+    def table(ids: dict[str, str]) -> str:
+        return "MAP([" + ",".join(f"'{k}'" for k in ids) + "],[" + ",".join(f"'{i}'" for i in ids.values()) + "])"
 
-    It is left as it was, and differs on texts where these matter.
-    """
-    keys, names = list(IDS), list(IDS.values())
-    known = "MAP([" + ",".join(f"'{k}'" for k in keys) + "],[" + ",".join(f"'{n}'" for n in names) + "])"
-    hits = ",".join(f"CASE WHEN regexp_matches(',' || array_to_string({{0}}, ',') || ',', '{rule_pattern(r)}') THEN '{n}' END" for n, r in RULES)
-    ids = f"list_filter(list_transform(string_split({{0}}, chr(10)), lambda s: ({known})[trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))]), lambda x: x IS NOT NULL)"
+    def look(ids: dict[str, str], x: str) -> str:
+        return f"{table(ids)}[trim(regexp_replace({x}, '[^a-z0-9]+', ' ', 'g'))]"
+
+    begin = "^[^\\p{L}\\p{N}(©]*(?:portions )?".replace("\\\\", "\\")
+    copyright = (
+        f"regexp_matches(l, '{begin}(?:copyright\\b[ \\t]*:|(?:\\(c\\)|©)[ \\t]*[0-9]{{4}})') OR (regexp_matches(l, '{begin}copyright\\b[ \\t]*[^ \\t\\r\\n:]')"
+        f" AND NOT regexp_matches(l, '{begin}copyright\\b[ \\t]*(?:notice|holder|and\\b)'))"
+    )
+    patterns = licences.patterns()
+    steps = ",\n".join(
+        f"regexp_matches(s{k}, '{p}') AS h{k}, regexp_replace(s{k}, '{p}', '{''.join(chr(92) + str(g + 1) for g in range(gaps))}', 'g') AS s{k + 1}"
+        for k, (_, p, gaps) in enumerate(patterns))
+    hits = ", ".join(f"CASE WHEN h{k} THEN '{licence}' END" for k, (licence, _, _) in enumerate(patterns))
     return f"""
-WITH t AS (SELECT doc_id, lower(coalesce(text, '')) AS body FROM documents),
-s AS (SELECT doc_id, {ids.format("regexp_replace(regexp_replace(regexp_replace(body, '\\n[ \\t\\r]*\\n', '. ', 'g'), '[ \\t\\r\\n]+', ' ', 'g'), '[.!?;:]+ ', chr(10), 'g')")} AS whole,
-      {ids.format("regexp_replace(body, '[.!?;:]+[ \\t\\r\\n]+', chr(10), 'g')")} AS lines FROM t),
-b AS (SELECT *, CASE WHEN len(whole) > len(lines) THEN whole ELSE lines END AS ids FROM s)
+WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), '(?m)^[ \\t]*(?:/?\\*+/?|//+|#+|--+|;+)', '', 'g'), '(?m)^[^\\p{{L}}\\p{{N}}\\n]+$', '', 'g') AS bare,
+             regexp_matches(lower(coalesce(text, '')), '{"|".join(CUES)}') AS cue FROM documents),
+l AS (SELECT doc_id, CASE WHEN cue THEN array_to_string(list_transform(string_split(bare, chr(10)),
+        lambda l: CASE WHEN {copyright} THEN chr(10) || l || chr(10) ELSE l END), chr(10)) ELSE '' END AS apart FROM t),
+c AS (SELECT doc_id, list_transform(string_split_regex(regexp_replace(apart, '[.!?;:]+[ \\t\\r\\n]+', chr(10) || chr(10), 'g'), '\\n{{2,}}'),
+        lambda s: {{'s': s, 'id': {look(licences.pieces, "s")}}}) AS cut FROM l),
+i AS (SELECT doc_id, list_filter(flatten(list_transform(cut, lambda x: list_concat([x.id], CASE WHEN contains(x.s, chr(10)) THEN
+        list_filter(list_transform(string_split(x.s, chr(10)), lambda y: {look(licences.by_line, "y")}), lambda z: z IS NOT NULL AND z IS DISTINCT FROM x.id) ELSE [] END))),
+        lambda z: z IS NOT NULL) AS ids FROM c),
+r AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda z: '<' || z || '>'), '') AS s0,
+{steps} FROM i)
 SELECT doc_id, len(ids)::BIGINT AS n_known, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
-  coalesce(array_to_string(list_sort(list_distinct(list_filter([{hits.format("whole")},{hits.format("lines")}], lambda x: x IS NOT NULL))), ','), '') AS licences
-FROM b
-"""
+       coalesce(array_to_string(list_sort(list_distinct(list_filter([{hits}], lambda z: z IS NOT NULL))), ','), '') AS licences
+FROM r
+""".replace("\\\\", "\\")
