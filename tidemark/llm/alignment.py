@@ -182,20 +182,23 @@ def spill_runs(docs: DataFrame, layout: Layout, files, run_links: int = RUN_LINK
 
     def spill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, number, run, id_type = loaded(*files.value), TaskContext.get().partitionId() << 32, Run(), None
-        for batch in batches:
-            id_type = batch.schema.field(0).type
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            start = held = 0
-            for k, text in enumerate(texts):
-                held += len(text or "") + 1
-                if held >= CHUNK or k + 1 == len(texts):
-                    run.add(layout, both, ids[start : k + 1], both.encode(texts[start : k + 1]))
-                    start, held = k + 1, 0
-                    if run.size >= run_links:
-                        yield run.rows(layout, number, id_type)
-                        number, run = number + 1, Run()
-        if run.docs:
-            yield run.rows(layout, number, id_type)
+        try:
+            for batch in batches:
+                id_type = batch.schema.field(0).type
+                ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                start = held = 0
+                for k, text in enumerate(texts):
+                    held += len(text or "") + 1
+                    if held >= CHUNK or k + 1 == len(texts):
+                        run.add(layout, both, ids[start : k + 1], both.encode(texts[start : k + 1]))
+                        start, held = k + 1, 0
+                        if run.size >= run_links:
+                            yield run.rows(layout, number, id_type)
+                            number, run = number + 1, Run()
+            if run.docs:
+                yield run.rows(layout, number, id_type)
+        finally:
+            both.forget()  # the process may serve other work next
 
     schema = (
         f"run bigint, bucket int, heads binary, records binary, ordinal int, doc_id {kind}, "

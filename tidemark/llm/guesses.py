@@ -125,7 +125,8 @@ def repeats(value: str) -> list[tuple[int, int, int]]:
             if int(np.count_nonzero(same)) < p:
                 continue
             edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).view(np.int8)))
-            spans = list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+            long = edges[1::2] - edges[::2] >= max(p, 2)
+            spans = list(zip(edges[::2][long].tolist(), edges[1::2][long].tolist()))
         else:
             spans, begin = [], None
             for k in range(n - p + 1):
@@ -162,13 +163,18 @@ class _Starts:
 
     Prices grow with the logarithm of the length, so a start that is no worse
     than a later one at some place is no worse at any further place, and the
-    later one may be forgotten.
+    later one may be forgotten; so may an earlier one whose entry is no lower.
     """
 
     def __init__(self, price):
         self.held: list[tuple[int, float]] = []
         self.price = price
 
+    def add(self, start: int, entry: float) -> None:
+        while self.held and self.held[-1][1] >= entry:
+            self.held.pop()
+        self.held.append((start, entry))
+
     def cheapest(self, end: int) -> float:
         best, kept = math.inf, []
         for start, entry in self.held:
@@ -214,7 +220,7 @@ def _cheapest(value: str, words: Words) -> float:
         open_now = [x for x in open_now if x[1] >= i] + opening.pop(i, [])
         for _, _, shortest, at_start, at_end, starts in open_now:
             j = i - shortest
-            starts.held.append((j, enter(j) + at_start(j)))
+            starts.add(j, enter(j) + at_start(j))
             cheapest = min(cheapest, starts.cheapest(i) + at_end(i))
         best[i] = cheapest
     return best[n]

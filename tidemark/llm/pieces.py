@@ -8,10 +8,11 @@ to the tasks (its size is that of a vocabulary).
 
 Where no piece of the vocabulary holds the marker after another character, the
 marker always begins a new piece, so a normalised text is encoded exactly by
-encoding its marked words one by one; each process encodes a distinct word once
+encoding its marked words one by one; each task encodes a distinct word once
 (multithreaded batches), decodes its ids and holds them against the
-sentencepiece library's.  All three are remembered in two generations: when the
-younger is full it becomes the older one, and words met again move back.  The
+sentencepiece library's.  All three are remembered for the task in two
+generations: when the younger is full it becomes the older one, and words met
+again move back.  The
 ids are always the rebuilt backend's; ``parity`` is false for a text with a
 word on which the library differs.  As the library, too, begins a piece at
 every marker, its ids of a text are those of its words, so equal words are an
@@ -134,6 +135,10 @@ class PieceCodec:
             same = [self._behind(w) == own if t is None else next(told) == own for w, t, own in zip(new, asked, ids)]
         return [(array("i", own).tobytes(), text, agrees) for own, text, agrees in zip(ids, back, same)]
 
+    def forget(self) -> None:
+        """Give back what is remembered of words."""
+        self.young, self.old, self.back = {}, {}, {}
+
     def _behind(self, word: str) -> list[int]:
         """The library's ids of a word that follows another."""
         return self.check.encode("a" + word.replace(MARK, " "))[len(self.check.encode("a")) :]
@@ -232,24 +237,27 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, keep: tuple[str,
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for some in _chunks([t or "" for t in texts]):
-                done = own.encoded([texts[k] for k in some])
-                sizes = np.array([len(ids) for ids, *_ in done], np.int64)
-                flat = np.concatenate([ids for ids, *_ in done]) if done else np.zeros(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat, pa.int32()))
-                at = pa.array(some)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).take(at) for k in range(batch.num_columns - 1)]
-                    + [
-                        lists,
-                        pa.array(sizes),
-                        pa.array([same for _, same, _, _ in done]),
-                        pa.array([own.plain(normal) == text for _, _, normal, text in done]),
-                        pa.array([hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for *_, text in done]),
-                    ],
-                    names=names,
-                )
+        try:
+            for batch in batches:
+                texts = batch.column(batch.num_columns - 1).to_pylist()
+                for some in _chunks([t or "" for t in texts]):
+                    done = own.encoded([texts[k] for k in some])
+                    sizes = np.array([len(ids) for ids, *_ in done], np.int64)
+                    flat = np.concatenate([ids for ids, *_ in done]) if done else np.zeros(0, np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat, pa.int32()))
+                    at = pa.array(some)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(k).take(at) for k in range(batch.num_columns - 1)]
+                        + [
+                            lists,
+                            pa.array(sizes),
+                            pa.array([same for _, same, _, _ in done]),
+                            pa.array([own.plain(normal) == text for _, _, normal, text in done]),
+                            pa.array([hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for *_, text in done]),
+                        ],
+                        names=names,
+                    )
+        finally:
+            own.forget()  # the process may serve other work next
 
     return docs.select(*[F.col(f"`{c}`") for c in keep], text_of().alias("__body")).mapInArrow(encode, schema)

@@ -5,7 +5,7 @@ front of a word: no token of A spans such a place (its pattern begins a new
 match there), nor does one of B if no piece holds the marker, or a line end,
 beside another character in that way.  The files are looked at for this; if
 either has a normaliser, another pattern or such pieces, whole texts are
-encoded instead.  A process remembers segments' results in two generations:
+encoded instead.  A task remembers segments' results in two generations:
 when the younger is full it becomes the older one, and what is met again moves
 back into the younger, so common segments stay and memory is bounded.
 """
@@ -79,6 +79,10 @@ class TwoTokenizers:
             return text.replace("\n", " \n").split(" ")
         return [s[1:] if s[0] == " " and not s[1:2].isspace() else s for s in _CUT.split(" " + text)]
 
+    def forget(self) -> None:
+        """Give back what is remembered of segments."""
+        self.young, self.old = {}, {}
+
     def _learn(self, new: list[str]) -> list[tuple[bytes, bytes, str] | None]:
         """(ids of A, ids of B, groups) of each segment; None where a tokenizer does not give back its bytes."""
         whole = [s if s[:1] in (" ", "\n") else " " + s for s in new]
