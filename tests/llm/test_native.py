@@ -242,6 +242,31 @@ def test_licences_in_comments_and_after_copyright_lines(docs):
     assert got[90].sentence_ids == "mit-title,mit-grant" and got[90].n_known == 2
 
 
+def claimed(names, size):
+    """The table filled turn by turn from the shards' whole preference lists."""
+    names = sorted(set(names))
+    number = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
+    lists = [[(number(f"offset|{n}") % size + j * (number(f"skip|{n}") % (size - 1) + 1)) % size for j in range(size)] for n in names]
+    owner = {}
+    while len(owner) < size:
+        for shard, wanted in enumerate(lists):
+            free = next((slot for slot in wanted if slot not in owner), None)
+            if free is not None:
+                owner[free] = shard
+    return [owner[k] for k in range(size)]
+
+
+@pytest.mark.parametrize("names,size", [(["a"], 3), (["b", "a", "c"], 7), ([f"n{k}" for k in range(5)], 5), ([f"s{k}" for k in range(9)], 101)])
+def test_shards_take_turns_by_preference(names, size):
+    assert sharding.lookup_table(names, size) == claimed(names, size)
+    with pytest.raises(ValueError):
+        sharding.lookup_table(names, 2097169)
+
+
+def test_sharding_of_an_empty_table(docs):
+    assert sharding.assign_shards(docs([(1, "a", "en", "s")]).filter("false")).count() == 0
+
+
 def test_lookup_table_is_fair_and_stable():
     names = [f"n{k}" for k in range(10)]
     owner = sharding.lookup_table(names, 1009)

@@ -264,6 +264,21 @@ def test_nearest_codes_by_brute_force(spark):
     assert sorted((x.query_id, x["rank"], x.vec_id, x.distance) for x in got) == sorted(want)
 
 
+def test_wider_vectors_are_refused(spark):
+    from pyspark.errors import PySparkException
+    df = spark.createDataFrame([(1, [1.0] * 65)], "vec_id bigint, embedding array<double>")
+    with pytest.raises(PySparkException, match="more than 64 elements: 65"):
+        df.select(hamming.code_of()).collect()
+    with pytest.raises(ValueError):
+        hamming.code_of(bits=65)
+
+
+def test_every_pair_of_a_bucket_may_be_verified(docs):
+    rows = [(k, " ".join(words(40, 1).split()[: 40 - k]), "en", "s") for k in range(6)] + [(10 + k, words(40, 20 + k), "en", "s") for k in range(5)]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(docs(rows), margin=1.0).collect()}
+    assert got == {r.doc_id: r.class_id for r in near_dedup.near_classes(docs(rows)).collect()} and got[3] == 0 and got[12] == 12
+
+
 def test_fewer_rows_than_neighbours(spark):
     df = spark.createDataFrame([(0, [1.0, -1.0]), (1, [1.0, 1.0]), (2, [-1.0, -1.0])], "vec_id bigint, embedding array<double>")
     got = hamming.nearest(df, F.col("vec_id") == 0).collect()

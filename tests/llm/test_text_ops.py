@@ -63,6 +63,43 @@ def test_rejection_keeps_clean_rows(docs):
     assert {r.doc_id for r in kept.collect()} == set(range(60))
 
 
+def test_languages_equal_a_version_with_real_ngram_sets(docs):
+    """Training counts, thresholds, hits and ties by plain sets; the filters' false positives are corrected away."""
+    import random
+    r = random.Random(3)
+    syllables = {"en": "the and ing ion er st th".split(), "fr": "eau que les ois é la".split(), "de": "sch ein ung ich ä der".split()}
+    make = lambda lang, n: " ".join("".join(r.choice(syllables[lang]) for _ in range(r.randint(1, 3))) for _ in range(n))
+    rows = [(k, make(lang, 30), lang, "s") for k, lang in enumerate(["en"] * 70 + ["fr"] * 50 + ["de"] * 25)]
+    rows += [(500 + k, make("en", 8) + " " + make("fr", 8), None, "s") for k in range(10)] + [(600, "zzz qqq www", None, "s"), (601, "1 2", "en", "s"), (602, None, "fr", "s")]
+    known = collections.defaultdict(collections.Counter)
+    docs_of, used = collections.Counter(), collections.Counter()
+    for i, text, lang, _ in rows:
+        if text is not None and lang is not None and zlib.crc32(str(i).encode()) % 5:
+            docs_of[lang] += 1
+            known[lang].update(set(brute_grams(text)))
+            used[lang] += 1
+    sets = {lang: {g for g, n in c.items() if n >= (max(2.0, language.MIN_SHARE * used[lang]) if used[lang] >= 20 else 1)} for lang, c in known.items()}
+    preferred = sorted(sets, key=lambda lang: (-docs_of[lang], lang))
+    got = {x.doc_id: (x.lang_pred, x.score) for x in language.identify(docs(rows)).collect()}
+    for i, text, *_ in rows:
+        grams = brute_grams(text or "")
+        if not any(c.isalpha() for c in text or ""):
+            assert got[i] == ("und", 0.0)
+            continue
+        hits = {lang: sum(g in sets[lang] for g in grams) for lang in preferred}
+        best = max(preferred, key=lambda lang: hits[lang])  # the first of equals
+        assert got[i][0] == best and got[i][1] == pytest.approx(hits[best] / len(grams), abs=1e-3), i
+
+
+@pytest.mark.parametrize("chunk", [7, 40])
+def test_cut_texts_lose_no_ngram(monkeypatch, chunk):
+    text = "un été\nà la plage, deux mots;et beaucoup_de 語語語語語語語語語語 signes " * 3
+    whole = sorted(language.grams([text])[0].tolist())
+    monkeypatch.setattr(language, "CHUNK", chunk)
+    parts = [language.grams(held)[0].tolist() for _, held in language.pieces([text])]
+    assert len(parts) > 1 and sorted(h for p in parts for h in p) == whole
+
+
 def brute_grams(text):
     """n-grams of the boundary-marked words of a text."""
     marked = "".join(c if c.isalpha() else " " for c in text.lower())

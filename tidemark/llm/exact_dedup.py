@@ -12,13 +12,13 @@ group can hold more than ``support`` of the rows.
 Defined results: null text counts as the empty text; empty texts are equal to
 each other.  The row with the smallest ``doc_id`` stays, rows with a null
 ``doc_id`` come last; among rows that repeat ``doc_id`` and text exactly one
-stays.  An empty table gives an empty result.  Other columns, whatever their
-names, take no part.
+stays, so there are no ties.  Texts of any length are digested whole.  An empty
+table gives an empty result.  Other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import ROW, materialise, packed, text_of
 
@@ -61,12 +61,10 @@ def decide(keys: DataFrame, support: float = SUPPORT) -> DataFrame:
     """Decisions for :func:`row_digests`: doc_id, keep_id, group_size, kept, text_sha256."""
     winners = materialise(heavy_winners(keys, support), "exact-winners")
     heavy = keys.join(F.broadcast(winners), "text_sha256")
-    group = Window.partitionBy("text_sha256")
-    light = (
-        keys.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti")
-        .withColumn("group_size", F.count("*").over(group))
-        .withColumn("first", F.min(_order()).over(group))
-    )
+    others = keys.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti")
+    # An aggregate and a join, no window: a group's rows are never held together.
+    groups = others.groupBy("text_sha256").agg(F.count("*").alias("group_size"), F.min(_order()).alias("first"))
+    light = others.join(groups, "text_sha256")
     return heavy.unionByName(light).select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),

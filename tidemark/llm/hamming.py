@@ -15,7 +15,7 @@ search.  A vector that a third of all rows repeat costs one entry.
 Defined results: neighbours are ordered by distance, then id; a row is never
 its own neighbour (rows with the query's id are left out); a null vector, a
 null id or a vector without elements is in no result; missing and null elements
-and NaN give a 0 bit.  A table with fewer than k others gives what there is.
+and NaN give a 0 bit; a vector with more elements than a code has bits is an error.  A table with fewer than k others gives what there is.
 Repeated rows count once.  Other columns take no part.
 """
 
@@ -38,12 +38,15 @@ PROBES = 1 << 18
 
 
 def code_of(column: str = "embedding", bits: int = BITS) -> Column:
-    """The sign bits of the first ``bits`` elements."""
+    """The sign bits of the elements; a vector of more than ``bits`` elements (64 at most) is an error, never cut."""
+    if not 1 <= bits <= 64:
+        raise ValueError("bits must be between 1 and 64")
     one = lambda i: F.when(F.coalesce(F.get(column, i) > 0, F.lit(False)) & ~F.isnan(F.get(column, i)), F.expr("1L")).otherwise(F.expr("0L"))
     value = F.lit(0).cast("bigint")
     for i in range(bits):
         value = value.bitwiseOR(F.shiftleft(one(i), i))
-    return value
+    said = F.concat(F.lit(f"a vector has more than {bits} elements: "), F.size(column).cast("string"))
+    return F.when(F.size(column) > bits, F.raise_error(said).cast("bigint")).otherwise(value)
 
 
 def segments(bits: int, count: int) -> list[tuple[int, int]]:

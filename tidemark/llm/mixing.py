@@ -14,8 +14,9 @@ is split over as many tasks.
 
 Defined results: a null source is a source of its own; null text counts as
 empty; a source without any character gets rate 0, as does one with weight 0;
-repeated rows (same doc_id and text) draw the same count; an empty table
-gives an empty result; other columns are carried through, whatever their names.
+repeated rows (same doc_id and text) draw the same count, and their copies tie
+in the global order, where equal rows are next to each other; texts of any
+length are digested and carried whole; an empty table gives an empty result; other columns are carried through, whatever their names.
 """
 
 from __future__ import annotations

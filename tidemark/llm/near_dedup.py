@@ -16,7 +16,8 @@
 4. The links' connected components are the classes.
 
 Defined results: null text counts as empty; a row without words is a class
-of its own; equal word sequences of at least one word are always one class.  ``class_id`` is the smallest doc_id of the
+of its own; equal word sequences of at least one word are always one class.
+Texts of any length are taken whole.  ``class_id`` is the smallest doc_id of the
 class (null ids last), ``kept`` marks one row with it.  Repeated rows share a
 class, one of them is kept.  An empty table gives an empty result; other
 columns take no part.
@@ -36,7 +37,7 @@ from tidemark.llm.links import components
 from tidemark.llm.shingles import blocks, occurrences, weighted
 
 SIMILARITY = 0.8
-#: Signatures agree in K draws; this far under the threshold (4.5 standard deviations) a pair is passed over.
+#: Signatures agree in K draws; this far under the threshold (4.5 standard deviations) a pair is passed over.  1.0: every pair of a bucket is verified.
 MARGIN = 0.15
 #: Texts and set elements of a block.
 BLOCK_TEXTS = 1024
@@ -95,14 +96,14 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
         yield pa.Table.from_batches(held).to_pydict()
 
 
-def _linked(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], similarity: float, margin: float) -> Iterator[pa.RecordBatch]:
     for group in _grouped(batches):
-        a, b = links_of(group["tid"], group["side"], group["signature"], group["elements"], similarity)
+        a, b = links_of(group["tid"], group["side"], group["signature"], group["elements"], similarity, margin)
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def links_of(tids: list[int], sides: list[int], signed: list[bytes], sets: list[bytes], similarity: float) -> tuple[list[int], list[int]]:
+def links_of(tids: list[int], sides: list[int], signed: list[bytes], sets: list[bytes], similarity: float, margin: float = MARGIN) -> tuple[list[int], list[int]]:
     """Links that join the parts of one group.  Side 0 meets side 1; in a group of one block (side 2) all meet all."""
     first = {}
     for k, t in enumerate(tids):
@@ -116,7 +117,7 @@ def links_of(tids: list[int], sides: list[int], signed: list[bytes], sets: list[
     for c in range(K):
         agree += matrix[one, c][:, None] == matrix[two, c][None, :]
     small, big = np.minimum(size[one][:, None], size[two][None, :]), np.maximum(size[one][:, None], size[two][None, :])
-    near = (agree >= (similarity - MARGIN) * K) & (small >= similarity * big)
+    near = (agree >= (similarity - margin) * K) & (small >= similarity * big)
     if (side == 2).any():
         near &= one[:, None] < two[None, :]
     rows, cols = np.nonzero(near)
@@ -191,7 +192,7 @@ def _groups(texts: DataFrame, similarity: float) -> DataFrame:
     return sized.select("tid", F.explode(F.concat(same, up, down)).alias("g")).select("g.gid", "g.side", "tid")
 
 
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY, margin: float = MARGIN) -> DataFrame:
     """(doc_id, digest, class_id, class_size, kept) of every row of ``docs`` (columns doc_id, text)."""
     rows = docs.select("doc_id", words_of().alias("words")).select("doc_id", F.sha2(F.col("words").cast("binary"), 256).alias("digest"), "words")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -211,7 +212,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     bodies = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("sha"))).select("tid", "words")
     sets = materialise(bodies.mapInArrow(_sets, "tid bigint, signature binary, elements binary"), "near-sets")
     placed = groups.join(sets, "tid").select("gid", "side", "tid", "signature", "elements").repartition("gid").sortWithinPartitions("gid")
-    found = placed.mapInArrow(lambda batches: _linked(batches, similarity), "a bigint, b bigint")
+    found = placed.mapInArrow(lambda batches: _linked(batches, similarity, margin), "a bigint, b bigint")
     roots = components(found)
     return _decided(rows, signed, first, roots)
 

@@ -8,8 +8,8 @@ of the others' slots.  The table's size is a parameter, so its broadcast is
 bounded whatever the input; placing a row is one hash and one lookup.
 
 Defined results: the key is doc_id; a row without doc_id is placed by its text
-(null: empty), so rows without id spread out too.  Repeated rows share a
-shard.  An empty table gives an empty result; other columns take no part.
+(null: empty, whole however long), so rows without id spread out too.  Repeated
+rows share a shard; a slot has one owner, so there are no ties.  An empty table gives an empty result; other columns take no part.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.llm.common import ROW, packed, text_of
 
 TABLE_SIZE = 65537
+#: Largest table that may be broadcast.
+MAX_SIZE = 1 << 21
 SHARDS = tuple(f"shard-{k:03d}" for k in range(64))
 #: Writers per shard and rows per file of :func:`write_shards`.
 FILES_PER_SHARD = 8
@@ -43,6 +45,8 @@ def lookup_table(shards: Sequence[str] = SHARDS, size: int = TABLE_SIZE) -> list
         raise ValueError("no shards")
     if not is_prime(size) or size < len(names):
         raise ValueError("the table size must be a prime that is not below the number of shards")
+    if size > MAX_SIZE:
+        raise ValueError(f"a table of more than {MAX_SIZE} slots is not broadcast")
     offsets = [_number(f"offset|{n}") % size for n in names]
     skips = [_number(f"skip|{n}") % (size - 1) + 1 if size > 2 else 1 for n in names]
     turn = [0] * len(names)
