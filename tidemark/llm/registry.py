@@ -92,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_nearest_codes": hamming.ORACLE,
         "op9_exact_dedup": exact_dedup.ORACLE,
         "op12_decontamination": decontamination.ORACLE,
+        "op13_infilling": infilling.ORACLE,
     }
