@@ -45,7 +45,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import materialise, text_of
+from tidemark.llm.common import materialise, text_of, tidy
 from tidemark.llm.postings import packed, unpacked
 from tidemark.llm.two_tokenizers import TwoTokenizers
 
@@ -204,7 +204,7 @@ def spill_runs(docs: DataFrame, layout: Layout, files, run_links: int = RUN_LINK
         f"run bigint, bucket int, heads binary, records binary, ordinal int, doc_id {kind}, "
         "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
     )
-    return materialise(docs.select("doc_id", text_of().alias("body")).mapInArrow(spill, schema), "pair-runs")
+    return materialise(docs.select("doc_id", text_of().alias("body")).mapInArrow(tidy(spill), schema), "pair-runs")
 
 
 def merged(frames: list[bytes], a_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: Packed original row, so that no helper column can clash with a column of the caller.
@@ -53,6 +57,26 @@ def release(written: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``task`` for ``mapInArrow``, after which its process gives freed memory back to the system.
+
+    A Python worker outlives its task and waits for others; what its allocators
+    keep would be missing in the next operator's budget.
+    """
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def packed(docs: DataFrame, **helpers: Column) -> DataFrame:
     """Each row as one struct ``__row`` beside helper columns; ``select("__row.*")`` undoes it."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), *[c.alias(k) for k, c in helpers.items()])

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import materialise, tidy
 
 SIZES = (3, 4)
 SLOT_BITS = 20
@@ -181,7 +181,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, min_share: float = MIN_SHARE) -
                         names=["l", "total", "gram", "n"],
                     )
 
-    counted = chosen.mapInArrow(document_grams, "l int, total boolean, gram bigint, n bigint").groupBy("l", "total", "gram").agg(F.sum("n").alias("n"))
+    counted = chosen.mapInArrow(tidy(document_grams), "l int, total boolean, gram bigint, n bigint").groupBy("l", "total", "gram").agg(F.sum("n").alias("n"))
     counted = materialise(counted, "language-grams")
     totals = {r["l"]: r["n"] for r in counted.filter("total").collect()}  # one row per language
     least = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, max(2.0, min_share * n) if n >= 20 else 1.0)])
@@ -241,7 +241,7 @@ def _predicted(rows: DataFrame, model: dict | None, keep: str) -> DataFrame:
             langs, share = scores(batch.column(1).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(share)], names=[keep, "lang_pred", "score"])
 
-    return rows.select(keep, "__body").mapInArrow(predict, out)
+    return rows.select(keep, "__body").mapInArrow(tidy(predict), out)
 
 
 def identify(docs: DataFrame, model: dict | None = None) -> DataFrame:
@@ -268,4 +268,4 @@ def keep_identified(docs: DataFrame, model: dict | None = None, min_score: float
                 langs, share = scores(some.column(at).to_pylist(), shared.value)
                 yield some.filter(pa.array(np.array([x != "und" for x in langs], bool) & (share >= min_score)))
 
-    return docs.mapInArrow(identified, docs.schema)
+    return docs.mapInArrow(tidy(identified), docs.schema)

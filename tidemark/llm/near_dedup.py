@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import ROW, materialise, packed, text_of
+from tidemark.llm.common import ROW, materialise, packed, text_of, tidy
 from tidemark.llm.darts import BANDS, K, bands, signatures
 from tidemark.llm.links import components
 from tidemark.llm.shingles import blocks, occurrences, weighted
@@ -197,7 +197,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, margin: float
     rows = docs.select("doc_id", words_of().alias("words")).select("doc_id", F.sha2(F.col("words").cast("binary"), 256).alias("digest"), "words")
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbered = rows.select("digest", "doc_id", F.monotonically_increasing_id().alias("row"), "words")
-    signed = materialise(numbered.mapInArrow(_signed, f"digest string, doc_id {kind}, row bigint, size bigint, bands array<bigint>"), "near-signed")
+    signed = materialise(numbered.mapInArrow(tidy(_signed), f"digest string, doc_id {kind}, row bigint, size bigint, bands array<bigint>"), "near-signed")
     # One text for each word sequence; its id is the smallest row number.
     copies = signed.groupBy("digest").agg(
         F.min(F.struct(F.col("row").alias("tid"), "doc_id")).alias("first"), F.min(_order()).alias("lowest"), F.count("*").alias("copies")
@@ -210,9 +210,9 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, margin: float
     groups = groups.join(full, "gid", "left_semi")
     wanted = first.join(groups.select("tid").distinct(), "tid", "left_semi").select("tid", F.col("doc_id").alias("id"), F.col("digest").alias("sha"))
     bodies = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("sha"))).select("tid", "words")
-    sets = materialise(bodies.mapInArrow(_sets, "tid bigint, signature binary, elements binary"), "near-sets")
+    sets = materialise(bodies.mapInArrow(tidy(_sets), "tid bigint, signature binary, elements binary"), "near-sets")
     placed = groups.join(sets, "tid").select("gid", "side", "tid", "signature", "elements").repartition("gid").sortWithinPartitions("gid")
-    found = placed.mapInArrow(lambda batches: _linked(batches, similarity, margin), "a bigint, b bigint")
+    found = placed.mapInArrow(tidy(lambda batches: _linked(batches, similarity, margin)), "a bigint, b bigint")
     roots = components(found)
     return _decided(rows, signed, first, roots)
 

@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import text_of, tidy
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -49,8 +49,8 @@ MARK = "▁"
 THREADS = 2
 #: Words of a generation, and the longest one that is remembered.
 MEMO, LONGEST = 200_000, 200
-#: Characters of text encoded at once.
-CHUNK = 1 << 19
+#: Characters of text encoded at once, and rows whose texts are unpacked at once.
+CHUNK, ROWS = 1 << 19, 1_000
 _BYTE, _NORMAL, _USER, _CONTROL, _UNKNOWN = 6, 1, 4, 3, 2
 _BPE = 2
 
@@ -238,7 +238,8 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, keep: tuple[str,
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
         try:
-            for batch in batches:
+            # Views of the batches, so that few texts are Python strings at a time.
+            for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, whole.num_rows, ROWS)):
                 texts = batch.column(batch.num_columns - 1).to_pylist()
                 for some in _chunks([t or "" for t in texts]):
                     done = own.encoded([texts[k] for k in some])
@@ -260,4 +261,4 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, keep: tuple[str,
         finally:
             own.forget()  # the process may serve other work next
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], text_of().alias("__body")).mapInArrow(encode, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], text_of().alias("__body")).mapInArrow(tidy(encode), schema)
