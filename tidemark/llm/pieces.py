@@ -7,8 +7,9 @@ fallback.  The model is a parameter; the file is read on the driver and sent
 to the tasks (its size is that of a vocabulary).
 
 Where no piece of the vocabulary holds the marker after another character, the
-marker always begins a new piece, so a normalised text is encoded exactly by
-encoding its marked words one by one; each task encodes a distinct word once
+marker always begins a new piece, and where none holds a line end, that stands
+alone; so a normalised text is encoded exactly by encoding its marked words, cut
+in front of line ends, one by one; each task encodes a distinct word once
 (multithreaded batches), decodes its ids and holds them against the
 sentencepiece library's.  All three are remembered for the task in two
 generations: when the younger is full it becomes the older one, and words met
@@ -48,7 +49,7 @@ MARK = "▁"
 #: Threads of one task's batch encoding.
 THREADS = 2
 #: Words of a generation, and the longest one that is remembered.
-MEMO, LONGEST = 200_000, 200
+MEMO, LONGEST = 120_000, 200
 #: Characters of text encoded at once, and rows whose texts are unpacked at once.
 CHUNK, ROWS = 1 << 19, 1_000
 _BYTE, _NORMAL, _USER, _CONTROL, _UNKNOWN = 6, 1, 4, 3, 2
@@ -90,6 +91,7 @@ class PieceCodec:
         self.whole.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
         usable = [p.piece for p in proto.pieces if p.type == _NORMAL]
         self.splits = not any(re.search(f"[^{MARK}]{MARK}", p) for p in usable)
+        self.lines = not any("\n" in p for p in usable)
         if self.splits:
             self.whole.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
         tail = [decoders.Strip(" ", 1, 0)] if self.prefix else []
@@ -120,8 +122,20 @@ class PieceCodec:
         if not self.splits:
             return [normal] if normal else []
         if normal[:1] == MARK and MARK + MARK not in normal:
-            return [MARK + w for w in normal[1:].split(MARK)] if normal != MARK else [MARK]
-        return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", normal)
+            words = [MARK + w for w in normal[1:].split(MARK)] if normal != MARK else [MARK]
+        else:
+            words = re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", normal)
+        if not self.lines or "\n" not in normal:
+            return words
+        out: list[str] = []
+        for w in words:
+            if "\n" in w:
+                first, *rest = w.split("\n")
+                out += [first] if first else []
+                out += ["\n" + part for part in rest]
+            else:
+                out.append(w)
+        return out
 
     def _learn(self, new: list[str]) -> list[tuple[bytes, str, bool]]:
         """(ids, decoded, whether the library agrees) of each word."""
@@ -129,20 +143,18 @@ class PieceCodec:
         back = self.words.decode_batch(ids, skip_special_tokens=False)
         same = [True] * len(new)
         if self.check is not None and self.prefix:
-            # The library adds the dummy prefix itself; where it would add it to nothing, the word is put behind another.
-            asked = [w[1:].replace(MARK, " ") if w[:1] == MARK and w != MARK else None for w in new]
-            told = iter(self.check.encode([t for t in asked if t is not None], num_threads=1))
-            same = [self._behind(w) == own if t is None else next(told) == own for w, t, own in zip(new, asked, ids)]
+            # The library adds the dummy prefix itself; where that would add to nothing, or is not there, the word is put behind a letter.
+            letter = self.check.encode("a")
+            alone = [w[:1] == MARK and w != MARK for w in new]
+            asked = [w[1:].replace(MARK, " ") if by_itself else "a" + w.replace(MARK, " ") for w, by_itself in zip(new, alone)]
+            told = self.check.encode(asked, num_threads=1)
+            same = [(other if by_itself else other[len(letter) :]) == own for other, by_itself, own in zip(told, alone, ids)]
         return [(array("i", own).tobytes(), text, agrees) for own, text, agrees in zip(ids, back, same)]
 
     def forget(self) -> None:
         """Give back what is remembered of words."""
         self.young, self.old, self.back = {}, {}, {}
 
-    def _behind(self, word: str) -> list[int]:
-        """The library's ids of a word that follows another."""
-        return self.check.encode("a" + word.replace(MARK, " "))[len(self.check.encode("a")) :]
-
     def encoded(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool, str, str]]:
         """(ids, whether both libraries agree, normalised text, decoded text) of each text."""
         normals = [self.normalised(t or "") for t in texts]
