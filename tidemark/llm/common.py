@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -58,17 +59,21 @@ def release(written: DataFrame) -> None:
 
 
 def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``task`` for ``mapInArrow``, after which its process gives freed memory back to the system.
+    """``task`` for ``mapInArrow`` without pauses for cyclic garbage, after which its process gives freed memory back to the system.
 
-    A Python worker outlives its task and waits for others; what its allocators
-    keep would be missing in the next operator's budget.
+    The tasks make many small objects and no cycles, over which the collector
+    would go again and again.  A Python worker outlives its task and waits for
+    others; what its allocators keep would be missing in the next operator's budget.
     """
 
     @functools.wraps(task)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
         try:
             yield from task(batches)
         finally:
+            gc.enable()
+            gc.collect()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
             if trim is not None:

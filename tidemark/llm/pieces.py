@@ -11,12 +11,11 @@ marker always begins a new piece, and where none holds a line end, that stands
 alone; so a normalised text is encoded exactly by encoding its marked words, cut
 in front of line ends, one by one; each process encodes a distinct word once
 (multithreaded batches), decodes its ids and holds them against the
-sentencepiece library's.  All three are remembered in two generations: when the younger is full it becomes the older one, and words met
-again move back.  The
-ids are always the rebuilt backend's; ``parity`` is false for a text with a
-word on which the library differs.  As the library, too, begins a piece at
-every marker, its ids of a text are those of its words, so equal words are an
-equal text.
+sentencepiece library's.  All three are remembered in two generations: when the
+younger is full it becomes the older one, and words met again move back.  The
+ids are always the rebuilt backend's; ``parity`` is false for a text with a word
+on which the library differs.  As the library, too, begins a piece at every
+marker, its ids of a text are those of its words, so equal words are an equal text.
 
 Decoding takes ids only: byte pieces become bytes, markers blanks, and the
 dummy prefix goes.  A text's ids are its words' ids in a row, so it decodes to
