@@ -9,7 +9,7 @@ to the tasks (its size is that of a vocabulary).
 Where no piece of the vocabulary holds the marker after another character, the
 marker always begins a new piece, and where none holds a line end, that stands
 alone; so a normalised text is encoded exactly by encoding its marked words, cut
-in front of line ends, one by one; each process encodes a distinct word once
+in front of line ends, one by one; each task encodes a distinct word once
 (multithreaded batches), decodes its ids and holds them against the
 sentencepiece library's.  All three are remembered in two generations: when the
 younger is full it becomes the older one, and words met again move back.  The
@@ -47,7 +47,7 @@ MARK = "▁"
 #: Threads of one task's batch encoding.
 THREADS = 2
 #: Words of a generation, and the longest one that is remembered.
-MEMO, LONGEST = 160_000, 200
+MEMO, LONGEST = 120_000, 200
 #: Characters of text encoded at once, and rows whose texts are unpacked at once.
 CHUNK, ROWS = 1 << 19, 1_000
 _BYTE, _NORMAL, _USER, _CONTROL, _UNKNOWN = 6, 1, 4, 3, 2
@@ -149,6 +149,10 @@ class PieceCodec:
             same = [(other if by_itself else other[len(letter) :]) == own for other, by_itself, own in zip(told, alone, ids)]
         return [(array("i", own).tobytes(), text, agrees) for own, text, agrees in zip(ids, back, same)]
 
+    def forget(self) -> None:
+        """Give back what is remembered of words."""
+        self.young, self.old, self.back = {}, {}, {}
+
     def encoded(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool, str, str]]:
         """(ids, whether both libraries agree, normalised text, decoded text) of each text."""
         normals = [self.normalised(t or "") for t in texts]
@@ -243,25 +247,28 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, keep: tuple[str,
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
-        # Views of the batches, so that few texts are Python strings at a time.
-        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, whole.num_rows, ROWS)):
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for some in _chunks([t or "" for t in texts]):
-                done = own.encoded([texts[k] for k in some])
-                sizes = np.array([len(ids) for ids, *_ in done], np.int64)
-                flat = np.concatenate([ids for ids, *_ in done]) if done else np.zeros(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat, pa.int32()))
-                at = pa.array(some)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).take(at) for k in range(batch.num_columns - 1)]
-                    + [
-                        lists,
-                        pa.array(sizes),
-                        pa.array([same for _, same, _, _ in done]),
-                        pa.array([own.plain(normal) == text for _, _, normal, text in done]),
-                        pa.array([hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for *_, text in done]),
-                    ],
-                    names=names,
-                )
+        try:
+            # Views of the batches, so that few texts are Python strings at a time.
+            for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, whole.num_rows, ROWS)):
+                texts = batch.column(batch.num_columns - 1).to_pylist()
+                for some in _chunks([t or "" for t in texts]):
+                    done = own.encoded([texts[k] for k in some])
+                    sizes = np.array([len(ids) for ids, *_ in done], np.int64)
+                    flat = np.concatenate([ids for ids, *_ in done]) if done else np.zeros(0, np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat, pa.int32()))
+                    at = pa.array(some)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(k).take(at) for k in range(batch.num_columns - 1)]
+                        + [
+                            lists,
+                            pa.array(sizes),
+                            pa.array([same for _, same, _, _ in done]),
+                            pa.array([own.plain(normal) == text for _, _, normal, text in done]),
+                            pa.array([hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for *_, text in done]),
+                        ],
+                        names=names,
+                    )
+        finally:
+            own.forget()  # the process may serve other work next
 
     return docs.select(*[F.col(f"`{c}`") for c in keep], text_of().alias("__body")).mapInArrow(tidy(encode), schema)
