@@ -5,7 +5,9 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
@@ -240,6 +242,101 @@ def test_the_sort_finds_windows_at_every_residue(spark):
     assert got == {k: ([k], [k + 20]) for k in range(7)}
 
 
+def sorted_here(strings):
+    """The sort's levels without Spark, each string a chunk: [(level, the chunks' rows after it)]."""
+    def batches(rows):
+        return iter([pa.RecordBatch.from_pylist([r], pa.schema(STATE)) for r in rows])
+
+    rows = [
+        {"chunk": k, "body": b, "sizes": np.array([len(b)]).tobytes(), "owners": np.array([k]).tobytes(), "names": b"", "alive": b""} for k, b in enumerate(strings)
+    ]
+    after = []
+    for level in range(len(cover.LEVELS) + 1):
+        parts = cover.FIRST_PASSES if level == 0 else 1
+        sent = [pa.Table.from_batches([b]) for part in range(parts) for b in cover._sent(level, 8, part, parts)(batches(rows))]
+        sent = pa.concat_tables(sent).to_pylist() if sent else []
+        words = len(cover.LEVELS[level][1]) if level < len(cover.LEVELS) else 2
+        told = [cover._ranked(words)(pa.Table.from_pylist([r for r in sent if r["bucket"] == b])) for b in {r["bucket"] for r in sent}]
+        told = [r for t in told for r in t.to_pylist()]
+        kinds = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("names", pa.binary())])
+        rows = [
+            cover._received(level, 8)(pa.Table.from_pylist([r], pa.schema(STATE)), pa.Table.from_pylist([t for t in told if t["chunk"] == r["chunk"]], kinds)).to_pylist()[0]
+            for r in rows
+        ]
+        after.append(rows)
+    return after
+
+
+STATE = [("chunk", pa.int64())] + [(c, pa.binary()) for c in ("body", "sizes", "owners", "names", "alive")]
+
+
+def some_strings():
+    base = words(200, 21).encode()
+    return [bytes([65 + k]) * k + base[7 * k : 7 * k + 600] + bytes([97 + k]) * 450 for k in range(5)] + [words(120, 22).encode(), b"ab" * 300]
+
+
+def windows_here(strings):
+    seen = collections.Counter(b[k : k + 400] for b in strings for k in range(len(b) - 399))
+    return [[seen[b[k : k + 400]] > 1 for k in range(len(b) - 399)] for b in strings]
+
+
+@pytest.mark.parametrize("kept", [64, 3, 0])
+def test_the_sort_parts_keys_that_share_a_hash(monkeypatch, kept):
+    """With all, three or no bits of the hash left the same windows are found."""
+    strings, plain = some_strings(), cover._hashed
+    monkeypatch.setattr(cover, "_hashed", lambda keys: plain(keys) & np.uint64((1 << 64) - (1 << (64 - kept))))
+    done = sorted_here(strings)[-1]
+    assert [cover._unpack(r["alive"], bool)[: len(b) - 399].tolist() for r, b in zip(done, strings)] == windows_here(strings)
+
+
+def test_a_key_is_sorted_only_in_its_own_pass(monkeypatch):
+    strings, plain, seen = some_strings()[:1], cover._together, []
+
+    def counted(h, keys, mine=None):
+        got = plain(h, keys, mine)
+        seen.append((len(got[0]), len(h)))
+        return got
+
+    monkeypatch.setattr(cover, "_together", counted)
+    row = {"chunk": 0, "body": strings[0], "sizes": np.array([len(strings[0])]).tobytes(), "owners": b"", "names": b"", "alive": b""}
+    for part in range(2):
+        list(cover._sent(0, 8, part, 2)(iter([pa.RecordBatch.from_pylist([row], pa.schema(STATE))])))
+    assert len(seen) == 2 and sum(own for own, _ in seen) == seen[0][1] == seen[1][1]
+    assert all(0 < own < every for own, every in seen)
+
+
+def test_names_are_kept_for_sampled_places_and_packed_by_bytes():
+    strings = some_strings()
+    for rows in sorted_here(strings)[:-1]:
+        for r, b in zip(rows, strings):
+            assert len(cover._unpack(r["names"], np.int64)) == sum(k % 3 != 0 for k in range(len(b)))
+    names = (np.random.default_rng(4).integers(0, 50, 5000) << 32) + np.random.default_rng(5).integers(0, 1 << 19, 5000)
+    assert cover._unpack(cover._pack(names), np.int64).tolist() == names.tolist()
+    assert len(cover._pack(names)) < 0.9 * len(zstandard.ZstdCompressor(level=1).compress(names.tobytes()))
+    assert cover._unpack(cover._pack(names[:0]), np.int64).tolist() == [] and cover._unpack(cover._pack(np.array([True, False])), bool).tolist() == [True, False]
+
+
+def test_planted_passages_are_read_by_what_is_removed(docs):
+    """n_removed tells documents with a repeated passage of 400 bytes or more from all others; n_bytes is a length."""
+    rows, planted = [], set()
+    for k in range(30):
+        passage = words(51 + 4 * k, 7000 + k)
+        passage += "." * max(0, 400 - len(passage))
+        for copy in range(2 + k % 2):
+            at = len(rows)
+            planted.add(at)
+            rows.append((at, f"{words(20 + k, 8000 + 10 * k + copy)} {passage} {words(15, 9000 + 10 * k + copy)}", "en", "s"))
+    for k in range(60):  # clean: own words, or a passage of 399 bytes that repeats
+        own = words(60 + 2 * k, 20000 + k)
+        rows.append((len(rows), own if k % 2 else "\u00e9" * (k % 7 + 1) + chr(0x100 + k) + words(120, 30000 + k // 4)[:399] + chr(65 + k % 4), "en", "s"))
+    got = {r.doc_id: r for r in substrings.remove_repeated(docs(rows)).collect()}
+    caught = [got[k].n_removed > 0 for k in planted]
+    left = [got[k].n_removed == 0 for k in got if k not in planted]
+    assert len(got) == len(rows) and len(planted) == 75 and len(left) == 60
+    assert sum(caught) / len(caught) == 1.0 and sum(left) / len(left) == 1.0
+    assert all(got[k].n_bytes == len(t.encode()) for k, t, *_ in rows)
+
+
 # --------------------------------------------------------------- nearest codes
 
 
